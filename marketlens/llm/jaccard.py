@@ -4,10 +4,12 @@ Equal sets are one class. Nearly every document is at distance 1 from nearly eve
 would put all documents into each other's windows. The first level therefore takes one-shingle sets as pivots, in one
 fixed order (rare shingles first): the pivots nearest to a set are its own shingles. A set within eps = 1 - t of x
 misses at most (1 - t)|x| of x's shingles, so x lies in the windows of its first floor((1 - t)|x|) + 1 pivots, and two
-linked sets meet in the region of a shared one. Inside regions the pivots are documents: a region's members are
-compared with its pivots, go to the region of the nearest one and, as boundary documents, to each pivot that the
-triangle inequality leaves open (d(x, j) <= d(x, nearest) + 2 eps), and the regions are joined in the same way until
-they are small or hold one component. All distances are exact, from whole sets.
+linked sets meet in the region of a shared one: these are the Voronoi regions of the pivots, with the boundary
+documents that the windows replicate. Inside regions the pivots are documents. A region's members are compared with its
+first one, which links most groups at once. Regions that still hold several components are divided again: small ones by
+the windows of the triangle inequality around that pivot, |d(x, p) - d(y, p)| <= eps, larger ones with more and more
+pivots, each compared with all members of other components and then left out, until a region is small or holds one
+component. All distances are exact, from whole sets.
 """
 
 from __future__ import annotations
@@ -28,11 +30,9 @@ from .common import by_chars, extended, join_checked, mix64, small_batches, stor
 #: Shingles whose estimated counts order them behind others; bounds the broadcast (4 MB), never the result.
 COMMON_SHINGLES = 1 << 18
 #: Regions up to this size are joined pair by pair.
-LEAF = 32
-#: Pivots of a larger region in its first division; doubled in each further one.
+LEAF = 256
+#: Document pivots of a larger region in its first division; doubled in each further one.
 PIVOTS = 8
-#: Distance up to which a member belongs to its nearest pivot's region rather than to the rest.
-RADIUS = 0.5
 
 
 def shingle_sets(texts: list[str], n: int, salt: int = 0) -> list[np.ndarray]:
@@ -196,6 +196,28 @@ class _Join:
         """Sizes that allow a link: by the triangle inequality over the empty set."""
         return (nx * self.den >= ny * self.num) & (ny * self.den >= nx * self.num)
 
+    def leaf_pairs(self, leaf: DataFrame, large: DataFrame | None, eps: float) -> DataFrame:
+        """(p, x), p < x: pairs of different components in one small region that the windows allow.
+
+        By the triangle inequality over the region's pivot, |d(p) - d(x)| <= eps. With `large` (the first division,
+        when each region of a pair is still there) the regions that a pair shares are counted: the sets have at most
+        so many shingles in common, and those behind the windows of one of them.
+        """
+        a = leaf.select("region", F.col("cls").alias("p"), F.col("n").alias("pn"), F.col("root").alias("_pr"), F.col("dist").alias("_pd"))
+        b = leaf.select("region", F.col("cls").alias("x"), F.col("n").alias("xn"), F.col("root").alias("_xr"), F.col("dist").alias("_xd"))
+        window = F.coalesce(F.abs(F.col("_pd") - F.col("_xd")) <= eps + 1e-9, F.lit(True))
+        met = a.join(b, "region").where((F.col("p") < F.col("x")) & (F.col("_pr") != F.col("_xr")) & self.near(F.col("pn"), F.col("xn")) & window)
+        if large is None:
+            return met.select("p", "x").distinct()
+        pairs = met.groupBy("p", "x").agg(F.count("*").alias("c"), F.first("pn").alias("pn"), F.first("xn").alias("xn"))
+        more = stored(large.groupBy("cls").agg(F.count("*").alias("m")), "large")
+        pairs = join_checked(pairs, more.select(F.col("cls").alias("p"), F.col("m").alias("_pm")), "p", "left")
+        pairs = join_checked(pairs, more.select(F.col("cls").alias("x"), F.col("m").alias("_xm")), "x", "left")
+        shared = F.col("c") + F.least(F.coalesce("_pm", F.lit(0)), F.coalesce("_xm", F.lit(0)))
+        behind = lambda n: n - (F.floor(n * (self.den - self.num) / self.den) + 1)
+        most = shared + F.greatest(behind(F.col("pn")), behind(F.col("xn")))
+        return pairs.where(most * (self.den + self.num) >= (F.col("pn") + F.col("xn")) * self.num).select("p", "x")
+
     def measure(self, pairs: DataFrame) -> DataFrame:
         """(p, x, dist, link) of stored distinct pairs (p, x): each set travels to the pivots it is compared with."""
         roles = pairs.select(F.col("x").alias("cls"), "p").union(pairs.select(F.col("p").alias("cls"), "p")).distinct()
@@ -247,49 +269,35 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     tested = job.measure(stored(pairs, "pairs"))
     links = tested.where("link").select("p", "x")
     roots = components(links)
-    members = members.where("cls != p").select("region", "cls", "n")
-    more, level = PIVOTS, 0
+    # each member's distance to its region's pivot, where measured
+    to_pivot = tested.select("p", F.col("x").alias("cls"), "dist")
+    members = join_checked(members.where("cls != p"), to_pivot, ["p", "cls"], "left").select("region", "cls", "n", "dist")
+    more, first = PIVOTS, True
     while True:
-        # regions that still hold two components, without pivots done
+        # regions that still hold two components, without the pivots that are done
         known = join_checked(members, roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        known = stored(known, "known")
         open_ = known.groupBy("region").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count("*").alias("size")).where("_a != _b").select("region", "size")
         members = stored(join_checked(known, stored(open_, "open"), "region"), "members")
         if members.isEmpty():
             break
         leaf = members.where(F.col("size") <= LEAF).drop("size")
-        y = leaf.select("region", F.col("cls").alias("x"), F.col("n").alias("_n"), F.col("root").alias("_root"))
-        pairs = leaf.join(y, "region").where((F.col("cls") < F.col("x")) & (F.col("root") != F.col("_root")) & job.near(F.col("n"), F.col("_n"))).select(F.col("cls").alias("p"), "x")
         large = members.where(F.col("size") > LEAF).drop("size")
-        first = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("cls", F.lit(level)), "cls"))
-        pivots = large.withColumn("_k", first).where(F.col("_k") <= more).select("region", F.col("cls").alias("p"), F.col("n").alias("_pn"))
-        pivots = stored(pivots, "pivots")
-        met = stored(join_checked(large, pivots, "region").where("cls != p"), "met") if not pivots.isEmpty() else None
-        if met is not None:
-            # all distances to pivots are needed, for the windows
-            pairs = pairs.union(met.select("p", F.col("cls").alias("x")))
-        a, b = F.least("p", "x"), F.greatest("p", "x")
-        pairs = pairs.select(a.alias("p"), b.alias("x")).distinct()
+        pairs = job.leaf_pairs(leaf, large if first else None, eps)
+        chosen = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("cls", F.lit(more)), "cls"))
+        pivots = large.withColumn("_k", chosen).where(F.col("_k") <= more)
+        pivots = stored(pivots.select("region", F.col("cls").alias("p"), F.col("n").alias("_pn"), F.col("root").alias("_pr")), "pivots")
+        met = join_checked(large, pivots, "region").where((F.col("root") != F.col("_pr")) & job.near(F.col("n"), F.col("_pn")))
+        pairs = pairs.union(met.select(F.least("p", "cls").alias("p"), F.greatest("p", "cls").alias("x"))).distinct()
         done = tested.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x")).distinct()
         measured = job.measure(stored(pairs.join(done, ["p", "x"], "left_anti"), "pairs"))
-        tested = tested.unionByName(measured)
+        tested = stored(tested.unionByName(measured), "tested")
         new = stored(measured.where("link").select("p", "x"), "links")
         if not new.isEmpty():
-            links = links.union(new)
+            links = stored(links.union(new), "links")
             roots = components(links)
-        if met is None:
-            break
-        # Voronoi regions of the pivots, with the windows of their boundaries; the rest stays together
-        at = tested.select(F.least("p", "x").alias("_a"), F.greatest("p", "x").alias("_b"), "dist").distinct()
-        far = met.withColumn("_a", F.least("p", "cls")).withColumn("_b", F.greatest("p", "cls")).join(at, ["_a", "_b"])
-        done_p = pivots.select("region", F.col("p").alias("cls"))
-        far = far.join(done_p, ["region", "cls"], "left_anti")
-        home = F.min("dist").over(Window.partitionBy("region", "cls"))
-        far = stored(far.withColumn("_home", home).select("region", "cls", "n", "p", "dist", "_home"), "far")
-        inside = (F.col("dist") <= RADIUS + eps + 1e-9) & (F.col("dist") <= F.col("_home") + 2 * eps + 1e-9)
-        cells = far.where(inside).select(F.xxhash64("region", "p", F.lit(level)).alias("region"), "cls", "n")
-        rest = far.where(F.col("_home") > RADIUS).select("region", "cls", "n").distinct()
-        members = stored(cells.unionByName(rest), "members")
-        more, level = more * 2, level + 1
+        members = large.join(pivots.select("region", F.col("p").alias("cls")), ["region", "cls"], "left_anti").select("region", "cls", "n", "dist")
+        more, first = more * 2, False
     rooted = join_checked(job.keys, roots, "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
     rooted = stored(rooted, "rooted")
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("_least"))
