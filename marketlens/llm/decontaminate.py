@@ -68,9 +68,9 @@ def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
     """(key, window, start): exact phrases, by intersecting offset-adjusted lists from the rarest term on."""
     lead = join_checked(index, windows.withColumnRenamed("t1", "term"), "term").withColumn("start", F.col("pos") - F.col("p1"))
     inside = F.col("start") >= F.col("first")
-    at = lambda p: F.get("near", F.col("start") - F.col("first") + p)
+    at = lambda p: F.get("near", F.greatest(F.col("start") - F.col("first"), F.lit(0)) + p)
     second = F.col("t2").isNull() | (at(F.col("p2")) == F.col("t2"))  # the next list, adjusted by its offset
-    whole = F.slice("near", F.col("start") - F.col("first") + 1, F.size("words")) == F.col("words")
+    whole = F.slice("near", F.greatest(F.col("start") - F.col("first") + 1, F.lit(1)), F.size("words")) == F.col("words")
     return lead.where(inside).where(second).where(whole).select("key", "window", "start", F.size("words").alias("len"), "items").distinct()
 
 
