@@ -25,11 +25,15 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage and survives lost executors."""
+def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: cuts lineage and survives lost executors.
+
+    files: at most so many files, for tables that are small whatever the documents (of a benchmark or a model).
+    Zstandard is used since Snappy's direct buffers add up over many small files until the next full collection.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

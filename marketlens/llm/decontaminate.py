@@ -79,10 +79,10 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, n: int = 10, slop:
 
     Order and repeats of the words do not matter. Same handling of nulls and repeats as `contamination`.
     """
-    windows = stored(test_windows(benchmark, n), "windows")
-    terms = stored(windows.select(F.explode("words").alias("term")).distinct(), "terms")
-    windows = stored(rarest(windows, stored(term_counts(docs, terms), "counts")), "rarest")
-    index = build_index(docs, stored(windows.select(F.col("t1").alias("term")).distinct(), "leads"), n + slop - 1)
+    windows = stored(test_windows(benchmark, n), "windows", files=8)
+    terms = stored(windows.select(F.explode("words").alias("term")).distinct(), "terms", files=8)
+    windows = stored(rarest(windows, stored(term_counts(docs, terms), "counts", files=8)), "rarest", files=8)
+    index = build_index(docs, stored(windows.select(F.col("t1").alias("term")).distinct(), "leads", files=8), n + slop - 1)
     lead = join_checked(index, windows.withColumnRenamed("t1", "term"), "term")
     # some n + slop consecutive words that hold the lead term hold all the others too
     spans = F.sequence(F.lit(0), F.greatest(F.size("near") - F.lit(n + slop), F.lit(0)))
@@ -100,11 +100,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, carry: lis
     texts are all reported. Empty tables give an empty result, or clean documents. `carry` names columns of
     docs to return too; others are ignored.
     """
-    windows = stored(test_windows(benchmark, n), "windows")
-    terms = stored(windows.select(F.explode("words").alias("term")).distinct(), "terms")
-    counts = stored(term_counts(docs, terms), "counts")
-    windows = stored(rarest(windows, counts), "rarest")
-    leads = stored(windows.select(F.col("t1").alias("term")).distinct(), "leads")
+    windows = stored(test_windows(benchmark, n), "windows", files=8)
+    terms = stored(windows.select(F.explode("words").alias("term")).distinct(), "terms", files=8)
+    counts = stored(term_counts(docs, terms), "counts", files=8)
+    windows = stored(rarest(windows, counts), "rarest", files=8)
+    leads = stored(windows.select(F.col("t1").alias("term")).distinct(), "leads", files=8)
     index = stored(build_index(docs, leads, n - 1), "postings")
     found = stored(phrase_matches(index, windows), "phrases")
     # union of the intervals, without listing positions
