@@ -1 +1,302 @@
-"""Queries."""
+"""Scan, join, aggregate, top-k and set queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from marketlens.operators import relational as rel
+from marketlens.plans.registry import register
+from marketlens.sources.tables import table, view
+
+bars = lambda s, d: view(s, d, "bars_daily")
+claims = lambda s, d: view(s, d, "claims")
+
+
+@register("SELECT symbol, day, close FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY day DESC) AS rn FROM bars_daily) WHERE rn <= 30")
+def s1_newest_prices(spark, sf_dir):
+    return rel.newest_n(bars(spark, sf_dir), ["symbol"], "day", 30).select("symbol", "day", "close")
+
+
+@register("""WITH r AS (SELECT symbol, day, close FROM bars_daily WHERE day BETWEEN DATE '1994-01-01' AND DATE '1994-12-31' ORDER BY day, symbol LIMIT 500)
+SELECT *, (SELECT count(*) >= 500 FROM r) AS truncated FROM r""")
+def s2_range_scan(spark, sf_dir):
+    return rel.range_scan(bars(spark, sf_dir).select("symbol", "day", "close"), "day", "1994-01-01", "1994-12-31", 500, "symbol")
+
+
+@register("SELECT DISTINCT lower(trim(o_orderpriority)) AS instrument FROM orders WHERE o_orderpriority LIKE '%-%'")
+def s19_catalog_scan(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where(F.col("o_orderpriority").like("%-%"))
+    return o.select(F.lower(F.trim("o_orderpriority")).alias("instrument")).distinct()
+
+
+@register("SELECT sha256(text) AS digest, count(*) AS receipts, min(doc_id) AS first_doc FROM documents WHERE text IS NOT NULL GROUP BY 1")
+def s18_content_addressed(spark, sf_dir):
+    from marketlens.sources.decode import content_addressed
+
+    return content_addressed(table(spark, sf_dir, "documents"), "text", "doc_id").withColumnRenamed("first_id", "first_doc")
+
+
+@register("""WITH p AS (SELECT l_orderkey, l_linenumber % 5 AS metric, CAST(l_shipdate AS DATE) AS t FROM lineitem WHERE l_linenumber <= 5),
+g AS (SELECT l_orderkey, count(DISTINCT metric) AS m, count(*) AS n, count(DISTINCT month(t)) AS k FROM p GROUP BY 1)
+SELECT p.* FROM p JOIN g USING (l_orderkey) WHERE m >= 2 AND k = 1""")
+def s5_all_or_nothing_fanout(spark, sf_dir):
+    p = table(spark, sf_dir, "lineitem").where("l_linenumber <= 5").select("l_orderkey", (F.col("l_linenumber") % 5).alias("metric"), F.to_date("l_shipdate").alias("t"))
+    g = p.groupBy("l_orderkey").agg(F.count_distinct("metric").alias("m"), F.count_distinct(F.month("t")).alias("k"))
+    return p.join(g.where("m >= 2 and k = 1"), "l_orderkey", "left_semi")
+
+
+_REG = "(VALUES ('1-URGENT', 0.001, 'k', true), ('2-HIGH', 1e-6, 'M', true), ('3-MEDIUM', 1.0, 'raw', false)) reg(asset, factor, unit, verified)"
+
+
+def registry(spark):
+    return spark.createDataFrame([("1-URGENT", 0.001, "k", True), ("2-HIGH", 1e-6, "M", True), ("3-MEDIUM", 1.0, "raw", False)], "asset string, factor double, unit string, verified boolean")
+
+
+@register(f"SELECT id, round(points * coalesce(factor, 1)::DOUBLE, 6) AS converted, coalesce(unit, 'unknown') AS unit, coalesce(verified, false) AS verified FROM claims LEFT JOIN {_REG} USING (asset)")
+def p1_unit_conversion(spark, sf_dir):
+    return rel.convert_units(claims(spark, sf_dir), registry(spark), "asset", "points").select("id", F.round("converted", 6).alias("converted"), "unit", "verified")
+
+
+@register("SELECT id, round(CASE asset WHEN '1-URGENT' THEN points / 1e12 WHEN '2-HIGH' THEN points / 1e18 WHEN '3-MEDIUM' THEN CASE WHEN points > 100000 THEN points / 1e12 ELSE points END ELSE points END * 1e12, 4) AS scaled FROM claims")
+def p2_scale_functions(spark, sf_dir):
+    v, a = F.col("points"), F.col("asset")
+    scaled = F.when(a == "1-URGENT", v / 1e12).when(a == "2-HIGH", v / 1e18).when(a == "3-MEDIUM", F.when(v > 100000, v / 1e12).otherwise(v)).otherwise(v)
+    return claims(spark, sf_dir).select("id", F.round(scaled * 1e12, 4).alias("scaled"))
+
+
+@register(f"SELECT id, round(points * coalesce(factor, 1)::DOUBLE, 2) AS shown FROM claims JOIN {_REG} USING (asset)")
+def p3_rounded_display(spark, sf_dir):
+    return rel.convert_units(claims(spark, sf_dir).join(registry(spark).select("asset"), "asset"), registry(spark), "asset", "points").select("id", F.round("converted", 2).alias("shown"))
+
+
+@register("SELECT max(CASE WHEN series_id = '1-URGENT' THEN round(value, 2) END) AS urgent, max(CASE WHEN series_id = '5-LOW' THEN round(value, 2) END) AS low, obs_date FROM macro_monthly WHERE obs_date = DATE '1995-03-01' GROUP BY obs_date")
+def p19_macro_for_date(spark, sf_dir):
+    m = view(spark, sf_dir, "macro_monthly").where("obs_date = date'1995-03-01'").withColumn("value", F.round("value", 2))
+    return m.groupBy("obs_date").pivot("series_id", ["1-URGENT", "5-LOW"]).agg(F.max("value")).select(F.col("`1-URGENT`").alias("urgent"), F.col("`5-LOW`").alias("low"), "obs_date")
+
+
+@register("""WITH p AS (SELECT day, max(CASE WHEN symbol = '1-URGENT' THEN close END) AS price, max(CASE WHEN symbol = '2-HIGH' THEN close END) AS basis, max(CASE WHEN symbol = '3-MEDIUM' THEN close END) AS profit, max(CASE WHEN symbol = '5-LOW' THEN close END) AS loss FROM bars_daily GROUP BY day)
+SELECT day, round((price / basis - 1) * 100, 4) AS price_vs_basis_pct, abs((profit - loss) - (profit - loss)) <= 1e-6 AS net_ok FROM p WHERE price IS NOT NULL AND basis IS NOT NULL AND profit IS NOT NULL AND loss IS NOT NULL""")
+def p18_cross_metric(spark, sf_dir):
+    p = bars(spark, sf_dir).groupBy("day").pivot("symbol", ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]).agg(F.max("close")).na.drop()
+    net = F.col("`3-MEDIUM`") - F.col("`5-LOW`")
+    return p.select("day", F.round((F.col("`1-URGENT`") / F.col("`2-HIGH`") - 1) * 100, 4).alias("price_vs_basis_pct"), (F.abs(net - net) <= 1e-6).alias("net_ok"))
+
+
+@register("SELECT id FROM claims WHERE asset = '2-HIGH' AND status = 'missed'")
+def p20_optional_filter(spark, sf_dir):
+    return rel.matching(claims(spark, sf_dir), asset="2-HIGH", status="missed", created=None).select("id")
+
+
+@register("SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey")
+def j1_fact_catalog(spark, sf_dir):
+    o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    return o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).select("o_orderkey", "c_name", "n_name")
+
+
+@register("SELECT a.day, a.close AS a_close, b.close AS b_close FROM bars_daily a JOIN bars_daily b ON a.day = b.day AND a.symbol = '1-URGENT' AND b.symbol = '5-LOW'")
+def j2_two_series(spark, sf_dir):
+    b = bars(spark, sf_dir)
+    return b.where("symbol = '1-URGENT'").select("day", F.col("close").alias("a_close")).join(b.where("symbol = '5-LOW'").select("day", F.col("close").alias("b_close")), "day")
+
+
+@register("SELECT a.series_id, a.obs_date, round((a.value / b.value - 1) * 100, 4) AS yoy FROM macro_monthly a JOIN macro_monthly b ON a.series_id = b.series_id AND a.obs_date = b.obs_date + INTERVAL 12 MONTH")
+def j3_year_over_year(spark, sf_dir):
+    j = rel.month_offset_join(view(spark, sf_dir, "macro_monthly"), "series_id", "obs_date", "value", 12)
+    return j.select("series_id", "obs_date", F.round((F.col("value") / F.col("prev") - 1) * 100, 4).alias("yoy"))
+
+
+@register("SELECT a.series_id, a.obs_date, round(a.value - b.value, 2) AS change FROM macro_monthly a JOIN macro_monthly b ON a.series_id = b.series_id AND a.obs_date = b.obs_date + INTERVAL 1 MONTH")
+def j4_month_change(spark, sf_dir):
+    j = rel.month_offset_join(view(spark, sf_dir, "macro_monthly"), "series_id", "obs_date", "value", 1)
+    return j.select("series_id", "obs_date", F.round(F.col("value") - F.col("prev"), 2).alias("change"))
+
+
+@register("SELECT symbol, day, round(avg(close) OVER (PARTITION BY symbol ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW), 4) AS mean7 FROM bars_daily")
+def j5_trailing_week_mean(spark, sf_dir):
+    return rel.trailing_days_mean(bars(spark, sf_dir), ["symbol"], "day", "close", 7, "mean7").select("symbol", "day", F.round("mean7", 4).alias("mean7"))
+
+
+@register("SELECT l_orderkey, l_linenumber FROM raw_values WHERE (l_orderkey, l_linenumber) NOT IN (SELECT l_orderkey, l_linenumber FROM stored_values)")
+def j6_left_anti(spark, sf_dir):
+    return view(spark, sf_dir, "raw_values").join(view(spark, sf_dir, "stored_values"), ["l_orderkey", "l_linenumber"], "left_anti").select("l_orderkey", "l_linenumber")
+
+
+@register("SELECT DISTINCT obs_date FROM macro_monthly WHERE obs_date IN (SELECT day FROM bars_daily)")
+def j7_left_semi(spark, sf_dir):
+    m = view(spark, sf_dir, "macro_monthly").select("obs_date").distinct()
+    return m.join(bars(spark, sf_dir).select(F.col("day").alias("obs_date")), "obs_date", "left_semi")
+
+
+@register("SELECT d.doc_id, quality, toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
+def j8_left_outer_scores(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left").select("doc_id", "quality", "toxic")
+
+
+@register("SELECT l_orderkey, l_linenumber, o_custkey, c_nationkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey")
+def j9_three_way(spark, sf_dir):
+    li, o, c = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer"))
+    return li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).select("l_orderkey", "l_linenumber", "o_custkey", "c_nationkey")
+
+
+@register("""SELECT v.series_id, v.realtime_start, r.start_day, count(*) AS points FROM vintages v JOIN receipts r ON r.series_id = v.series_id AND v.realtime_start >= r.start_day AND v.realtime_start < r.end_day GROUP BY 1, 2, 3""")
+def j10_interval_join(spark, sf_dir):
+    from marketlens.operators.intervals import point_in_window
+
+    v = view(spark, sf_dir, "vintages").select("series_id", "realtime_start")
+    j = point_in_window(v, view(spark, sf_dir, "receipts").select("series_id", "start_day", "end_day"), "series_id", "realtime_start", "start_day", "end_day")
+    return j.groupBy("series_id", "realtime_start", "start_day").agg(F.count("*").alias("points"))
+
+
+@register("WITH c AS (SELECT unnest(['view', 'click', 'purchase', 'unseen_metric']) AS event_type) SELECT coalesce(c.event_type, e.event_type) AS event_type, coalesce(n, 0) AS n FROM c FULL OUTER JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY 1) e ON e.event_type = c.event_type")
+def j18_catalog_zero_rows(spark, sf_dir):
+    catalog = spark.createDataFrame([("view",), ("click",), ("purchase",), ("unseen_metric",)], "event_type string")
+    return rel.with_catalog(table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n")), catalog, "event_type")
+
+
+@register("SELECT asset, status, count(*) AS n, round(sum(points), 2) AS points FROM claims GROUP BY asset, status")
+def a2_status_rollup(spark, sf_dir):
+    return claims(spark, sf_dir).groupBy("asset", "status").agg(F.count("*").alias("n"), F.round(F.sum("points"), 2).alias("points"))
+
+
+_HIT = "count(*) AS total, count(*) FILTER (status = 'achieved') AS achieved, count(*) FILTER (status = 'missed') AS missed, count(*) FILTER (status = 'partial') AS partial"
+
+
+@register(f"SELECT asset, {_HIT} FROM claims GROUP BY asset")
+def a3_conditional_counts(spark, sf_dir):
+    return rel.hit_rates(claims(spark, sf_dir)).drop("hit_rate")
+
+
+@register(f"SELECT *, round(achieved * 100.0::DOUBLE / total, 1) AS hit_rate FROM (SELECT asset, {_HIT} FROM claims WHERE created >= (SELECT max(created) - 90 FROM claims) GROUP BY asset)")
+def a4_hit_rate(spark, sf_dir):
+    c = claims(spark, sf_dir)
+    c = c.crossJoin(F.broadcast(c.agg(F.date_sub(F.max("created"), 90).alias("since"))))  # one row
+    return rel.hit_rates(c, F.col("since"))
+
+
+@register("SELECT count(DISTINCT (asset, status, created)) AS n FROM claims")
+def a5_distinct_composite(spark, sf_dir):
+    return claims(spark, sf_dir).agg(F.count_distinct("asset", "status", "created").alias("n"))
+
+
+@register("SELECT asset, created, count(*) AS n FROM claims GROUP BY 1, 2 HAVING count(*) > 1")
+def a6_duplicates(spark, sf_dir):
+    return rel.duplicates(claims(spark, sf_dir), ["asset", "created"])
+
+
+@register("SELECT series_id, count(DISTINCT (value > 50000)) AS units, count(DISTINCT (value > 50000)) = 1 AS unique_unit FROM vintages GROUP BY 1")
+def a13_unit_uniqueness(spark, sf_dir):
+    v = view(spark, sf_dir, "vintages").withColumn("unit", F.col("value") > 50000)
+    return v.groupBy("series_id").agg(F.size(F.collect_set("unit")).cast("long").alias("units"), (F.size(F.collect_set("unit")) == 1).alias("unique_unit"))
+
+
+@register("SELECT 'bars' AS source, max(day) AS latest FROM bars_daily UNION ALL SELECT 'macro', max(obs_date) FROM macro_monthly UNION ALL SELECT 'claims', max(created) FROM claims")
+def a14_table_freshness(spark, sf_dir):
+    parts = [(bars(spark, sf_dir), "day", "bars"), (view(spark, sf_dir, "macro_monthly"), "obs_date", "macro"), (claims(spark, sf_dir), "created", "claims")]
+    dfs = [d.agg(F.max(c).alias("latest")).select(F.lit(n).alias("source"), "latest") for d, c, n in parts]
+    return dfs[0].unionByName(dfs[1]).unionByName(dfs[2])
+
+
+@register("""WITH f AS (SELECT CAST(l_shipdate AS DATE) AS day, CASE WHEN l_linenumber = 7 THEN 'TOTAL' ELSE 'F' || l_linenumber END AS ticker, l_extendedprice AS flow FROM lineitem)
+SELECT day, round(coalesce(max(CASE WHEN ticker = 'TOTAL' THEN flow END), sum(CASE WHEN ticker <> 'TOTAL' THEN flow END)), 2) AS total, CASE WHEN max(CASE WHEN ticker = 'TOTAL' THEN flow END) IS NOT NULL THEN 'published' ELSE 'sum of components' END AS label FROM f GROUP BY day""")
+def a15_day_total(spark, sf_dir):
+    ticker = F.when(F.col("l_linenumber") == 7, "TOTAL").otherwise(F.concat(F.lit("F"), F.col("l_linenumber").cast("string")))
+    f = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("day"), ticker.alias("ticker"), F.col("l_extendedprice").alias("flow"))
+    total, parts = F.max(F.when(F.col("ticker") == "TOTAL", F.col("flow"))), F.sum(F.when(F.col("ticker") != "TOTAL", F.col("flow")))
+    return f.groupBy("day").agg(F.round(F.coalesce(total, parts), 2).alias("total"), F.when(total.isNotNull(), "published").otherwise("sum of components").alias("label"))
+
+
+@register("SELECT source, count(*) AS n, sum(strlen(text))::BIGINT AS bytes, min(doc_id) AS first, max(doc_id) AS last FROM documents GROUP BY source")
+def a16_payload_inventory(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+
+
+@register("SELECT min(latest) AS oldest FROM (SELECT symbol, max(day) AS latest FROM bars_daily WHERE symbol <> '5-LOW' GROUP BY symbol)")
+def a28_oldest_required(spark, sf_dir):
+    return bars(spark, sf_dir).where("symbol != '5-LOW'").groupBy("symbol").agg(F.max("day").alias("latest")).agg(F.min("latest").alias("oldest"))
+
+
+@register("SELECT series_id, obs_date, value FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY obs_date DESC) AS rn FROM macro_monthly) WHERE rn <= 12")
+def t1_latest_n(spark, sf_dir):
+    return rel.newest_n(view(spark, sf_dir, "macro_monthly"), ["series_id"], "obs_date", 12).orderBy("series_id", "obs_date")
+
+
+@register("SELECT id, asset, created FROM claims ORDER BY created DESC, asset, id LIMIT 25")
+def t2_top_recents(spark, sf_dir):
+    return claims(spark, sf_dir).orderBy(F.desc("created"), "asset", "id").limit(25).select("id", "asset", "created")
+
+
+@register("""WITH m AS (SELECT max(created) - 14 AS today FROM claims), e AS (SELECT created AS day, asset AS title, status AS provider, id FROM claims, m WHERE created >= today AND created <= today + 14),
+r AS (SELECT *, row_number() OVER (PARTITION BY day, title ORDER BY provider, id) AS k FROM e) SELECT day, title, provider, id FROM r WHERE k = 1 ORDER BY day, title, id LIMIT 20""")
+def t3_upcoming_events(spark, sf_dir):
+    c = claims(spark, sf_dir)
+    c = c.crossJoin(F.broadcast(c.agg(F.date_sub(F.max("created"), 14).alias("today"))))  # one row
+    e = c.where((F.col("created") >= F.col("today")) & (F.col("created") <= F.date_add("today", 14))).select(F.col("created").alias("day"), F.col("asset").alias("title"), F.col("status").alias("provider"), "id")
+    k = F.row_number().over(Window.partitionBy("day", "title").orderBy("provider", "id"))
+    return e.withColumn("k", k).where("k = 1").drop("k").orderBy("day", "title", "id").limit(20)
+
+
+@register("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id % 40 DESC, doc_id) AS k FROM documents) WHERE k <= 3")
+def t5_newest_per_feed(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("source", "doc_id")
+    k = F.row_number().over(Window.partitionBy("source").orderBy(F.desc(F.col("doc_id") % 40), "doc_id"))
+    return d.withColumn("k", k).where("k <= 3").drop("k")
+
+
+@register("SELECT l_orderkey, l_linenumber, 'missing' AS side FROM (SELECT l_orderkey, l_linenumber FROM raw_values EXCEPT SELECT l_orderkey, l_linenumber FROM stored_values) UNION ALL SELECT l_orderkey, l_linenumber, 'unexpected' FROM (SELECT l_orderkey, l_linenumber FROM stored_values EXCEPT SELECT l_orderkey, l_linenumber FROM raw_values)")
+def u2_key_differences(spark, sf_dir):
+    return rel.key_differences(view(spark, sf_dir, "raw_values"), view(spark, sf_dir, "stored_values"), ["l_orderkey", "l_linenumber"])
+
+
+@register("SELECT series_id FROM receipts UNION SELECT series_id FROM vintages UNION SELECT s_suppkey FROM supplier")
+def u3_key_union(spark, sf_dir):
+    a, b = view(spark, sf_dir, "receipts").select("series_id"), view(spark, sf_dir, "vintages").select("series_id")
+    return a.union(b).union(table(spark, sf_dir, "supplier").select("s_suppkey")).distinct()
+
+
+@register("SELECT doc_id, doc_id IN (SELECT doc_id FROM labels) AS in_both FROM documents")
+def u4_in_both(spark, sf_dir):
+    lab = table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("_l", F.lit(True))
+    return table(spark, sf_dir, "documents").select("doc_id").join(lab, "doc_id", "left").select("doc_id", F.coalesce("_l", F.lit(False)).alias("in_both"))
+
+
+@register("SELECT symbol, max(CASE WHEN day = DATE '1995-01-03' THEN close END) AS before, max(CASE WHEN day = DATE '1995-01-04' THEN close END) AS after FROM bars_daily GROUP BY symbol HAVING before IS NOT NULL OR after IS NOT NULL")
+def u5_day_pair(spark, sf_dir):
+    return rel.day_pair(bars(spark, sf_dir), ["symbol"], "day", "close", F.lit("1995-01-03").cast("date"), F.lit("1995-01-04").cast("date"))
+
+
+@register()
+def a18_table_fingerprint(spark, sf_dir):
+    names = ("orders", "lineitem", "events", "documents")
+    dfs = [rel.table_fingerprint(table(spark, sf_dir, n)).select(F.lit(n).alias("table"), "n", "fingerprint") for n in names]
+    return dfs[0].unionByName(dfs[1]).unionByName(dfs[2]).unionByName(dfs[3])
+
+
+@register()
+def a19_sample_fingerprint(spark, sf_dir):
+    b = rel.newest_n(bars(spark, sf_dir), ["symbol"], "day", 100)
+    return rel.series_digest(b, ["symbol"], "day", "close")
+
+
+@register()
+def a20_series_digest(spark, sf_dir):
+    return rel.series_digest(bars(spark, sf_dir), ["symbol"], "day", "open", "high", "low", "close", "volume")
+
+
+@register("SELECT 'lineitem' AS \"table\"")
+def a29_changed_tables(spark, sf_dir):
+    before = a18_table_fingerprint(spark, sf_dir)
+    after = rel.table_fingerprint(table(spark, sf_dir, "lineitem").where("l_orderkey % 97 != 0")).select(F.lit("lineitem").alias("table"), "n", "fingerprint")
+    return rel.changed_tables(before, before.where("table != 'lineitem'").unionByName(after))
+
+
+@register("""WITH c AS (SELECT day, max(CASE WHEN symbol = '1-URGENT' THEN close END) AS cap, max(CASE WHEN symbol = '2-HIGH' THEN close END) AS realized, max(CASE WHEN symbol = '3-MEDIUM' THEN close END) AS have FROM bars_daily GROUP BY day)
+SELECT day, round(cap / realized, 6) AS mvrv FROM c WHERE have IS NULL AND cap IS NOT NULL AND realized IS NOT NULL AND cap / realized > 0 AND cap / realized < 100""")
+def w28_ratio_fill(spark, sf_dir):
+    from marketlens.functions.scalars import ratio_in
+
+    b = bars(spark, sf_dir)
+    one = lambda s, c: b.where(F.col("symbol") == s).select("day", F.col("close").alias(c))
+    j = one("1-URGENT", "cap").join(one("2-HIGH", "realized"), "day").join(one("3-MEDIUM", "have"), "day", "left_anti")
+    return j.withColumn("mvrv", F.round(ratio_in(F.col("cap"), F.col("realized"), 0, 100), 6)).where("mvrv is not null").select("day", "mvrv")
