@@ -10,8 +10,9 @@ from marketlens.functions.scalars import close_to
 
 # --- sinks as table functions: (stored, incoming) -> new state, ready to be written ----------------------------
 def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """First write wins."""
-    fresh = new.join(old.select(*keys), keys, "left_anti").dropDuplicates(keys)
+    """First write wins; of several incoming rows of one key the least is written."""
+    rest = [c for c in new.columns if c not in keys]
+    fresh = new.join(old.select(*keys), keys, "left_anti").groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*")
     return old.unionByName(fresh)
 
 

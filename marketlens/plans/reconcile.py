@@ -1 +1,336 @@
-"""Queries."""
+"""Upsert, revision, as-of, reconciliation, lineage and quality queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from marketlens.functions import scalars as sc
+from marketlens.operators import reconcile as rec
+from marketlens.plans.registry import register
+from marketlens.sources.tables import table, view
+
+K = ["l_orderkey", "l_linenumber"]
+raw = lambda s, d: view(s, d, "raw_values")
+stored = lambda s, d: view(s, d, "stored_values")
+
+
+@register("SELECT * FROM stored_values UNION ALL SELECT l_orderkey, l_linenumber, min(value) FROM raw_values WHERE (l_orderkey, l_linenumber) NOT IN (SELECT l_orderkey, l_linenumber FROM stored_values) GROUP BY 1, 2")
+def k1_insert_ignore(spark, sf_dir):
+    return rec.insert_ignore(stored(spark, sf_dir), raw(spark, sf_dir), K)
+
+
+@register("SELECT * FROM stored_values WHERE l_orderkey % 3 <> 0 UNION ALL SELECT * FROM raw_values WHERE l_orderkey % 3 = 0")
+def k2_upsert(spark, sf_dir):
+    return rec.upsert(stored(spark, sf_dir), raw(spark, sf_dir).where("l_orderkey % 3 = 0"), K)
+
+
+@register("""SELECT coalesce(s.l_orderkey, r.l_orderkey) AS l_orderkey, coalesce(s.l_linenumber, r.l_linenumber) AS l_linenumber, coalesce(r.value, s.value) AS value
+FROM stored_values s FULL OUTER JOIN (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN value END AS value FROM raw_values) r ON r.l_orderkey = s.l_orderkey AND r.l_linenumber = s.l_linenumber""")
+def k3_coalesce_merge(spark, sf_dir):
+    new = raw(spark, sf_dir).withColumn("value", F.when(F.col("l_linenumber") % 2 == 0, F.col("value")))
+    return rec.merge_coalesce(stored(spark, sf_dir), new, K)
+
+
+@register("SELECT s.l_orderkey, s.l_linenumber, round(s.value, 2) AS old_value, round(r.value, 2) AS new_value FROM stored_values s JOIN raw_values r USING (l_orderkey, l_linenumber) WHERE s.value <> r.value")
+def k4_revisions(spark, sf_dir):
+    r = rec.revisions(stored(spark, sf_dir), raw(spark, sf_dir), K, ["value"])
+    get = lambda c: F.round(F.get_json_object(c, "$.value").cast("double"), 2)
+    return r.select(*K, get("old_json").alias("old_value"), get("new_json").alias("new_value"))
+
+
+@register("""WITH j AS (SELECT r.l_orderkey, r.l_linenumber, r.l_orderkey % 500 AS page, CASE WHEN s.value IS NULL THEN 'new' WHEN s.value = r.value THEN 'replay' ELSE 'conflict' END AS state FROM raw_values r LEFT JOIN stored_values s USING (l_orderkey, l_linenumber))
+SELECT l_orderkey, l_linenumber, page FROM j WHERE state = 'new' AND page NOT IN (SELECT page FROM j WHERE state = 'conflict')""")
+def k5_append_only(spark, sf_dir):
+    h = F.sha2(F.col("value").cast("string"), 256)
+    page = raw(spark, sf_dir).withColumn("digest", h).withColumn("page", F.col("l_orderkey") % 500)
+    rows = rec.append_only(stored(spark, sf_dir).withColumn("digest", h), page, K, "digest")
+    return rec.accept_pages(rows, "page").select(*K, "page")
+
+
+@register("WITH m AS (SELECT max(day) AS today FROM bars_daily) SELECT symbol, day, close FROM bars_daily, m WHERE day < today")
+def k6_purge_open_day(spark, sf_dir):
+    b = view(spark, sf_dir, "bars_daily")
+    return b.crossJoin(F.broadcast(b.agg(F.max("day").alias("today")))).where("day < today").select("symbol", "day", "close")
+
+
+@register("""WITH o AS (SELECT asset, status, count(*) AS top FROM claims WHERE id % 10 = 0 GROUP BY 1, 2)
+SELECT c.id, c.asset, c.status, coalesce(top, 0) + row_number() OVER (PARTITION BY c.asset, c.status ORDER BY c.id) AS version FROM claims c LEFT JOIN o ON o.asset = c.asset AND o.status = c.status WHERE c.id % 10 = 1""")
+def k7_versions(spark, sf_dir):
+    c = view(spark, sf_dir, "claims")
+    rank = F.row_number().over(Window.partitionBy("asset", "status").orderBy("id"))
+    old = c.where("id % 10 = 0").withColumn("version", rank)
+    return rec.next_versions(old, c.where("id % 10 = 1").select("id", "asset", "status"), ["asset", "status"], "id")
+
+
+@register()
+def k8_dashboard_export(spark, sf_dir):
+    c = view(spark, sf_dir, "claims").groupBy("asset").agg(F.count("*").alias("n"), F.round(F.sum("points"), 2).alias("points"), F.max("created").alias("latest"))
+    return c.select("asset", F.to_json(F.struct("n", "points", "latest")).alias("document"))
+
+
+@register("""WITH b AS (SELECT symbol, day, open, close, volume FROM bars_daily), l AS (SELECT symbol, max(day) AS day FROM b GROUP BY 1)
+SELECT b.day AS report_date, b.symbol AS asset, metric, value, CASE metric WHEN 'volume' THEN 'count' ELSE 'usd' END AS unit, 'bars' AS source
+FROM (UNPIVOT (SELECT symbol, day, open, close, volume::DOUBLE AS volume FROM b) ON open, close, volume INTO NAME metric VALUE value) b JOIN l ON l.symbol = b.symbol AND l.day = b.day""")
+def k9_metric_archive(spark, sf_dir):
+    from marketlens.operators.indicators import latest
+
+    b = latest(view(spark, sf_dir, "bars_daily")).select(F.col("day").alias("report_date"), F.col("symbol").alias("asset"), "open", "close", F.col("volume").cast("double").alias("volume"))
+    long = b.unpivot(["report_date", "asset"], ["open", "close", "volume"], "metric", "value")
+    return long.withColumn("unit", F.when(F.col("metric") == "volume", "count").otherwise("usd")).withColumn("source", F.lit("bars"))
+
+
+@register("SELECT series_id, observed_date, arg_max(value, realtime_start) AS value, max(realtime_start) AS realtime_start FROM vintages WHERE realtime_start <= DATE '1996-01-01' GROUP BY 1, 2")
+def j11_as_of(spark, sf_dir):
+    return rec.as_of(view(spark, sf_dir, "vintages"), ["series_id", "observed_date"], "realtime_start", "value", F.lit("1996-01-01").cast("date"))
+
+
+@register("""WITH v AS (SELECT series_id, realtime_start, max(value) AS value FROM vintages GROUP BY 1, 2), p AS (SELECT DISTINCT series_id, start_day AS probe_day FROM receipts)
+SELECT p.series_id, probe_day, (SELECT arg_max(value, realtime_start) FROM v WHERE v.series_id = p.series_id AND v.realtime_start <= p.probe_day) AS value FROM p""")
+def j11_as_of_many(spark, sf_dir):
+    v = view(spark, sf_dir, "vintages").groupBy("series_id", "realtime_start").agg(F.max("value").alias("value"))
+    p = view(spark, sf_dir, "receipts").select("series_id", F.col("start_day").alias("probe_day")).distinct()
+    return rec.as_of_probes(v, p, ["series_id"], "realtime_start", "probe_day", "value")
+
+
+@register("""SELECT symbol, day, close FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY day DESC) AS k FROM bars_daily WHERE day <= DATE '1995-06-15' AND DATE '1995-06-15' - day <= 10 AND volume > 1) WHERE k = 1""")
+def j12_as_of_max_age(spark, sf_dir):
+    b = rec.as_of_max_age(view(spark, sf_dir, "bars_daily"), ["symbol"], "day", F.lit("1995-06-15").cast("date"), 10, F.col("volume") > 1)
+    return b.select("symbol", "day", "close")
+
+
+_EVID = """b AS (SELECT l_orderkey AS k, l_shipdate::DATE AS captured, CASE WHEN l_orderkey % 11 = 0 AND l_linenumber % 2 = 0 THEN 'btc' ELSE 'usd' END AS unit, l_linenumber AS n, CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE 1 END AS p FROM lineitem)"""
+
+
+@register(f"""WITH {_EVID}, r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY p, captured DESC, n) AS r FROM b), u AS (SELECT k, count(DISTINCT unit) AS u FROM b GROUP BY k)
+SELECT r.k, CASE WHEN u > 1 THEN 'BLOCKED' ELSE 'OK' END AS state, CASE p WHEN 0 THEN 'newer' ELSE 'legacy' END AS origin FROM r JOIN u ON u.k = r.k WHERE r = 1""")
+def j13_evidence_merge(spark, sf_dir):
+    unit = F.when((F.col("l_orderkey") % 11 == 0) & (F.col("l_linenumber") % 2 == 0), "btc").otherwise("usd")
+    b = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.to_date("l_shipdate").alias("captured"), unit.alias("unit"), F.col("l_linenumber").alias("n"))
+    return rec.merge_evidence(b.where("n % 3 = 0"), b.where("n % 3 != 0"), ["k"], "captured", "unit").select("k", "state", "origin")
+
+
+@register("""SELECT coalesce(r.l_orderkey, s.l_orderkey) AS l_orderkey, coalesce(r.l_linenumber, s.l_linenumber) AS l_linenumber, r.value AS raw_value, s.value AS stored_value,
+  CASE WHEN s.value IS NULL THEN 'MISSING' WHEN r.value IS NULL THEN 'EXTRA' ELSE 'VALUE' END AS issue FROM (SELECT * FROM raw_values WHERE l_orderkey % 101 <> 0) r FULL OUTER JOIN stored_values s ON r.l_orderkey = s.l_orderkey AND r.l_linenumber = s.l_linenumber
+WHERE s.value IS NULL OR r.value IS NULL OR abs(r.value - s.value) > greatest(1e-12, abs(r.value) * 1e-10)""")
+def j14_two_way_reconcile(spark, sf_dir):
+    return rec.two_way(raw(spark, sf_dir).where("l_orderkey % 101 != 0"), stored(spark, sf_dir), K, "value")
+
+
+@register("""WITH j AS (SELECT coalesce(r.l_orderkey, s.l_orderkey) AS k, r.value AS a, s.value AS b FROM raw_values r FULL OUTER JOIN stored_values s ON r.l_orderkey = s.l_orderkey AND r.l_linenumber = s.l_linenumber)
+SELECT k AS l_orderkey, count(*) AS n, count(*) FILTER (b IS NULL) AS missing, count(*) FILTER (a IS NULL) AS extra, count(*) FILTER (a <> b) AS differing FROM j GROUP BY k HAVING missing + extra + differing > 0""")
+def j15_receipt_reconstruction(spark, sf_dir):
+    h = lambda df, n: df.select(*K, F.sha2(F.col("value").cast("string"), 256).alias(n))
+    j = h(raw(spark, sf_dir), "_a").join(h(stored(spark, sf_dir), "_b"), K, "full_outer")
+    g = j.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_if(F.col("_b").isNull()).alias("missing"), F.count_if(F.col("_a").isNull()).alias("extra"), F.count_if(F.col("_a") != F.col("_b")).alias("differing"))
+    return g.where("missing + extra + differing > 0")
+
+
+@register("""WITH m AS (SELECT l_orderkey, count(*) AS n, round(sum(value), 2) AS s FROM raw_values GROUP BY 1), g AS (SELECT l_orderkey, count(*) AS n, round(sum(value), 2) AS s FROM stored_values GROUP BY 1)
+SELECT coalesce(m.l_orderkey, g.l_orderkey) AS l_orderkey, CASE WHEN g.n IS NULL THEN 'NO_REPORT' WHEN m.n IS NULL THEN 'NO_MANIFEST' WHEN m.n <> g.n THEN 'COUNT_DRIFT' WHEN m.s <> g.s THEN 'VALUE_DRIFT' ELSE 'MATCH' END AS state FROM m FULL OUTER JOIN g ON m.l_orderkey = g.l_orderkey""")
+def j16_manifest_drift(spark, sf_dir):
+    agg = lambda df, p: df.groupBy("l_orderkey").agg(F.count("*").alias(f"{p}n"), F.round(F.sum("value"), 2).alias(f"{p}s"))
+    j = agg(raw(spark, sf_dir), "a").join(agg(stored(spark, sf_dir), "b"), "l_orderkey", "full_outer")
+    state = F.when(F.col("bn").isNull(), "NO_REPORT").when(F.col("an").isNull(), "NO_MANIFEST").when(F.col("an") != F.col("bn"), "COUNT_DRIFT").when(F.col("as") != F.col("bs"), "VALUE_DRIFT").otherwise("MATCH")
+    return j.select("l_orderkey", state.alias("state"))
+
+
+@register("""SELECT 'prices' AS source, symbol AS series, count(*) AS n, max(day) AS last FROM bars_daily GROUP BY 1, 2 UNION ALL SELECT 'macro', series_id, count(*), max(obs_date) FROM macro_monthly GROUP BY 1, 2
+UNION ALL SELECT 'vintage', series_id::VARCHAR, count(*), max(observed_date) FROM vintages GROUP BY 1, 2""")
+def j19_multi_source(spark, sf_dir):
+    shape = lambda df, name, s, d: df.select(F.lit(name).alias("source"), F.col(s).cast("string").alias("series"), F.col(d).alias("_d"))
+    a = shape(view(spark, sf_dir, "bars_daily"), "prices", "symbol", "day")
+    a = a.unionByName(shape(view(spark, sf_dir, "macro_monthly"), "macro", "series_id", "obs_date")).unionByName(shape(view(spark, sf_dir, "vintages"), "vintage", "series_id", "observed_date"))
+    return a.groupBy("source", "series").agg(F.count("*").alias("n"), F.max("_d").alias("last"))
+
+
+@register("SELECT count(*) FILTER (abs(r.value - s.value) <= greatest(1e-12, abs(r.value) * 1e-10)) AS equal, count(*) AS n FROM raw_values r JOIN stored_values s USING (l_orderkey, l_linenumber)")
+def p16_tolerance(spark, sf_dir):
+    j = raw(spark, sf_dir).join(stored(spark, sf_dir).withColumnRenamed("value", "b"), K)
+    return j.agg(F.count_if(sc.close_to(F.col("value"), F.col("b"))).alias("equal"), F.count("*").alias("n"))
+
+
+@register("""WITH x AS (SELECT id, CASE asset WHEN '1-URGENT' THEN 'open_interest' WHEN '2-HIGH' THEN 'funding_rate' ELSE 'other' END AS metric, CASE status WHEN 'achieved' THEN 'usd' ELSE 'fraction' END AS unit, points / 1e6 - 0.1 AS v FROM claims)
+SELECT id, CASE WHEN metric = 'other' THEN 'metric' WHEN NOT ((metric = 'open_interest' AND unit = 'usd') OR (metric = 'funding_rate' AND unit = 'fraction')) THEN 'unit' WHEN NOT (CASE WHEN metric = 'open_interest' THEN v >= 0 ELSE abs(v) <= 0.2 END) THEN 'range' ELSE 'ok' END AS verdict FROM x""")
+def p10_derivative_rules(spark, sf_dir):
+    metric = F.when(F.col("asset") == "1-URGENT", "open_interest").when(F.col("asset") == "2-HIGH", "funding_rate").otherwise("other")
+    x = view(spark, sf_dir, "claims").select("id", metric.alias("metric"), F.when(F.col("status") == "achieved", "usd").otherwise("fraction").alias("unit"), (F.col("points") / 1e6 - 0.1).alias("v"))
+    return x.select("id", sc.first_failing(sc.derivative_rules(F.col("metric"), F.col("unit"), F.col("v")), "ok").alias("verdict"))
+
+
+@register("""SELECT event_id, CASE WHEN p NOT IN ('date', 'time') THEN 'precision' WHEN (p = 'time') <> (t IS NOT NULL) THEN 'timestamp' WHEN t IS NOT NULL AND t::DATE <> ts::DATE THEN 'day' ELSE 'ok' END AS verdict
+FROM (SELECT event_id, ts, CASE event_id % 3 WHEN 0 THEN 'date' WHEN 1 THEN 'time' ELSE 'later' END AS p, CASE WHEN event_id % 4 = 1 THEN ts WHEN event_id % 12 = 7 THEN ts + INTERVAL 1 DAY END AS t FROM events)""")
+def p11_event_rules(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    p = F.when(F.col("event_id") % 3 == 0, "date").when(F.col("event_id") % 3 == 1, "time").otherwise("later")
+    t = F.when(F.col("event_id") % 4 == 1, F.col("ts")).when(F.col("event_id") % 12 == 7, F.col("ts") + F.expr("interval 1 day"))
+    return e.select("event_id", sc.first_failing(sc.event_rules(p, F.to_date("ts"), t, F.col("event_type")), "ok").alias("verdict"))
+
+
+@register("""SELECT series_id, start_day, CASE WHEN (status = 'ok') <> (points > 0) THEN 'status' WHEN points > 40 THEN 'attempts' WHEN end_day < start_day THEN 'direction' ELSE 'ok' END AS verdict FROM receipts""")
+def p12_lineage_rules(spark, sf_dir):
+    rules = [("status", (F.col("status") == "ok") == (F.col("points") > 0)), ("attempts", F.col("points") <= 40), ("direction", F.col("end_day") >= F.col("start_day"))]
+    return view(spark, sf_dir, "receipts").select("series_id", "start_day", sc.first_failing(rules, "ok").alias("verdict"))
+
+
+@register("""SELECT id, asset, status FROM claims WHERE (asset, status) NOT IN (VALUES ('1-URGENT', 'achieved'), ('1-URGENT', 'missed'), ('2-HIGH', 'partial'), ('5-LOW', 'achieved'))""")
+def p13_series_contract(spark, sf_dir):
+    allowed = spark.createDataFrame([("1-URGENT", "achieved"), ("1-URGENT", "missed"), ("2-HIGH", "partial"), ("5-LOW", "achieved")], "asset string, status string")
+    return view(spark, sf_dir, "claims").select("id", "asset", "status").join(F.broadcast(allowed), ["asset", "status"], "left_anti")
+
+
+@register("""WITH p AS (SELECT l_orderkey AS page, min(l_shipdate) AS lo, max(l_shipdate) AS hi, bool_and(epoch(l_shipdate)::BIGINT % 86400 = 0) AS midnight, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT page, midnight, hi - lo <= INTERVAL 60 DAY AS in_window, n >= 6 AS saturated FROM p""")
+def p14_page_bounds(spark, sf_dir):
+    t = F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))
+    p = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("page")).agg(F.min(t).alias("lo"), F.max(t).alias("hi"), F.bool_and(t % 86400 == 0).alias("midnight"), F.count("*").alias("n"))
+    return p.select("page", "midnight", (F.col("hi") - F.col("lo") <= 60 * 86400).alias("in_window"), (F.col("n") >= 6).alias("saturated"))
+
+
+@register("SELECT page, count(*) AS n FROM (SELECT l_orderkey AS page, count(*) OVER (PARTITION BY l_orderkey) AS c FROM lineitem) WHERE c >= 6 GROUP BY page")
+def p15_saturated_pages(spark, sf_dir):
+    n = F.count("*").over(Window.partitionBy("page"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page")).withColumn("c", n)
+    return rows.where("c >= 6").groupBy("page").agg(F.count("*").alias("n"))
+
+
+_ISSUES = """i AS (SELECT doc_id % 50 AS report, CASE doc_id % 5 WHEN 0 THEN 'numeric' WHEN 1 THEN 'content' WHEN 2 THEN 'traceability' WHEN 3 THEN 'news' ELSE 'format' END AS category, CASE WHEN toxic = 1 THEN 'critical' ELSE 'warning' END AS severity FROM labels WHERE quality = 0)"""
+
+
+def _issues(spark, sf_dir):
+    cats = F.array(*[F.lit(c) for c in ("numeric", "content", "traceability", "news", "format")])
+    la = table(spark, sf_dir, "labels").where("quality = 0")
+    return la.select((F.col("doc_id") % 50).alias("report"), F.get(cats, (F.col("doc_id") % 5).cast("int")).alias("category"), F.when(F.col("toxic") == 1, "critical").otherwise("warning").alias("severity"))
+
+
+@register(f"""WITH {_ISSUES}, g AS (SELECT report, count(*) FILTER (category = 'numeric' AND severity = 'warning') AS a, count(*) FILTER (category = 'content' AND severity = 'warning') AS b, count(*) FILTER (category = 'traceability' AND severity = 'warning') AS c,
+  count(*) FILTER (category = 'news' AND severity = 'warning') AS d, count(*) FILTER (category = 'format' AND severity = 'warning') AS e, count(*) FILTER (severity = 'critical') AS critical FROM i GROUP BY 1),
+r AS (SELECT DISTINCT doc_id % 50 AS report FROM documents), j AS (SELECT r.report, coalesce(a, 0) AS a, coalesce(b, 0) AS b, coalesce(c, 0) AS c, coalesce(d, 0) AS d, coalesce(e, 0) AS e, coalesce(critical, 0) AS critical FROM r LEFT JOIN g ON g.report = r.report),
+s AS (SELECT report, critical, round(greatest(100 - 5 * a, 0) * 0.35::DOUBLE + greatest(100 - 5 * b, 0) * 0.25::DOUBLE + greatest(100 - 5 * c, 0) * 0.2::DOUBLE + greatest(100 - 5 * d, 0) * 0.15::DOUBLE + greatest(100 - 5 * e, 0) * 0.05::DOUBLE, 4) AS score FROM j)
+SELECT report, score, critical, score >= 95 AND critical = 0 AS passed FROM s""")
+def a22_quality_score(spark, sf_dir):
+    return rec.quality_score(_issues(spark, sf_dir), table(spark, sf_dir, "documents").select((F.col("doc_id") % 50).alias("report")))
+
+
+@register("""WITH a AS (SELECT symbol, bool_and(low > 0) AS valid FROM bars_daily GROUP BY 1), q AS (SELECT unnest(['1-URGENT', '2-HIGH', 'ABSENT']) AS symbol)
+SELECT (SELECT bool_and(valid) FROM a) AND count(*) FILTER (symbol NOT IN (SELECT symbol FROM a)) = 0 AS passed, count(*) FILTER (symbol NOT IN (SELECT symbol FROM a)) AS missing FROM q""")
+def a23_evidence_gate(spark, sf_dir):
+    audits = view(spark, sf_dir, "bars_daily").groupBy("symbol").agg(F.bool_and(F.col("low") > 0).alias("valid"))
+    required = spark.createDataFrame([("1-URGENT",), ("2-HIGH",), ("ABSENT",)], "symbol string")
+    return rec.evidence_gate(audits, required, "symbol")
+
+
+@register("""WITH r AS (SELECT l_orderkey AS run, l_linenumber - 1 AS o, CASE WHEN l_returnflag = 'R' THEN 'error' ELSE 'ok' END AS st FROM lineitem),
+g AS (SELECT run, count(*) AS n, max(o) AS m, count(DISTINCT o) AS d, min(CASE WHEN st <> 'ok' THEN o END) AS bad, max(CASE WHEN st = 'ok' THEN o END) AS good FROM r GROUP BY 1)
+SELECT run, n, m + 1 = n AND d = n AS contiguous, bad IS NULL OR good IS NULL OR good < bad AS prefix_ok, CASE WHEN bad IS NULL THEN 'ok' WHEN good IS NULL THEN 'failed' ELSE 'partial' END AS derived_status FROM g""")
+def a24_run_lineage(spark, sf_dir):
+    r = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("run"), (F.col("l_linenumber") - 1).alias("o"), F.when(F.col("l_returnflag") == "R", "error").otherwise("ok").alias("st"))
+    return rec.lineage_audit(r, "run", "o", "st")
+
+
+@register("""WITH b AS (SELECT s_suppkey AS series_id, 60 + s_suppkey % 40 AS budget FROM supplier), u AS (SELECT series_id, count(*) AS used FROM receipts GROUP BY 1)
+SELECT b.series_id, budget, coalesce(used, 0) AS used, greatest(budget - coalesce(used, 0), 0)::BIGINT AS "left", coalesce(used, 0) > budget AS exceeded FROM b LEFT JOIN u ON u.series_id = b.series_id""")
+def a26_budget(spark, sf_dir):
+    b = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("series_id"), (60 + F.col("s_suppkey") % 40).alias("budget"))
+    return rec.budget_use(view(spark, sf_dir, "receipts"), b, ["series_id"])
+
+
+@register("""WITH b AS (SELECT symbol, day, low, high, close, avg(close) OVER (PARTITION BY symbol ORDER BY day ROWS 19 PRECEDING) AS s, max(high) OVER (PARTITION BY symbol ORDER BY day ROWS 363 PRECEDING) AS h52, max(high) OVER (PARTITION BY symbol ORDER BY day) AS ath FROM bars_daily)
+SELECT symbol, 'sma_range' AS rule, CASE WHEN count(*) FILTER (abs(close / s - 1) > 0.9) = 0 THEN 'PASS' ELSE 'CHECK' END AS outcome FROM b GROUP BY 1
+UNION ALL SELECT symbol, 'low_high', CASE WHEN bool_and(low <= high) THEN 'PASS' ELSE 'FAIL' END FROM b GROUP BY 1
+UNION ALL SELECT symbol, 'ath_order', CASE WHEN bool_and(ath >= h52 AND h52 >= low) THEN 'PASS' ELSE 'FAIL' END FROM b GROUP BY 1""")
+def a27_incident_checks(spark, sf_dir):
+    w = Window.partitionBy("symbol").orderBy("day")
+    b = view(spark, sf_dir, "bars_daily").withColumn("s", F.avg("close").over(w.rowsBetween(-19, 0))).withColumn("h52", F.max("high").over(w.rowsBetween(-363, 0))).withColumn("ath", F.max("high").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    g = b.groupBy("symbol").agg(
+        F.when(F.count_if(F.abs(F.col("close") / F.col("s") - 1) > 0.9) == 0, "PASS").otherwise("CHECK").alias("sma_range"),
+        F.when(F.bool_and(F.col("low") <= F.col("high")), "PASS").otherwise("FAIL").alias("low_high"),
+        F.when(F.bool_and((F.col("ath") >= F.col("h52")) & (F.col("h52") >= F.col("low"))), "PASS").otherwise("FAIL").alias("ath_order"),
+    )
+    return g.unpivot(["symbol"], ["sma_range", "low_high", "ath_order"], "rule", "outcome")
+
+
+@register("SELECT asset AS source, count(*) AS n FROM (SELECT o_orderpriority AS asset, l_orderkey FROM stored_values s JOIN raw_values r USING (l_orderkey, l_linenumber) JOIN orders ON o_orderkey = l_orderkey WHERE s.value <> r.value) GROUP BY 1")
+def a17_revision_counts(spark, sf_dir):
+    r = rec.revisions(stored(spark, sf_dir), raw(spark, sf_dir), K, ["value"])
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("source"))
+    return r.join(o, "l_orderkey").groupBy("source").agg(F.count("*").alias("n"))
+
+
+_REQ = """q AS (SELECT o_orderkey AS request, o_orderstatus AS status, o_totalprice AS told, l_orderkey IS NOT NULL AS has_rows, n, total FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, round(sum(l_extendedprice), 2) AS total FROM lineitem WHERE l_orderkey % 13 <> 0 GROUP BY 1) x ON l_orderkey = o_orderkey)"""
+
+
+@register(f"""WITH {_REQ} SELECT request, 'no_rows' AS rule, 'traceability' AS category, 'critical' AS severity FROM q WHERE NOT has_rows
+UNION ALL SELECT request, 'few_rows', 'traceability', 'warning' FROM q WHERE n < 3 UNION ALL SELECT request, 'over_total', 'numeric', 'warning' FROM q WHERE total > told * 3""")
+def l1_request_lineage(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").where("l_orderkey % 13 != 0").groupBy(F.col("l_orderkey").alias("request")).agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("total"))
+    q = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("request"), F.col("o_totalprice").alias("told")).join(li, "request", "left")
+    rules = [("no_rows", "traceability", "critical", F.col("n").isNull()), ("few_rows", "traceability", "warning", F.col("n") < 3), ("over_total", "numeric", "warning", F.col("total") > F.col("told") * 3)]
+    return rec.rule_issues(q, "request", rules)
+
+
+@register()
+def l2_request_digest_audit(spark, sf_dir):
+    params = F.create_map(F.lit("order"), F.col("o_orderkey").cast("string"), F.lit("api_key"), F.lit("secret-value"), F.lit("day"), F.to_date("o_orderdate").cast("string"))
+    clean = F.map_filter(params, lambda k, v: ~k.rlike("(?i)key|token|secret"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", sc.request_identity(clean).alias("digest"), sc.redact(F.to_json(params)).alias("logged"))
+    return o.select("o_orderkey", "digest", (~F.col("logged").contains("secret-value")).alias("redacted"))
+
+
+@register("""SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN 'limit' WHEN o_orderkey % 19 = 0 THEN 'path' ELSE 'ok' END AS verdict FROM orders""")
+def l3_expected_request(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumn("t", F.unix_timestamp(F.col("o_orderdate").cast("timestamp")))
+    want = sc.expected_request(F.lit("api.example.com"), F.lit("/v1/bars"), F.col("o_orderpriority"), F.col("t"), F.col("t") + 86400, 500)
+    path = F.when(F.col("o_orderkey") % 19 == 0, "/v2/bars").otherwise("/v1/bars")
+    got = F.regexp_replace(sc.expected_request(F.lit("api.example.com"), path, F.col("o_orderpriority"), F.col("t"), F.col("t") + 86400, 500), "500$", F.when(F.col("o_orderkey") % 17 == 0, "100").otherwise("500"))
+    same = lambda p: F.regexp_extract(want, p, 1).eqNullSafe(F.regexp_extract(got, p, 1))
+    return o.select("o_orderkey", sc.first_failing([("limit", same(r"limit=(\d+)")), ("path", same(r"com(/[^?]*)"))], "ok").alias("verdict"))
+
+
+@register("""SELECT 'missing' AS kind, count(*) AS n FROM raw_values WHERE (l_orderkey, l_linenumber) NOT IN (SELECT l_orderkey, l_linenumber FROM stored_values)
+UNION ALL SELECT 'differing', count(*) FROM raw_values r JOIN stored_values s USING (l_orderkey, l_linenumber) WHERE r.value <> s.value
+UNION ALL SELECT 'orphans', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""")
+def l4_integrity_summary(spark, sf_dir):
+    issues = rec.two_way(raw(spark, sf_dir), stored(spark, sf_dir), K, "value")
+    orphans = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left_anti").agg(F.count("*").alias("n")).select(F.lit("orphans").alias("kind"), "n")
+    count = lambda k, i: issues.agg(F.count_if(F.col("issue") == i).alias("n")).select(F.lit(k).alias("kind"), "n")
+    return count("missing", "MISSING").unionByName(count("differing", "VALUE")).unionByName(orphans)
+
+
+@register("""SELECT count(*) FILTER (s_suppkey NOT IN (SELECT series_id FROM receipts)) AS streams_missing, count(*) FILTER (s_suppkey NOT IN (SELECT series_id FROM vintages)) AS cursors_missing, count(*) AS expected FROM supplier""")
+def l5_acceptance(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("series_id"))
+    seen = lambda v, n: view(spark, sf_dir, v).select("series_id").distinct().withColumn(n, F.lit(True))
+    j = s.join(seen("receipts", "_r"), "series_id", "left").join(seen("vintages", "_v"), "series_id", "left")
+    return j.agg(F.count_if(F.col("_r").isNull()).alias("streams_missing"), F.count_if(F.col("_v").isNull()).alias("cursors_missing"), F.count("*").alias("expected"))
+
+
+@register("""SELECT series_id, count(*) AS runs, arg_max(status, start_day) AS latest_status, max(end_day) AS latest FROM receipts GROUP BY 1""")
+def l6_operational_evidence(spark, sf_dir):
+    return view(spark, sf_dir, "receipts").groupBy("series_id").agg(F.count("*").alias("runs"), F.max_by("status", "start_day").alias("latest_status"), F.max("end_day").alias("latest"))
+
+
+@register("SELECT s.l_orderkey, s.l_linenumber, s.value AS old_value, r.value AS new_value FROM stored_values s JOIN raw_values r USING (l_orderkey, l_linenumber) WHERE s.value IS DISTINCT FROM r.value")
+def l7_revision_capture(spark, sf_dir):
+    j = stored(spark, sf_dir).withColumnRenamed("value", "old_value").join(raw(spark, sf_dir).withColumnRenamed("value", "new_value"), K)
+    return j.where(~F.col("old_value").eqNullSafe(F.col("new_value")))
+
+
+@register("""WITH m AS (SELECT max(obs_date) AS top FROM macro_monthly), n AS (SELECT series_id, obs_date, CASE WHEN month(obs_date) % 2 = 0 THEN value + 1 ELSE value END AS value FROM macro_monthly, m WHERE obs_date > top - 60),
+o AS (SELECT * FROM macro_monthly, m WHERE obs_date < top)
+SELECT n.series_id, n.obs_date, CASE WHEN o.value IS NULL THEN 'INSERT' WHEN abs(n.value - o.value) > 1e-4 THEN 'RECONCILED' ELSE 'UNCHANGED' END AS action FROM n LEFT JOIN o ON o.series_id = n.series_id AND o.obs_date = n.obs_date""")
+def l8_retroactive_reconcile(spark, sf_dir):
+    m = view(spark, sf_dir, "macro_monthly")
+    m = m.crossJoin(F.broadcast(m.agg(F.max("obs_date").alias("top"))))  # one row
+    new = m.where(F.col("obs_date") > F.date_sub("top", 60)).withColumn("value", F.when(F.month("obs_date") % 2 == 0, F.col("value") + 1).otherwise(F.col("value")))
+    return rec.reconcile_window(m.where("obs_date < top"), new, ["series_id", "obs_date"], "value").select("series_id", "obs_date", "action")
+
+
+@register("SELECT l_orderkey, count(DISTINCT (l_returnflag, l_linestatus)) = 1 AS identical, count(*) AS n FROM lineitem GROUP BY 1")
+def l9_identical_receipts(spark, sf_dir):
+    return rec.identical_groups(table(spark, sf_dir, "lineitem"), ["l_orderkey"], ["l_returnflag", "l_linestatus"])
+
+
+@register("SELECT r.l_orderkey, count(*) = count(s.l_linenumber) AS equal FROM raw_values r LEFT JOIN stored_values s USING (l_orderkey, l_linenumber) GROUP BY 1")
+def u6_equal_key_sets(spark, sf_dir):
+    return rec.equal_key_sets(raw(spark, sf_dir), stored(spark, sf_dir), "l_orderkey", ["l_linenumber"])
