@@ -27,10 +27,10 @@ from pyspark.sql.window import Window
 
 from .common import by_chars, extended, join_checked, mix64, small_batches, stored
 
-#: Shingles whose estimated counts order them behind others; bounds the broadcast (4 MB), never the result.
-COMMON_SHINGLES = 1 << 18
+#: Shingles whose estimated counts order them behind others; bounds the broadcast (16 MB), never the result.
+COMMON_SHINGLES = 1 << 20
 #: Regions up to this size are joined pair by pair.
-LEAF = 256
+LEAF = 128
 #: Document pivots of a larger region in its first division; doubled in each further one.
 PIVOTS = 8
 
@@ -192,6 +192,16 @@ class _Join:
         emit = _emit_regions(self.n, self.salt, self.num, self.den, self.common)
         return stored(self.docs.mapInArrow(emit, "region long, cls long, n int"), "regions")
 
+    def behind(self, n):
+        """Shingles of a set of n that lie behind its windows."""
+        return n - (F.floor(n * (self.den - self.num) / self.den) + 1)
+
+    def linkable(self, pn, xn, shared):
+        """Whether two sets of these sizes that share at most so many first-level pivots can be linked: what they have
+        in common is shared, or behind the windows of one of them."""
+        most = shared + F.greatest(self.behind(pn), self.behind(xn))
+        return self.near(pn, xn) & (most * (self.den + self.num) >= (pn + xn) * self.num)
+
     def near(self, nx, ny):
         """Sizes that allow a link: by the triangle inequality over the empty set."""
         return (nx * self.den >= ny * self.num) & (ny * self.den >= nx * self.num)
@@ -203,10 +213,10 @@ class _Join:
         when each region of a pair is still there) the regions that a pair shares are counted: the sets have at most
         so many shingles in common, and those behind the windows of one of them.
         """
-        a = leaf.select("region", F.col("cls").alias("p"), F.col("n").alias("pn"), F.col("root").alias("_pr"), F.col("dist").alias("_pd"))
-        b = leaf.select("region", F.col("cls").alias("x"), F.col("n").alias("xn"), F.col("root").alias("_xr"), F.col("dist").alias("_xd"))
+        a = leaf.select("region", F.col("cls").alias("p"), F.col("n").alias("pn"), F.col("root").alias("_pr"), F.col("dist").alias("_pd"), F.col("deg").alias("_pg"))
+        b = leaf.select("region", F.col("cls").alias("x"), F.col("n").alias("xn"), F.col("root").alias("_xr"), F.col("dist").alias("_xd"), F.col("deg").alias("_xg"))
         window = F.coalesce(F.abs(F.col("_pd") - F.col("_xd")) <= eps + 1e-9, F.lit(True))
-        met = a.join(b, "region").where((F.col("p") < F.col("x")) & (F.col("_pr") != F.col("_xr")) & self.near(F.col("pn"), F.col("xn")) & window)
+        met = a.join(b, "region").where((F.col("p") < F.col("x")) & (F.col("_pr") != F.col("_xr")) & self.linkable(F.col("pn"), F.col("xn"), F.least("_pg", "_xg")) & window)
         if large is None:
             return met.select("p", "x").distinct()
         pairs = met.groupBy("p", "x").agg(F.count("*").alias("c"), F.first("pn").alias("pn"), F.first("xn").alias("xn"))
@@ -214,9 +224,7 @@ class _Join:
         pairs = join_checked(pairs, more.select(F.col("cls").alias("p"), F.col("m").alias("_pm")), "p", "left")
         pairs = join_checked(pairs, more.select(F.col("cls").alias("x"), F.col("m").alias("_xm")), "x", "left")
         shared = F.col("c") + F.least(F.coalesce("_pm", F.lit(0)), F.coalesce("_xm", F.lit(0)))
-        behind = lambda n: n - (F.floor(n * (self.den - self.num) / self.den) + 1)
-        most = shared + F.greatest(behind(F.col("pn")), behind(F.col("xn")))
-        return pairs.where(most * (self.den + self.num) >= (F.col("pn") + F.col("xn")) * self.num).select("p", "x")
+        return pairs.where(self.linkable(F.col("pn"), F.col("xn"), shared)).select("p", "x")
 
     def measure(self, pairs: DataFrame) -> DataFrame:
         """(p, x, dist, link) of stored distinct pairs (p, x): each set travels to the pivots it is compared with."""
@@ -262,16 +270,27 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     job = _Join(docs, n, num, den)
     eps = 1 - num / den
     rows = job.regions()
-    ends = rows.groupBy("region").agg(F.min("cls").alias("p"), F.max("cls").alias("_q")).where("p != _q").select("region", "p")
-    members = stored(rows.join(ends, "region").select("region", "cls", "n", "p").distinct(), "members")
-    pivot_n = members.where("cls = p").select("region", F.col("n").alias("_pn"))
-    pairs = members.where("cls != p").join(pivot_n, "region").where(job.near(F.col("n"), F.col("_pn"))).select("p", F.col("cls").alias("x")).distinct()
+    ends = rows.groupBy("region").agg(F.min("cls").alias("_p"), F.max("cls").alias("_q"), F.min("n").alias("_lo"), F.max("n").alias("_hi"))
+    ends = ends.where("_p != _q").select("region", "_lo", "_hi")
+    members = stored(rows.join(ends, "region").distinct(), "members")
+    # deg: a set's regions that others share; too few for any size that its region holds: no link there
+    deg = members.groupBy("cls").agg(F.count("*").alias("deg"))
+    least = F.greatest(F.col("_lo"), F.ceil(F.col("n") * num / den - 1e-6))
+    most = F.least(F.col("_hi"), F.floor(F.col("n") * den / num + 1e-6))
+    can = job.linkable(F.col("n"), least, F.col("deg")) | job.linkable(F.col("n"), most, F.col("deg") + 1)  # 1: rounding
+    members = stored(members.join(deg, "cls").where(can).select("region", "cls", "n", "deg"), "members")
+    # the first document pivot of a region: the set that shares most
+    lead = members.groupBy("region").agg(F.max(F.struct("deg", F.col("cls").alias("p"), "n")).alias("_m"), F.min("cls").alias("_p"), F.max("cls").alias("_q"))
+    lead = lead.where("_p != _q").select("region", F.col("_m.p").alias("p"), F.col("_m.n").alias("_pn"), F.col("_m.deg").alias("_pg"))
+    members = stored(members.join(lead, "region"), "members")
+    ok = job.linkable(F.col("n"), F.col("_pn"), F.least("deg", "_pg"))
+    pairs = members.where(F.col("cls") != F.col("p")).where(ok).select("p", F.col("cls").alias("x")).distinct()
     tested = job.measure(stored(pairs, "pairs"))
     links = tested.where("link").select("p", "x")
     roots = components(links)
     # each member's distance to its region's pivot, where measured
     to_pivot = tested.select("p", F.col("x").alias("cls"), "dist")
-    members = join_checked(members.where("cls != p"), to_pivot, ["p", "cls"], "left").select("region", "cls", "n", "dist")
+    members = join_checked(members.where("cls != p"), to_pivot, ["p", "cls"], "left").select("region", "cls", "n", "deg", "dist")
     more, first = PIVOTS, True
     while True:
         # regions that still hold two components, without the pivots that are done
@@ -284,10 +303,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         leaf = members.where(F.col("size") <= LEAF).drop("size")
         large = members.where(F.col("size") > LEAF).drop("size")
         pairs = job.leaf_pairs(leaf, large if first else None, eps)
-        chosen = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("cls", F.lit(more)), "cls"))
+        chosen = F.row_number().over(Window.partitionBy("region").orderBy(F.desc("deg"), "cls"))
         pivots = large.withColumn("_k", chosen).where(F.col("_k") <= more)
-        pivots = stored(pivots.select("region", F.col("cls").alias("p"), F.col("n").alias("_pn"), F.col("root").alias("_pr")), "pivots")
-        met = join_checked(large, pivots, "region").where((F.col("root") != F.col("_pr")) & job.near(F.col("n"), F.col("_pn")))
+        pivots = stored(pivots.select("region", F.col("cls").alias("p"), F.col("n").alias("_pn"), F.col("root").alias("_pr"), F.col("deg").alias("_pg"), F.col("dist").alias("_pd")), "pivots")
+        window = F.coalesce(F.abs(F.col("_pd") - F.col("dist")) <= eps + 1e-9, F.lit(True))
+        met = join_checked(large, pivots, "region").where((F.col("root") != F.col("_pr")) & job.linkable(F.col("n"), F.col("_pn"), F.least("deg", "_pg")) & window)
         pairs = pairs.union(met.select(F.least("p", "cls").alias("p"), F.greatest("p", "cls").alias("x"))).distinct()
         done = tested.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x")).distinct()
         measured = job.measure(stored(pairs.join(done, ["p", "x"], "left_anti"), "pairs"))
@@ -296,7 +316,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         if not new.isEmpty():
             links = stored(links.union(new), "links")
             roots = components(links)
-        members = large.join(pivots.select("region", F.col("p").alias("cls")), ["region", "cls"], "left_anti").select("region", "cls", "n", "dist")
+        members = large.join(pivots.select("region", F.col("p").alias("cls")), ["region", "cls"], "left_anti").select("region", "cls", "n", "deg", "dist")
         more, first = more * 2, False
     rooted = join_checked(job.keys, roots, "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
     rooted = stored(rooted, "rooted")
