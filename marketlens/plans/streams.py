@@ -1 +1,116 @@
-"""Queries."""
+"""Streaming queries: the given events and bars as file streams, run to the end of what is there (availableNow)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from marketlens.plans.registry import register
+from marketlens.sources.tables import table, view
+from marketlens.streaming import operators as st
+
+
+def folder(spark, name: str) -> str:
+    """A new folder below the shared checkpoint folder; a folder of our own only where none is set."""
+    import tempfile
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        base = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def file_stream(df: DataFrame, name: str, order: str, files: int = 4) -> DataFrame:
+    """df as a stream of `files` batches in the order of a column: they are written one after the other."""
+    spark, path = df.sparkSession, folder(df.sparkSession, name)
+    at = F.unix_timestamp(order) if dict(df.dtypes)[order] == "timestamp" else F.col(order)
+    rows = df.withColumn("_at", at.cast("double"))
+    cuts = [] if files == 1 else sorted(set(rows.approxQuantile("_at", [i / files for i in range(1, files)], 0.01)))
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = rows if low is None else rows.where(F.col("_at") >= low)
+        part = part if high is None else part.where(F.col("_at") < high)
+        part.drop("_at").write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def run_append(stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream to the end into Parquet files and read them."""
+    spark, path = stream.sparkSession, folder(stream.sparkSession, name)
+    q = stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", folder(spark, "state")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+def events(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+
+
+def hourly(spark, sf_dir):
+    return view(spark, sf_dir, "bars_hourly").select("symbol", F.col("slot").cast("timestamp").alias("slot"), "close")
+
+
+@register()
+def g1_closed_bars(spark, sf_dir):
+    s = file_stream(events(spark, sf_dir), "events", "ts")
+    return run_append(st.closed_bars(s, "ts", ["event_type"], "value"), "bars")
+
+
+@register()
+def g2_daily_grid(spark, sf_dir):
+    return run_append(st.daily_grid(file_stream(events(spark, sf_dir), "events", "ts"), "ts", ["event_type"]), "days")
+
+
+@register("SELECT event_id, event_type FROM events")
+def g3_exactly_once(spark, sf_dir):
+    e = events(spark, sf_dir)
+    s = file_stream(e.unionByName(e.where("event_id % 5 = 0")), "events", "ts", 1)
+    return run_append(st.once_per_key(s, "ts", ["event_id"], "1 day"), "once").select("event_id", "event_type")
+
+
+@register("SELECT event_id, round(CASE WHEN event_id % 7 = 0 THEN value + 1 ELSE value END, 4) AS value FROM events")
+def g4_late_revisions(spark, sf_dir):
+    e = events(spark, sf_dir).select("event_id", "value", F.lit(0).alias("arrival"))
+    late = e.where("event_id % 7 = 0").select("event_id", (F.col("value") + 1).alias("value"), F.lit(1).alias("arrival"))
+    s = file_stream(e.unionByName(late), "arrivals", "arrival", 2)
+    path, log = folder(spark, "table"), folder(spark, "revisions")
+    q = s.writeStream.foreachBatch(st.revise_batch(path, log, ["event_id"], ["value"])).option("checkpointLocation", folder(spark, "state")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    last = spark.read.option("basePath", path).parquet(path)
+    last = last.join(F.broadcast(last.agg(F.max("v").alias("v"))), "v")  # one row
+    return last.select("event_id", F.round("value", 4).alias("value"))
+
+
+@register("""WITH h AS (SELECT symbol, epoch(slot)::BIGINT AS slot FROM bars_hourly), d AS (SELECT symbol, slot, slot - lag(slot) OVER (PARTITION BY symbol ORDER BY slot) AS d FROM h)
+SELECT symbol, slot, CASE WHEN d IS NULL THEN 'first' WHEN d = 3600 THEN 'next' ELSE 'gap' END AS kind FROM d""")
+def g5_contiguity(spark, sf_dir):
+    h = hourly(spark, sf_dir).select("symbol", F.unix_timestamp("slot").alias("slot"))
+    return run_append(st.contiguity(file_stream(h, "slots", "slot"), "symbol", "slot", 3600), "kinds")
+
+
+_RUN = """WITH RECURSIVE b AS (SELECT symbol, epoch(slot)::BIGINT AS slot, close, close - lag(close) OVER (PARTITION BY symbol ORDER BY slot) AS d, row_number() OVER (PARTITION BY symbol ORDER BY slot) AS rn FROM bars_hourly),
+e AS (SELECT symbol, 12::BIGINT AS rn, avg(close) AS y FROM b WHERE rn <= 12 GROUP BY symbol UNION ALL SELECT e.symbol, b.rn, e.y * (11.0::DOUBLE / 13) + b.close * (2.0::DOUBLE / 13) FROM e JOIN b ON b.symbol = e.symbol AND b.rn = e.rn + 1),
+r AS (SELECT symbol, 15::BIGINT AS rn, avg(greatest(d, 0)) AS g, avg(greatest(-d, 0)) AS l FROM b WHERE rn BETWEEN 2 AND 15 GROUP BY symbol UNION ALL SELECT r.symbol, b.rn, (r.g * 13 + greatest(b.d, 0)) / 14, (r.l * 13 + greatest(-b.d, 0)) / 14 FROM r JOIN b ON b.symbol = r.symbol AND b.rn = r.rn + 1)
+SELECT b.symbol, b.slot, round(e.y, 4) AS ema, round(CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END, 4) AS rsi FROM b LEFT JOIN e ON e.symbol = b.symbol AND e.rn = b.rn LEFT JOIN r ON r.symbol = b.symbol AND r.rn = b.rn"""
+
+
+@register(_RUN)
+def g7_running_indicators(spark, sf_dir):
+    h = hourly(spark, sf_dir).select("symbol", F.unix_timestamp("slot").alias("slot"), "close")
+    out = run_append(st.running_indicators(file_stream(h, "closes", "slot"), "symbol", "slot", "close"), "running")
+    return out.select("symbol", "slot", F.round("ema", 4).alias("ema"), F.round("rsi", 4).alias("rsi"))
+
+
+@register("""WITH l AS (SELECT event_type, max(epoch(ts))::BIGINT AS t FROM events GROUP BY 1), n AS (SELECT max(t) AS now FROM l) SELECT event_type, CASE WHEN now - t <= 600 THEN 'WITHIN' ELSE 'STALE' END AS state FROM l, n""")
+def g8_staleness(spark, sf_dir):
+    latest = events(spark, sf_dir).groupBy("event_type").agg(F.unix_timestamp(F.max("ts")).alias("t"))
+    latest = latest.crossJoin(F.broadcast(latest.agg(F.max("t").alias("now"))))  # one row
+    return st.staleness(latest, "t", F.col("now"), F.lit(600)).select("event_type", "state")
+
+
+@register()
+def g6_coverage_sessions(spark, sf_dir):
+    s = file_stream(hourly(spark, sf_dir), "slots", "slot")
+    return run_append(st.coverage_sessions(s, "slot", ["symbol"], "3601 seconds"), "sessions")

@@ -1 +1,194 @@
-"""Queries."""
+"""News, search and document queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marketlens.functions import text as tx
+from marketlens.functions.scalars import close_to
+from marketlens.operators import search
+from marketlens.operators.reconcile import rule_issues
+from marketlens.plans.registry import register
+from marketlens.sources.tables import table
+
+pages = lambda s, d: table(s, d, "pages")
+docs = lambda s, d: table(s, d, "documents")
+TOPICS = [("etf", ["tion", "etf"]), ("macro", ["ing ", "cpi"]), ("chain", ["le ", "hash"])]
+
+
+@register(r"""SELECT page_id, lower(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)) || regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '') ||
+CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS url FROM (SELECT page_id, url, list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z_]+|fbclid|gclid|ref|mc_cid|mc_eid)='))) AS q FROM pages)""")
+def f7_canonical_url(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", tx.canonical_url(F.col("url")).alias("url"))
+
+
+@register(r"SELECT doc_id, trim(regexp_replace(lower(substr(text, 1, 80)), '[^\p{L}\p{N}]+', ' ', 'g')) AS title FROM documents")
+def f8_title_key(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", tx.title_key(F.substring("text", 1, 80)).alias("title"))
+
+
+_STRIP = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g'))"""
+
+
+@register(f"SELECT page_id, length({_STRIP})::BIGINT AS n, md5({_STRIP}) AS digest FROM pages")
+def f9_strip_markup(spark, sf_dir):
+    t = tx.strip_markup(F.col("html"))
+    return pages(spark, sf_dir).select("page_id", F.length(t).cast("long").alias("n"), F.md5(t).alias("digest"))
+
+
+@register()
+def f10_excerpt(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", tx.excerpt(F.substring("text", 1, 20), F.col("text")).alias("excerpt"))
+
+
+@register("SELECT doc_id, CASE WHEN contains(lower(text), 'tion') OR contains(lower(text), 'etf') THEN 'etf' WHEN contains(lower(text), 'ing ') OR contains(lower(text), 'cpi') THEN 'macro' WHEN contains(lower(text), 'le ') OR contains(lower(text), 'hash') THEN 'chain' ELSE 'other' END AS topic FROM documents")
+def f11_first_topic(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", tx.first_topic(F.col("text"), TOPICS).alias("topic"))
+
+
+@register(r"SELECT doc_id, md5(regexp_replace(regexp_replace(text, '(?i)\bthe\b', 'la', 'g'), '(?i)\band\b', 'y', 'g')) AS digest FROM documents WHERE lang = 'en'")
+def f12_replace_phrases(spark, sf_dir):
+    return docs(spark, sf_dir).where("lang = 'en'").select("doc_id", F.md5(tx.replace_phrases(F.col("text"), [("the", "la"), ("and", "y")])).alias("digest"))
+
+
+_TOK = r"list_filter(regexp_extract_all(lower(T), '[\p{L}\p{N}]+(?:_[\p{L}\p{N}]+)*'), lambda w: length(w) > 1)"
+
+
+@register(f"SELECT item_id, array_to_string({_TOK.replace('T)', 'text)')}[1:10], ' ') AS tokens FROM benchmark")
+def f13_tokens(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(tx.tokens(tx.nfkc("text")), " ").alias("tokens"))
+
+
+@register("""SELECT doc_id, CASE WHEN NOT regexp_matches(url, '^https?://') THEN 'url' WHEN length(trim(title)) < 20 THEN 'title' WHEN length(trim(text)) < 50 THEN 'highlight' ELSE 'ok' END AS reason
+FROM (SELECT doc_id, text, substr(text, 1, 80) AS title, CASE WHEN doc_id % 7 = 0 THEN 'ftp://x' ELSE 'https://x' END AS url FROM documents)""")
+def p6_news_validity(spark, sf_dir):
+    url = F.when(F.col("doc_id") % 7 == 0, "ftp://x").otherwise("https://x")
+    r = tx.news_reason(url, F.substring("text", 1, 80), F.col("text"), F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-01").cast("timestamp"))
+    return docs(spark, sf_dir).select("doc_id", F.coalesce(r, F.lit("ok")).alias("reason"))
+
+
+@register("SELECT doc_id, (39 - doc_id % 40 BETWEEN 0 AND CASE doc_id % 3 WHEN 0 THEN 21 WHEN 1 THEN 14 ELSE 7 END) AS fresh FROM documents")
+def p7_news_freshness(spark, sf_dir):
+    kind = F.when(F.col("doc_id") % 3 == 0, "official").when(F.col("doc_id") % 3 == 1, "specialized").otherwise("general")
+    age = F.datediff(F.date_add(F.lit("2024-01-01").cast("date"), 39), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 40).cast("int")))
+    return docs(spark, sf_dir).select("doc_id", tx.news_fresh(age, kind).alias("fresh"))
+
+
+@register(r"SELECT page_id, substr(trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)), 1, 350) AS title FROM pages WHERE starts_with(url, 'https://') AND NOT regexp_matches(url, '^https://[^/?#]*@') AND length(url) <= 2048")
+def p8_archive_predicate(spark, sf_dir):
+    u = F.col("url")
+    ok = u.startswith("https://") & ~u.rlike(r"^https://[^/?#]*@") & (F.length(u) <= 2048)
+    return pages(spark, sf_dir).where(ok).select("page_id", F.substring(F.trim(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)), 1, 350).alias("title"))
+
+
+@register(r"WITH h AS (SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host FROM pages) SELECT page_id, host FROM h WHERE host IN ('example.com', 'tion.example.org') OR ends_with(host, '.example.com') OR ends_with(host, '.tion.example.org')")
+def p9_domain_allow_list(spark, sf_dir):
+    p = pages(spark, sf_dir).select("page_id", tx.url_host(F.col("url")).alias("host"))
+    return p.where(tx.on_domains(F.col("host"), ["example.com", "tion.example.org"]))
+
+
+@register()
+def u1_news_dedupe(spark, sf_dir):
+    n = docs(spark, sf_dir).select("doc_id", "lang", "source", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 40).cast("int")).alias("day"), tx.title_key(F.substring("text", 1, 80)).alias("title"), F.substring(F.md5("text"), 1, 3).alias("url"))
+    return search.dedupe_news(n, ["lang", "day"], "source", "doc_id", "url", "title").select("lang", "day", "doc_id")
+
+
+@register("SELECT lang AS family, count(*) AS n FROM documents GROUP BY 1")
+def a21_corpus_manifest(spark, sf_dir):
+    return docs(spark, sf_dir).groupBy(F.col("lang").alias("family")).agg(F.count("*").alias("n"))
+
+
+def _corpus(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", F.substring("text", 1, 80).alias("title"), "text", F.col("source").alias("keywords"))
+
+
+_BM = f"""d AS (SELECT doc_id, substr(text, 1, 80) AS title, text, source FROM documents),
+f AS (SELECT doc_id, 14.0::DOUBLE AS w, unnest({_TOK.replace('T)', 'title)')}) AS term FROM d UNION ALL SELECT doc_id, 0.4::DOUBLE, unnest({_TOK.replace('T)', 'text)')}) FROM d UNION ALL SELECT doc_id, 3.0::DOUBLE, unnest({_TOK.replace('T)', 'source)')}) FROM d),
+p AS (SELECT term, doc_id, sum(w) AS tf, count(*) AS hits FROM f GROUP BY 1, 2), l AS (SELECT doc_id, sum(hits) AS len FROM p GROUP BY 1), s AS (SELECT avg(len) AS avglen, (SELECT count(*) FROM documents) AS n FROM l),
+df AS (SELECT term, count(*) AS n FROM p GROUP BY 1), q AS (SELECT item_id, unnest(list_distinct({_TOK.replace('T)', 'text)')}[1:10])) AS term FROM benchmark),
+t AS (SELECT item_id, p.doc_id, round(sum(greatest(ln((s.n - df.n + 0.5) / (df.n + 0.5)), 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / avglen))), 6) AS score FROM q JOIN df ON df.term = q.term JOIN p ON p.term = q.term JOIN l ON l.doc_id = p.doc_id, s GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM t)"""
+
+
+@register(f"WITH {_BM} SELECT item_id, doc_id, score, rank FROM r WHERE rank <= 5")
+def d1_bm25(spark, sf_dir):
+    return search.bm25(_corpus(spark, sf_dir), table(spark, sf_dir, "benchmark"), "doc_id", "item_id", "text", {"title": 14, "text": 0.4, "keywords": 3})
+
+
+@register(f"WITH {_BM} SELECT item_id, doc_id, score, rank FROM r WHERE rank <= 2")
+def t6_top_hits(spark, sf_dir):
+    return search.bm25(_corpus(spark, sf_dir), table(spark, sf_dir, "benchmark"), "doc_id", "item_id", "text", {"title": 14, "text": 0.4, "keywords": 3}, k=2)
+
+
+@register(f"""WITH d AS (SELECT doc_id, substr(text, 1, 80) AS title, text, source FROM documents),
+f AS (SELECT DISTINCT doc_id, 10 AS w, unnest({_TOK.replace('T)', 'title)')}) AS term FROM d UNION ALL SELECT DISTINCT doc_id, 2, unnest({_TOK.replace('T)', 'text)')}) FROM d UNION ALL SELECT DISTINCT doc_id, 3, unnest({_TOK.replace('T)', 'source)')}) FROM d),
+q AS (SELECT item_id, unnest(list_distinct({_TOK.replace('T)', 'text)')}[1:10])) AS term FROM benchmark), t AS (SELECT item_id, doc_id, sum(w)::BIGINT AS score FROM q JOIN f USING (term) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM t) SELECT item_id, doc_id, score, rank FROM r WHERE rank <= 5""")
+def d2_lexical(spark, sf_dir):
+    return search.lexical(_corpus(spark, sf_dir), table(spark, sf_dir, "benchmark"), "doc_id", "item_id", "text", "title", "keywords", "text")
+
+
+@register()
+def d3_evidence_bundle(spark, sf_dir):
+    b = search.evidence_bundle(t6_top_hits(spark, sf_dir), _corpus(spark, sf_dir), "item_id", "doc_id", "title")
+    return b.select("item_id", F.size("evidence").alias("hits"), F.to_json("evidence").alias("evidence"))
+
+
+@register("""WITH x AS (SELECT asset, sum(points) / 1e8 AS v FROM claims GROUP BY 1) SELECT asset, round(v, 4) AS value, CASE WHEN v < 1 THEN 'undervalued' WHEN v < 2.4 THEN 'fair' WHEN v < 3.5 THEN 'elevated' ELSE 'overheated' END AS band FROM x""")
+def d4_snapshot_facts(spark, sf_dir):
+    from marketlens.functions.scalars import finite, zone
+    from marketlens.sources.tables import view
+
+    x = view(spark, sf_dir, "claims").groupBy("asset").agg((F.sum("points") / 1e8).alias("v")).where(finite(F.col("v")))
+    return x.select("asset", F.round("v", 4).alias("value"), zone("mvrv", F.col("v")).alias("band"))
+
+
+@register(r"SELECT page_id, unnest(regexp_extract_all(html, '(?i)href=\"([^\"]*)\"', 1)) AS shown FROM pages")
+def d5_displayed_values(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r'(?i)href="([^"]*)"'), F.lit(1))).alias("shown"))
+
+
+_D6 = r"""s AS (SELECT page_id, length(regexp_extract(html, '(?is)<title>(.*?)</title>', 1))::DOUBLE AS shown, len(regexp_extract_all(html, '(?i)href=')) AS links FROM pages WHERE page_id % 9 <> 0), a AS (SELECT page_id, length(regexp_extract(html, '(?is)<title>(.*?)</title>', 1))::DOUBLE + CASE WHEN page_id % 10 = 0 THEN 1 ELSE 0 END AS archived FROM pages WHERE page_id % 8 <> 0)"""
+
+
+@register(f"""WITH {_D6} SELECT coalesce(s.page_id, a.page_id) AS page_id, CASE WHEN shown IS NULL THEN 'missing' WHEN archived IS NULL THEN 'unexpected' ELSE 'value' END AS issue FROM s FULL OUTER JOIN a ON a.page_id = s.page_id
+WHERE shown IS NULL OR archived IS NULL OR abs(shown - archived) > greatest(0.5, abs(shown) * 1e-10)""")
+def d6_displayed_vs_archived(spark, sf_dir):
+    p = pages(spark, sf_dir).select("page_id", F.length(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)).cast("double").alias("v"))
+    shown = p.where("page_id % 9 != 0").withColumnRenamed("v", "shown")
+    archived = p.where("page_id % 8 != 0").select("page_id", (F.col("v") + F.when(F.col("page_id") % 10 == 0, 1).otherwise(0)).alias("archived"))
+    j = shown.join(archived, "page_id", "full_outer")
+    issue = F.when(F.col("shown").isNull(), "missing").when(F.col("archived").isNull(), "unexpected").when(~close_to(F.col("shown"), F.col("archived"), 0.5), "value")
+    return j.select("page_id", issue.alias("issue")).where("issue is not null")
+
+
+@register(r"""SELECT page_id, 'template' AS rule, 'format' AS category, 'critical' AS severity FROM pages WHERE regexp_matches(html, '\{\{|\{%') UNION ALL SELECT page_id, 'double percent', 'format', 'warning' FROM pages WHERE contains(html, '%%')
+UNION ALL SELECT page_id, 'double dollar', 'format', 'warning' FROM pages WHERE contains(html, '$$') UNION ALL SELECT page_id, 'no title', 'content', 'warning' FROM pages WHERE NOT regexp_matches(html, '(?i)<title>') UNION ALL SELECT page_id, 'links', 'content', 'warning' FROM pages WHERE len(regexp_extract_all(html, '(?i)<a ')) > 5""")
+def d7_document_defects(spark, sf_dir):
+    h = F.col("html")
+    links = F.size(F.regexp_extract_all(h, F.lit("(?i)(<a )"), F.lit(1)))
+    rules = [("template", "format", "critical", h.rlike(r"\{\{|\{%")), ("double percent", "format", "warning", h.contains("%%")), ("double dollar", "format", "warning", h.contains("$$")), ("no title", "content", "warning", ~h.rlike("(?i)<title>")), ("links", "content", "warning", links > 5)]
+    return rule_issues(pages(spark, sf_dir), "page_id", rules)
+
+
+@register("""SELECT event_id, (epoch(max(ts) OVER ()) - epoch(ts))::BIGINT // 3600 AS age_hours FROM events""")
+def d8_freshness_attributes(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"))
+    e = e.crossJoin(F.broadcast(e.agg(F.max("t").alias("now"))))  # one row
+    return e.select("event_id", F.floor((F.col("now") - F.col("t")) / 3600).alias("age_hours"))
+
+
+@register(f"""WITH {_D6} SELECT s.page_id, CASE WHEN shown NOT BETWEEN 10 AND 90 THEN 'range' ELSE 'source' END AS issue FROM s LEFT JOIN a ON a.page_id = s.page_id WHERE shown NOT BETWEEN 10 AND 90 OR shown <> archived""")
+def d9_content_range_checks(spark, sf_dir):
+    p = pages(spark, sf_dir).select("page_id", F.length(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)).cast("double").alias("v"))
+    archived = p.where("page_id % 8 != 0").select("page_id", (F.col("v") + F.when(F.col("page_id") % 10 == 0, 1).otherwise(0)).alias("archived"))
+    j = p.where("page_id % 9 != 0").join(archived, "page_id", "left")
+    issue = F.when(~F.col("v").between(10, 90), "range").when(F.col("v") != F.col("archived"), "source")
+    return j.select("page_id", issue.alias("issue")).where("issue is not null")
+
+
+@register("""WITH g AS (SELECT source, count(*) AS n, count(*) FILTER (lang IS NULL) AS no_lang, count(*) FILTER (text IS NULL OR text = '') AS empty FROM documents GROUP BY 1)
+SELECT source, 'few records' AS rule, 'traceability' AS category, 'warning' AS severity FROM g WHERE n < 45 UNION ALL SELECT source, 'no language', 'traceability', 'critical' FROM g WHERE no_lang > 0 UNION ALL SELECT source, 'empty', 'traceability', 'warning' FROM g WHERE empty > 0""")
+def d10_traceability(spark, sf_dir):
+    g = docs(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("lang").isNull()).alias("no_lang"), F.count_if(F.col("text").isNull() | (F.col("text") == "")).alias("empty"))
+    return rule_issues(g, "source", [("few records", "traceability", "warning", F.col("n") < 45), ("no language", "traceability", "critical", F.col("no_lang") > 0), ("empty", "traceability", "warning", F.col("empty") > 0)])
