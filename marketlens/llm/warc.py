@@ -124,14 +124,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     that holds them. Only records that hold a magic are shuffled with their bytes.
     """
     segs = segments(spark, path)
-    head_end = F.instr(F.decode("body", "ISO-8859-1"), END)
-    text = F.decode(F.substring(F.col("body"), 1, 4096), "ISO-8859-1")
+    text = F.decode("body", "ISO-8859-1")  # a character for each byte
     size = F.octet_length("body").cast("long")
+    length = F.regexp_extract(F.substring_index(text, END, 1), r"(?i)\r\nContent-Length: *([0-9]+)(?:\r\n|$)", 1)
     # the first segment of a file is what stands before the first magic (nothing)
-    light = segs.select(
-        "file", "split", "seq", (size + len(MAGIC)).alias("size"), F.instr(text, END).alias("head"), F.expr(r"try_cast(regexp_extract(substring(decode(substring(body, 1, 4096), 'ISO-8859-1'), 1, instr(decode(substring(body, 1, 4096), 'ISO-8859-1'), '\r\n\r\n') + 1), '(?i)\r\nContent-Length: *([0-9]+)\r\n', 1) as bigint)").alias("length")
-    )
-    del head_end
+    light = segs.select("file", "split", "seq", (size + len(MAGIC)).alias("size"), F.instr(text, END).alias("head"), length.try_cast("bigint").alias("length"))
     light = stored(_prefix(light, "size", "end0"), "segments")
     # end0 counts each earlier segment with the magic that follows it: a segment's magic starts before it
     light = light.withColumn("offset", F.col("end0") - len(MAGIC))
@@ -162,8 +159,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         .select("file", F.col("record").alias("offset"), F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["bytes"])).alias("raw"))
     )
     records = single.unionByName(joined)
-    head = F.substring_index(F.decode(F.substring(F.col("raw"), 1, 8192), "UTF-8"), END, 1)
-    records = records.withColumn("header", head)
+    end = F.instr(F.decode("raw", "ISO-8859-1"), END)
+    records = records.withColumn("header", F.substring(F.col("raw"), F.lit(1), end - 1).cast("string"))
     length = F.regexp_extract("header", r"(?i)\r\nContent-Length: *([0-9]+)", 1).cast("bigint")
     start = F.octet_length("header") + len(END) + 1
     return records.select("file", "offset", "header", F.substring(F.col("raw"), start, length.cast("int")).alias("block"))
@@ -177,7 +174,7 @@ def page_records(records: DataFrame) -> DataFrame:
     """
     field = lambda name: F.regexp_extract("header", rf"(?i)\r\n{name}: *([^\r\n]*)", 1)
     page = lambda name: F.expr(f"try_cast(regexp_extract({name}, ':page:(-?[0-9]+)>', 1) as bigint)")
-    http = F.substring_index(F.decode(F.substring(F.col("block"), 1, 4096), "ISO-8859-1"), END, 1)
+    http = F.substring_index(F.decode("block", "ISO-8859-1"), END, 1)
     rows = records.select(field("WARC-Type").alias("record_type"), field("WARC-Record-ID").alias("_rid"), field("WARC-Refers-To").alias("_ref"), field("WARC-Target-URI").alias("url"), field("WARC-Payload-Digest").alias("_digest"), http.alias("_http"), "block")
     payload = F.substring(F.col("block"), F.length("_http") + len(END) + 1, F.octet_length("block"))
     rows = rows.withColumn("payload", payload)
