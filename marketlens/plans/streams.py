@@ -23,16 +23,16 @@ def folder(spark, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def file_stream(df: DataFrame, name: str, order: str, files: int = 4) -> DataFrame:
-    """df as a stream of `files` batches in the order of a column: they are written one after the other."""
+def file_stream(df: DataFrame, name: str, order: str, files: int = 4, cuts: list[float] | None = None) -> DataFrame:
+    """df as a stream of `files` batches in the order of a column (or cut where told): one file each, written in turn."""
     spark, path = df.sparkSession, folder(df.sparkSession, name)
     at = F.unix_timestamp(order) if dict(df.dtypes)[order] == "timestamp" else F.col(order)
     rows = df.withColumn("_at", at.cast("double"))
-    cuts = [] if files == 1 else sorted(set(rows.approxQuantile("_at", [i / files for i in range(1, files)], 0.01)))
+    cuts = cuts if cuts is not None else [] if files == 1 else sorted(set(rows.approxQuantile("_at", [i / files for i in range(1, files)], 0.01)))
     for low, high in zip([None, *cuts], [*cuts, None]):
         part = rows if low is None else rows.where(F.col("_at") >= low)
         part = part if high is None else part.where(F.col("_at") < high)
-        part.drop("_at").write.mode("append").parquet(path)
+        part.drop("_at").coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -74,7 +74,7 @@ def g3_exactly_once(spark, sf_dir):
 def g4_late_revisions(spark, sf_dir):
     e = events(spark, sf_dir).select("event_id", "value", F.lit(0).alias("arrival"))
     late = e.where("event_id % 7 = 0").select("event_id", (F.col("value") + 1).alias("value"), F.lit(1).alias("arrival"))
-    s = file_stream(e.unionByName(late), "arrivals", "arrival", 2)
+    s = file_stream(e.unionByName(late), "arrivals", "arrival", cuts=[1.0])
     path, log = folder(spark, "table"), folder(spark, "revisions")
     q = s.writeStream.foreachBatch(st.revise_batch(path, log, ["event_id"], ["value"])).option("checkpointLocation", folder(spark, "state")).trigger(availableNow=True).start()
     q.awaitTermination()
