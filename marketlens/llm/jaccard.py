@@ -31,8 +31,8 @@ from .common import by_chars, extended, join_checked, mix64, small_batches, stor
 COMMON_SHINGLES = 1 << 20
 #: Regions up to this size are joined pair by pair.
 LEAF = 128
-#: Document pivots of a larger region in its first division; doubled in each further one.
-PIVOTS = 8
+#: Document pivots of a larger region in its first division; four times as many in each further one.
+PIVOTS = 32
 
 
 def shingle_sets(texts: list[str], n: int, salt: int = 0) -> list[np.ndarray]:
@@ -165,6 +165,11 @@ def _intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield extended(batch, ["x", "y"], {c: pa.array(both[:, i]) for i, c in enumerate(("common", "nx", "ny"))})
 
 
+def _files(rows: int) -> int:
+    """Files for a table of about so many rows: few for small ones, so that rounds over them are short."""
+    return max(12, rows // 100_000)
+
+
 class _Join:
     """State of one join: the documents, their classes, and the distances measured so far."""
 
@@ -206,7 +211,7 @@ class _Join:
         """Sizes that allow a link: by the triangle inequality over the empty set."""
         return (nx * self.den >= ny * self.num) & (ny * self.den >= nx * self.num)
 
-    def leaf_pairs(self, leaf: DataFrame, large: DataFrame | None, eps: float) -> DataFrame:
+    def leaf_pairs(self, leaf: DataFrame, large: DataFrame | None, eps: float, files: int) -> DataFrame:
         """(p, x), p < x: pairs of different components in one small region that the windows allow.
 
         By the triangle inequality over the region's pivot, |d(p) - d(x)| <= eps. With `large` (the first division,
@@ -220,17 +225,17 @@ class _Join:
         if large is None:
             return met.select("p", "x").distinct()
         pairs = met.groupBy("p", "x").agg(F.count("*").alias("c"), F.first("pn").alias("pn"), F.first("xn").alias("xn"))
-        more = stored(large.groupBy("cls").agg(F.count("*").alias("m")), "large")
+        more = stored(large.groupBy("cls").agg(F.count("*").alias("m")), "large", files)
         pairs = join_checked(pairs, more.select(F.col("cls").alias("p"), F.col("m").alias("_pm")), "p", "left")
         pairs = join_checked(pairs, more.select(F.col("cls").alias("x"), F.col("m").alias("_xm")), "x", "left")
         shared = F.col("c") + F.least(F.coalesce("_pm", F.lit(0)), F.coalesce("_xm", F.lit(0)))
         return pairs.where(self.linkable(F.col("pn"), F.col("xn"), shared)).select("p", "x")
 
-    def measure(self, pairs: DataFrame) -> DataFrame:
+    def measure(self, pairs: DataFrame, files: int) -> DataFrame:
         """(p, x, dist, link) of stored distinct pairs (p, x): each set travels to the pivots it is compared with."""
         roles = pairs.select(F.col("x").alias("cls"), "p").union(pairs.select(F.col("p").alias("cls"), "p")).distinct()
         wanted = roles.groupBy("cls").agg(F.collect_list("p").alias("pivots")).join(self.reps, "cls")
-        wanted = stored(wanted.withColumnRenamed("doc_id", "_doc"), "wanted")
+        wanted = stored(wanted.withColumnRenamed("doc_id", "_doc"), "wanted", files)
         small = F.broadcast(wanted) if wanted.limit(200_001).count() <= 200_000 else wanted
         rows = self.docs.join(small, self.docs["doc_id"].eqNullSafe(F.col("_doc"))).select("text", "cls", "pivots")
         sets = rows.mapInArrow(_emit_sets(self.n, self.salt), "cls long, pivots array<long>, body binary")
@@ -241,18 +246,19 @@ class _Join:
         done = others.join(pivots, "p").select("p", F.col("x_cls").alias("cls"), "x", "y").mapInArrow(_intersect, "p long, cls long, common long, nx long, ny long")
         union = F.col("nx") + F.col("ny") - F.col("common")
         out = done.select("p", F.col("cls").alias("x"), (1 - F.col("common") / union).alias("dist"), (F.col("common") * self.den >= union * self.num).alias("link"))
-        return stored(out.distinct(), "measured")
+        return stored(out.distinct(), "measured", files)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(cls, root): the smallest class reachable by links (p, x), by label propagation with pointer jumping."""
-    edges = stored(links.select(F.col("p").alias("u"), F.col("x").alias("v")).union(links.select("x", "p")).distinct(), "edges")
-    labels = stored(edges.groupBy(F.col("u").alias("cls")).agg(F.least(F.min("v"), F.min("u")).alias("root")), "labels")
+    files = _files(links.count())
+    edges = stored(links.select(F.col("p").alias("u"), F.col("x").alias("v")).union(links.select("x", "p")).distinct(), "edges", files)
+    labels = stored(edges.groupBy(F.col("u").alias("cls")).agg(F.least(F.min("v"), F.min("u")).alias("root")), "labels", files)
     while True:
         from_next = edges.join(labels.withColumnRenamed("cls", "v"), "v").groupBy(F.col("u").alias("cls")).agg(F.min("root").alias("_next"))
         up = labels.select(F.col("cls").alias("root"), F.col("root").alias("_up"))
         new = labels.join(from_next, "cls").join(up, "root", "left")
-        new = stored(new.select("cls", F.least("root", "_next", "_up").alias("root"), F.col("root").alias("_old")), "labels")
+        new = stored(new.select("cls", F.least("root", "_next", "_up").alias("root"), F.col("root").alias("_old")), "labels", files)
         changed = not new.where("root != _old").isEmpty()
         labels = new.drop("_old")
         if not changed:
@@ -285,7 +291,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     members = stored(members.join(lead, "region"), "members")
     ok = job.linkable(F.col("n"), F.col("_pn"), F.least("deg", "_pg"))
     pairs = members.where(F.col("cls") != F.col("p")).where(ok).select("p", F.col("cls").alias("x")).distinct()
-    tested = job.measure(stored(pairs, "pairs"))
+    files = _files(members.count())
+    tested = job.measure(stored(pairs, "pairs", files), files)
     links = tested.where("link").select("p", "x")
     roots = components(links)
     # each member's distance to its region's pivot, where measured
@@ -295,29 +302,30 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     while True:
         # regions that still hold two components, without the pivots that are done
         known = join_checked(members, roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        known = stored(known, "known")
+        known = stored(known, "known", files)
         open_ = known.groupBy("region").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count("*").alias("size")).where("_a != _b").select("region", "size")
-        members = stored(join_checked(known, stored(open_, "open"), "region"), "members")
+        members = stored(join_checked(known, stored(open_, "open", files), "region"), "members", files)
+        files = _files(members.count())
         if members.isEmpty():
             break
         leaf = members.where(F.col("size") <= LEAF).drop("size")
         large = members.where(F.col("size") > LEAF).drop("size")
-        pairs = job.leaf_pairs(leaf, large if first else None, eps)
+        pairs = job.leaf_pairs(leaf, large if first else None, eps, files)
         chosen = F.row_number().over(Window.partitionBy("region").orderBy(F.desc("deg"), "cls"))
         pivots = large.withColumn("_k", chosen).where(F.col("_k") <= more)
-        pivots = stored(pivots.select("region", F.col("cls").alias("p"), F.col("n").alias("_pn"), F.col("root").alias("_pr"), F.col("deg").alias("_pg"), F.col("dist").alias("_pd")), "pivots")
+        pivots = stored(pivots.select("region", F.col("cls").alias("p"), F.col("n").alias("_pn"), F.col("root").alias("_pr"), F.col("deg").alias("_pg"), F.col("dist").alias("_pd")), "pivots", files)
         window = F.coalesce(F.abs(F.col("_pd") - F.col("dist")) <= eps + 1e-9, F.lit(True))
         met = join_checked(large, pivots, "region").where((F.col("root") != F.col("_pr")) & job.linkable(F.col("n"), F.col("_pn"), F.least("deg", "_pg")) & window)
         pairs = pairs.union(met.select(F.least("p", "cls").alias("p"), F.greatest("p", "cls").alias("x"))).distinct()
         done = tested.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x")).distinct()
-        measured = job.measure(stored(pairs.join(done, ["p", "x"], "left_anti"), "pairs"))
-        tested = stored(tested.unionByName(measured), "tested")
-        new = stored(measured.where("link").select("p", "x"), "links")
+        measured = job.measure(stored(pairs.join(done, ["p", "x"], "left_anti"), "pairs", files), files)
+        tested = stored(tested.unionByName(measured), "tested", files)
+        new = stored(measured.where("link").select("p", "x"), "links", files)
         if not new.isEmpty():
-            links = stored(links.union(new), "links")
+            links = stored(links.union(new), "links", files)
             roots = components(links)
         members = large.join(pivots.select("region", F.col("p").alias("cls")), ["region", "cls"], "left_anti").select("region", "cls", "n", "deg", "dist")
-        more, first = more * 2, False
+        more, first = more * 4, False
     rooted = join_checked(job.keys, roots, "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
     rooted = stored(rooted, "rooted")
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("_least"))
