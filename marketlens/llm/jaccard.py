@@ -32,7 +32,7 @@ COMMON_SHINGLES = 1 << 20
 #: Regions up to this size are joined pair by pair.
 LEAF = 128
 #: Document pivots of a larger region in its first division; four times as many in each further one.
-PIVOTS = 32
+PIVOTS = 8
 
 
 def shingle_sets(texts: list[str], n: int, salt: int = 0) -> list[np.ndarray]:
