@@ -224,12 +224,15 @@ class _Join:
         met = a.join(b, "region").where((F.col("p") < F.col("x")) & (F.col("_pr") != F.col("_xr")) & self.linkable(F.col("pn"), F.col("xn"), F.least("_pg", "_xg")) & window)
         if large is None:
             return met.select("p", "x").distinct()
-        pairs = met.groupBy("p", "x").agg(F.count("*").alias("c"), F.first("pn").alias("pn"), F.first("xn").alias("xn"))
+        # the shared pivots that a pair of these sizes needs at least
+        common = F.ceil((F.col("pn") + F.col("xn")) * self.num / (self.den + self.num) - 1e-6)
+        need = common - F.greatest(self.behind(F.col("pn")), self.behind(F.col("xn")))
+        pairs = met.select("p", "x", need.cast("int").alias("need")).groupBy("p", "x", "need").agg(F.count("*").alias("c"))
         more = stored(large.groupBy("cls").agg(F.count("*").alias("m")), "large", files)
         pairs = join_checked(pairs, more.select(F.col("cls").alias("p"), F.col("m").alias("_pm")), "p", "left")
         pairs = join_checked(pairs, more.select(F.col("cls").alias("x"), F.col("m").alias("_xm")), "x", "left")
         shared = F.col("c") + F.least(F.coalesce("_pm", F.lit(0)), F.coalesce("_xm", F.lit(0)))
-        return pairs.where(self.linkable(F.col("pn"), F.col("xn"), shared)).select("p", "x")
+        return pairs.where(shared >= F.col("need")).select("p", "x")
 
     def measure(self, pairs: DataFrame, files: int) -> DataFrame:
         """(p, x, dist, link) of stored distinct pairs (p, x): each set travels to the pivots it is compared with."""
