@@ -132,8 +132,11 @@ def release_dates(df: DataFrame, body: str = "body") -> DataFrame:
 FEED = "struct<channel struct<item array<struct<title string, link string, pubDate string, description string>>>>"
 
 
-def feed_items(df: DataFrame, now: Column, body: str = "body", domains: tuple[str, ...] = (), days: int = 7, most: int = 10, max_bytes: int = 2_000_000) -> DataFrame:
-    """RSS items: size cap, no DTD, own domain, age and length filters, the newest `most` a feed (keys: the other columns)."""
+def feed_items(df: DataFrame, now: Column, body: str = "body", domains: tuple[str, ...] = (), days: int = 7, most: int = 10, max_bytes: int = 2_000_000, per: list[str] | None = None) -> DataFrame:
+    """RSS items: size cap, no DTD, own domain, age and length filters, the newest `most` a feed (keys: the other columns).
+
+    per: the keys of the newest `most` where several feeds share them; tasks rank their own items before they are dealt.
+    """
     from pyspark.sql import Window
 
     from marketlens.functions.scalars import feed_date
@@ -146,7 +149,7 @@ def feed_items(df: DataFrame, now: Column, body: str = "body", domains: tuple[st
     rows = rows.where((F.col("published") <= now) & (F.col("published") >= now - F.expr(f"interval {days} days")) & (F.length("title") >= 5))
     if domains:
         rows = rows.where(on_domains(url_host(F.col("url")), domains))
-    rank = F.row_number().over(Window.partitionBy(*keep).orderBy(F.desc("published"), "url"))
+    rank = F.row_number().over(Window.partitionBy(*(per or keep)).orderBy(F.desc("published"), "url"))
     return rows.withColumn("_r", rank).where(F.col("_r") <= most).drop("_r")
 
 
