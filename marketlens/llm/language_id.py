@@ -22,9 +22,12 @@ from pyspark.sql import functions as F
 from .common import by_chars, extended, small_batches, stored
 
 WORDS = re.compile(r"[^\W\d_]+")
-#: Characters of a piece and of a word's window at most; a longer word is scored in parts of this length.
-PIECE_CHARS = 8
-WORD_CHARS = 48
+#: Characters of the longest piece of the default vocabulary, with its mark; a lattice takes its own vocabulary's.
+PIECE_CHARS = 16
+#: Cells (characters x words x languages) that are worked on at once; longer words go strip by strip.
+CELLS = 2_000_000
+#: Words up to this length are summed without rescaling.
+PLAIN_CHARS = 24
 #: Documents of each language that the model is fitted on, in expectation.
 SAMPLE_PER_LANGUAGE = 4000
 MAX_LANGUAGES = 500
@@ -48,7 +51,7 @@ def pieces_of(path: str) -> tuple[str, ...]:
     out = dict.fromkeys(
         p.lower() for p in (sp.id_to_piece(i) for i in range(sp.get_piece_size())) if not (sp.is_control(sp.piece_to_id(p)) or sp.is_byte(sp.piece_to_id(p)))
     )
-    return tuple(p for p in out if len(p) <= PIECE_CHARS and re.fullmatch(r"▁?[^\W\d_]+|▁", p))
+    return tuple(p for p in out if re.fullmatch(r"▁?[^\W\d_]+|▁", p))
 
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -60,9 +63,8 @@ def _hash_step(h: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def _index(path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the pieces, and each one's place in the vocabulary."""
-    h = np.zeros(0, np.uint64)
+def _index(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Sorted hashes of the pieces, each one's place in the vocabulary, a filter of the hashes, the longest piece."""
     out = []
     for p in pieces_of(path):
         h = np.zeros(1, np.uint64)
@@ -71,77 +73,155 @@ def _index(path: str) -> tuple[np.ndarray, np.ndarray]:
         out.append(h[0])
     hashes = np.array(out, np.uint64)
     order = np.argsort(hashes)
-    return hashes[order], order
+    seen = np.zeros(1 << 20, bool)
+    seen[hashes >> np.uint64(44)] = True
+    return hashes[order], order, seen, max(map(len, pieces_of(path)))
 
 
 class Lattice:
-    """All pieces in all words of a list: for each length m, the piece that begins at each character (-1: none)."""
+    """All pieces in all words of a list, and the sums over their segmentations.
+
+    The words should be of like length (see `blocks`). Pieces are found in strips of characters; sums carry the
+    last alphas alone from strip to strip, so a word of any length is scored whole. Long words' sums are rescaled.
+    """
 
     def __init__(self, words: list[str], path: str):
-        hashes, places = _index(path)
+        self.path, self.n, self.size = path, len(words), len(pieces_of(path))
+        self.longest = _index(path)[3]
         marked = ["▁" + w for w in words]
         self.lens = np.array([len(w) for w in marked], np.int64)
         self.width = int(self.lens.max()) if len(words) else 0
-        self.n = len(words)
-        flat = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        grid = np.zeros((self.n, self.width), np.uint64)
-        inside = np.arange(self.width) < self.lens[:, None]
-        grid[inside] = flat
-        self.inside = inside
-        self.piece = []
-        h = np.zeros_like(grid)
-        for m in range(1, min(PIECE_CHARS, self.width) + 1):
-            cols = self.width - m + 1
-            h = _hash_step(h[:, :cols], grid[:, m - 1 :])
-            i = np.searchsorted(hashes, h)
+        flat = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
+        grid = np.zeros((self.n, self.width), np.uint32)
+        grid[np.arange(self.width) < self.lens[:, None]] = flat
+        self.grid = np.ascontiguousarray(grid.T)
+        self.strip = min(16_384, max(64, CELLS // 16 // max(1, self.n)))
+        self._last = (-1, [])
+
+    def hits(self, start: int) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
+        """For each character of the strip from start: (length, words, places) of the pieces that begin there.
+
+        A single character that is no piece has the place behind the vocabulary (unknown).
+        """
+        if self._last[0] == start:
+            return self._last[1]
+        hashes, places, seen, _ = _index(self.path)
+        k = min(self.strip, self.width - start)
+        out: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(k)]
+        h = np.zeros((k, self.n), np.uint64)
+        for m in range(1, min(self.longest, self.width - start) + 1):
+            chars = self.grid[start + m - 1 : start + m - 1 + k]
+            h = _hash_step(h[: len(chars)], chars.astype(np.uint64))
+            inside = chars != 0
+            maybe = np.flatnonzero(inside if m == 1 else seen[h >> np.uint64(44)] & inside)
+            own = h.ravel()[maybe]
+            i = np.searchsorted(hashes, own)
             i[i == len(hashes)] = 0
-            ok = (hashes[i] == h) & inside[:, m - 1 :]
-            self.piece.append(np.where(ok, places[i], -1))
-
-    def arcs(self, probs: np.ndarray) -> list[np.ndarray]:
-        """Probability of the piece of each length from each character; uncovered single characters are unknown."""
-        table = np.concatenate([probs, [0.0]])
-        out = [table[p] for p in self.piece]
-        if out:
-            out[0] = np.where(self.piece[0] < 0, UNKNOWN, out[0])
+            ok = hashes[i] == own
+            place = np.where(ok, places[i], self.size)
+            if m > 1:
+                maybe, place = maybe[ok], place[ok]
+            col, row = np.divmod(maybe, self.n)
+            at = np.searchsorted(col, np.arange(len(chars) + 1))
+            for c in np.flatnonzero(np.diff(at)).tolist():
+                out[c].append((m, row[at[c] : at[c + 1]], place[at[c] : at[c + 1]]))
+        self._last = (start, out)
         return out
 
-    def forward(self, arcs: list[np.ndarray]) -> np.ndarray:
-        """Sum over the segmentations of each prefix."""
-        alpha = np.zeros((self.n, self.width + 1))
-        alpha[:, 0] = 1
-        for j in range(1, self.width + 1):
-            for m in range(1, min(PIECE_CHARS, j) + 1):
-                alpha[:, j] += alpha[:, j - m] * arcs[m - 1][:, j - m]
-        return alpha
+    def arcs(self, probs: np.ndarray) -> np.ndarray:
+        """Probability of each place; the one behind the vocabulary is an uncovered character's."""
+        return np.concatenate([probs, np.full((1, *probs.shape[1:]), UNKNOWN)])
+
+    def _strip(self, arcs: np.ndarray, start: int, ring: np.ndarray, logs: np.ndarray, out: np.ndarray, keep: list | None = None) -> None:
+        """Carry the alphas in ring, divided by exp(logs), over the strip from start; words that end in it go to out.
+
+        keep takes each character's alphas and the logarithm that they are divided by.
+        """
+        slots = len(ring)
+        for c, found in enumerate(self.hits(start), start):
+            alpha = ring[c % slots]
+            if keep is not None:
+                keep.append((alpha.copy(), logs.copy()))
+            for m, row, place in found:
+                ring[(c + m) % slots][row] += alpha[row] * arcs[place]
+            alpha[:] = 0
+            done = np.flatnonzero(self.lens == c + 1)
+            if len(done):
+                out[done] = np.log(ring[(c + 1) % slots][done]) + logs[done]
+            if c % 8 == 7:
+                self._rescale(ring, logs)
+
+    def _rescale(self, ring: np.ndarray, logs: np.ndarray) -> None:
+        if self.width > PLAIN_CHARS:
+            most = ring.max(0)
+            most[most == 0] = 1
+            ring /= most
+            logs += np.log(most)
+
+    def forward(self, arcs: np.ndarray, starts: list | None = None) -> np.ndarray:
+        """Logarithm of each word's sum over its segmentations (words, or words x languages, as arcs).
+
+        starts takes what each strip begins with.
+        """
+        shape = (self.n, *arcs.shape[1:])
+        ring, logs, out = np.zeros((self.longest + 1, *shape)), np.zeros(shape), np.zeros(shape)
+        ring[0] = 1
+        for start in range(0, self.width, self.strip):
+            if starts is not None:
+                starts.append((start, ring.copy(), logs.copy()))
+            self._strip(arcs, start, ring, logs, out)
+        return out
 
-    def totals(self, alpha: np.ndarray) -> np.ndarray:
-        return np.maximum(alpha[np.arange(self.n), self.lens], 1e-300)
+    def totals(self, logs: np.ndarray) -> np.ndarray:
+        return np.exp(logs)
 
-    def expected(self, arcs: list[np.ndarray], weight: np.ndarray, size: int) -> np.ndarray:
+    def expected(self, arcs: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected uses of each piece, from forward and backward sums, with each word's weight."""
-        alpha = self.forward(arcs)
-        beta = np.zeros((self.n, self.width + 1))
-        beta[np.arange(self.n), self.lens] = 1
-        for j in range(self.width - 1, -1, -1):
-            for m in range(1, min(PIECE_CHARS, self.width - j) + 1):
-                beta[:, j] += arcs[m - 1][:, j] * beta[:, j + m]
-        scale = weight / self.totals(alpha)
-        out = np.zeros(size)
-        for m, (p, a) in enumerate(zip(self.piece, arcs), 1):
-            cols = p.shape[1]
-            use = alpha[:, :cols] * a * beta[:, m : m + cols] * scale[:, None]
-            ok = p >= 0
-            out += np.bincount(p[ok], use[ok], size)
-        return out
+        starts: list = []
+        total = self.forward(arcs, starts)
+        slots = self.longest + 1
+        ring = np.zeros((slots, self.n))
+        logs = np.zeros(self.n)
+        uses = np.zeros(self.size + 1)
+        for start, *begin in reversed(starts):
+            used: list[tuple[np.ndarray, np.ndarray]] = []
+            keep: list = []
+            self._strip(arcs, start, *begin, np.empty(self.n), keep)
+            found = self.hits(start)
+            for c in range(start + len(found) - 1, start - 1, -1):
+                ring[(c + 1) % slots][self.lens == c + 1] = 1
+                beta = ring[c % slots]
+                beta[:] = 0
+                alpha, scale = keep.pop()
+                scale = alpha * weight * np.exp(scale + logs - total)
+                for m, row, place in found[c - start]:
+                    way = arcs[place] * ring[(c + m) % slots][row]
+                    beta[row] += way
+                    used.append((place, scale[row] * way))
+                if c % 8 == 0:
+                    self._rescale(ring, logs)
+            if used:
+                uses += np.bincount(np.concatenate([p for p, _ in used]), np.concatenate([u for _, u in used]), self.size + 1)
+        return uses[:-1]
+
+
+def blocks(words: list[str], languages: int = 1) -> Iterator[np.ndarray]:
+    """Places of words of like length, about CELLS cells (characters x languages) at once; a longer word is alone."""
+    lens = np.array([len(w) + 1 for w in words], np.int64)
+    order = np.argsort(lens, kind="stable")
+    sizes = lens[order]
+    start = 0
+    while start < len(order):
+        # up to a quarter longer than the shortest, as far as the cells go
+        end = int(np.searchsorted(sizes, sizes[start] * 5 // 4, "right"))
+        end = max(start + 1, min(end, start + CELLS // 2 // int(sizes[end - 1] * languages)))
+        yield order[start:end]
+        start = end
 
 
 def words_in(text: str) -> list[str]:
-    """Lower-cased runs of letters; a run longer than WORD_CHARS in parts of that length (nothing is left out)."""
-    found = WORDS.findall(text.lower())
-    if any(len(w) > WORD_CHARS for w in found):
-        found = [w[i : i + WORD_CHARS] for w in found for i in range(0, len(w), WORD_CHARS)]
-    return found
+    """Lower-cased runs of letters, each whole."""
+    return WORDS.findall(text.lower())
 
 
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,13 +235,12 @@ def _expect(path: str, shared):
     def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         sums: dict[str, np.ndarray] = {}
-        size = len(pieces_of(path))
         for pdf in batches:
             for lang, part in pdf.groupby("lang"):
-                for i in range(0, len(part), 20_000):
-                    own = part.iloc[i : i + 20_000]
-                    lattice = Lattice(own["word"].tolist(), path)
-                    got = lattice.expected(lattice.arcs(model[lang]), own["n"].to_numpy(np.float64), size)
+                words, n = part["word"].tolist(), part["n"].to_numpy(np.float64)
+                for at in blocks(words):
+                    lattice = Lattice([words[i] for i in at], path)
+                    got = lattice.expected(lattice.arcs(model[lang]), n[at])
                     sums[lang] = sums.get(lang, 0) + got
         for lang, s in sums.items():
             at = np.flatnonzero(s)
@@ -227,10 +306,11 @@ def score_texts(texts: list[str | None], langs: list[str], probs: list[np.ndarra
     flat[:] = [x for w in words for x in w]
     codes, distinct = pd.factorize(flat)
     logp = np.zeros((len(distinct), len(langs)))
-    for i in range(0, len(distinct), 20_000):
-        lattice = Lattice(list(distinct[i : i + 20_000]), path)
-        for j, p in enumerate(probs):
-            logp[i : i + lattice.n, j] = np.log(lattice.totals(lattice.forward(lattice.arcs(p))))
+    if len(langs):
+        table = np.stack(probs, axis=1)
+        for at in blocks(distinct, len(langs)):
+            lattice = Lattice([distinct[i] for i in at], path)
+            logp[at] = lattice.forward(lattice.arcs(table))
     sums = np.zeros((len(texts), len(langs)))
     doc = np.repeat(np.arange(len(texts)), counts)
     for j in range(len(langs)):
