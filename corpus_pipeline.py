@@ -30,17 +30,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest doc_id.
 
-    Repeated rows count as copies. Documents without words stay.
+    Decisions are taken and applied by row, as ids may be repeated or null: of rows with the smallest id (a null is the
+    largest) the one with the smallest hash of its text stays. Repeated rows count as copies. Documents without words
+    stay.
     """
-    groups = jaccard.jaccard_components(docs, n=5, num=80, den=100)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stored(kept.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_copies")), "kept")
-    rows = docs.withColumn("_doc", F.col("doc_id"))
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard.jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), n=5, num=80, den=100)
+    groups = groups.select(F.col("doc_id").alias("_row"), "component_id", (F.col("n_shingles") > 0).alias("_words"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("hash"), "_row")
+    best = groups.join(rows.select("_row", order.alias("_order")), "_row").groupBy("component_id", "_words").agg(F.min("_order").alias("_order"))
+    kept = stored(best.select("_order._row", "_words"), "kept")
     small = F.broadcast(kept) if kept.limit(1_000_001).count() <= 1_000_000 else kept
-    rows = rows.join(small, F.col("_doc").eqNullSafe(F.col("_id")))
-    once = rows.where("_copies = 1").select(*docs.columns)
-    repeated = rows.where("_copies > 1").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return once.unionByName(repeated)
+    rows = rows.join(small, "_row")
+    worded = rows.where("_words").select(*docs.columns)
+    blank = rows.where("not _words").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return worded.unionByName(blank)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import math
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
@@ -68,3 +69,19 @@ def test_language_sums_are_over_whole_words_and_pieces(monkeypatch, cells):
         for t, x in u.items():
             brute[pieces.index(t)] += w * x
     assert np.allclose(uses, brute, rtol=1e-8, atol=1e-12)
+
+
+def test_near_copies_with_repeated_and_null_ids(spark):
+    words = lambda k, n=60: " ".join(f"{k}{i}" for i in range(n))
+    rows = [
+        (7, words("a")), (7, words("a") + " more"),  # one id, two near copies
+        (5, words("t")), (5, words("b")), (2, words("b") + " more"),  # 5 is kept for one text alone
+        (None, words("c")), (None, words("c") + " more"), (None, words("d")), (1, words("d") + " more"), (None, words("e")),
+        (8, words("f")), (8, words("f")), (9, ""), (9, ""), (10, None), (None, None),
+    ]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicates(spark, docs.repartition(3), "")
+    assert out.dtypes == docs.dtypes
+    got = sorted(((r["doc_id"], (r["text"] or "-")[:1]) for r in out.collect()), key=repr)
+    want = [(7, "a"), (5, "t"), (2, "b"), (None, "c"), (1, "d"), (None, "e"), (8, "f"), (9, "-"), (10, "-"), (None, "-")]
+    assert got == sorted(want, key=repr)
