@@ -10,6 +10,8 @@ from .common import stored
 
 MAGIC = "WARC/1."
 END = "\r\n\r\n"
+#: Stands in a url for what follows a magic's letters: ESCAPE + 2E is the magic, ESCAPE + 25 is ESCAPE itself.
+ESCAPE = MAGIC[:-1] + "%"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -49,12 +51,14 @@ def write_archives(records: DataFrame, path: str, date: str = "1970-01-01T00:00:
     """Write one WARC/1.0 record per row, with Spark's text writer (each task writes one archive).
 
     A response carries an HTTP header and the payload; a revisit has the HTTP header alone and names the response
-    by WARC-Refers-To. Control characters in a url are percent-encoded.
+    by WARC-Refers-To. Control characters in a url are percent-encoded. So is the point of a magic in a url, as a
+    header must lie in one segment; `page_records` undoes it.
     """
     is_response = F.col("record_type") == "response"
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit(END))
     length = F.octet_length(http) + F.when(is_response, F.col("payload_bytes")).otherwise(0)
     url = F.regexp_replace(F.regexp_replace("url", r"\r", "%0D"), r"\n", "%0A")
+    url = F.replace(F.replace(url, F.lit(ESCAPE), F.lit(ESCAPE + "25")), F.lit(MAGIC), F.lit(ESCAPE + "2E"))
     head = F.concat(
         F.lit(MAGIC + "0\r\nWARC-Type: "),
         F.col("record_type"),
@@ -182,7 +186,7 @@ def page_records(records: DataFrame) -> DataFrame:
     told = F.regexp_extract("_http", r"(?i)\r\nContent-Length: *([0-9]+)", 1).cast("bigint")
     return rows.select(
         page("_rid").alias("page_id"),
-        F.nullif("url", F.lit("")).alias("url"),
+        F.nullif(F.replace(F.replace("url", F.lit(ESCAPE + "2E"), F.lit(MAGIC)), F.lit(ESCAPE + "25"), F.lit(ESCAPE)), F.lit("")).alias("url"),
         F.when(is_response, F.octet_length("payload").cast("long")).otherwise(told).alias("payload_bytes"),
         F.when(is_response, base32_sha1(F.col("payload"))).otherwise(F.substring("_digest", 6, 32)).alias("payload_digest"),
         "record_type",

@@ -6,8 +6,9 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from marketlens.llm import language_id
+from marketlens.llm import language_id, warc
 from marketlens.plans import registry
 
 
@@ -85,3 +86,11 @@ def test_near_copies_with_repeated_and_null_ids(spark):
     got = sorted(((r["doc_id"], (r["text"] or "-")[:1]) for r in out.collect()), key=repr)
     want = [(7, "a"), (5, "t"), (2, "b"), (None, "c"), (1, "d"), (None, "e"), (8, "f"), (9, "-"), (10, "-"), (None, "-")]
     assert got == sorted(want, key=repr)
+
+
+def test_warc_urls_with_the_magic(spark, tmp_path):
+    urls = ["http://a/WARC/1.0", "http://b", "http://c/WARC/1.0/WARC/1.1?WARC/1.", "WARC/1%2E", "WARC/1%25WARC/1.", "WARC/1%252E", "WARC/1%", "http://d"]
+    pages = spark.createDataFrame([(i, u, f"<p>{i}</p>") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    for df, name in ((pages.coalesce(1).orderBy("page_id"), "first"), (pages.coalesce(1).orderBy(F.desc("page_id")), "middle")):
+        got = warc.round_trip(df, str(tmp_path / name)).collect()
+        assert sorted((r["page_id"], r["url"], bytes(r["payload"]).decode()) for r in got) == [(i, u, f"<p>{i}</p>") for i, u in enumerate(urls)]
