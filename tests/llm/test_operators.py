@@ -201,7 +201,7 @@ def test_packing_and_counts(spark):
 
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     rng = random.Random(2)
-    rows = [*ODD, *((i, " ".join(rng.choice(["the", "<|endoftext|>", "don't", "ÉTÉ", "x1y", "\n", "a  b", "日本", "…!"]) for _ in range(rng.randint(0, 300)))) for i in range(60))]
+    rows = [*ODD, *((i, " ".join(rng.choice(["the", "<|endoftext|>", "don't", "ÉTÉ", "x1y", "\n", "a  b", "日本", "…!", "hello\0world", "hello\0moon", "\0"]) for _ in range(rng.randint(0, 300)))) for i in range(60))]
     df = docs_of(spark, rows)
     got = packing.pack(df, most=64, keep_ids=True).collect()
     want = collections.Counter()
@@ -246,7 +246,7 @@ def test_topk(spark, monkeypatch):
     rng = np.random.default_rng(1)
     vecs = {i: rng.normal(size=6).round(1).tolist() for i in range(120)}
     vecs |= {i: vecs[0] for i in range(120, 150)}
-    rows = [(i, v, "x") for i, v in vecs.items()] + [(0, vecs[0], "x"), (200, None, "x"), (250, [1.0, None, 0, 0, 0, 0], "x"), (300, [float("nan")] * 6, "x"), (350, [], "x"), (400, [0.0] * 6, "x"), (450, [1.0], "x"), (None, vecs[1], "x")]
+    rows = [(i, v, "x") for i, v in vecs.items()] + [(0, vecs[0], "x"), (200, None, "x"), (250, [1.0, None, 0.0, 0.0, 0.0, 0.0], "x"), (300, [float("nan")] * 6, "x"), (350, [], "x"), (400, [0.0] * 6, "x"), (450, [1.0], "x"), (None, vecs[1], "x")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string")
     got = collections.defaultdict(list)
     for r in topk.exact_top_k(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
