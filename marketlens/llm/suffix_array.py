@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+UNKNOWN = -2
+
 
 def suffix_array(text: np.ndarray) -> list[int]:
     """Starts of the suffixes of `text` (non-negative integers) in lexicographic order; a shorter prefix is first.
@@ -33,7 +35,7 @@ def suffix_array(text: np.ndarray) -> list[int]:
     count = np.zeros(n, np.int64)
     count[first] = sizes
     at, where, group, size = order.tolist(), place.tolist(), start.tolist(), count.tolist()
-    prev = [-1] * n
+    prev = [UNKNOWN] * n
 
     end = n - 1
     while end > 0:
@@ -59,15 +61,25 @@ def suffix_array(text: np.ndarray) -> list[int]:
             end = low - 1
             continue
         pointed: dict[int, int] = {}
-        for s in sorted(at[low : end + 1]):
-            p = s - 1
-            while p >= 0 and group[p] > low:
-                p = prev[p]
-            if p >= 0 and group[p] == low:
-                p = prev[p]
-            prev[s] = p
-            if p >= 0:
-                pointed[p] = pointed.get(p, 0) + 1
+        for last in at[low : end + 1]:
+            waiting = [last]  # a suffix waits for the earlier one of its own group whose pointer it takes over
+            while waiting:
+                s = waiting[-1]
+                if prev[s] != UNKNOWN:
+                    waiting.pop()
+                    continue
+                p = s - 1
+                while p >= 0 and group[p] > low:
+                    p = prev[p]
+                if p >= 0 and group[p] == low:
+                    if prev[p] == UNKNOWN:
+                        waiting.append(p)
+                        continue
+                    p = prev[p]
+                prev[s] = p
+                waiting.pop()
+                if p >= 0:
+                    pointed[p] = pointed.get(p, 0) + 1
         by_count: dict[int, dict[int, list[int]]] = {}
         for p, c in pointed.items():
             by_count.setdefault(c, {}).setdefault(group[p], []).append(p)
