@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,14 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: Sides up to this many rows are broadcast after a count; larger ones are shuffled.
+#: A side is broadcast only up to these rows and bytes, both measured; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 48 << 20
+#: Lets a query's shuffle files go when it is done: what comes after reads the table that it wrote.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; only where unset (tests) a folder of our own."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a local master gets a folder of our
+    own (its driver and executor are one process); on a cluster that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -31,22 +38,83 @@ def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     files: at most so many files, for tables that are small whatever the documents (of a benchmark or a model).
     Zstandard is used since Snappy's direct buffers add up over many small files until the next full collection.
     """
+    return _write(df, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}", files)
+
+
+def _write(df: DataFrame, path: str, files: int | None) -> DataFrame:
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEAN_UP)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Scratch:
+    """The stored tables of one call of an operator, each of which can go once nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base, self.tables = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", []
+
+    def stored(self, df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+        path = f"{self.base}/{len(self.tables)}-{name}"
+        out = _write(df, path, files)
+        self.tables.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for df, path in self.tables:
+            if any(df is t for t in tables):
+                remove(self.spark, path)
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Drop all but these, which the result reads."""
+        self.drop(*[df for df, _ in self.tables if not any(df is t for t in tables)])
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows an Arrow batch holds, since texts can be long; a smaller setting of the session stays."""
+    """Bound the rows an Arrow batch holds, since texts can be long; a smaller setting of the session stays.
+
+    The bound stays in the session: results are lazy, and their batches are cut when they are read.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
 
 
+def _width(name: str, kind: T.DataType) -> Column:
+    """Bytes of a value, about."""
+    col = F.col(f"`{name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(col)
+    elif isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType)):
+            size = F.aggregate(col, F.lit(0), lambda a, x: a + 8 + F.octet_length(x))
+        else:
+            size = F.size(col) * 8 * (len(kind.elementType) if isinstance(kind.elementType, T.StructType) else 1)
+    else:
+        return F.lit(8)
+    return F.coalesce(size, F.lit(0)) + 16
+
+
+def fits(small: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a (stored) side has at most so many rows and bytes."""
+    width = sum((_width(f.name, f.dataType) for f in small.schema.fields), F.lit(0))
+    n, size = small.limit(rows + 1).agg(F.count("*"), F.sum(width.cast("long"))).first()
+    return n <= rows and (size or 0) <= most
+
+
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a broadcast of `small` if a count shows that it is small, else by a shuffle. `small` should be stored."""
-    if small.limit(limit + 1).count() <= limit:
+    """Join with a broadcast of `small` if its rows and bytes, measured, are few, else by a shuffle. `small` should be stored."""
+    if fits(small, limit):
         small = F.broadcast(small)
     return big.join(small, on, how)
 

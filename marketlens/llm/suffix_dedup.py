@@ -2,7 +2,9 @@
 
 1. Each window of `min_bytes` bytes is given to its minimiser, the k-byte gram in it with the least hash; equal
    windows choose equal grams at equal places. Consecutive windows with one minimiser are a run.
-2. Runs are grouped by gram (hash). Runs with equal bytes are one context with a count; from two on, all their
+2. Grams alone are counted first. Nearly all occur once, and only runs of the others (and of those that a bitmap of
+   fixed size can't tell from them) go on.
+   Runs are grouped by gram (hash). Runs with equal bytes are one context with a count; from two on, all their
    windows are repeated. A gram with a single context needs no more.
 3. The other contexts are dealt into bounded bins of whole gram groups. In a bin, contexts are cut into blocks of 16
    bytes on the grid of their anchors, and a suffix array over the blocks (see suffix_array) brings equal stretches
@@ -21,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_chars, extended, join_checked, small_batches, stored
+from .common import Scratch, by_chars, extended, join_checked, small_batches
 from .suffix_array import suffix_array
 
 BLOCK = 16
+#: Bits of the bitmap of grams seen twice (32 MB), and its parts; a fuller bitmap lets more runs pass, never fewer.
+FILTER_BITS = 1 << 28
+FILTER_PARTS = 1 << 10
 #: Contexts of a bin, and the size beyond which one gram's group is split.
 BIN_CONTEXTS = 8192
 GROUP_CONTEXTS = 20_000
@@ -67,8 +72,10 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(suf[: n - w + 1], pre[w - 1 : n])
 
 
-def runs_of(texts: list[bytes], min_bytes: int, k: int) -> dict[str, np.ndarray]:
-    """Runs of windows with one minimiser: doc (index), lo (first start), n (starts), off, gram hash, two content hashes."""
+def runs_of(texts: list[bytes], min_bytes: int, k: int, grams_only: bool = False) -> dict[str, np.ndarray]:
+    """Runs of windows with one minimiser: doc (index), lo (first start), n (starts), off, gram hash, two content hashes.
+
+    grams_only: the gram hashes alone."""
     lens = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(lens)
     buf = np.frombuffer(b"".join(texts), np.uint8)
@@ -91,6 +98,8 @@ def runs_of(texts: list[bytes], min_bytes: int, k: int) -> dict[str, np.ndarray]
     more[:-1] = same[1:]
     last = np.flatnonzero(ok & ~more)
     anchor, d = low[first], doc[first]
+    if grams_only:
+        return {"h": two.of(anchor, anchor + k).view(np.int64)}
     stop = last + min_bytes
     return {
         "doc": d,
@@ -103,15 +112,51 @@ def runs_of(texts: list[bytes], min_bytes: int, k: int) -> dict[str, np.ndarray]
     }
 
 
-def _emit_runs(min_bytes: int, k: int):
+def _emit_grams(min_bytes: int, k: int):
+    """(h, n): the grams of some texts' runs with their counts."""
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = [t.encode() for t in pdf["text"]]
+            for a, b in by_chars(texts, 2_000_000):
+                h, n = np.unique(runs_of(texts[a:b], min_bytes, k, grams_only=True)["h"], return_counts=True)
+                yield pd.DataFrame({"h": h, "n": n})
+
+    return emit
+
+
+def _bitmap_part(pdf: pd.DataFrame) -> pd.DataFrame:
+    bits = np.zeros(FILTER_BITS // FILTER_PARTS, bool)
+    bits[pdf["bit"].to_numpy() % len(bits)] = True
+    return pd.DataFrame({"part": pdf["part"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
+
+
+def repeated_grams(grams: DataFrame) -> np.ndarray:
+    """The bitmap of the grams (h, n) that occur twice or more."""
+    often = grams.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    bits = often.select(F.pmod("h", F.lit(FILTER_BITS)).alias("bit")).distinct()
+    parts = bits.withColumn("part", F.expr(f"bit div {FILTER_BITS // FILTER_PARTS}"))
+    parts = parts.groupBy("part").applyInPandas(_bitmap_part, "part long, bits binary")
+    out = np.zeros((FILTER_PARTS, FILTER_BITS // FILTER_PARTS // 8), np.uint8)
+    for row in parts.collect():  # at most FILTER_BITS bits
+        out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
+
+
+def _emit_runs(min_bytes: int, k: int, seen):
+    """The runs whose grams are in the broadcast bitmap."""
+
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bitmap = seen.value
         for pdf in batches:
             texts = [t.encode() for t in pdf["text"]]
             cls = pdf["cls"].to_numpy()
             for a, b in by_chars(texts, 2_000_000):
                 r = runs_of(texts[a:b], min_bytes, k)
-                if len(r["doc"]):
-                    yield pd.DataFrame({"cls": cls[a:b][r["doc"]], **{c: r[c] for c in ("lo", "n", "off", "h", "c1", "c2")}})
+                bit = np.mod(r["h"], FILTER_BITS)
+                ok = bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1 == 1
+                if ok.any():
+                    yield pd.DataFrame({"cls": cls[a:b][r["doc"][ok]], **{c: r[c][ok] for c in ("lo", "n", "off", "h", "c1", "c2")}})
 
     return emit
 
@@ -192,9 +237,9 @@ def _solve_bin(min_bytes: int):
     return solve
 
 
-def _solve(parts: DataFrame, min_bytes: int, width: int, bin_contexts: int, group_contexts: int) -> DataFrame:
+def _solve(scratch: Scratch, parts: DataFrame, min_bytes: int, width: int, bin_contexts: int, group_contexts: int) -> DataFrame:
     """(uid, s, e): repeated starts of distinct parts (h, uid, off, n, mult, body); width: offsets a group may have."""
-    sizes = stored(parts.groupBy("h").agg(F.count("*").alias("m"), F.min("mult").alias("least")), "groups")
+    sizes = scratch.stored(parts.groupBy("h").agg(F.count("*").alias("m"), F.min("mult").alias("least")), "groups")
     sizes = sizes.where("m > 1 and least = 1")
     parts = join_checked(parts, sizes, "h")
     total, most = sizes.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).first()
@@ -217,12 +262,12 @@ def _solve(parts: DataFrame, min_bytes: int, width: int, bin_contexts: int, grou
     core = F.substring(F.col("body"), (F.col("top") - F.col("c") * w + 1).cast("int"), F.lit(min_bytes - w + 1))
     cells = cells.select("uid", "shift", F.xxhash64("h", "c", core).alias("h"), F.col("top").alias("off"), F.col("n2").alias("n"), "mult", "body")
     cells = cells.withColumn("sub", F.md5(F.concat(F.concat_ws("|", "h", "off", "n", F.lit("")).cast("binary"), F.col("body"))))
-    cells = stored(cells, "cells")
+    cells = scratch.stored(cells, "cells")
     distinct = cells.groupBy("sub").agg(
         F.first("h").alias("h"), F.first("off").alias("off"), F.first("n").alias("n"), F.sum("mult").alias("mult"), F.first("body").alias("body")
     )
-    distinct = stored(distinct.withColumnRenamed("sub", "uid"), "parts")
-    found = _solve(distinct, min_bytes, w, bin_contexts, group_contexts)
+    distinct = scratch.stored(distinct.withColumnRenamed("sub", "uid"), "parts")
+    found = _solve(scratch, distinct, min_bytes, w, bin_contexts, group_contexts)
     full = distinct.where("mult > 1").select("uid", F.lit(0).cast("long").alias("s"), (F.col("n") - 1).alias("e"))
     found = full.unionByName(found).withColumnRenamed("uid", "sub")
     back = cells.select("uid", "shift", "sub").join(found, "sub").select("uid", (F.col("s") + F.col("shift")).alias("s"), (F.col("e") + F.col("shift")).alias("e"))
@@ -237,28 +282,30 @@ def repeated_spans(docs: DataFrame, min_bytes: int = 400, bin_contexts: int = BI
     if min_bytes < 64:
         raise ValueError("min_bytes must be 64 at least")
     k = max(BLOCK * 2, min_bytes // 3)
+    scratch = Scratch(docs.sparkSession, "repeats")
     small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", text.alias("text")).withColumn("cls", F.unhex(F.md5("text")))
     runs = keyed.where(F.octet_length("text") >= min_bytes).select("cls", "text")
-    runs = stored(runs.mapInPandas(_emit_runs(min_bytes, k), "cls binary, lo int, n int, off int, h long, c1 long, c2 long"), "runs")
+    seen = docs.sparkSession.sparkContext.broadcast(repeated_grams(runs.select("text").mapInPandas(_emit_grams(min_bytes, k), "h long, n long")))
+    runs = scratch.stored(runs.mapInPandas(_emit_runs(min_bytes, k, seen), "cls binary, lo int, n int, off int, h long, c1 long, c2 long"), "runs")
     same = ["h", "c1", "c2", "off", "n"]
     contexts = runs.groupBy(*same).agg(F.count("*").alias("mult"), F.min(F.struct("cls", "lo")).alias("at"))
-    contexts = stored(contexts, "contexts")
+    contexts = scratch.stored(contexts, "contexts")
     groups = contexts.groupBy("h").agg(F.count("*").alias("m"), F.min("mult").alias("least")).where("m > 1 and least = 1")
     needed = contexts.join(groups.select("h"), "h", "left_semi")
     uid = F.md5(F.concat_ws("|", *same))
     needed = needed.select("h", uid.alias("uid"), "off", "n", "mult", F.col("at.cls").alias("cls"), F.col("at.lo").alias("lo"))
-    by_text = stored(needed.groupBy("cls").agg(F.collect_list(F.struct("h", "uid", "off", "n", "mult", "lo")).alias("parts")), "needed")  # those of one text
+    by_text = scratch.stored(needed.groupBy("cls").agg(F.collect_list(F.struct("h", "uid", "off", "n", "mult", "lo")).alias("parts")), "needed")  # those of one text
     # one row of each text
     one = keyed.groupBy("cls").agg(F.min("doc_id").alias("_doc"))
-    wanted = stored(by_text.select("cls").join(one, "cls"), "wanted")
+    wanted = scratch.stored(by_text.select("cls").join(one, "cls"), "wanted")
     rows = join_checked(keyed, wanted, "cls").where(F.col("doc_id").eqNullSafe(F.col("_doc"))).select("cls", "text")
     rows = join_checked(rows, by_text, "cls", limit=20_000).select(F.encode("text", "UTF-8").alias("text"), F.explode("parts").alias("p"))
     body = F.substring(F.col("text"), F.col("p.lo") + 1, F.col("p.n") + (min_bytes - 1))
     parts = rows.select(F.col("p.h").alias("h"), F.col("p.uid").alias("uid"), F.col("p.off").cast("long").alias("off"), F.col("p.n").cast("long").alias("n"), F.col("p.mult").alias("mult"), body.alias("body"))
-    parts = stored(parts.dropDuplicates(["uid"]), "parts")
-    found = stored(_solve(parts, min_bytes, min_bytes - k + 1, bin_contexts, group_contexts), "found")
+    parts = scratch.stored(parts.dropDuplicates(["uid"]), "parts")
+    found = scratch.stored(_solve(scratch, parts, min_bytes, min_bytes - k + 1, bin_contexts, group_contexts), "found")
     # back to the runs: contexts that occur twice are repeated as a whole
     single = contexts.where("mult = 1").select(F.md5(F.concat_ws("|", *same)).alias("uid"), F.col("at.cls").alias("cls"), F.col("at.lo").alias("lo"))
     single = join_checked(single, found, "uid").select("cls", (F.col("lo") + F.col("s")).alias("a"), (F.col("lo") + F.col("e") + min_bytes).alias("b"))
@@ -276,7 +323,10 @@ def repeated_spans(docs: DataFrame, min_bytes: int = 400, bin_contexts: int = BI
             ),
         ).otherwise(F.concat(acc, F.array(x))),
     )
-    return stored(spans.select("cls", merged.alias("spans")), "spans")
+    out = scratch.stored(spans.select("cls", merged.alias("spans")), "spans")
+    scratch.keep(out)
+    seen.destroy()
+    return out
 
 
 def _cut(whole_chars: bool):
