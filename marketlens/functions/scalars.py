@@ -125,29 +125,42 @@ def event_rules(precision: Column, day: Column, ts: Column, title: Column) -> li
 
 # --- labels -----------------------------------------------------------------------------------------------------
 def banded(value: Column, bands: list[tuple[float, str]], last: str) -> Column:
-    """The label of the first band whose upper bound exceeds the value; NULL stays NULL."""
-    out = F.when(value.isNull(), F.lit(None).cast("string"))
+    """The label of the first band whose upper bound exceeds the value; NULL and NaN stay NULL."""
+    out = F.when(value.isNull() | F.isnan(value.cast("double")), F.lit(None).cast("string"))
     for top, label in bands:
         out = out.when(value < top, label)
     return out.otherwise(last)
 
 
-#: Zones of the indicators and of on-chain and macro metrics (upper bounds, last label).
-ZONES = {
-    "rsi": ([(30, "oversold"), (70, "neutral")], "overbought"),
-    "stochastic": ([(20, "oversold"), (80, "neutral")], "overbought"),
-    "williams": ([(-80, "oversold"), (-20, "neutral")], "overbought"),
-    "cci": ([(-100, "oversold"), (100, "neutral")], "overbought"),
-    "mvrv": ([(1, "undervalued"), (2.4, "fair"), (3.5, "elevated")], "overheated"),
-    "asopr": ([(1, "loss")], "profit"),
-    "nupl": ([(0, "capitulation"), (0.25, "hope"), (0.5, "optimism"), (0.75, "belief")], "euphoria"),
-    "us10y": ([(3, "low"), (4.5, "moderate")], "high"),
-    "vix": ([(15, "calm"), (25, "normal")], "stress"),
+#: Below the first an indicator is oversold, above the second overbought, both bounds neutral.
+ZONES = {"rsi": (30, 70), "stochastic": (20, 80), "williams": (-80, -20), "cci": (-100, 100)}
+
+#: Bands of on-chain metrics (upper bounds, which belong to the next band; last label).
+BANDS = {
+    "mvrv": ([(1, "below cost"), (1.5, "accumulation"), (2.5, "intermediate"), (3.5, "elevated")], "euphoria"),
+    "asopr": ([(1, "loss"), (1.1, "moderate profit"), (1.3, "profit")], "high profit"),
+    "nupl": ([(0, "capitulation"), (0.25, "low risk"), (0.5, "optimism"), (0.75, "belief")], "euphoria"),
+}
+
+#: Bands of macro series (bounds to be exceeded, from the top; last label).
+LEVELS = {
+    "us10y": ([(5.5, "near highs"), (5, "pressing")], "normal"),
+    "vix": ([(25, "fear"), (15, "low premium")], "calm"),
+    "usd": ([(125, "strong"), (110, "elevated")], "normal"),
 }
 
 
 def zone(kind: str, value: Column) -> Column:
-    return banded(value, *ZONES[kind])
+    if kind in ZONES:
+        low, high = ZONES[kind]
+        return F.when(value < low, "oversold").when((value > high) & ~F.isnan(value.cast("double")), "overbought").when(value <= high, "neutral")
+    if kind in BANDS:
+        return banded(value, *BANDS[kind])
+    levels, last = LEVELS[kind]
+    out = F.when(value.isNull() | F.isnan(value.cast("double")), F.lit(None).cast("string"))
+    for bottom, label in levels:
+        out = out.when(value > bottom, label)
+    return out.otherwise(last)
 
 
 def sign_label(value: Column, up: str = "bullish", down: str = "bearish") -> Column:
@@ -200,9 +213,10 @@ def request_identity(params: Column) -> Column:
 
 
 def redact(text: Column) -> Column:
-    """Values of secret-looking parameters and headers, and bearer tokens, replaced."""
-    t = F.regexp_replace(text, r"(?i)\b(api[_-]?key|token|secret|password|signature|authorization)(\"?\s*[=:]\s*\"?)([^&\s\",}]+)", "$1$2***")
-    return F.regexp_replace(t, r"(?i)bearer\s+[A-Za-z0-9._~+/-]+", "Bearer ***")
+    """Bearer tokens, then values of secret-looking parameters and headers, replaced."""
+    t = F.regexp_replace(text, r"(?i)\b(bearer)\s+[A-Za-z0-9._~+/=-]+", "$1 ***")
+    names = r"api[_-]?key|access[_-]?key|access[_-]?token|token|secret|password|signature|authorization"
+    return F.regexp_replace(t, rf"(?i)\b({names})(\"?\s*[=:]\s*['\"]?)(?!bearer \*)([^&\s\"',}}<>]+)", "$1$2***")
 
 
 def backoff_seconds(attempt: Column, identity: Column, base: int = 2, most: int = 300) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 #: Query parameters that only track clicks.
-TRACKING = r"^(utm_[a-z_]+|fbclid|gclid|ref|mc_cid|mc_eid)="
+TRACKING = r"(?i)^(utm_[^=]*|fbclid|gclid|mc_cid|mc_eid)="
 
 
 def url_host(url: Column) -> Column:
@@ -18,16 +19,23 @@ def url_host(url: Column) -> Column:
 
 
 def canonical_url(url: Column) -> Column:
-    """Lower-case scheme and host, no trailing /, no fragment, no tracking parameters, the others sorted."""
+    """Lower-case scheme and host, no trailing /, no fragment, no tracking parameters nor ones without a value, the
+    others sorted by name and value. Percent-encoding stays as it is."""
     head = F.lower(F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1))
     path = F.regexp_replace(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1), r"/+$", "")
     query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
-    kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(TRACKING)))
+    kept = F.filter(F.split(query, "&"), lambda p: p.rlike("^[^=]*=.") & ~p.rlike(TRACKING))
+    kept = F.array_sort(F.transform(kept, lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), p.alias("p"))))["p"]
     return F.concat(head, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
 
 def title_key(title: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(title), r"[^\p{L}\p{N}]+", " "))
+    """Only a-z and 0-9 count."""
+    return F.trim(F.regexp_replace(F.lower(title), r"[^a-z0-9]+", " "))
+
+
+def first_line(text: Column) -> Column:
+    return F.substring_index(text, "\n", 1)
 
 
 def unescape(text: Column) -> Column:
@@ -46,16 +54,24 @@ def strip_markup(html: Column, most: int | None = None) -> Column:
     return F.when(F.length(t) <= most, t).otherwise(F.concat(cut, F.lit("…")))
 
 
-def excerpt(title: Column, text: Column, most: int = 90) -> Column:
-    """The text without its title repeated in front (four times at most), cut at a sentence or word past 70 percent."""
-    t = F.trim(text)
+#: What may stand before and behind a repeated title, and behind a cut.
+BEFORE, BEHIND, LEFT = " #-:–", " #:-–", " ,.;:"
+
+
+def excerpt(title: Column, text: Column, most: int = 280) -> Column:
+    """The text, space collapsed, without its title repeated in front (whatever its case, four times at most) unless
+    nothing else is there; cut at a word past 70 percent, with an ellipsis."""
+    one_line = lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
+    title, t = one_line(title), F.regexp_replace(one_line(text), r"^[.\s-]+", "")
     for _ in range(4):
-        t = F.when((F.length(title) > 0) & t.startswith(title), F.trim(F.regexp_replace(F.substr(t, F.length(title) + 1), r"^[\s.:;|–-]+", ""))).otherwise(t)
-    head = F.substring(t, 1, most)
-    sentence = F.regexp_extract(head, r"(?s)^(.*[.!?])\s", 1)
-    word = F.regexp_replace(head, r"\s+\S*$", "")
-    cut = F.when(F.length(sentence) >= most * 0.7, sentence).otherwise(word)
-    return F.when(F.length(t) <= most, t).otherwise(F.concat(cut, F.lit("…")))
+        lead = F.ltrim(t, F.lit(BEFORE))
+        rest = F.ltrim(F.substr(lead, F.length(title) + 1), F.lit(BEHIND))
+        t = F.when((title != "") & F.lower(lead).startswith(F.lower(title)) & (rest != ""), rest).otherwise(t)
+    t = F.regexp_replace(t, r"^#{1,4}\s+", "")
+    head = F.rtrim(F.substring(t, 1, most))
+    word = F.regexp_replace(head, r" [^ ]*$", "")
+    cut = F.when((F.length(word) < F.length(head)) & (F.length(word) >= most * 0.7), word).otherwise(head)
+    return F.when(F.length(t) <= most, t).otherwise(F.concat(F.rtrim(cut, F.lit(LEFT)), F.lit("…")))
 
 
 def on_domains(host: Column, domains) -> Column:
@@ -97,6 +113,13 @@ def nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.str.normalize("NFKC")
 
 
+@F.pandas_udf(StringType())
+def folded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Lower case without accents: the compatibility decomposition less its combining marks."""
+    for s in batches:
+        yield s.str.lower().str.normalize("NFKD").map(lambda t: None if t is None else "".join(c for c in t if not unicodedata.combining(c)))
+
+
 def news_reason(url: Column, title: Column, highlight: Column, published: Column, now: Column) -> Column:
     """Why a news item is not valid, else NULL."""
     return (
@@ -109,4 +132,5 @@ def news_reason(url: Column, title: Column, highlight: Column, published: Column
 
 
 def news_fresh(age_days: Column, kind: Column) -> Column:
-    return age_days.between(0, F.when(kind == "official", 21).when(kind == "specialized", 14).otherwise(7))
+    """At most 21 days for research, 14 for primary sources, else 7."""
+    return age_days.between(0, F.when(kind == "research", 21).when(kind == "primary", 14).otherwise(7))

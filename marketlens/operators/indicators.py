@@ -1,18 +1,21 @@
 """Technical indicators over many series at once.
 
 Every function takes bars with key columns, an order column and values, and adds a column. Windows are partitioned by
-the keys; NULL stands for an indicator without enough data. Recurrences are affine (y = a y' + b) and run in chunks of
-a series, so that one long series is worked on by many tasks.
+the keys (a series is sorted in one task); NULL stands for an indicator without enough data. Recurrences are linear and
+run in stretches of the order column, so that one long series is worked on by many tasks.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from typing import NamedTuple
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KEYS, ORDER = ["symbol"], "day"
-#: Rows of a series that one task of a recurrence works on.
+#: Days (of a date), minutes (of a timestamp) or units (of a number) that a stretch of a recurrence covers.
 CHUNK = 4096
 
 
@@ -78,22 +81,25 @@ def atr_sma(df: DataFrame, n: int = 14, out: str = "atr_sma", keys=KEYS, order=O
 
 
 def pivots(df: DataFrame, lookback: int = 10, slack: float = 0.001, keys=KEYS, order=ORDER) -> DataFrame:
-    """Distinct closes that are the least or largest within lookback bars on both sides: (keys, kind, level)."""
+    """Distinct closes that no close within lookback bars on both sides is below (above) by more than `slack`, an
+    absolute amount: (keys, kind, level). Bars without a close are no levels and no hindrance to others."""
     both = Window.partitionBy(*keys).orderBy(order).rowsBetween(-lookback, lookback)
-    df = df.withColumn("_n", F.count("close").over(both)).withColumn("_lo", F.min("close").over(both)).withColumn("_hi", F.max("close").over(both))
-    df = df.where(F.col("_n") == 2 * lookback + 1)
-    low = df.where(F.col("close") <= F.col("_lo") * (1 + slack)).select(*keys, F.lit("support").alias("kind"), F.col("close").alias("level"))
-    high = df.where(F.col("close") >= F.col("_hi") * (1 - slack)).select(*keys, F.lit("resistance").alias("kind"), F.col("close").alias("level"))
+    df = df.withColumn("_n", F.count("*").over(both)).withColumn("_lo", F.min("close").over(both)).withColumn("_hi", F.max("close").over(both))
+    df = df.where(F.col("_n") == 2 * lookback + 1).where("close is not null and high is not null and low is not null")
+    low = df.where(F.col("_lo") >= F.col("close") - slack).select(*keys, F.lit("support").alias("kind"), F.col("close").alias("level"))
+    high = df.where(F.col("_hi") <= F.col("close") + slack).select(*keys, F.lit("resistance").alias("kind"), F.col("close").alias("level"))
     return low.unionByName(high).distinct()
 
 
-def price_levels(levels: DataFrame, price: DataFrame, most: int = 3, keys=KEYS) -> DataFrame:
-    """The nearest supports below and resistances above the latest price, ranked from the price outwards."""
-    near = levels.join(price, keys).where(
+def price_levels(levels: DataFrame, price: DataFrame, keys=KEYS) -> DataFrame:
+    """All distinct supports below and resistances above a price, ranked from the price outwards. Only positive, finite
+    levels and prices count."""
+    usable = lambda c: F.col(c).isNotNull() & (F.col(c) > 0) & (F.col(c) < float("inf"))
+    near = levels.where(usable("level")).distinct().join(price.where(usable("price")), keys).where(
         ((F.col("kind") == "support") & (F.col("level") < F.col("price"))) | ((F.col("kind") == "resistance") & (F.col("level") > F.col("price")))
     )
-    rank = F.row_number().over(Window.partitionBy(*keys, "kind").orderBy(F.abs(F.col("level") - F.col("price")), "level"))
-    return near.withColumn("rank", rank.cast("long")).where(F.col("rank") <= most)
+    rank = F.row_number().over(Window.partitionBy(*keys, "kind").orderBy(F.abs(F.col("level") - F.col("price"))))
+    return near.withColumn("rank", rank.cast("long"))
 
 
 def latest(df: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
@@ -103,76 +109,125 @@ def latest(df: DataFrame, keys=KEYS, order=ORDER) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_r.`{c}`").alias(c) for c in rest])
 
 
-def _scan(keys: list[str]):
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_i")
-        y, p, ys, ps = 0.0, 1.0, [], []
-        for a, b in zip(pdf["_a"], pdf["_b"]):
-            y, p = a * y + b, a * p
-            ys.append(y)
-            ps.append(p)
-        return pdf[[*keys, "_c", "_i"]].assign(_y=ys, _p=ps)
-
-    return scan
-
+class Mean(NamedTuple):
+    """A smoothed mean: the plain mean of the first n inputs, then decay * before + gain * input.
 
-def affine_scan(df: DataFrame, a: Column, b: Column, out: str, keys=KEYS, index: str = "_i", chunk: int = CHUNK) -> DataFrame:
-    """Add y with y(i) = a(i) y(i - 1) + b(i) in the order of `index` (from 1, without gaps).
+    The input is the value ("x"), its rise or fall ("up", "down"), or the difference of two earlier means (i, j); the
+    first input is that of bar `skip` (from 0).
+    """
 
-    Chunks are scanned on their own; the few (product, last value) pairs of a key's chunks are folded, and each
-    chunk's rows then take what comes into it. Equal to one pass up to rounding.
+    n: int
+    decay: float
+    gain: float
+    source: str | tuple[int, int] = "x"
+    skip: int = 0
+
+
+def _run(means: list[Mean], value: str, order: str):
+    """One stretch: each row's means if all had been 0 before it (_y), and what they owe to those before it (_m)."""
+    d = len(means)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(order)
+        xs, i, last = table[value].to_pylist(), table["_before"][0].as_py(), table["_last"][0].as_py()
+        y, m, ys, ms = [0.0] * d, [[float(j == k) for k in range(d)] for j in range(d)], [], []
+        for x in xs:
+            if x is not None:
+                for j, mean in enumerate(means):
+                    r = i - mean.skip + 1
+                    if r < 1:
+                        continue
+                    a, g = (1.0, 1 / mean.n) if r <= mean.n else (mean.decay, mean.gain)
+                    if isinstance(mean.source, tuple):
+                        p, q = mean.source
+                        y[j] = a * y[j] + g * (y[p] - y[q])
+                        m[j] = [a * own + g * (one - two) for own, one, two in zip(m[j], m[p], m[q])]
+                    else:
+                        u = x if mean.source == "x" else max(x - last, 0.0) if mean.source == "up" else max(last - x, 0.0)
+                        y[j] = a * y[j] + g * u
+                        m[j] = [a * own for own in m[j]]
+                last = x
+                i += 1
+            ys.append(list(y))
+            ms.append([v for row in m for v in row])
+        doubles = pa.list_(pa.float64())
+        index = pa.array(range(len(xs)), pa.int64())
+        return table.append_column("_y", pa.array(ys, doubles)).append_column("_m", pa.array(ms, doubles)).append_column("_at", index)
+
+    return run
+
+
+def _fold(keys: list[str], d: int):
+    """What comes into each stretch of a series, from the ends of those before it."""
+
+    def fold(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_c")
+        y, came = [0.0] * d, []
+        for end in table["_e"].to_pylist():
+            came.append(y)
+            y = [end["_y"][j] + sum(end["_m"][j * d + k] * y[k] for k in range(d)) for j in range(d)]
+        return table.select([*keys, "_c"]).append_column("_in", pa.array(came, pa.list_(pa.float64())))
+
+    return fold
+
+
+def _stretch(df: DataFrame, order: str, chunk: int) -> Column:
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.DateType):
+        return F.floor(F.unix_date(order) / chunk)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.floor(F.unix_seconds(F.col(order).cast("timestamp")) / (60 * chunk))
+    return F.floor(F.col(order) / chunk)
+
+
+def smoothed(df: DataFrame, means: list[Mean], outs: list[str], value: str = "close", keys=KEYS, order=ORDER, chunk: int = CHUNK) -> DataFrame:
+    """Add linear recurrences over the rows that have a value: one column for each mean, NULL before its n inputs are
+    there and where the value is NULL.
+
+    Stretches are worked on by themselves, in one pass for all means; the ends of a series' stretches are folded, and
+    each stretch's rows then take what comes into it. Equal to one pass up to rounding. How many values, and which
+    last one, stand before a stretch is told by counts.
     """
-    rows = df.withColumn("_c", F.floor((F.col(index) - 1) / chunk)).withColumn("_a", a).withColumn("_b", b)
-    types = {f.name: f.dataType.simpleString() for f in df.schema}
-    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "_c long", f"_i {types[index]}", "_y double", "_p double"])
-    local = rows.select(*keys, "_c", F.col(index).alias("_i"), "_a", "_b").groupBy(*keys, "_c").applyInPandas(_scan(keys), schema)
-    ends = local.groupBy(*keys, "_c").agg(F.max_by(F.struct("_p", "_y"), "_i").alias("e"))
-    chunks = ends.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_c", F.col("e._p").alias("p"), F.col("e._y").alias("y")))).alias("all"))
-    zero = F.struct(F.lit(0.0).alias("y"), F.array().cast("array<struct<c:bigint,y:double>>").alias("in"))
-    carried = F.aggregate(
-        "all",
-        zero,
-        lambda s, x: F.struct((x["p"] * s["y"] + x["y"]).alias("y"), F.concat(s["in"], F.array(F.struct(x["_c"].alias("c"), s["y"].alias("y")))).alias("in")),
-    )["in"]
-    carry = chunks.select(*keys, F.inline(carried)).withColumnRenamed("c", "_c").withColumnRenamed("y", "_in")
-    found = local.join(carry, [*keys, "_c"]).select(*keys, F.col("_i").alias(index), (F.col("_y") + F.col("_p") * F.col("_in")).alias(out))
-    return df.join(found, [*keys, index])
+    keys, d = list(keys), len(means)
+    rows = df.withColumn("_c", _stretch(df, order, chunk)).withColumn("_x", F.col(value).cast("double"))
+    sizes = rows.groupBy(*keys, "_c").agg(F.count("_x").alias("_n"), F.max_by("_x", F.when(F.col("_x").isNotNull(), F.col(order))).alias("_v"))
+    earlier = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*keys, "_c", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), F.last("_v", ignorenulls=True).over(earlier).alias("_last"))
+    rows = rows.join(sizes, [*keys, "_c"])
+    out = T.StructType([*rows.schema.fields, *T._parse_datatype_string("_y array<double>, _m array<double>, _at long").fields])
+    local = rows.groupBy(*keys, "_c").applyInArrow(_run(means, "_x", order), out)
+    ends = local.groupBy(*keys, "_c").agg(F.max_by(F.struct("_y", "_m"), "_at").alias("_e"))
+    into = T.StructType([*[df.schema[k] for k in keys], T.StructField("_c", T.LongType()), T.StructField("_in", T.ArrayType(T.DoubleType()))])
+    carry = ends.groupBy(*keys).applyInArrow(_fold(keys, d), into)
+    done = local.join(carry, [*keys, "_c"])
+    upto = F.col("_before") + F.count("_x").over(Window.partitionBy(*keys, "_c").orderBy("_at"))
+    done = done.withColumn("_i", upto)
+    for j, (mean, name) in enumerate(zip(means, outs)):
+        whole = F.col("_y")[j] + sum(F.col("_m")[j * d + k] * F.col("_in")[k] for k in range(d))
+        done = done.withColumn(name, F.when(F.col("_x").isNotNull() & (F.col("_i") >= mean.n + mean.skip), whole))
+    return done.select(*[c for c in df.columns if c not in outs], *outs)
 
 
 def ema(df: DataFrame, n: int, value: str = "close", out: str | None = None, keys=KEYS, order=ORDER, chunk: int = CHUNK) -> DataFrame:
     """Exponential mean, seeded by the mean of the first n values; rows with a NULL value get NULL and are skipped."""
-    out, k = out or f"ema{n}", 2 / (n + 1)
-    rows = df.where(F.col(value).isNotNull()).withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("long"))
-    return _seeded(df, rows, n, 1 - k, k, value, out, keys, order, chunk)
-
-
-def _seeded(df, rows, n, decay, gain, value, out, keys, order, chunk):
-    seed = rows.where(F.col("_i") <= n).groupBy(*keys).agg(F.avg(value).alias("_seed"))
-    rows = rows.join(seed, keys).select(*keys, order, "_i", F.col(value).alias("_x"), "_seed")
-    a = F.when(F.col("_i") > n, F.lit(decay)).otherwise(F.lit(0.0))
-    b = F.when(F.col("_i") > n, F.lit(gain) * F.col("_x")).when(F.col("_i") == n, F.col("_seed")).otherwise(F.lit(0.0))
-    done = affine_scan(rows, a, b, "_y", keys, "_i", chunk).select(*keys, order, F.when(F.col("_i") >= n, F.col("_y")).alias(out))
-    return df.join(done, [*keys, order], "left")
+    return smoothed(df, [Mean(n, 1 - 2 / (n + 1), 2 / (n + 1))], [out or f"ema{n}"], value, keys, order, chunk)
 
 
 def rsi(df: DataFrame, p: int = 14, value: str = "close", out: str | None = None, keys=KEYS, order=ORDER, chunk: int = CHUNK) -> DataFrame:
-    """Wilder RSI of every bar, seeded by the first p changes; no loss gives 100; NULL for p bars or fewer."""
-    out = out or f"rsi{p}"
-    w = Window.partitionBy(*keys).orderBy(order)
-    rows = df.select(*keys, order, (F.col(value) - F.lag(value).over(w)).alias("_d"), (F.row_number().over(w) - 1).cast("long").alias("_i")).where("_i > 0")
-    rows = rows.withColumn("_g", F.greatest("_d", F.lit(0.0))).withColumn("_l", F.greatest(-F.col("_d"), F.lit(0.0)))
-    both = rows.select(*keys, order)
-    both = _seeded(both, rows, p, (p - 1) / p, 1 / p, "_g", "_ag", keys, order, chunk)
-    both = _seeded(both, rows, p, (p - 1) / p, 1 / p, "_l", "_al", keys, order, chunk)
-    value_ = F.when(F.col("_al") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.col("_ag") / F.col("_al")))
-    return df.join(both.select(*keys, order, F.when(F.col("_ag").isNotNull(), value_).alias(out)), [*keys, order], "left")
+    """Wilder RSI of every bar, seeded by the first p changes; no loss gives 100; NULL for p bars or fewer, and for bars
+    without a value, which are skipped."""
+    means = [Mean(p, (p - 1) / p, 1 / p, side, skip=1) for side in ("up", "down")]
+    df = smoothed(df, means, ["_ag", "_al"], value, keys, order, chunk)
+    index = F.when(F.col("_al") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.col("_ag") / F.col("_al")))
+    return df.withColumn(out or f"rsi{p}", F.when(F.col("_ag").isNotNull(), index)).drop("_ag", "_al")
 
 
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, value: str = "close", keys=KEYS, order=ORDER, chunk: int = CHUNK) -> DataFrame:
-    """MACD line from bar `slow` on, its signal (EMA seeded by the first `signal` line values) and histogram."""
-    df = ema(ema(df, fast, value, "_f", keys, order, chunk), slow, value, "_s", keys, order, chunk)
-    df = df.withColumn("macd", F.col("_f") - F.col("_s")).drop("_f", "_s")
-    df = ema(df, signal, "macd", "macd_signal", keys, order, chunk)
+    """MACD line from the bar behind the first `slow` on, its signal (an EMA seeded by the first `signal` values of the
+    line, so from slow + signal bars on) and histogram."""
+    plain = [Mean(n, 1 - 2 / (n + 1), 2 / (n + 1)) for n in (fast, slow)]
+    over = Mean(signal, 1 - 2 / (signal + 1), 2 / (signal + 1), (0, 1), skip=slow)
+    df = smoothed(df, [*plain, over, Mean(1, 0.0, 1.0, (0, 1), skip=slow)], ["_f", "_s", "macd_signal", "macd"], value, keys, order, chunk).drop("_f", "_s")
     return df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
 
 
@@ -193,7 +248,7 @@ def extremes(df: DataFrame, since: Column | None = None, value: str = "close", k
     )
 
 
-def ma_votes(df: DataFrame, periods=(5, 10, 20, 50), keys=KEYS, order=ORDER) -> DataFrame:
+def ma_votes(df: DataFrame, periods=(20, 50, 100, 200), keys=KEYS, order=ORDER) -> DataFrame:
     """How many of the moving averages the close is above and below."""
     for n in periods:
         df = sma(df, n, "close", f"_s{n}", keys, order)

@@ -16,9 +16,16 @@ def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.unionByName(fresh)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Last write wins, whole rows."""
-    return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
+def last_writes(new: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """One row a key: the last by `order`, of equal ones (and without an order) the largest row."""
+    rest = [c for c in new.columns if c not in keys]
+    by = F.struct(*([order] if order else []), *[c for c in rest if c != order])
+    return new.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_r")).select(*keys, "_r.*").select(*new.columns)
+
+
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """Last write wins, whole rows; of several incoming rows of a key the last (see last_writes)."""
+    return old.join(new.select(*keys), keys, "left_anti").unionByName(last_writes(new, keys, order))
 
 
 def merge_coalesce(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -66,8 +66,9 @@ f AS (SELECT symbol, 12::BIGINT AS rn, avg(close) AS y FROM b WHERE rn <= 12 GRO
   UNION ALL SELECT f.symbol, b.rn, f.y * (11.0::DOUBLE / 13) + b.close * (2.0::DOUBLE / 13) FROM f JOIN b ON b.symbol = f.symbol AND b.rn = f.rn + 1),
 s AS (SELECT symbol, 26::BIGINT AS rn, avg(close) AS y FROM b WHERE rn <= 26 GROUP BY symbol
   UNION ALL SELECT s.symbol, b.rn, s.y * (25.0::DOUBLE / 27) + b.close * (2.0::DOUBLE / 27) FROM s JOIN b ON b.symbol = s.symbol AND b.rn = s.rn + 1),
-m AS (SELECT f.symbol, f.rn, f.y - s.y AS macd FROM f JOIN s ON s.symbol = f.symbol AND s.rn = f.rn),
-g AS (SELECT symbol, 34::BIGINT AS rn, avg(macd) AS y FROM m WHERE rn <= 34 GROUP BY symbol
+l AS (SELECT f.symbol, f.rn, f.y - s.y AS macd FROM f JOIN s ON s.symbol = f.symbol AND s.rn = f.rn),
+m AS (SELECT * FROM l WHERE rn > 26),
+g AS (SELECT symbol, 35::BIGINT AS rn, avg(macd) AS y FROM m WHERE rn <= 35 GROUP BY symbol HAVING count(*) = 9
   UNION ALL SELECT g.symbol, m.rn, g.y * 0.8 + m.macd * 0.2 FROM g JOIN m ON m.symbol = g.symbol AND m.rn = g.rn + 1)
 SELECT b.symbol, b.day, round(macd, 3) AS macd, round(g.y, 3) AS macd_signal, round(macd - g.y, 3) AS macd_hist
 FROM b LEFT JOIN m ON m.symbol = b.symbol AND m.rn = b.rn LEFT JOIN g ON g.symbol = b.symbol AND g.rn = b.rn""")
@@ -108,10 +109,10 @@ def w8_atr(spark, sf_dir):
     return ind.atr_sma(bars(spark, sf_dir)).select("symbol", "day", R("atr_sma"))
 
 
-_PIVOT = """p AS (SELECT symbol, close, count(*) OVER w AS n, min(close) OVER w AS lo, max(close) OVER w AS hi
+_PIVOT = """p AS (SELECT symbol, close, high, low, count(*) OVER w AS n, min(close) OVER w AS lo, max(close) OVER w AS hi
   FROM bars_daily WINDOW w AS (PARTITION BY symbol ORDER BY day ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING)),
-levels AS (SELECT DISTINCT symbol, 'support' AS kind, close AS level FROM p WHERE n = 21 AND close <= lo * 1.001
-  UNION SELECT DISTINCT symbol, 'resistance', close FROM p WHERE n = 21 AND close >= hi * 0.999)"""
+levels AS (SELECT DISTINCT symbol, 'support' AS kind, close AS level FROM p WHERE n = 21 AND high IS NOT NULL AND low IS NOT NULL AND lo >= close - 0.001
+  UNION SELECT DISTINCT symbol, 'resistance', close FROM p WHERE n = 21 AND high IS NOT NULL AND low IS NOT NULL AND hi <= close + 0.001)"""
 
 
 @register(f"WITH {_PIVOT} SELECT symbol, kind, level FROM levels")
@@ -122,7 +123,7 @@ def w9_pivots(spark, sf_dir):
 @register(f"""WITH {_PIVOT}, last AS (SELECT symbol, max_by(close, day) AS price FROM bars_daily GROUP BY symbol),
 r AS (SELECT symbol, kind, level, price, row_number() OVER (PARTITION BY symbol, kind ORDER BY abs(level - price), level) AS rank
   FROM levels JOIN last USING (symbol) WHERE (kind = 'support' AND level < price) OR (kind = 'resistance' AND level > price))
-SELECT * FROM r WHERE rank <= 3""")
+SELECT * FROM r""")
 def w10_price_levels(spark, sf_dir):
     b = bars(spark, sf_dir)
     return ind.price_levels(ind.pivots(b, 10), ind.latest(b).select("symbol", F.col("close").alias("price")))
@@ -189,11 +190,11 @@ def a8_drawdown(spark, sf_dir):
     return _extremes(spark, sf_dir).select("symbol", "drawdown_pct", "ath_to_low_pct")
 
 
-@register("""WITH s AS (SELECT symbol, day, close, CASE WHEN count(*) OVER a = 5 THEN avg(close) OVER a END AS s5, CASE WHEN count(*) OVER b = 10 THEN avg(close) OVER b END AS s10,
-  CASE WHEN count(*) OVER c = 20 THEN avg(close) OVER c END AS s20, CASE WHEN count(*) OVER d = 50 THEN avg(close) OVER d END AS s50 FROM bars_daily
-  WINDOW a AS (PARTITION BY symbol ORDER BY day ROWS 4 PRECEDING), b AS (PARTITION BY symbol ORDER BY day ROWS 9 PRECEDING), c AS (PARTITION BY symbol ORDER BY day ROWS 19 PRECEDING), d AS (PARTITION BY symbol ORDER BY day ROWS 49 PRECEDING))
-SELECT symbol, day, (coalesce((close > s5)::INT, 0) + coalesce((close > s10)::INT, 0) + coalesce((close > s20)::INT, 0) + coalesce((close > s50)::INT, 0))::BIGINT AS above,
-  (coalesce((close < s5)::INT, 0) + coalesce((close < s10)::INT, 0) + coalesce((close < s20)::INT, 0) + coalesce((close < s50)::INT, 0))::BIGINT AS below FROM s""")
+@register("""WITH s AS (SELECT symbol, day, close, CASE WHEN count(*) OVER a = 20 THEN avg(close) OVER a END AS s1, CASE WHEN count(*) OVER b = 50 THEN avg(close) OVER b END AS s2,
+  CASE WHEN count(*) OVER c = 100 THEN avg(close) OVER c END AS s3, CASE WHEN count(*) OVER d = 200 THEN avg(close) OVER d END AS s4 FROM bars_daily
+  WINDOW a AS (PARTITION BY symbol ORDER BY day ROWS 19 PRECEDING), b AS (PARTITION BY symbol ORDER BY day ROWS 49 PRECEDING), c AS (PARTITION BY symbol ORDER BY day ROWS 99 PRECEDING), d AS (PARTITION BY symbol ORDER BY day ROWS 199 PRECEDING))
+SELECT symbol, day, (coalesce((close > s1)::INT, 0) + coalesce((close > s2)::INT, 0) + coalesce((close > s3)::INT, 0) + coalesce((close > s4)::INT, 0))::BIGINT AS above,
+  (coalesce((close < s1)::INT, 0) + coalesce((close < s2)::INT, 0) + coalesce((close < s3)::INT, 0) + coalesce((close < s4)::INT, 0))::BIGINT AS below FROM s""")
 def a25_ma_votes(spark, sf_dir):
     return ind.ma_votes(bars(spark, sf_dir)).select("symbol", "day", "above", "below")
 

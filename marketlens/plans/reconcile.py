@@ -20,9 +20,14 @@ def k1_insert_ignore(spark, sf_dir):
     return rec.insert_ignore(stored(spark, sf_dir), raw(spark, sf_dir), K)
 
 
-@register("SELECT * FROM stored_values WHERE l_orderkey % 3 <> 0 UNION ALL SELECT * FROM raw_values WHERE l_orderkey % 3 = 0")
+@register("""WITH n AS (SELECT l_orderkey, l_linenumber, value, 1 AS arrival FROM raw_values UNION ALL SELECT l_orderkey, l_linenumber, value - 1, 2 FROM raw_values WHERE l_linenumber = 2)
+SELECT l_orderkey, l_linenumber, value FROM stored_values s WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.l_orderkey = s.l_orderkey AND n.l_linenumber = s.l_linenumber)
+UNION ALL SELECT l_orderkey, l_linenumber, arg_max(value, arrival * 1000000000 + value) FROM n GROUP BY 1, 2""")
 def k2_upsert(spark, sf_dir):
-    return rec.upsert(stored(spark, sf_dir), raw(spark, sf_dir).where("l_orderkey % 3 = 0"), K)
+    first = raw(spark, sf_dir).withColumn("arrival", F.lit(1))
+    again = first.where("l_linenumber = 2").select(*K, (F.col("value") - 1).alias("value"), F.lit(2).alias("arrival"))
+    old = stored(spark, sf_dir).withColumn("arrival", F.lit(0))
+    return rec.upsert(old, first.unionByName(again), K, "arrival").drop("arrival")
 
 
 @register("""SELECT coalesce(s.l_orderkey, r.l_orderkey) AS l_orderkey, coalesce(s.l_linenumber, r.l_linenumber) AS l_linenumber, coalesce(r.value, s.value) AS value

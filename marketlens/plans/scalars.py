@@ -56,17 +56,17 @@ def f6_localized_date(spark, sf_dir):
     return claims(spark, sf_dir).select("id", sc.localized_date(F.when(F.col("id") % 2 == 0, es).otherwise(en)).alias("day"))
 
 
-@register("""SELECT id, CASE WHEN r < 30 THEN 'oversold' WHEN r < 70 THEN 'neutral' ELSE 'overbought' END AS rsi_zone, CASE WHEN c < -100 THEN 'oversold' WHEN c < 100 THEN 'neutral' ELSE 'overbought' END AS cci_zone,
+@register("""SELECT id, CASE WHEN r < 30 THEN 'oversold' WHEN r > 70 THEN 'overbought' ELSE 'neutral' END AS rsi_zone, CASE WHEN c < -100 THEN 'oversold' WHEN c > 100 THEN 'overbought' ELSE 'neutral' END AS cci_zone, CASE WHEN r < 20 THEN 'oversold' WHEN r > 80 THEN 'overbought' ELSE 'neutral' END AS stochastic_zone, CASE WHEN r - 100 < -80 THEN 'oversold' WHEN r - 100 > -20 THEN 'overbought' ELSE 'neutral' END AS williams_zone,
 CASE WHEN c > 0 THEN 'bullish' WHEN c < 0 THEN 'bearish' ELSE 'neutral' END AS sign FROM (SELECT id, id % 101 AS r, id % 401 - 200 AS c FROM claims)""")
 def f14_zones(spark, sf_dir):
     r, c = F.col("id") % 101, F.col("id") % 401 - 200
-    return claims(spark, sf_dir).select("id", sc.zone("rsi", r).alias("rsi_zone"), sc.zone("cci", c).alias("cci_zone"), sc.sign_label(c).alias("sign"))
+    return claims(spark, sf_dir).select("id", sc.zone("rsi", r).alias("rsi_zone"), sc.zone("cci", c).alias("cci_zone"), sc.zone("stochastic", r).alias("stochastic_zone"), sc.zone("williams", r - 100).alias("williams_zone"), sc.sign_label(c).alias("sign"))
 
 
-@register("""SELECT id, CASE WHEN v < 0 THEN 'capitulation' WHEN v < 0.25 THEN 'hope' WHEN v < 0.5 THEN 'optimism' WHEN v < 0.75 THEN 'belief' ELSE 'euphoria' END AS nupl, CASE WHEN v * 30 < 15 THEN 'calm' WHEN v * 30 < 25 THEN 'normal' ELSE 'stress' END AS vix FROM (SELECT id, id % 120 / 100.0::DOUBLE - 0.1::DOUBLE AS v FROM claims)""")
+@register("""SELECT id, CASE WHEN v < 0 THEN 'capitulation' WHEN v < 0.25 THEN 'low risk' WHEN v < 0.5 THEN 'optimism' WHEN v < 0.75 THEN 'belief' ELSE 'euphoria' END AS nupl, CASE WHEN n < 10 THEN 'below cost' WHEN n < 15 THEN 'accumulation' WHEN n < 25 THEN 'intermediate' WHEN n < 35 THEN 'elevated' ELSE 'euphoria' END AS mvrv, CASE WHEN n < 100 THEN 'loss' WHEN n < 110 THEN 'moderate profit' WHEN n < 130 THEN 'profit' ELSE 'high profit' END AS asopr, CASE WHEN n > 25 THEN 'fear' WHEN n > 15 THEN 'low premium' ELSE 'calm' END AS vix, CASE WHEN n > 55 THEN 'near highs' WHEN n > 50 THEN 'pressing' ELSE 'normal' END AS us10y FROM (SELECT id, id % 120 / 100.0::DOUBLE - 0.1::DOUBLE AS v, id % 140 AS n FROM claims)""")
 def f15_bands(spark, sf_dir):
-    v = F.col("id") % 120 / F.lit(100.0) - F.lit(0.1)
-    return claims(spark, sf_dir).select("id", sc.zone("nupl", v).alias("nupl"), sc.zone("vix", v * 30).alias("vix"))
+    v, n = F.col("id") % 120 / F.lit(100.0) - F.lit(0.1), F.col("id") % 140
+    return claims(spark, sf_dir).select("id", sc.zone("nupl", v).alias("nupl"), sc.zone("mvrv", n / 10).alias("mvrv"), sc.zone("asopr", n / 100).alias("asopr"), sc.zone("vix", n).alias("vix"), sc.zone("us10y", n / 10).alias("us10y"))
 
 
 _LV = "l AS (SELECT symbol, day, close AS spot, low AS s1, low * 0.9::DOUBLE AS s2, high AS r1, high * 1.1::DOUBLE AS r2 FROM bars_daily)"
@@ -108,9 +108,9 @@ def f20_row_hash(spark, sf_dir):
     return claims(spark, sf_dir).select("id", sc.row_hash(F.col("asset"), F.col("status"), F.col("created")).alias("row_sha256"))
 
 
-@register("SELECT id, 'https://api.example.com/v1?asset=' || asset || '&api_key=***&x=1' AS logged FROM claims")
+@register("SELECT id, 'https://api.example.com/v1?asset=' || asset || '&api_key=***&x=1 Authorization: Bearer *** ' || status AS logged FROM claims")
 def f21_redaction(spark, sf_dir):
-    url = F.concat(F.lit("https://api.example.com/v1?asset="), F.col("asset"), F.lit("&api_key=k"), F.col("id").cast("string"), F.lit("&x=1"))
+    url = F.concat(F.lit("https://api.example.com/v1?asset="), F.col("asset"), F.lit("&api_key=k"), F.col("id").cast("string"), F.lit("&x=1 Authorization: Bearer t"), F.col("id").cast("string"), F.lit(" "), F.col("status"))
     return claims(spark, sf_dir).select("id", sc.redact(url).alias("logged"))
 
 

@@ -1,39 +1,24 @@
-"""Streaming queries: the given events and bars as file streams, run to the end of what is there (availableNow)."""
+"""Streaming queries: the given tables' folders as file streams, run to the end of what is there (availableNow).
 
-from __future__ import annotations
+A trigger takes all files that are there; a deployment bounds that by maxFilesPerTrigger. Views over a stream are the
+same SQL as over the table.
+"""
 
-import uuid
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.operators.store import folder
 from marketlens.plans.registry import register
 from marketlens.sources.tables import table, view
 from marketlens.streaming import operators as st
 
 
-def folder(spark, name: str) -> str:
-    """A new folder below the shared checkpoint folder; a folder of our own only where none is set."""
-    import tempfile
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def file_stream(df: DataFrame, name: str, order: str, files: int = 4, cuts: list[float] | None = None) -> DataFrame:
-    """df as a stream of `files` batches in the order of a column (or cut where told): one file each, written in turn."""
-    spark, path = df.sparkSession, folder(df.sparkSession, name)
-    at = F.unix_timestamp(order) if dict(df.dtypes)[order] == "timestamp" else F.col(order)
-    rows = df.withColumn("_at", at.cast("double"))
-    cuts = cuts if cuts is not None else [] if files == 1 else sorted(set(rows.approxQuantile("_at", [i / files for i in range(1, files)], 0.01)))
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        part = rows if low is None else rows.where(F.col("_at") >= low)
-        part = part if high is None else part.where(F.col("_at") < high)
-        part.drop("_at").coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+def table_stream(spark, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a stream of its files."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
 
 
 def run_append(stream: DataFrame, name: str) -> DataFrame:
@@ -45,49 +30,55 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
 
 
 def events(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    e = table_stream(spark, sf_dir, "events")
+    return e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
 
 
 def hourly(spark, sf_dir):
-    return view(spark, sf_dir, "bars_hourly").select("symbol", F.col("slot").cast("timestamp").alias("slot"), "close")
+    """Hourly bars as they come in: the table of bars, written to a folder that the stream reads."""
+    path = folder(spark, "hourly")
+    bars = view(spark, sf_dir, "bars_hourly").select("symbol", F.col("slot").cast("timestamp").alias("slot"), "close")
+    bars.write.parquet(path)
+    return spark.readStream.schema(bars.schema).parquet(path)
 
 
-@register()
+@register("""WITH e AS (SELECT event_id, ts::TIMESTAMP AS ts, event_type, value, time_bucket(INTERVAL 5 MINUTE, ts::TIMESTAMP, TIMESTAMP '1970-01-01') AS start FROM events), m AS (SELECT max(ts) AS top FROM e)
+SELECT event_type, start, max(value) AS high, min(value) AS low, count(*) AS n FROM e, m WHERE start + INTERVAL 5 MINUTE <= date_trunc('millisecond', top) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
 def g1_closed_bars(spark, sf_dir):
-    s = file_stream(events(spark, sf_dir), "events", "ts")
-    return run_append(st.closed_bars(s, "ts", ["event_type"], "value"), "bars")
+    return run_append(st.closed_bars(events(spark, sf_dir), "ts", ["event_type"], "value"), "bars").select("event_type", "start", "high", "low", "n")
 
 
-@register()
+@register("""WITH m AS (SELECT max(ts::TIMESTAMP) AS top FROM events) SELECT event_type, date_trunc('day', ts::TIMESTAMP)::DATE AS day, count(*) AS n FROM events, m
+WHERE date_trunc('day', ts::TIMESTAMP) + INTERVAL 1 DAY <= date_trunc('millisecond', top) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
 def g2_daily_grid(spark, sf_dir):
-    return run_append(st.daily_grid(file_stream(events(spark, sf_dir), "events", "ts"), "ts", ["event_type"]), "days")
+    return run_append(st.daily_grid(events(spark, sf_dir), "ts", ["event_type"]), "days")
 
 
 @register("SELECT event_id, event_type FROM events")
 def g3_exactly_once(spark, sf_dir):
     e = events(spark, sf_dir)
-    s = file_stream(e.unionByName(e.where("event_id % 5 = 0")), "events", "ts", 1)
-    return run_append(st.once_per_key(s, "ts", ["event_id"], "1 day"), "once").select("event_id", "event_type")
+    replayed = e.unionByName(events(spark, sf_dir).where("event_id % 5 = 0"))
+    return run_append(st.once_per_key(replayed, "ts", ["event_id"], "1 day"), "once").select("event_id", "event_type")
 
 
-@register("SELECT event_id, round(CASE WHEN event_id % 7 = 0 THEN value + 1 ELSE value END, 4) AS value FROM events")
+@register("SELECT event_id, round(CASE WHEN event_id % 7 = 0 THEN value - 1 ELSE value END, 4) AS value FROM events")
 def g4_late_revisions(spark, sf_dir):
-    e = events(spark, sf_dir).select("event_id", "value", F.lit(0).alias("arrival"))
-    late = e.where("event_id % 7 = 0").select("event_id", (F.col("value") + 1).alias("value"), F.lit(1).alias("arrival"))
-    s = file_stream(e.unionByName(late), "arrivals", "arrival", cuts=[1.0])
+    """A first stream fills the table; a second one brings corrections, each of them twice, the last one counts."""
     path, log = folder(spark, "table"), folder(spark, "revisions")
-    q = s.writeStream.foreachBatch(st.revise_batch(path, log, ["event_id"], ["value"])).option("checkpointLocation", folder(spark, "state")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    last = spark.read.option("basePath", path).parquet(path)
-    last = last.join(F.broadcast(last.agg(F.max("v").alias("v"))), "v")  # one row
-    return last.select("event_id", F.round("value", 4).alias("value"))
+    fresh = events(spark, sf_dir).select("event_id", "value", F.lit(0).alias("arrival"))
+    wrong = events(spark, sf_dir).where("event_id % 7 = 0").select("event_id", (F.col("value") + 1).alias("value"), F.lit(1).alias("arrival"))
+    right = events(spark, sf_dir).where("event_id % 7 = 0").select("event_id", (F.col("value") - 1).alias("value"), F.lit(2).alias("arrival"))
+    for first, feed in enumerate((fresh, wrong.unionByName(right))):
+        sink = st.revise_batch(path, log, ["event_id"], ["value"], "arrival", first)
+        feed.writeStream.foreachBatch(sink).option("checkpointLocation", folder(spark, "state")).trigger(availableNow=True).start().awaitTermination()
+    return st.latest_parts(spark, path).select("event_id", F.round("value", 4).alias("value"))
 
 
 @register("""WITH h AS (SELECT symbol, epoch(slot)::BIGINT AS slot FROM bars_hourly), d AS (SELECT symbol, slot, slot - lag(slot) OVER (PARTITION BY symbol ORDER BY slot) AS d FROM h)
 SELECT symbol, slot, CASE WHEN d IS NULL THEN 'first' WHEN d = 3600 THEN 'next' ELSE 'gap' END AS kind FROM d""")
 def g5_contiguity(spark, sf_dir):
     h = hourly(spark, sf_dir).select("symbol", F.unix_timestamp("slot").alias("slot"))
-    return run_append(st.contiguity(file_stream(h, "slots", "slot"), "symbol", "slot", 3600), "kinds")
+    return run_append(st.contiguity(h, "symbol", "slot", 3600), "kinds")
 
 
 _RUN = """WITH RECURSIVE b AS (SELECT symbol, epoch(slot)::BIGINT AS slot, close, close - lag(close) OVER (PARTITION BY symbol ORDER BY slot) AS d, row_number() OVER (PARTITION BY symbol ORDER BY slot) AS rn FROM bars_hourly),
@@ -99,18 +90,20 @@ SELECT b.symbol, b.slot, round(e.y, 4) AS ema, round(CASE WHEN l = 0 THEN 100 EL
 @register(_RUN)
 def g7_running_indicators(spark, sf_dir):
     h = hourly(spark, sf_dir).select("symbol", F.unix_timestamp("slot").alias("slot"), "close")
-    out = run_append(st.running_indicators(file_stream(h, "closes", "slot"), "symbol", "slot", "close"), "running")
+    out = run_append(st.running_indicators(h, "symbol", "slot", "close"), "running")
     return out.select("symbol", "slot", F.round("ema", 4).alias("ema"), F.round("rsi", 4).alias("rsi"))
 
 
 @register("""WITH l AS (SELECT event_type, max(epoch(ts))::BIGINT AS t FROM events GROUP BY 1), n AS (SELECT max(t) AS now FROM l) SELECT event_type, CASE WHEN now - t <= 600 THEN 'WITHIN' ELSE 'STALE' END AS state FROM l, n""")
 def g8_staleness(spark, sf_dir):
-    latest = events(spark, sf_dir).groupBy("event_type").agg(F.unix_timestamp(F.max("ts")).alias("t"))
+    latest = table(spark, sf_dir, "events").groupBy("event_type").agg(F.unix_timestamp(F.max(F.col("ts").cast("timestamp"))).alias("t"))
     latest = latest.crossJoin(F.broadcast(latest.agg(F.max("t").alias("now"))))  # one row
     return st.staleness(latest, "t", F.col("now"), F.lit(600)).select("event_type", "state")
 
 
-@register()
+@register("""WITH h AS (SELECT symbol, slot::TIMESTAMP AS slot FROM bars_hourly), m AS (SELECT date_trunc('millisecond', max(slot)) - INTERVAL 10 MINUTE AS mark FROM h),
+g AS (SELECT symbol, slot, CASE WHEN slot - lag(slot) OVER (PARTITION BY symbol ORDER BY slot) < INTERVAL 3601 SECOND THEN 0 ELSE 1 END AS new FROM h),
+r AS (SELECT symbol, slot, sum(new) OVER (PARTITION BY symbol ORDER BY slot) AS run FROM g)
+SELECT symbol, min(slot) AS start, max(slot) + INTERVAL 3601 SECOND AS "end", count(*) AS slots FROM r, m GROUP BY symbol, run, mark HAVING max(slot) + INTERVAL 3601 SECOND <= mark""")
 def g6_coverage_sessions(spark, sf_dir):
-    s = file_stream(hourly(spark, sf_dir), "slots", "slot")
-    return run_append(st.coverage_sessions(s, "slot", ["symbol"], "3601 seconds"), "sessions")
+    return run_append(st.coverage_sessions(hourly(spark, sf_dir), "slot", ["symbol"], "3601 seconds"), "sessions")

@@ -17,14 +17,15 @@ TOPICS = [("etf", ["tion", "etf"]), ("macro", ["ing ", "cpi"]), ("chain", ["le "
 
 
 @register(r"""SELECT page_id, lower(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)) || regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '') ||
-CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS url FROM (SELECT page_id, url, list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z_]+|fbclid|gclid|ref|mc_cid|mc_eid)='))) AS q FROM pages)""")
+CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS url FROM (SELECT page_id, url, list_transform(list_sort(list_transform(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'), lambda p: regexp_matches(p, '^[^=]*=.') AND NOT regexp_matches(p, '(?i)^(utm_[^=]*|fbclid|gclid|mc_cid|mc_eid)=')), lambda p: {'k': split_part(p, '=', 1), 'p': p})), lambda x: x.p) AS q FROM (SELECT page_id, url || CASE page_id % 4 WHEN 0 THEN '?UTM_X=1&b=2&ref=z&a=' WHEN 1 THEN '?utm_1=q&b=1&a=2&a=1#top' ELSE '' END AS url FROM pages))""")
 def f7_canonical_url(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", tx.canonical_url(F.col("url")).alias("url"))
+    more = F.when(F.col("page_id") % 4 == 0, "?UTM_X=1&b=2&ref=z&a=").when(F.col("page_id") % 4 == 1, "?utm_1=q&b=1&a=2&a=1#top").otherwise("")
+    return pages(spark, sf_dir).select("page_id", tx.canonical_url(F.concat("url", more)).alias("url"))
 
 
-@register(r"SELECT doc_id, trim(regexp_replace(lower(substr(text, 1, 80)), '[^\p{L}\p{N}]+', ' ', 'g')) AS title FROM documents")
+@register(r"SELECT doc_id, trim(regexp_replace(lower(split_part(text, chr(10), 1)), '[^a-z0-9]+', ' ', 'g')) AS title FROM documents")
 def f8_title_key(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", tx.title_key(F.substring("text", 1, 80)).alias("title"))
+    return docs(spark, sf_dir).select("doc_id", tx.title_key(tx.first_line(F.col("text"))).alias("title"))
 
 
 _STRIP = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g'))"""
@@ -36,9 +37,24 @@ def f9_strip_markup(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", F.length(t).cast("long").alias("n"), F.md5(t).alias("digest"))
 
 
-@register()
+def _excerpt_sql() -> str:
+    """The four turns, one below the other."""
+    flat = r"trim(regexp_replace({}, '\s+', ' ', 'g'))"
+    q = f"""SELECT doc_id, {flat.format(r"coalesce(regexp_extract(text, '^[^.]*'), '')")} AS title, regexp_replace({flat.format("coalesce(text, '')")}, '^[.\\s-]+', '') AS t FROM (
+SELECT doc_id, upper(regexp_extract(text, '^[^.]*')) || '. ' || text AS text FROM documents)"""
+    for _ in range(4):
+        rest = f"ltrim(substr(ltrim(t, '{tx.BEFORE}'), length(title) + 1), '{tx.BEHIND}')"
+        q = f"SELECT doc_id, title, CASE WHEN title <> '' AND starts_with(lower(ltrim(t, '{tx.BEFORE}')), lower(title)) AND {rest} <> '' THEN {rest} ELSE t END AS t FROM ({q})"
+    q = f"SELECT doc_id, regexp_replace(t, '^#{{1,4}}\\s+', '') AS t FROM ({q})"
+    q = f"SELECT doc_id, t, rtrim(substr(t, 1, 280)) AS head FROM ({q})"
+    q = f"SELECT *, regexp_replace(head, ' [^ ]*$', '') AS word FROM ({q})"
+    return f"SELECT doc_id, CASE WHEN length(t) <= 280 THEN t ELSE rtrim(CASE WHEN length(word) < length(head) AND length(word) >= 196 THEN word ELSE head END, '{tx.LEFT}') || '…' END AS excerpt FROM ({q})"
+
+
+@register(_excerpt_sql())
 def f10_excerpt(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", tx.excerpt(F.substring("text", 1, 20), F.col("text")).alias("excerpt"))
+    title = F.regexp_extract("text", r"^[^.]*", 0)
+    return docs(spark, sf_dir).select("doc_id", tx.excerpt(F.upper(title), F.concat(F.upper(title), F.lit(". "), F.col("text"))).alias("excerpt"))
 
 
 @register("SELECT doc_id, CASE WHEN contains(lower(text), 'tion') OR contains(lower(text), 'etf') THEN 'etf' WHEN contains(lower(text), 'ing ') OR contains(lower(text), 'cpi') THEN 'macro' WHEN contains(lower(text), 'le ') OR contains(lower(text), 'hash') THEN 'chain' ELSE 'other' END AS topic FROM documents")
@@ -46,9 +62,9 @@ def f11_first_topic(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", tx.first_topic(F.col("text"), TOPICS).alias("topic"))
 
 
-@register(r"SELECT doc_id, md5(regexp_replace(regexp_replace(text, '(?i)\bthe\b', 'la', 'g'), '(?i)\band\b', 'y', 'g')) AS digest FROM documents WHERE lang = 'en'")
+@register(r"SELECT doc_id, md5(regexp_replace(regexp_replace(text, '(?i)\bthe\b', 'la', 'g'), '(?i)\band\b', 'y', 'g')) AS digest FROM documents")
 def f12_replace_phrases(spark, sf_dir):
-    return docs(spark, sf_dir).where("lang = 'en'").select("doc_id", F.md5(tx.replace_phrases(F.col("text"), [("the", "la"), ("and", "y")])).alias("digest"))
+    return docs(spark, sf_dir).select("doc_id", F.md5(tx.replace_phrases(F.col("text"), [("the", "la"), ("and", "y")])).alias("digest"))
 
 
 _TOK = r"list_filter(regexp_extract_all(lower(T), '[\p{L}\p{N}]+(?:_[\p{L}\p{N}]+)*'), lambda w: length(w) > 1)"
@@ -60,16 +76,16 @@ def f13_tokens(spark, sf_dir):
 
 
 @register("""SELECT doc_id, CASE WHEN NOT regexp_matches(url, '^https?://') THEN 'url' WHEN length(trim(title)) < 20 THEN 'title' WHEN length(trim(text)) < 50 THEN 'highlight' ELSE 'ok' END AS reason
-FROM (SELECT doc_id, text, substr(text, 1, 80) AS title, CASE WHEN doc_id % 7 = 0 THEN 'ftp://x' ELSE 'https://x' END AS url FROM documents)""")
+FROM (SELECT doc_id, text, split_part(text, chr(10), 1) AS title, CASE WHEN doc_id % 7 = 0 THEN 'ftp://x' ELSE 'https://x' END AS url FROM documents)""")
 def p6_news_validity(spark, sf_dir):
     url = F.when(F.col("doc_id") % 7 == 0, "ftp://x").otherwise("https://x")
-    r = tx.news_reason(url, F.substring("text", 1, 80), F.col("text"), F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-01").cast("timestamp"))
+    r = tx.news_reason(url, tx.first_line(F.col("text")), F.col("text"), F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-01").cast("timestamp"))
     return docs(spark, sf_dir).select("doc_id", F.coalesce(r, F.lit("ok")).alias("reason"))
 
 
 @register("SELECT doc_id, (39 - doc_id % 40 BETWEEN 0 AND CASE doc_id % 3 WHEN 0 THEN 21 WHEN 1 THEN 14 ELSE 7 END) AS fresh FROM documents")
 def p7_news_freshness(spark, sf_dir):
-    kind = F.when(F.col("doc_id") % 3 == 0, "official").when(F.col("doc_id") % 3 == 1, "specialized").otherwise("general")
+    kind = F.when(F.col("doc_id") % 3 == 0, "research").when(F.col("doc_id") % 3 == 1, "primary").otherwise("discovery")
     age = F.datediff(F.date_add(F.lit("2024-01-01").cast("date"), 39), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 40).cast("int")))
     return docs(spark, sf_dir).select("doc_id", tx.news_fresh(age, kind).alias("fresh"))
 
@@ -87,9 +103,14 @@ def p9_domain_allow_list(spark, sf_dir):
     return p.where(tx.on_domains(F.col("host"), ["example.com", "tion.example.org"]))
 
 
-@register()
+@register(r"""WITH RECURSIVE n AS (SELECT doc_id, lang, source, doc_id // 50 AS day, trim(regexp_replace(lower(split_part(text, chr(10), 1)), '[^a-z0-9]+', ' ', 'g')) AS title, substr(md5(text), 1, 1) AS url FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, day ORDER BY source, doc_id, url, title) AS rn FROM n),
+w AS (SELECT lang, day, 0::BIGINT AS rn, []::VARCHAR[] AS urls, []::VARCHAR[] AS titles, NULL::BIGINT AS doc_id FROM (SELECT DISTINCT lang, day FROM n)
+  UNION ALL SELECT w.lang, w.day, o.rn, CASE WHEN ok THEN list_append(urls, o.url) ELSE urls END, CASE WHEN ok THEN list_append(titles, o.title) ELSE titles END, CASE WHEN ok THEN o.doc_id END
+  FROM w JOIN o ON o.lang IS NOT DISTINCT FROM w.lang AND o.day = w.day AND o.rn = w.rn + 1, LATERAL (SELECT len(urls) < 7 AND NOT list_contains(urls, o.url) AND NOT list_contains(titles, o.title) AS ok))
+SELECT lang, day, doc_id FROM w WHERE doc_id IS NOT NULL""")
 def u1_news_dedupe(spark, sf_dir):
-    n = docs(spark, sf_dir).select("doc_id", "lang", "source", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 40).cast("int")).alias("day"), tx.title_key(F.substring("text", 1, 80)).alias("title"), F.substring(F.md5("text"), 1, 3).alias("url"))
+    n = docs(spark, sf_dir).select("doc_id", "lang", "source", F.expr("doc_id div 50").alias("day"), tx.title_key(tx.first_line(F.col("text"))).alias("title"), F.substring(F.md5("text"), 1, 1).alias("url"))
     return search.dedupe_news(n, ["lang", "day"], "source", "doc_id", "url", "title").select("lang", "day", "doc_id")
 
 
@@ -98,43 +119,62 @@ def a21_corpus_manifest(spark, sf_dir):
     return docs(spark, sf_dir).groupBy(F.col("lang").alias("family")).agg(F.count("*").alias("n"))
 
 
+#: Weights of the five fields.
+FIELDS = {"metric": 14, "title": 4, "keywords": 3, "method": 1.2, "caveat": 0.4}
+
+
 def _corpus(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.substring("text", 1, 80).alias("title"), "text", F.col("source").alias("keywords"))
+    d = docs(spark, sf_dir)
+    return d.select("doc_id", F.concat(F.lit("doc"), F.col("doc_id")).alias("metric"), tx.first_line(F.col("text")).alias("title"), F.col("source").alias("keywords"), F.col("lang").alias("method"), F.col("text").alias("caveat"), F.col("lang").alias("family"))
+
+
+def _asked(spark, sf_dir):
+    """Item texts; every tenth item asks for a record by its ident alone."""
+    b = table(spark, sf_dir, "benchmark")
+    return b.select("item_id", F.when(F.col("item_id") % 10 == 0, F.concat(F.lit("doc"), F.col("item_id"))).otherwise(F.col("text")).alias("text"))
+
+
+_CORPUS_SQL = "d AS (SELECT doc_id, 'doc' || doc_id AS metric, split_part(text, chr(10), 1) AS title, source AS keywords, lang AS method, text AS caveat FROM documents)"
+_ASKED_SQL = f"q AS (SELECT item_id, unnest(list_distinct(({_TOK.replace('T)', 't)')})[1:10])) AS term FROM (SELECT item_id, CASE WHEN item_id % 10 = 0 THEN 'doc' || item_id ELSE text END AS t FROM benchmark))"
 
 
-_BM = f"""d AS (SELECT doc_id, substr(text, 1, 80) AS title, text, source FROM documents),
-f AS (SELECT doc_id, 14.0::DOUBLE AS w, unnest({_TOK.replace('T)', 'title)')}) AS term FROM d UNION ALL SELECT doc_id, 0.4::DOUBLE, unnest({_TOK.replace('T)', 'text)')}) FROM d UNION ALL SELECT doc_id, 3.0::DOUBLE, unnest({_TOK.replace('T)', 'source)')}) FROM d),
-p AS (SELECT term, doc_id, sum(w) AS tf, count(*) AS hits FROM f GROUP BY 1, 2), l AS (SELECT doc_id, sum(hits) AS len FROM p GROUP BY 1), s AS (SELECT avg(len) AS avglen, (SELECT count(*) FROM documents) AS n FROM l),
-df AS (SELECT term, count(*) AS n FROM p GROUP BY 1), q AS (SELECT item_id, unnest(list_distinct({_TOK.replace('T)', 'text)')}[1:10])) AS term FROM benchmark),
-t AS (SELECT item_id, p.doc_id, round(sum(greatest(ln((s.n - df.n + 0.5) / (df.n + 0.5)), 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / avglen))), 6) AS score FROM q JOIN df ON df.term = q.term JOIN p ON p.term = q.term JOIN l ON l.doc_id = p.doc_id, s GROUP BY 1, 2),
-r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM t)"""
+def _bm_sql(k: int, where: str = "true") -> str:
+    fields = " UNION ALL ".join(f"SELECT doc_id, {w}::DOUBLE AS w, unnest({_TOK.replace('T)', f'coalesce({f}, {chr(39)}{chr(39)}))')}) AS term FROM c" for f, w in FIELDS.items())
+    return f"""WITH {_CORPUS_SQL}, c AS (SELECT * FROM d WHERE {where}), {_ASKED_SQL}, f AS ({fields}),
+p AS (SELECT term, doc_id, sum(w) AS tf, count(*) AS hits FROM f GROUP BY 1, 2), l AS (SELECT doc_id, sum(hits) AS len FROM p GROUP BY 1), s AS (SELECT avg(len) AS avglen, (SELECT count(*) FROM c) AS n FROM l),
+x AS (SELECT item_id, min(c.doc_id) AS doc_id FROM (SELECT item_id, min(term) AS term FROM q GROUP BY 1 HAVING count(*) = 1) o JOIN c ON c.metric = o.term GROUP BY 1),
+df AS (SELECT term, count(*) AS n FROM p GROUP BY 1),
+t AS (SELECT item_id, p.doc_id, round(sum(greatest(ln((s.n - df.n + 0.5) / (df.n + 0.5)), 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / avglen))), 6) AS score FROM q JOIN df ON df.term = q.term JOIN p ON p.term = q.term JOIN l ON l.doc_id = p.doc_id, s WHERE item_id NOT IN (SELECT item_id FROM x) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM t),
+hits AS (SELECT item_id, doc_id, score, rank FROM r WHERE rank <= {k} UNION ALL SELECT item_id, doc_id, NULL, 1 FROM x)"""
 
 
-@register(f"WITH {_BM} SELECT item_id, doc_id, score, rank FROM r WHERE rank <= 5")
+@register(_bm_sql(5) + " SELECT * FROM hits")
 def d1_bm25(spark, sf_dir):
-    return search.bm25(_corpus(spark, sf_dir), table(spark, sf_dir, "benchmark"), "doc_id", "item_id", "text", {"title": 14, "text": 0.4, "keywords": 3})
+    return search.bm25(_corpus(spark, sf_dir), _asked(spark, sf_dir), "doc_id", "item_id", "text", FIELDS, ident="metric")
 
 
-@register(f"WITH {_BM} SELECT item_id, doc_id, score, rank FROM r WHERE rank <= 2")
+@register(_bm_sql(2, "method IN ('en', 'de')") + " SELECT * FROM hits")
 def t6_top_hits(spark, sf_dir):
-    return search.bm25(_corpus(spark, sf_dir), table(spark, sf_dir, "benchmark"), "doc_id", "item_id", "text", {"title": 14, "text": 0.4, "keywords": 3}, k=2)
+    return search.bm25(_corpus(spark, sf_dir), _asked(spark, sf_dir), "doc_id", "item_id", "text", FIELDS, k=2, ident="metric", family="family", families=["en", "de"])
 
 
-@register(f"""WITH d AS (SELECT doc_id, substr(text, 1, 80) AS title, text, source FROM documents),
-f AS (SELECT DISTINCT doc_id, 10 AS w, unnest({_TOK.replace('T)', 'title)')}) AS term FROM d UNION ALL SELECT DISTINCT doc_id, 2, unnest({_TOK.replace('T)', 'text)')}) FROM d UNION ALL SELECT DISTINCT doc_id, 3, unnest({_TOK.replace('T)', 'source)')}) FROM d),
-q AS (SELECT item_id, unnest(list_distinct({_TOK.replace('T)', 'text)')}[1:10])) AS term FROM benchmark), t AS (SELECT item_id, doc_id, sum(w)::BIGINT AS score FROM q JOIN f USING (term) GROUP BY 1, 2),
-r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM t) SELECT item_id, doc_id, score, rank FROM r WHERE rank <= 5""")
+@register(f"""WITH {_CORPUS_SQL}, {_ASKED_SQL}, c AS (SELECT doc_id, strip_accents(lower(metric)) AS metric, strip_accents(lower(title)) AS title, strip_accents(lower(keywords)) AS keywords FROM d),
+h AS (SELECT item_id, doc_id, 10 AS w FROM q JOIN c ON metric = term UNION ALL SELECT item_id, doc_id, 3 FROM q JOIN c ON contains(title, term) UNION ALL SELECT item_id, doc_id, 2 FROM q JOIN c ON contains(keywords, term)),
+t AS (SELECT item_id, doc_id, sum(w)::BIGINT AS score FROM h GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM t) SELECT item_id, doc_id, score, rank FROM r WHERE rank <= 5""")
 def d2_lexical(spark, sf_dir):
-    return search.lexical(_corpus(spark, sf_dir), table(spark, sf_dir, "benchmark"), "doc_id", "item_id", "text", "title", "keywords", "text")
+    return search.lexical(_corpus(spark, sf_dir), _asked(spark, sf_dir), "doc_id", "item_id", "text", "metric", "title", "keywords")
 
 
-@register()
+@register(_bm_sql(2, "method IN ('en', 'de')") + """ SELECT item_id, count(*) AS hits, string_agg(rank || '|' || hits.doc_id || '|' || coalesce(printf('%.4f', score), '-') || '|' || d.metric || '|' || coalesce(d.keywords, ''), ';' ORDER BY rank) AS evidence FROM hits JOIN d ON d.doc_id = hits.doc_id GROUP BY 1""")
 def d3_evidence_bundle(spark, sf_dir):
-    b = search.evidence_bundle(t6_top_hits(spark, sf_dir), _corpus(spark, sf_dir), "item_id", "doc_id", "title")
-    return b.select("item_id", F.size("evidence").alias("hits"), F.to_json("evidence").alias("evidence"))
+    b = search.evidence_bundle(t6_top_hits(spark, sf_dir), _corpus(spark, sf_dir), "item_id", "doc_id", "metric", "keywords")
+    score = lambda e: F.when(e["score"].isNull(), "-").otherwise(F.format_string("%.4f", e["score"]))
+    shown = F.transform("evidence", lambda e: F.concat_ws("|", e["rank"], e["doc_id"], score(e), e["metric"], F.coalesce(e["keywords"], F.lit(""))))
+    return b.select("item_id", F.size("evidence").cast("long").alias("hits"), F.array_join(shown, ";").alias("evidence"))
 
 
-@register("""WITH x AS (SELECT asset, sum(points) / 1e8 AS v FROM claims GROUP BY 1) SELECT asset, round(v, 4) AS value, CASE WHEN v < 1 THEN 'undervalued' WHEN v < 2.4 THEN 'fair' WHEN v < 3.5 THEN 'elevated' ELSE 'overheated' END AS band FROM x""")
+@register("""WITH x AS (SELECT asset, sum(points) / 1e8 AS v FROM claims GROUP BY 1) SELECT asset, round(v, 4) AS value, CASE WHEN v < 1 THEN 'below cost' WHEN v < 1.5 THEN 'accumulation' WHEN v < 2.5 THEN 'intermediate' WHEN v < 3.5 THEN 'elevated' ELSE 'euphoria' END AS band FROM x""")
 def d4_snapshot_facts(spark, sf_dir):
     from marketlens.functions.scalars import finite, zone
     from marketlens.sources.tables import view

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from marketlens.operators.reconcile import revisions, upsert
+from marketlens.operators.reconcile import last_writes, revisions, upsert
 
 MARGIN = "10 minutes"
 
@@ -36,22 +36,39 @@ def coverage_sessions(stream: DataFrame, at: str, keys: list[str], step: str, ma
     return g.select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "slots")
 
 
-def revise_batch(path: str, log: str, keys: list[str], fields: list[str]) -> Callable[[DataFrame, int], None]:
+#: Parts of a revised table; a batch rewrites the parts that it touches.
+BUCKETS = 64
+
+
+def latest_parts(spark, path: str, before: int | None = None) -> DataFrame:
+    """The table that revise_batch keeps: of each part its last version (below `before`), with the columns _b and _v."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    rows = rows if before is None else rows.where(F.col("_v") < before)
+    last = rows.groupBy("_b").agg(F.max("_v").alias("_v"))  # at most BUCKETS rows
+    return rows.join(F.broadcast(last), ["_b", "_v"])
+
+
+def revise_batch(path: str, log: str, keys: list[str], fields: list[str], order: str, first: int = 0) -> Callable[[DataFrame, int], None]:
     """foreachBatch sink: late or corrected rows are written over, and what they replace goes to a revision log.
 
-    Each batch writes a new version of the table (path/v=<batch>), so that a batch that is run again gives the same
-    tables; readers take the last version.
+    Of several rows of a key the one with the largest `order` (arrival) is written, of equal ones the largest row. The
+    table is kept in parts by the keys' hash; a batch writes a new version of each part that it touches
+    (path/_b=<part>/_v=<first + batch>), so that a batch that is run again gives the same tables. `first` is the
+    number of versions written by earlier streams into the table.
     """
+    columns = [*keys, *fields]
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_r")).select(*keys, "_r.*")
-        last = f"{path}/v={number - 1}"
-        if number > 0:
-            old = spark.read.parquet(last)
-            revisions(old, batch, keys, fields).write.mode("overwrite").parquet(f"{log}/v={number}")
-            batch = upsert(old, batch, keys)
-        batch.write.mode("overwrite").parquet(f"{path}/v={number}")
+        spark, version = batch.sparkSession, first + number
+        new = last_writes(batch.select(*columns, F.col(order).alias("_order")), keys, "_order").select(*columns)
+        new = new.withColumn("_b", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int"))
+        if version > 0:
+            touched = new.select("_b").distinct()  # at most BUCKETS rows
+            old = latest_parts(spark, path, version).join(F.broadcast(touched), "_b", "left_semi").select(*columns, "_b")
+            revisions(old, new, keys, fields).write.mode("overwrite").parquet(f"{log}/v={version}")
+            new = upsert(old, new, keys)
+        parts = new.withColumn("_v", F.lit(version)).repartition("_b").write.partitionBy("_b", "_v")
+        parts.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
     return write
 
@@ -62,11 +79,10 @@ def contiguity(stream: DataFrame, key: str, slot: str, step: int) -> DataFrame:
     def follow(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
         out = []
-        for pdf in batches:
-            for s in sorted(pdf[slot].tolist()):
-                kind = "first" if last is None else "next" if s == last + step else "gap" if s > last else "overlap"
-                out.append((k[0], s, kind))
-                last = s if last is None else max(last, s)
+        for s in sorted(s for pdf in batches for s in pdf[slot].tolist()):  # a trigger's slots of one key
+            kind = "first" if last is None else "next" if s == last + step else "gap" if s > last else "overlap"
+            out.append((k[0], s, kind))
+            last = s if last is None else max(last, s)
         if last is not None:
             state.update((last,))
         yield pd.DataFrame(out, columns=[key, slot, "kind"])

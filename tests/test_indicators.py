@@ -52,10 +52,43 @@ def test_ema_in_chunks_equals_one_pass(spark):
     assert one[11:] == pytest.approx(want[11:]) and many[11:] == pytest.approx(want[11:])
 
 
-def test_macd_needs_enough_bars(spark):
-    got = ind.macd(bars(spark, [float(i % 7) + i for i in range(40)])).orderBy("day").collect()
-    assert [r["macd"] is None for r in got] == [True] * 25 + [False] * 15
-    assert [r["macd_signal"] is None for r in got] == [True] * 33 + [False] * 7
+def plain_macd(closes):
+    """The rule bar by bar, in plain Python: means seeded by plain means; the line begins behind the first 26 bars."""
+
+    def means(xs, n):
+        out, k = [None] * len(xs), 2 / (n + 1)
+        for i in range(n - 1, len(xs)):
+            out[i] = sum(xs[:n]) / n if i == n - 1 else out[i - 1] * (1 - k) + xs[i] * k
+        return out
+
+    fast, slow = means(closes, 12), means(closes, 26)
+    line = [fast[i] - slow[i] for i in range(26, len(closes))]
+    return [None] * 26 + line, [None] * 26 + means(line, 9)
+
+
+@pytest.mark.parametrize("chunk", [4096, 7])
+def test_macd(spark, chunk):
+    rng = random.Random(7)
+    closes = [50 + rng.random() * 9 for _ in range(70)]
+    line, signal = plain_macd(closes)
+    got = ind.macd(bars(spark, closes), chunk=chunk).orderBy("day").collect()
+    assert [r["macd"] for r in got] == pytest.approx(line) and [r["macd_signal"] for r in got] == pytest.approx(signal)
+    assert [r["macd_signal"] is None for r in got] == [True] * 34 + [False] * 36
+    assert got[-1]["macd_hist"] == pytest.approx(line[-1] - signal[-1])
+    plan = ind.macd(bars(spark, closes))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 4  # bars and counts, for the rows and for the ends of stretches
+
+
+def test_missing_values_are_skipped(spark):
+    closes = CLOSES[:9] + [None] + CLOSES[9:]
+    got = values(ind.rsi(bars_with_gaps(spark, closes), chunk=5), "rsi14")
+    assert got[9] is None and got[15] == pytest.approx(70.4641350211, abs=1e-6)
+
+
+def bars_with_gaps(spark, closes):
+    b = bars(spark, [c or 1.0 for c in closes])
+    gaps = [dt.date(2024, 1, 1) + dt.timedelta(i) for i, c in enumerate(closes) if c is None]
+    return b.withColumn("close", F.when(~F.col("day").isin(gaps), F.col("close")))
 
 
 def test_extremes_ties_go_to_the_latest_day(spark):
@@ -65,10 +98,26 @@ def test_extremes_ties_go_to_the_latest_day(spark):
 
 
 def test_levels(spark):
-    levels = spark.createDataFrame([("x", k, v) for k, v in [("support", 75613.0), ("support", 65955.0), ("support", 58559.0), ("support", 90000.0), ("resistance", 82139.0), ("resistance", 85000.0), ("resistance", 70000.0)]], "symbol string, kind string, level double")
-    price = spark.createDataFrame([("x", 81900.0)], "symbol string, price double")
+    rows = [("support", 12.5), ("support", 9.25), ("support", 7.0), ("support", 3.0), ("support", 1.5), ("support", 12.5), ("support", 21.0), ("support", -1.0), ("resistance", 17.0), ("resistance", 30.5), ("resistance", 11.0), ("resistance", float("nan"))]
+    levels = spark.createDataFrame([("x", *r) for r in rows], "symbol string, kind string, level double")
+    price = spark.createDataFrame([("x", 15.0), ("y", None)], "symbol string, price double")
     got = ind.price_levels(levels, price).orderBy("kind", "rank").select("kind", "level").collect()
-    assert [tuple(r) for r in got] == [("resistance", 82139.0), ("resistance", 85000.0), ("support", 75613.0), ("support", 65955.0), ("support", 58559.0)]
+    assert [tuple(r) for r in got] == [("resistance", 17.0), ("resistance", 30.5), *[("support", v) for v in (12.5, 9.25, 7.0, 3.0, 1.5)]]
+
+
+def test_pivots_allow_an_absolute_slack(spark):
+    base = [80_000.0 + 100 * abs(i - 5) for i in range(11)]
+    level = {r["level"] for r in ind.pivots(bars(spark, base), 5).where("kind = 'support'").collect()}
+    assert level == {80_000.0}
+    near = [*base[:4], 80_000.0005, *base[5:]]
+    assert {r["level"] for r in ind.pivots(bars(spark, near), 5).where("kind = 'support'").collect()} == {80_000.0}
+    lower = [*base[:4], 79_990.0, *base[5:]]  # a tenth of a thousandth below is no support any more
+    assert ind.pivots(bars(spark, lower), 5).where("kind = 'support'").count() == 0
+
+
+def test_votes_use_long_means(spark):
+    b = ind.ma_votes(bars(spark, [float(i) for i in range(1, 221)])).orderBy("day").collect()
+    assert [b[i]["above"] for i in (18, 19, 49, 99, 199)] == [0, 1, 2, 3, 4]
 
 
 def test_row_order_and_partitions_do_not_matter(spark):

@@ -58,6 +58,8 @@ def test_upserts_and_revisions(spark):
     assert rec.revisions(new, new, ["k"], ["v"]).isEmpty()
     assert {tuple(x) for x in rec.insert_ignore(old, new, ["k"]).collect()} == {(1, 1.35, "a"), (2, 2.0, None), (3, 3.0, "d")}
     assert rec.upsert(old, new, ["k"]).count() == 3
+    twice = new.unionByName(new.withColumn("v", F.col("v") - 1)).withColumn("at", F.when(F.col("v") < 1, 2).otherwise(1))
+    assert {x["k"]: x["v"] for x in rec.upsert(old.withColumn("at", F.lit(0)), twice, ["k"], "at").collect()}[1] == 0.48
     assert {x["state"] for x in rec.append_only(old, new, ["k"], "sha").where("k != 2").collect()} == {"conflict", "new"}
     merged = {x["k"]: x["v"] for x in rec.merge_coalesce(old, new.withColumn("v", F.lit(None).cast("double")), ["k"]).collect()}
     assert merged == {1: 1.35, 2: 2.0, 3: None}
@@ -85,14 +87,46 @@ def test_scalars(spark):
     assert tuple(row) == (-1.2, -3400.5, None, None, D(2026, 10, 7), D(2026, 10, 7), "overbought", "a?token=***&x=1", 999_300)
 
 
+def test_zones_at_their_bounds(spark):
+    at = lambda kind, v: sc.zone(kind, F.lit(float(v)))
+    row = spark.range(1).select(at("rsi", 70), at("rsi", 70.5), at("rsi", 30), at("williams", -20), at("cci", 100), at("mvrv", 1), at("mvrv", 2.4), at("mvrv", 3.5), at("asopr", 1.2), at("asopr", 1.3), at("vix", 25), at("us10y", 5.5), at("nupl", float("nan"))).first()
+    assert tuple(row) == ("neutral", "overbought", "neutral", "neutral", "neutral", "accumulation", "intermediate", "euphoria", "profit", "high profit", "low premium", "pressing", None)
+
+
+def test_redaction(spark):
+    said = ["Authorization: Bearer abc123.def", '{"api_key": "k1", "x": 2}', "bearer  tok/en== and password='hunter2'", "access_token=zz&y=1"]
+    got = [r[0] for r in spark.createDataFrame([(i, s) for i, s in enumerate(said)], "i int, s string").orderBy("i").select(sc.redact(F.col("s"))).collect()]
+    assert not any(w in " ".join(got) for w in ("abc123", "k1", "tok/en", "hunter2", "zz")) and got[1].endswith('"x": 2}') and got[3].endswith("&y=1")
+
+
+def test_url_and_title_keys(spark):
+    urls = {"HTTP://A.b/C/?UTM_x=1&utm_1=2&ref=r&b=2&a=&a=1#f": "http://a.b/C?a=1&b=2&ref=r", "https://x.y/?fbclid=1": "https://x.y", "https://x.y/p?b=1&a=2&a=10": "https://x.y/p?a=10&a=2&b=1"}
+    rows = spark.createDataFrame([(u,) for u in urls], "u string").select("u", tx.canonical_url(F.col("u"))).collect()
+    assert {r[0]: r[1] for r in rows} == urls
+    assert spark.range(1).select(tx.title_key(F.lit("Él, UP 5 %"))).first()[0] == "l up 5"
+
+
+def test_news_ages(spark):
+    kinds = [("research", 21, True), ("research", 22, False), ("primary", 14, True), ("primary", 15, False), ("discovery", 7, True), ("discovery", 8, False), ("official", 8, False), ("primary", -1, False)]
+    rows = spark.createDataFrame(kinds, "k string, a int, want boolean")
+    assert rows.where(tx.news_fresh(F.col("a"), F.col("k")) != F.col("want")).isEmpty()
+
+
+def test_excerpts(spark):
+    body = "word " * 60
+    rows = [("A Title", "  .. A title - a TITLE: ## Body of it", "Body of it"), ("Only", "only", "only"), ("", body, None), ("x" * 3, "#### Head " + "y" * 400, "Head " + "y" * 275 + "…")]
+    got = [r[0] for r in spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, t string, b string, w string").orderBy("i").select(tx.excerpt(F.col("t"), F.col("b"))).collect()]
+    assert got[0] == rows[0][2] and got[1] == "only" and got[2] == ("word " * 55).strip() + "…" and got[3] == rows[3][2]
+
+
 def test_text(spark):
     row = spark.range(1).select(
         tx.canonical_url(F.lit("HTTPS://Ex.com/a/?utm_source=x&b=2&a=1#t")), tx.strip_markup(F.lit("<p>a &amp; b</p><script>x</script>  c")),
         tx.strip_markup(F.lit("word " * 40), 30), F.array_join(tx.tokens(F.lit("A MVRV z_score, x!")), ","), tx.on_domains(F.lit("evil-ex.com"), ["ex.com"]),
-        tx.excerpt(F.lit("Title"), F.lit("Title: Title - body text")), tx.title_key(F.lit("  Bitcoin, UP 5%! ")),
+        tx.excerpt(F.lit("Title"), F.lit("Title: Title - body text")), tx.title_key(F.lit("  Coin, UP 5%! ")),
     ).first()
     assert row[0] == "https://ex.com/a?a=1&b=2" and row[1] == "a & b c" and row[2].endswith("…") and len(row[2]) <= 31
-    assert row[3] == "mvrv,z_score" and row[4] is False and row[5] == "body text" and row[6] == "bitcoin up 5"
+    assert row[3] == "mvrv,z_score" and row[4] is False and row[5] == "body text" and row[6] == "coin up 5"
 
 
 def test_news_dedupe_is_greedy(spark):
@@ -100,6 +134,9 @@ def test_news_dedupe_is_greedy(spark):
     df = spark.createDataFrame(rows, "asset string, pri int, pos int, u string, t string")
     got = search.dedupe_news(df, ["asset"], "pri", "pos", "u", "t").collect()
     assert {(r["u"], r["t"]) for r in got} == {("u1", "t1"), ("u2", "t2"), ("u4", "t4")}
+    many = spark.createDataFrame([("btc", 0, i, f"u{i % 13}", f"t{i % 11}") for i in range(200)] + [("eth", 0, 0, None, "t"), ("eth", 0, 1, None, "s")], "asset string, pri int, pos int, u string, t string")
+    kept = search.dedupe_news(many, ["asset"], "pri", "pos", "u", "t").collect()
+    assert sorted(r["pos"] for r in kept if r["asset"] == "btc") == list(range(7)) and [r["pos"] for r in kept if r["asset"] == "eth"] == [0]
 
 
 def test_decoders(spark):
@@ -115,6 +152,34 @@ def test_decoders(spark):
     assert {(r["ticker"], r["flow"]) for r in dc.html_flow_table(spark.createDataFrame([(html,)], "html string")).collect()} == {("IBIT", -1.2), ("TOTAL", None)}
 
 
+def run(stream, tmp_path, name):
+    q = stream.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return stream.sparkSession.table(name)
+
+
+def test_replays_in_a_later_batch_are_dropped(spark, tmp_path):
+    first = [(i, dt.datetime(2024, 1, 1, 0, i), "x") for i in range(20)]
+    for n, rows in enumerate([first, first[::3] + [(50, dt.datetime(2024, 1, 1, 0, 30), "x")]]):
+        spark.createDataFrame(rows, "id int, ts timestamp, v string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    s = spark.readStream.schema("id int, ts timestamp, v string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    assert sorted(r["id"] for r in run(st.once_per_key(s, "ts", ["id"], "1 day"), tmp_path, "once").collect()) == [*range(20), 50]
+
+
+def test_corrections_rewrite_touched_parts_only(spark, tmp_path):
+    path, log = str(tmp_path / "table"), str(tmp_path / "log")
+    write = st.revise_batch(path, log, ["k"], ["v"], "at")
+    rows = lambda *r: spark.createDataFrame(r, "k int, v double, at int")
+    write(rows(*[(i, float(i), 0) for i in range(200)]), 0)
+    late = rows((7, 9.0, 1), (7, 1.0, 2), (300, 3.0, 1))
+    for _ in range(2):  # a batch that is run again gives the same tables
+        write(late, 1)
+    got = {r["k"]: r["v"] for r in st.latest_parts(spark, path).collect()}
+    assert len(got) == 201 and got[7] == 1.0 and got[300] == 3.0 and got[8] == 8.0
+    assert spark.read.option("basePath", path).parquet(path).where("_v = 1").select("_b").distinct().count() <= 2
+    assert [json.loads(r["new_json"]) for r in spark.read.parquet(f"{log}/v=1").collect()] == [{"v": 1.0}]
+
+
 def test_streams(spark, tmp_path):
     rows = [("a", 0, 1.0), ("a", 300, 2.0), ("a", 900, 3.0)]
     spark.createDataFrame(rows, "k string, slot long, close double").coalesce(1).write.parquet(str(tmp_path / "in"))
