@@ -262,18 +262,6 @@ def a17_revision_counts(spark, sf_dir):
     return r.join(o, "l_orderkey").groupBy("source").agg(F.count("*").alias("n"))
 
 
-_REQ = """q AS (SELECT o_orderkey AS request, o_orderstatus AS status, o_totalprice AS told, l_orderkey IS NOT NULL AS has_rows, n, total FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, round(sum(l_extendedprice), 2) AS total FROM lineitem WHERE l_orderkey % 13 <> 0 GROUP BY 1) x ON l_orderkey = o_orderkey)"""
-
-
-@register(f"""WITH {_REQ} SELECT request, 'no_rows' AS rule, 'traceability' AS category, 'critical' AS severity FROM q WHERE NOT has_rows
-UNION ALL SELECT request, 'few_rows', 'traceability', 'warning' FROM q WHERE n < 3 UNION ALL SELECT request, 'over_total', 'numeric', 'warning' FROM q WHERE total > told * 3""")
-def l1_request_lineage(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey % 13 != 0").groupBy(F.col("l_orderkey").alias("request")).agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("total"))
-    q = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("request"), F.col("o_totalprice").alias("told")).join(li, "request", "left")
-    rules = [("no_rows", "traceability", "critical", F.col("n").isNull()), ("few_rows", "traceability", "warning", F.col("n") < 3), ("over_total", "numeric", "warning", F.col("total") > F.col("told") * 3)]
-    return rec.rule_issues(q, "request", rules)
-
-
 @register()
 def l2_request_digest_audit(spark, sf_dir):
     params = F.create_map(F.lit("order"), F.col("o_orderkey").cast("string"), F.lit("api_key"), F.lit("secret-value"), F.lit("day"), F.to_date("o_orderdate").cast("string"))
