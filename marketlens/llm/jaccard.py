@@ -6,10 +6,13 @@ fixed order (rare shingles first): the pivots nearest to a set are its own shing
 misses at most (1 - t)|x| of x's shingles, so x lies in the windows of its first floor((1 - t)|x|) + 1 pivots, and two
 linked sets meet in the region of a shared one: these are the Voronoi regions of the pivots, with the boundary
 documents that the windows replicate. Inside regions the pivots are documents. A region's members are compared with its
-first one, which links most groups at once. Regions that still hold several components are divided again: small ones by
-the windows of the triangle inequality around that pivot, |d(x, p) - d(y, p)| <= eps, larger ones with more and more
-pivots, each compared with all members of other components and then left out, until a region is small or holds one
-component. All distances are exact, from whole sets.
+first one, which links most groups at once. Regions that still hold several components go on by the windows of the
+triangle inequality around that pivot, |d(x, p) - d(y, p)| <= eps. Larger ones also use signatures, the parities of the
+shingles in each of some buckets: the bits in which two differ are at most the shingles in which the sets differ, so
+that the signature is the set's image in a space where distances only shrink. Members outside a region's largest
+component are compared by signature, block by block inside tasks; first only the nearest of other components are
+measured, which joins what belongs together, then all that the signatures allow. All distances are exact, from whole
+sets.
 """
 
 from __future__ import annotations
@@ -23,16 +26,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import by_chars, extended, join_checked, mix64, small_batches, stored
+from .common import Scratch, by_chars, extended, fits, join_checked, mix64, small_batches
 
 #: Shingles whose estimated counts order them behind others; bounds the broadcast (16 MB), never the result.
 COMMON_SHINGLES = 1 << 20
 #: Regions up to this size are joined pair by pair.
 LEAF = 128
-#: Document pivots of a larger region in its first division; four times as many in each further one.
-PIVOTS = 8
+#: Members of a block of a larger region, and how many of the nearest each round measures (None: all that can be linked).
+BLOCK = 2048
+ROUNDS = (2, 8, None)
 
 
 def shingle_sets(texts: list[str], n: int, salt: int = 0) -> list[np.ndarray]:
@@ -75,7 +78,15 @@ def _batches(batch: pa.RecordBatch, n: int, salt: int) -> Iterator[tuple[int, in
         yield a, b, shingle_sets(texts[a:b], n, salt)
 
 
-_KEYS = "kind int, doc_id long, cls long, check long, n long"
+def signature(s: np.ndarray) -> bytes:
+    """The parity of the shingles in each of 2^k buckets, 2^k >= len(s), 64 at least. Two halves, combined by
+    exclusive or, are the signature with half the buckets."""
+    bits = 1 << max(6, int(len(s) - 1).bit_length() if len(s) else 6)
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+_KEYS = "kind int, doc_id long, cls long, check long, n long, sig binary"
 
 
 def _emit_keys(n: int, salt: int):
@@ -91,12 +102,12 @@ def _emit_keys(n: int, salt: int):
                 shingles, counts = np.unique(np.concatenate([sets[i] for i in once]), return_counts=True)
                 often = counts >= 2
                 shingles, counts = shingles[often].view(np.int64), counts[often]
-                for kind, doc, cls, check, size in (
-                    (0, ids.slice(a, b - a), keys[:, 0], keys[:, 1], sizes),
-                    (1, pa.nulls(len(shingles), pa.int64()), shingles, np.zeros(len(shingles), np.int64), counts),
+                for kind, doc, cls, check, size, sigs in (
+                    (0, ids.slice(a, b - a), keys[:, 0], keys[:, 1], sizes, pa.array([signature(s) for s in sets], pa.binary())),
+                    (1, pa.nulls(len(shingles), pa.int64()), shingles, np.zeros(len(shingles), np.int64), counts, pa.nulls(len(shingles), pa.binary())),
                 ):
-                    cols = [pa.array(np.full(len(cls), kind, np.int32)), doc, pa.array(cls), pa.array(check), pa.array(size.astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(cols, names=["kind", "doc_id", "cls", "check", "n"])
+                    cols = [pa.array(np.full(len(cls), kind, np.int32)), doc, pa.array(cls), pa.array(check), pa.array(size.astype(np.int64)), sigs]
+                    yield pa.RecordBatch.from_arrays(cols, names=["kind", "doc_id", "cls", "check", "n", "sig"])
 
     return emit
 
@@ -165,6 +176,68 @@ def _intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield extended(batch, ["x", "y"], {c: pa.array(both[:, i]) for i, c in enumerate(("common", "nx", "ny"))})
 
 
+def _allowed(x: dict, y: dict, num: int, den: int) -> np.ndarray:
+    """By sizes, shared regions, distances to the region's pivot, and components: which of x may be linked with which of y."""
+    nx, ny = x["n"][:, None], y["n"][None]
+    behind = [n - (n * (den - num) // den + 1) for n in (nx, ny)]
+    most = np.minimum(x["deg"][:, None], y["deg"][None]) + np.maximum(*behind)
+    ok = (most * (den + num) >= (nx + ny) * num) & (nx * den >= ny * num) & (ny * den >= nx * num)
+    far = np.abs(x["dist"][:, None] - y["dist"][None]) > 1 - num / den + 1e-9  # false where one is unknown
+    return ok & ~far & (x["root"][:, None] != y["root"][None])
+
+
+def _by_signature(x: dict, y: dict, num: int, den: int, nearest: int | None) -> list[np.ndarray]:
+    """Pairs (cls of x, cls of y) that may be linked: all, or the nearest for each of x by what the signatures tell."""
+    found = []
+    step = max(1, (1 << 22) // max(1, len(y["n"]) * y["sig"].shape[1]))
+    for a in range(0, len(x["n"]), step):
+        part = {k: v[a : a + step] for k, v in x.items()}
+        differ = np.bitwise_count(part["sig"][:, None] ^ y["sig"][None]).sum(axis=2, dtype=np.int64)
+        total = part["n"][:, None] + y["n"][None]
+        ok = _allowed(part, y, num, den) & (differ * (den + num) <= total * (den - num))
+        if nearest and ok.shape[1] > nearest:
+            differ[~ok] = np.iinfo(np.int64).max
+            best = np.argpartition(differ, nearest - 1, axis=1)[:, :nearest]
+            keep = np.zeros_like(ok)
+            np.put_along_axis(keep, best, True, axis=1)
+            ok &= keep
+        i, j = np.nonzero(ok)
+        found.append(np.stack([part["cls"][i], y["cls"][j]], axis=1))
+    return found
+
+
+def _block_pairs(num: int, den: int, nearest: int | None):
+    """(p, x) of a pair of blocks of a region: pairs of different components that the windows and signatures allow."""
+
+    def by_width(pdf: pd.DataFrame) -> dict[int, dict]:
+        out = {}
+        for width, rows in pdf.groupby(pdf["sig"].str.len()):
+            sig = np.frombuffer(b"".join(rows["sig"]), np.uint64).reshape(len(rows), -1)
+            out[width] = {c: rows[c].to_numpy() for c in ("cls", "n", "root", "deg", "dist")} | {"sig": sig}
+        return out
+
+    def folded(rows: dict) -> dict:
+        half = rows["sig"].shape[1] // 2
+        return rows | {"sig": rows["sig"][:, :half] ^ rows["sig"][:, half:]}
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+        pdf["dist"] = pdf["dist"].astype(float)
+        main = pdf["root"].mode().iloc[0]
+        one, two = pdf[pdf["block"] == i], pdf[pdf["block"] == j]
+        found = [np.zeros((0, 2), np.int64)]
+        for a, b in ((one, two), (two, one))[: 1 if i == j else 2]:
+            left, right = by_width(a[a["root"] != main]), by_width(b)
+            for w, x in left.items():
+                for v, y in right.items():
+                    if v in (w, 2 * w, w // 2):  # sizes further apart can't be linked
+                        found += _by_signature(folded(x) if w > v else x, folded(y) if v > w else y, num, den, nearest)
+        both = np.sort(np.concatenate(found), axis=1)
+        return pd.DataFrame(np.unique(both, axis=0), columns=["p", "x"])
+
+    return pairs
+
+
 def _files(rows: int) -> int:
     """Files for a table of about so many rows: few for small ones, so that rounds over them are short."""
     return max(12, rows // 100_000)
@@ -175,16 +248,19 @@ class _Join:
 
     def __init__(self, docs: DataFrame, n: int, num: int, den: int):
         self.docs = docs.select("doc_id", "text")
+        self.scratch = Scratch(docs.sparkSession, "jaccard")
+        self.stored = self.scratch.stored
         self.n, self.num, self.den = n, num, den
         small_batches(docs.sparkSession)
         salt = 0
         while True:
-            keys = stored(self.docs.mapInArrow(_emit_keys(n, salt), _KEYS), "keys")
+            keys = self.stored(self.docs.mapInArrow(_emit_keys(n, salt), _KEYS), "keys")
             self.keys = keys.where("kind = 0").select("doc_id", "cls", "check", "n")
             if self.keys.groupBy("cls").agg((F.min("check") != F.max("check")).alias("bad")).where("bad").isEmpty():
                 break
             salt += 1  # two sets with one class id: take other hashes
         self.salt = salt
+        self.sigs = keys.where("kind = 0 and n > 0").select("cls", "sig")
         self.keys = self.keys.drop("check")
         totals = keys.where("kind = 1").groupBy("cls").agg(F.sum("n").alias("n"))
         top = totals.orderBy(F.desc("n"), "cls").limit(COMMON_SHINGLES).toPandas()  # at most COMMON_SHINGLES rows
@@ -195,7 +271,7 @@ class _Join:
 
     def regions(self) -> DataFrame:
         emit = _emit_regions(self.n, self.salt, self.num, self.den, self.common)
-        return stored(self.docs.mapInArrow(emit, "region long, cls long, n int"), "regions")
+        return self.stored(self.docs.mapInArrow(emit, "region long, cls long, n int"), "regions")
 
     def behind(self, n):
         """Shingles of a set of n that lie behind its windows."""
@@ -228,44 +304,57 @@ class _Join:
         common = F.ceil((F.col("pn") + F.col("xn")) * self.num / (self.den + self.num) - 1e-6)
         need = common - F.greatest(self.behind(F.col("pn")), self.behind(F.col("xn")))
         pairs = met.select("p", "x", need.cast("int").alias("need")).groupBy("p", "x", "need").agg(F.count("*").alias("c"))
-        more = stored(large.groupBy("cls").agg(F.count("*").alias("m")), "large", files)
+        more = self.stored(large.groupBy("cls").agg(F.count("*").alias("m")), "large", files)
         pairs = join_checked(pairs, more.select(F.col("cls").alias("p"), F.col("m").alias("_pm")), "p", "left")
         pairs = join_checked(pairs, more.select(F.col("cls").alias("x"), F.col("m").alias("_xm")), "x", "left")
         shared = F.col("c") + F.least(F.coalesce("_pm", F.lit(0)), F.coalesce("_xm", F.lit(0)))
         return pairs.where(shared >= F.col("need")).select("p", "x")
 
+    def block_pairs(self, large: DataFrame, nearest: int | None) -> DataFrame:
+        """(p, x): pairs of different components in one larger region that its windows and the signatures allow."""
+        wanted = self.stored(large.select("cls").distinct(), "signed")
+        sigs = self.stored(join_checked(self.sigs, wanted, "cls", "left_semi").groupBy("cls").agg(F.first("sig").alias("sig")), "signatures")
+        rows = join_checked(large, sigs, "cls").withColumn("_k", F.ceil(F.col("size") / BLOCK).cast("int"))
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("_k")).cast("int")).withColumn("_c", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+        rows = rows.select("region", F.least("block", "_c").alias("i"), F.greatest("block", "_c").alias("j"), "block", "cls", "n", "root", "deg", "dist", "sig")
+        return rows.groupBy("region", "i", "j").applyInPandas(_block_pairs(self.num, self.den, nearest), "p long, x long")
+
     def measure(self, pairs: DataFrame, files: int) -> DataFrame:
         """(p, x, dist, link) of stored distinct pairs (p, x): each set travels to the pivots it is compared with."""
         roles = pairs.select(F.col("x").alias("cls"), "p").union(pairs.select(F.col("p").alias("cls"), "p")).distinct()
         wanted = roles.groupBy("cls").agg(F.collect_list("p").alias("pivots")).join(self.reps, "cls")
-        wanted = stored(wanted.withColumnRenamed("doc_id", "_doc"), "wanted", files)
-        small = F.broadcast(wanted) if wanted.limit(200_001).count() <= 200_000 else wanted
+        wanted = self.stored(wanted.withColumnRenamed("doc_id", "_doc"), "wanted", files)
+        small = F.broadcast(wanted) if fits(wanted) else wanted
         rows = self.docs.join(small, self.docs["doc_id"].eqNullSafe(F.col("_doc"))).select("text", "cls", "pivots")
         sets = rows.mapInArrow(_emit_sets(self.n, self.salt), "cls long, pivots array<long>, body binary")
-        sets = stored(sets, "sets")
+        sets = self.stored(sets, "sets")
         moved = sets.select("cls", F.explode("pivots").alias("p"), "body")
         pivots = moved.where("cls = p").select("p", F.col("body").alias("x"))
         others = moved.where("cls != p").select("p", F.col("cls").alias("x_cls"), F.col("body").alias("y"))
         done = others.join(pivots, "p").select("p", F.col("x_cls").alias("cls"), "x", "y").mapInArrow(_intersect, "p long, cls long, common long, nx long, ny long")
         union = F.col("nx") + F.col("ny") - F.col("common")
         out = done.select("p", F.col("cls").alias("x"), (1 - F.col("common") / union).alias("dist"), (F.col("common") * self.den >= union * self.num).alias("link"))
-        return stored(out.distinct(), "measured", files)
+        out = self.stored(out.distinct(), "measured", files)
+        self.scratch.drop(wanted, sets)
+        return out
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(cls, root): the smallest class reachable by links (p, x), by label propagation with pointer jumping."""
     files = _files(links.count())
-    edges = stored(links.select(F.col("p").alias("u"), F.col("x").alias("v")).union(links.select("x", "p")).distinct(), "edges", files)
-    labels = stored(edges.groupBy(F.col("u").alias("cls")).agg(F.least(F.min("v"), F.min("u")).alias("root")), "labels", files)
+    edges = scratch.stored(links.select(F.col("p").alias("u"), F.col("x").alias("v")).union(links.select("x", "p")).distinct(), "edges", files)
+    labels = scratch.stored(edges.groupBy(F.col("u").alias("cls")).agg(F.least(F.min("v"), F.min("u")).alias("root")), "labels", files)
     while True:
         from_next = edges.join(labels.withColumnRenamed("cls", "v"), "v").groupBy(F.col("u").alias("cls")).agg(F.min("root").alias("_next"))
         up = labels.select(F.col("cls").alias("root"), F.col("root").alias("_up"))
         new = labels.join(from_next, "cls").join(up, "root", "left")
-        new = stored(new.select("cls", F.least("root", "_next", "_up").alias("root"), F.col("root").alias("_old")), "labels", files)
+        new = scratch.stored(new.select("cls", F.least("root", "_next", "_up").alias("root"), F.col("root").alias("_old")), "labels", files)
         changed = not new.where("root != _old").isEmpty()
-        labels = new.drop("_old")
+        scratch.drop(labels)
+        labels = new
         if not changed:
-            return labels
+            scratch.drop(edges)
+            return new.select("cls", "root")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -277,60 +366,62 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     columns are ignored; an empty table gives an empty result.
     """
     job = _Join(docs, n, num, den)
+    stored, scratch = job.stored, job.scratch
     eps = 1 - num / den
     rows = job.regions()
     ends = rows.groupBy("region").agg(F.min("cls").alias("_p"), F.max("cls").alias("_q"), F.min("n").alias("_lo"), F.max("n").alias("_hi"))
     ends = ends.where("_p != _q").select("region", "_lo", "_hi")
-    members = stored(rows.join(ends, "region").distinct(), "members")
+    shared = stored(rows.join(ends, "region").distinct(), "shared")
+    scratch.drop(rows)
     # deg: a set's regions that others share; too few for any size that its region holds: no link there
-    deg = members.groupBy("cls").agg(F.count("*").alias("deg"))
+    deg = shared.groupBy("cls").agg(F.count("*").alias("deg"))
     least = F.greatest(F.col("_lo"), F.ceil(F.col("n") * num / den - 1e-6))
     most = F.least(F.col("_hi"), F.floor(F.col("n") * den / num + 1e-6))
     can = job.linkable(F.col("n"), least, F.col("deg")) | job.linkable(F.col("n"), most, F.col("deg") + 1)  # 1: rounding
-    members = stored(members.join(deg, "cls").where(can).select("region", "cls", "n", "deg"), "members")
+    able = stored(shared.join(deg, "cls").where(can).select("region", "cls", "n", "deg"), "able")
+    scratch.drop(shared)
     # the first document pivot of a region: the set that shares most
-    lead = members.groupBy("region").agg(F.max(F.struct("deg", F.col("cls").alias("p"), "n")).alias("_m"), F.min("cls").alias("_p"), F.max("cls").alias("_q"))
+    lead = able.groupBy("region").agg(F.max(F.struct("deg", F.col("cls").alias("p"), "n")).alias("_m"), F.min("cls").alias("_p"), F.max("cls").alias("_q"))
     lead = lead.where("_p != _q").select("region", F.col("_m.p").alias("p"), F.col("_m.n").alias("_pn"), F.col("_m.deg").alias("_pg"))
-    members = stored(members.join(lead, "region"), "members")
+    led = stored(able.join(lead, "region"), "led")
+    scratch.drop(able)
     ok = job.linkable(F.col("n"), F.col("_pn"), F.least("deg", "_pg"))
-    pairs = members.where(F.col("cls") != F.col("p")).where(ok).select("p", F.col("cls").alias("x")).distinct()
-    files = _files(members.count())
+    pairs = led.where(F.col("cls") != F.col("p")).where(ok).select("p", F.col("cls").alias("x")).distinct()
+    files = _files(led.count())
     tested = job.measure(stored(pairs, "pairs", files), files)
     links = tested.where("link").select("p", "x")
-    roots = components(links)
+    roots = stored(components(links, scratch), "roots", files)
     # each member's distance to its region's pivot, where measured
     to_pivot = tested.select("p", F.col("x").alias("cls"), "dist")
-    members = join_checked(members.where("cls != p"), to_pivot, ["p", "cls"], "left").select("region", "cls", "n", "deg", "dist")
-    more, first = PIVOTS, True
-    while True:
-        # regions that still hold two components, without the pivots that are done
+    members = join_checked(led.where("cls != p"), to_pivot, ["p", "cls"], "left").select("region", "cls", "n", "deg", "dist")
+    for turn, nearest in enumerate(ROUNDS):
+        # regions that still hold two components
         known = join_checked(members, roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         known = stored(known, "known", files)
         open_ = known.groupBy("region").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count("*").alias("size")).where("_a != _b").select("region", "size")
-        members = stored(join_checked(known, stored(open_, "open", files), "region"), "members", files)
+        open_ = stored(open_, "open", files)
+        members = stored(join_checked(known, open_, "region"), "members", files)
+        scratch.drop(known, open_)
         files = _files(members.count())
         if members.isEmpty():
             break
-        leaf = members.where(F.col("size") <= LEAF).drop("size")
-        large = members.where(F.col("size") > LEAF).drop("size")
-        pairs = job.leaf_pairs(leaf, large if first else None, eps, files)
-        chosen = F.row_number().over(Window.partitionBy("region").orderBy(F.desc("deg"), "cls"))
-        pivots = large.withColumn("_k", chosen).where(F.col("_k") <= more)
-        pivots = stored(pivots.select("region", F.col("cls").alias("p"), F.col("n").alias("_pn"), F.col("root").alias("_pr"), F.col("deg").alias("_pg"), F.col("dist").alias("_pd")), "pivots", files)
-        window = F.coalesce(F.abs(F.col("_pd") - F.col("dist")) <= eps + 1e-9, F.lit(True))
-        met = join_checked(large, pivots, "region").where((F.col("root") != F.col("_pr")) & job.linkable(F.col("n"), F.col("_pn"), F.least("deg", "_pg")) & window)
-        pairs = pairs.union(met.select(F.least("p", "cls").alias("p"), F.greatest("p", "cls").alias("x"))).distinct()
+        large = members.where(F.col("size") > LEAF)
+        pairs = job.block_pairs(large, nearest)
+        if turn == 0:  # the small regions, once
+            pairs = pairs.union(job.leaf_pairs(members.where(F.col("size") <= LEAF).drop("size"), large, eps, files))
         done = tested.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x")).distinct()
-        measured = job.measure(stored(pairs.join(done, ["p", "x"], "left_anti"), "pairs", files), files)
-        tested = stored(tested.unionByName(measured), "tested", files)
-        new = stored(measured.where("link").select("p", "x"), "links", files)
+        fresh = stored(pairs.distinct().join(done, ["p", "x"], "left_anti"), "pairs", files)
+        measured = job.measure(fresh, files)
+        new = measured.where("link").select("p", "x")
         if not new.isEmpty():
             links = stored(links.union(new), "links", files)
-            roots = components(links)
-        members = large.join(pivots.select("region", F.col("p").alias("cls")), ["region", "cls"], "left_anti").select("region", "cls", "n", "deg", "dist")
-        more, first = more * 4, False
+            roots = stored(components(links, scratch), "roots", files)
+        tested = stored(tested.unionByName(measured), "tested", files)
+        members = large.drop("size", "root")
     rooted = join_checked(job.keys, roots, "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
     rooted = stored(rooted, "rooted")
+    scratch.keep(rooted)
+    job.common.destroy()
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("_least"))
     out = rooted.join(least, "root", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -89,9 +89,10 @@ def brute_components(rows, n, num, den):
     return [(d, len(s), least[find(i)] if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))]
 
 
-@pytest.mark.parametrize("leaf", [32, 3])
-def test_jaccard(spark, monkeypatch, leaf):
+@pytest.mark.parametrize("leaf, block", [(32, 2048), (3, 2048), (3, 20)])
+def test_jaccard(spark, monkeypatch, leaf, block):
     monkeypatch.setattr(jaccard, "LEAF", leaf)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(300)]
     bases = [[rng.choice(vocab) for _ in range(rng.randint(20, 60))] for _ in range(8)]
