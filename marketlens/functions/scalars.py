@@ -229,17 +229,30 @@ def retry_class(status: Column) -> Column:
     return F.when(status == 429, "rate_limited").when(status >= 500, "transient").when(status >= 400, "permanent").otherwise("none")
 
 
-def error_category(text: Column) -> Column:
-    t = F.lower(text)
-    return (
-        F.when(t.rlike("timed? ?out|timeout"), "timeout")
-        .when(t.rlike("dns|resolve|name or service"), "dns")
-        .when(t.rlike("ssl|certificate|tls"), "tls")
-        .when(t.rlike("refused|reset|unreachable"), "connection")
-        .when(t.rlike("429|rate limit|too many"), "rate_limit")
-        .when(t.rlike(r"\b(5\d\d)\b"), "server")
-        .otherwise("other")
+def error_category(kind: Column, code: Column, reason: Column) -> Column:
+    """Category of a failed request, without its message: an HTTP status, the reason of a URL error, or the kind itself."""
+    http = F.when(code.between(100, 599), F.concat(F.lit("HTTPError_"), code.cast("string"))).otherwise("HTTPError_UNKNOWN")
+    url = (
+        F.when(reason == "gaierror", "URLError_DNS")
+        .when(reason.isin("SSLError", "SSLCertVerificationError"), "URLError_TLS")
+        .when(reason.isin("TimeoutError", "timeout"), "URLError_TIMEOUT")
+        .when(reason == "ConnectionRefusedError", "URLError_REFUSED")
+        .when(reason.isin("ConnectionResetError", "ConnectionAbortedError", "BrokenPipeError"), "URLError_RESET")
+        .otherwise("URLError_UNCLASSIFIED")
     )
+    return F.when(kind == "HTTPError", http).when(kind == "URLError", url).otherwise(kind)
+
+
+#: What an answer of the search service holds instead of results.
+SEARCH_ERRORS = ["rate limit", "429", "401", "403", "500", "Error:", "error_code", "exceeded", "quota", "timeout", "connection refused"]
+
+
+def is_error_text(body: Column) -> Column:
+    """An empty answer, or one without a title that names an error."""
+    named = F.lit(False)
+    for word in SEARCH_ERRORS:
+        named = named | F.lower(body).contains(word.lower())
+    return body.isNull() | (F.trim(body) == "") | (named & ~body.contains("Title:"))
 
 
 def expected_request(host: Column, path: Column, symbol: Column, start: Column, end: Column, limit: int) -> Column:

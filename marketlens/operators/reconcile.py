@@ -133,6 +133,13 @@ def lineage_audit(runs: DataFrame, run: str, ordinal: str, status: str) -> DataF
     )
 
 
+def operational_evidence(runs: DataFrame, expected: DataFrame, key: str, order: str, end: str) -> DataFrame:
+    """Per expected key: its runs, the status of the latest one and how far it reaches; MISSING where there is none."""
+    g = runs.groupBy(key).agg(F.count("*").alias("runs"), F.max_by("status", order).alias("latest_status"), F.max(end).alias("latest"))
+    j = expected.select(key).distinct().join(g, key, "left")
+    return j.select(key, F.coalesce("runs", F.lit(0)).cast("long").alias("runs"), F.coalesce("latest_status", F.lit("MISSING")).alias("latest_status"), "latest")
+
+
 # --- quality -----------------------------------------------------------------------------------------------------
 #: Weights of the categories.
 WEIGHTS = {"numeric": 0.35, "content": 0.25, "traceability": 0.20, "news": 0.15, "format": 0.05}

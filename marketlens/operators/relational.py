@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,12 +18,35 @@ def range_scan(df: DataFrame, day: str, first: str, last: str, limit: int, *tie:
     """Rows of inclusive UTC days, oldest first, at most limit (1 to 5000), with a flag whether more may follow."""
     if not 1 <= limit <= 5000:
         raise ValueError("limit must be 1 to 5000")
-    rows = df.where(F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    if first > last:
+        raise ValueError("the range ends before it begins")
+    rows = df.where(F.to_date(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
     got = rows.orderBy(day, *tie).limit(limit)
     n = got.agg((F.count("*") >= limit).alias("truncated"))
     return got.crossJoin(F.broadcast(n))  # one row
 
 
+class Source(NamedTuple):
+    """Where a provider's rows are: the table, its metric, day and tie columns, and the columns that it returns."""
+
+    table: DataFrame
+    metric: str
+    day: str
+    tie: tuple[str, ...]
+    fields: tuple[str, ...]
+
+
+def query_history(sources: dict[str, Source], provider: str, metric: str, first: str, last: str, limit: int = 1000) -> DataFrame:
+    """The provider's fields of one metric over inclusive UTC days, oldest first, at most limit, with the flag
+    `truncated`. Filters reach the provider's own table."""
+    if provider not in sources:
+        raise ValueError(f"no such provider: {provider}")
+    if not metric or len(metric) > 150:
+        raise ValueError("a metric of at most 150 characters is needed")
+    s = sources[provider]
+    return range_scan(s.table.where(F.col(s.metric) == metric), s.day, first, last, limit, *s.tie).select(*s.fields, "truncated")
+
+
 def convert_units(df: DataFrame, registry: DataFrame, key: str, value: str) -> DataFrame:
     """Registry factor, display unit and verified flag; unknown keys keep the raw value with unit `unknown`."""
     j = df.join(F.broadcast(registry), key, "left")  # a registry of metrics

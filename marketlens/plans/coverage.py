@@ -120,9 +120,19 @@ def w21_chronology(spark, sf_dir):
     return cov.chronology(_events(spark, sf_dir), ["event_type"], "t", "event_id", 300)
 
 
-@register(f"WITH {_EV} SELECT event_type, max(t) AS forward_cursor, min(t) * 1000 - 1 AS backward_cursor_ms FROM e GROUP BY 1")
+@register(f"""WITH {_EV}, s AS (SELECT event_type, max(t) * 1000 AS f, min(t) * 1000 - 1 AS b FROM e GROUP BY 1)
+SELECT event_type, f AS forward_cursor, b AS backward_cursor_ms, length(event_type) % 2 <> 0 AS forward_ok, length(event_type) % 3 <> 0 AS backward_ok FROM s""")
 def w22_cursors(spark, sf_dir):
-    return _events(spark, sf_dir).groupBy("event_type").agg(F.max("t").alias("forward_cursor"), (F.min("t") * 1000 - 1).alias("backward_cursor_ms"))
+    """Cursors from the rows, and whether the stored ones (some made wrong) are the same."""
+    from marketlens.operators.lineage import audit_cursors
+
+    s = _events(spark, sf_dir).groupBy("event_type").agg((F.max("t") * 1000).alias("newest"), (F.min("t") * 1000).alias("oldest"))
+    n = F.length("event_type")
+    stored = s.select("event_type", (F.col("newest") + F.when(n % 2 == 0, 60_000).otherwise(0)).alias("forward"), (F.col("oldest") - F.when(n % 3 == 0, 2).otherwise(1)).alias("backward"))
+    wrong = audit_cursors(s, stored, ["event_type"]).groupBy("event_type").agg(F.collect_set("cursor").alias("_w"))  # two at most
+    ok = lambda c: ~F.coalesce(F.array_contains("_w", c), F.lit(False))
+    j = s.join(wrong, "event_type", "left")
+    return j.select("event_type", F.col("newest").alias("forward_cursor"), (F.col("oldest") - 1).alias("backward_cursor_ms"), ok("forward").alias("forward_ok"), ok("backward").alias("backward_ok"))
 
 
 @register("""WITH p AS (SELECT series_id, start_day, end_day, lag(end_day) OVER (PARTITION BY series_id ORDER BY start_day) AS previous_end FROM receipts)
@@ -208,20 +218,25 @@ def a11_attempt_evidence(spark, sf_dir):
 @register(f"""WITH {_ATT}, r AS (SELECT series_id, start_day, end_day, max(end_day) OVER (PARTITION BY series_id ORDER BY start_day, end_day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM receipts WHERE status = 'ok'),
 g AS (SELECT *, sum(CASE WHEN p IS NULL OR start_day > p THEN 1 ELSE 0 END) OVER (PARTITION BY series_id ORDER BY start_day, end_day) AS k FROM r),
 w AS (SELECT series_id, count(DISTINCT k) AS merged_windows FROM g GROUP BY 1),
-v AS (SELECT series_id, count(*) AS observations FROM vintages GROUP BY 1)
-SELECT a.series_id, attempts, ok, errors, coalesce(merged_windows, 0) AS merged_windows, coalesce(observations, 0) AS observations,
-  CASE WHEN errors > 0 THEN 'ERRORS' WHEN coalesce(merged_windows, 0) <= 1 THEN 'CONTIGUOUS' ELSE 'GAPS' END AS grid_state
-FROM a LEFT JOIN w USING (series_id) LEFT JOIN v USING (series_id)""")
+v AS (SELECT series_id, count(*) AS observations, count(DISTINCT CASE WHEN series_id % 10 = 0 AND month(observed_date) = 6 THEN 'usd' ELSE 'base' END) AS units FROM vintages GROUP BY 1),
+k AS (SELECT series_id, CASE WHEN month(start_day) % 2 = 0 THEN 'timeout' ELSE 'HTTPError_503' END AS kind, count(*) AS n FROM receipts WHERE status = 'error' GROUP BY 1, 2),
+x AS (SELECT series_id, string_agg(kind || ':' || n, ';' ORDER BY kind) AS error_kinds FROM k GROUP BY 1)
+SELECT a.series_id, attempts, ok, errors, coalesce(merged_windows, 0) AS merged_windows, coalesce(observations, 0) AS observations, coalesce(units, 0) AS units, coalesce(error_kinds, '') AS error_kinds,
+  CASE WHEN units > 1 THEN 'MIXED_UNITS' WHEN errors > 0 THEN 'ERRORS' WHEN coalesce(merged_windows, 0) <= 1 THEN 'CONTIGUOUS' ELSE 'GAPS' END AS grid_state
+FROM a LEFT JOIN w USING (series_id) LEFT JOIN v USING (series_id) LEFT JOIN x USING (series_id)""")
 def a12_manifest(spark, sf_dir):
-    from marketlens.operators.relational import coverage
-
     ok = view(spark, sf_dir, "receipts").where("status = 'ok'")
     merged = cov.interval_union(ok, ["series_id"], "start_day", "end_day").groupBy("series_id").agg(F.count("*").alias("merged_windows"))
-    seen = coverage(view(spark, sf_dir, "vintages"), ["series_id"], "observed_date").select("series_id", F.col("n").alias("observations"))
-    m = _attempts(spark, sf_dir).join(merged, "series_id", "left").join(seen, "series_id", "left")
+    unit = F.when((F.col("series_id") % 10 == 0) & (F.month("observed_date") == 6), "usd").otherwise("base")  # some series with two
+    seen = view(spark, sf_dir, "vintages").groupBy("series_id").agg(F.count("*").alias("observations"), F.count_distinct(unit).alias("units"))
+    kind = F.when(F.month("start_day") % 2 == 0, "timeout").otherwise("HTTPError_503")
+    kinds = view(spark, sf_dir, "receipts").where("status = 'error'").groupBy("series_id", kind.alias("kind")).agg(F.count("*").alias("n"))
+    kinds = kinds.groupBy("series_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "kind", "n"))), ";").alias("error_kinds"))  # a few categories
+    m = _attempts(spark, sf_dir).join(merged, "series_id", "left").join(seen, "series_id", "left").join(kinds, "series_id", "left")
     m = m.withColumn("merged_windows", F.coalesce("merged_windows", F.lit(0))).withColumn("observations", F.coalesce("observations", F.lit(0)))
-    state = F.when(F.col("errors") > 0, "ERRORS").when(F.col("merged_windows") <= 1, "CONTIGUOUS").otherwise("GAPS")
-    return m.select("series_id", "attempts", "ok", "errors", "merged_windows", "observations", state.alias("grid_state"))
+    m = m.withColumn("units", F.coalesce("units", F.lit(0))).withColumn("error_kinds", F.coalesce("error_kinds", F.lit("")))
+    state = F.when(F.col("units") > 1, "MIXED_UNITS").when(F.col("errors") > 0, "ERRORS").when(F.col("merged_windows") <= 1, "CONTIGUOUS").otherwise("GAPS")
+    return m.select("series_id", "attempts", "ok", "errors", "merged_windows", "observations", "units", "error_kinds", state.alias("grid_state"))
 
 
 @register(f"""WITH {_MISS} SELECT symbol, count(*) AS gaps FROM m GROUP BY 1 ORDER BY gaps DESC, symbol LIMIT 3""")

@@ -39,9 +39,15 @@ def s6_positional_daily(spark, sf_dir):
     return dc.positional_daily(_positions(spark, sf_dir)).select("symbol", "day", "value")
 
 
-@register("SELECT symbol, day, close AS value FROM bars_daily")
+@register("""WITH r AS (SELECT symbol, close AS value, row_number() OVER (PARTITION BY symbol, year(day) ORDER BY day) - 1 AS pos FROM bars_daily)
+SELECT symbol, (DATE '2009-01-01' + CASE symbol WHEN '1-URGENT' THEN 10 + pos WHEN '2-HIGH' THEN (10 + pos) * 7 WHEN '3-MEDIUM' THEN (10 + pos) * 30 ELSE (10 + pos) * 600 // 86400 END::INT)::DATE AS day, value FROM r""")
 def s7_positional_period(spark, sf_dir):
-    return dc.positional_period(_positions(spark, sf_dir)).select("symbol", "day", "value")
+    """A payload for each symbol and year; periods by symbol, two values nested in a list now and then."""
+    b = view(spark, sf_dir, "bars_daily").groupBy("symbol", F.year("day").alias("y")).agg(F.array_sort(F.collect_list(F.struct("day", "close"))).alias("l"))  # a year's days
+    index = F.when(F.col("symbol") == "1-URGENT", "day").when(F.col("symbol") == "2-HIGH", "week").when(F.col("symbol") == "3-MEDIUM", "month").otherwise("height")
+    data = F.transform("l", lambda x: F.when(F.day(x["day"]) % 5 == 0, F.to_json(F.array(x["close"]))).otherwise(x["close"].cast("string")))
+    body = F.to_json(F.struct(index.alias("index"), F.lit(10).alias("start"), data.alias("data")))
+    return dc.positional_period(b.select("symbol", body.alias("body"))).select("symbol", "day", "value")
 
 
 @register("SELECT series_id, obs_date AS observed_date, (obs_date + 40)::DATE AS realtime_start, value FROM macro_monthly WHERE month(obs_date) <> 2")
@@ -122,12 +128,19 @@ def s15_search_blocks(spark, sf_dir):
     return dc.search_blocks(b.select("item_id", body.alias("body"))).select("item_id", "title", "url")
 
 
-@register("""SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'url' WHEN length(text) < 500 THEN 'length' WHEN trim(lang) = '' THEN 'family' END AS reason FROM documents""")
+@register("""SELECT doc_id, unnest(CASE doc_id % 16 WHEN 0 THEN ['id'] WHEN 1 THEN ['required'] WHEN 2 THEN ['family'] WHEN 3 THEN ['source kind'] WHEN 4 THEN ['url'] WHEN 5 THEN ['url'] WHEN 6 THEN ['url'] WHEN 7 THEN ['url'] WHEN 8 THEN ['length'] WHEN 9 THEN ['duplicate id'] WHEN 10 THEN ['duplicate id'] END) AS issue FROM documents""")
 def s16_corpus_rules(spark, sf_dir):
-    from marketlens.functions.scalars import first_failing
-
-    d = table(spark, sf_dir, "documents").withColumn("url", F.when(F.col("doc_id") % 4 == 0, "http://x.org").otherwise("https://x.org"))
-    return d.select("doc_id", first_failing([("url", F.col("url").startswith("https://")), ("length", F.length("text") >= 500), ("family", F.trim("lang") != "")]).alias("reason"))
+    at = lambda n: F.col("doc_id") % 16 == n
+    n = F.col("doc_id").cast("string")
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.when(at(0), F.concat(F.lit("9x"), n)).when(at(9) | at(10), F.concat(F.lit("twice"), F.expr("doc_id div 16"))).otherwise(F.concat(F.lit("m"), n)).alias("metric"),
+        F.when(at(2), "other").otherwise("onchain").alias("family"), F.when(at(1), " ").otherwise("A title").alias("title"), F.lit("a b").alias("keywords"),
+        F.when(at(8), "short").otherwise("A method that is long enough").alias("method"), F.lit("A caveat that is long enough").alias("caveat"),
+        F.when(at(4), "http://x.org/a").when(at(5), "https://evil.org/a").when(at(6), "https://u@x.org/a").when(at(7), "https://x.org:8443/a").otherwise("https://x.org/a").alias("url"),
+        F.when(at(3), "rumour").otherwise("primary").alias("source_kind"),
+    )
+    return dc.corpus_issues(d, "metric", ["onchain", "macro"], ["primary"], ["x.org"]).select("doc_id", "issue")
 
 
 @register("SELECT 'object' AS kind, 'k' AS keys, count(*) AS n, min(strlen(props)) AS min_bytes, max(strlen(props)) AS max_bytes FROM events")
@@ -136,9 +149,11 @@ def s17_payload_shape(spark, sf_dir):
     return s.withColumn("min_bytes", F.col("min_bytes").cast("long")).withColumn("max_bytes", F.col("max_bytes").cast("long"))
 
 
-@register("SELECT symbol, day, close, 'x' AS \"only\" FROM bars_daily WHERE false")
+@register("""SELECT symbol, day, close, 'first' AS "only" FROM bars_daily WHERE day(day) IN (7, 9) UNION ALL SELECT symbol, day, close + 1, 'second' FROM bars_daily WHERE day(day) = 7""")
 def j20_parsers_agree(spark, sf_dir):
+    """The second parser is made to read another value on the 7th of each month and to lose the 9th."""
     p = quote_payloads(spark, sf_dir)
     a = dc.quote_envelope(p).select("symbol", "day", "close")
     b = dc.five_series(p, ["symbol", "year"]).where("metric = 'close'").select("symbol", "day", F.col("value").alias("close"))
+    b = b.where(F.day("day") != 9).withColumn("close", F.when(F.day("day") == 7, F.col("close") + 1).otherwise(F.col("close")))
     return dc.both_parsers_agree(a, b)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import scalars as sc
@@ -44,11 +46,11 @@ def k4_revisions(spark, sf_dir):
     return r.select(*K, get("old_json").alias("old_value"), get("new_json").alias("new_value"))
 
 
-@register("""WITH j AS (SELECT r.l_orderkey, r.l_linenumber, r.l_orderkey % 500 AS page, CASE WHEN s.value IS NULL THEN 'new' WHEN s.value = r.value THEN 'replay' ELSE 'conflict' END AS state FROM raw_values r LEFT JOIN stored_values s USING (l_orderkey, l_linenumber))
+@register("""WITH j AS (SELECT r.l_orderkey, r.l_linenumber, r.l_orderkey // 8 AS page, CASE WHEN s.value IS NULL THEN 'new' WHEN s.value = r.value THEN 'replay' ELSE 'conflict' END AS state FROM raw_values r LEFT JOIN stored_values s USING (l_orderkey, l_linenumber))
 SELECT l_orderkey, l_linenumber, page FROM j WHERE state = 'new' AND page NOT IN (SELECT page FROM j WHERE state = 'conflict')""")
 def k5_append_only(spark, sf_dir):
     h = F.sha2(F.col("value").cast("string"), 256)
-    page = raw(spark, sf_dir).withColumn("digest", h).withColumn("page", F.col("l_orderkey") % 500)
+    page = raw(spark, sf_dir).withColumn("digest", h).withColumn("page", F.expr("l_orderkey div 8"))
     rows = rec.append_only(stored(spark, sf_dir).withColumn("digest", h), page, K, "digest")
     return rec.accept_pages(rows, "page").select(*K, "page")
 
@@ -281,13 +283,28 @@ def l3_expected_request(spark, sf_dir):
 
 
 @register("""SELECT 'missing' AS kind, count(*) AS n FROM raw_values WHERE (l_orderkey, l_linenumber) NOT IN (SELECT l_orderkey, l_linenumber FROM stored_values)
-UNION ALL SELECT 'differing', count(*) FROM raw_values r JOIN stored_values s USING (l_orderkey, l_linenumber) WHERE r.value <> s.value
-UNION ALL SELECT 'orphans', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""")
+UNION ALL SELECT 'row hash', count(*) FROM raw_values r JOIN stored_values s USING (l_orderkey, l_linenumber) WHERE r.value <> s.value
+UNION ALL SELECT 'broken link', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 71 <> 0)
+UNION ALL SELECT 'raw hash', count(*) FROM orders WHERE o_orderkey % 101 = 0
+UNION ALL SELECT 'cursor', count(*) FROM (SELECT l_suppkey FROM lineitem GROUP BY 1) WHERE l_suppkey % 7 = 0
+UNION ALL SELECT 'coverage', count(*) FROM receipts WHERE series_id % 13 = 0""")
 def l4_integrity_summary(spark, sf_dir):
+    """Counts of what is broken in a store: payload and row digests, links, cursors, told against counted rows."""
     issues = rec.two_way(raw(spark, sf_dir), stored(spark, sf_dir), K, "value")
-    orphans = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left_anti").agg(F.count("*").alias("n")).select(F.lit("orphans").alias("kind"), "n")
-    count = lambda k, i: issues.agg(F.count_if(F.col("issue") == i).alias("n")).select(F.lit(k).alias("kind"), "n")
-    return count("missing", "MISSING").unionByName(count("differing", "VALUE")).unionByName(orphans)
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    kept = o.where("o_orderkey % 71 != 0")  # receipts that the store has lost
+    links = li.join(kept, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti")
+    body = F.concat_ws("|", "o_orderkey", "o_totalprice")
+    told = F.sha2(F.when(F.col("o_orderkey") % 101 == 0, F.concat(body, F.lit("x"))).otherwise(body), 256)
+    bad_raw = o.where(told != F.sha2(body, 256))
+    newest = li.groupBy("l_suppkey").agg(F.max("l_shipdate").alias("newest"))
+    cursors = newest.withColumn("cursor", F.when(F.col("l_suppkey") % 7 == 0, F.date_add("newest", 1)).otherwise(F.to_date("newest")))
+    receipts = view(spark, sf_dir, "receipts").withColumn("told", F.col("points") + F.when(F.col("series_id") % 13 == 0, 1).otherwise(0))
+    counted = li.groupBy(F.col("l_suppkey").alias("series_id"), F.to_date(F.date_trunc("month", "l_shipdate")).alias("start_day")).agg(F.count("*").alias("counted"))
+    coverage = receipts.join(counted, ["series_id", "start_day"], "left").where(~F.col("told").eqNullSafe(F.col("counted")))
+    parts = [("missing", issues.where("issue = 'MISSING'")), ("row hash", issues.where("issue = 'VALUE'")), ("broken link", links), ("raw hash", bad_raw), ("cursor", cursors.where(F.to_date("newest") != F.col("cursor"))), ("coverage", coverage)]
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n") for kind, df in parts]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @register("""SELECT count(*) FILTER (s_suppkey NOT IN (SELECT series_id FROM receipts)) AS streams_missing, count(*) FILTER (s_suppkey NOT IN (SELECT series_id FROM vintages)) AS cursors_missing, count(*) AS expected FROM supplier""")
@@ -298,9 +315,12 @@ def l5_acceptance(spark, sf_dir):
     return j.agg(F.count_if(F.col("_r").isNull()).alias("streams_missing"), F.count_if(F.col("_v").isNull()).alias("cursors_missing"), F.count("*").alias("expected"))
 
 
-@register("""SELECT series_id, count(*) AS runs, arg_max(status, start_day) AS latest_status, max(end_day) AS latest FROM receipts GROUP BY 1""")
+@register("""WITH e AS (SELECT s_suppkey AS series_id FROM supplier UNION ALL SELECT -s_suppkey - 1 FROM supplier WHERE s_suppkey % 3 = 0), r AS (SELECT series_id, count(*) AS runs, arg_max(status, start_day) AS latest_status, max(end_day) AS latest FROM receipts GROUP BY 1)
+SELECT e.series_id, coalesce(runs, 0) AS runs, coalesce(latest_status, 'MISSING') AS latest_status, latest FROM e LEFT JOIN r ON r.series_id = e.series_id""")
 def l6_operational_evidence(spark, sf_dir):
-    return view(spark, sf_dir, "receipts").groupBy("series_id").agg(F.count("*").alias("runs"), F.max_by("status", "start_day").alias("latest_status"), F.max("end_day").alias("latest"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("series_id"))
+    expected = s.union(s.where("series_id % 3 = 0").select(-F.col("series_id") - 1))  # some that never ran
+    return rec.operational_evidence(view(spark, sf_dir, "receipts"), expected, "series_id", "start_day", "end_day")
 
 
 @register("SELECT s.l_orderkey, s.l_linenumber, s.value AS old_value, r.value AS new_value FROM stored_values s JOIN raw_values r USING (l_orderkey, l_linenumber) WHERE s.value IS DISTINCT FROM r.value")

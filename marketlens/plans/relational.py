@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import scalars as sc
@@ -19,10 +21,34 @@ def s1_newest_prices(spark, sf_dir):
     return rel.newest_n(bars(spark, sf_dir), ["symbol"], "day", 30).select("symbol", "day", "close")
 
 
-@register("""WITH r AS (SELECT symbol, day, close FROM bars_daily WHERE day BETWEEN DATE '1997-01-01' AND DATE '2024-12-31' ORDER BY day, symbol LIMIT 500)
-SELECT *, (SELECT count(*) >= 500 FROM r) AS truncated FROM r""")
+def _range_sql(provider: str, at: str, value: str, more: str, source: str, order: str, limit: int) -> str:
+    return f"""SELECT '{provider}' AS provider, *, count(*) OVER () >= {limit} AS truncated FROM (SELECT ({at})::VARCHAR AS at, ({value})::DOUBLE AS value, ({more})::VARCHAR AS more FROM {source} ORDER BY {order} LIMIT {limit})"""
+
+
+_IN = "BETWEEN DATE '1997-01-01' AND DATE '2024-12-31'"
+_RANGES = [
+    ("ohlcv", "2-HIGH", 300, "day", "close", "volume", f"bars_daily WHERE symbol = '2-HIGH' AND day {_IN}", "day"),
+    ("series", "5-LOW", 5000, "obs_date", "value", "''", f"macro_monthly WHERE series_id = '5-LOW' AND obs_date {_IN}", "obs_date"),
+    ("unit", "3-MEDIUM", 200, "created", "points", "'usd|' || id", f"claims WHERE asset = '3-MEDIUM' AND created {_IN}", "created, id"),
+    ("vintage", "3", 100, "observed_date", "value", "realtime_start", f"vintages WHERE series_id = 3 AND observed_date {_IN}", "observed_date, realtime_start"),
+    ("distribution", "click", 150, "slot::DATE", "close", "hour(slot)", f"bars_hourly WHERE symbol = 'click' AND slot::DATE {_IN}", "slot"),
+]
+
+
+@register(" UNION ALL ".join(f"SELECT * FROM ({_range_sql(p, a, v, m, s, o, n)})" for p, _, n, a, v, m, s, o in _RANGES))
 def s2_range_scan(spark, sf_dir):
-    return rel.range_scan(bars(spark, sf_dir).select("symbol", "day", "close"), "day", "1997-01-01", "2024-12-31", 500, "symbol")
+    v = lambda name: view(spark, sf_dir, name)
+    out = ("at", "value", "more")
+    shaped = lambda df, at, value, more: df.withColumn("at", F.expr(at).cast("string")).withColumn("value", F.expr(value).cast("double")).withColumn("more", F.expr(more).cast("string"))
+    sources = {
+        "ohlcv": rel.Source(shaped(v("bars_daily"), "day", "close", "volume"), "symbol", "day", (), out),
+        "series": rel.Source(shaped(v("macro_monthly"), "obs_date", "value", "''"), "series_id", "obs_date", (), out),
+        "unit": rel.Source(shaped(v("claims"), "created", "points", "concat('usd|', id)"), "asset", "created", ("id",), out),
+        "vintage": rel.Source(shaped(v("vintages"), "observed_date", "value", "realtime_start"), "series_id", "observed_date", ("realtime_start",), out),
+        "distribution": rel.Source(shaped(v("bars_hourly"), "to_date(slot)", "close", "hour(slot)"), "symbol", "slot", (), out),
+    }
+    parts = [rel.query_history(sources, p, metric, "1997-01-01", "2024-12-31", n).select(F.lit(p).alias("provider"), *out, "truncated") for p, metric, n, *_ in _RANGES]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("SELECT DISTINCT lower(trim(o_orderpriority)) AS instrument FROM orders WHERE o_orderpriority LIKE '%-%'")

@@ -137,10 +137,15 @@ def f25_revision_json(spark, sf_dir):
     return claims(spark, sf_dir).select("id", F.to_json(F.struct("asset", "status")).alias("document"))
 
 
-@register("SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'timeout' WHEN 1 THEN 'dns' WHEN 2 THEN 'tls' WHEN 3 THEN 'connection' WHEN 4 THEN 'server' ELSE 'other' END AS category FROM events")
+@register("""SELECT event_id, CASE event_id % 9 WHEN 0 THEN 'URLError_TIMEOUT' WHEN 1 THEN 'URLError_DNS' WHEN 2 THEN 'URLError_TLS' WHEN 3 THEN 'URLError_REFUSED' WHEN 4 THEN 'HTTPError_503' WHEN 5 THEN 'HTTPError_UNKNOWN' WHEN 6 THEN 'URLError_RESET' WHEN 7 THEN 'URLError_UNCLASSIFIED' ELSE 'ValueError' END AS category,
+event_id % 4 IN (0, 1, 3) AS error_text FROM events""")
 def f26_error_category(spark, sf_dir):
-    texts = F.array(*[F.lit(t) for t in ("Request timed out", "could not resolve host", "SSL certificate problem", "Connection refused", "HTTP 503 error", "odd failure")])
-    return table(spark, sf_dir, "events").select("event_id", sc.error_category(F.get(texts, (F.col("event_id") % 6).cast("int"))).alias("category"))
+    seen = [("URLError", None, "timeout"), ("URLError", None, "gaierror"), ("URLError", None, "SSLError"), ("URLError", None, "ConnectionRefusedError"), ("HTTPError", 503, None), ("HTTPError", 7, None), ("URLError", None, "BrokenPipeError"), ("URLError", None, "OSError"), ("ValueError", None, None)]
+    cases = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).cast("int").alias("code"), F.lit(r).cast("string").alias("reason")) for k, c, r in seen])
+    texts = F.array(*[F.lit(t) for t in ("", "HTTP 429: Too many", "Title: Quota news", "Connection refused by peer")])
+    e = table(spark, sf_dir, "events").withColumn("c", F.get(cases, (F.col("event_id") % 9).cast("int")))
+    said = sc.is_error_text(F.get(texts, (F.col("event_id") % 4).cast("int")))
+    return e.select("event_id", sc.error_category(F.col("c.kind"), F.col("c.code"), F.col("c.reason")).alias("category"), said.alias("error_text"))
 
 
 @register("SELECT id, greatest(created - DATE '1995-01-01', 0)::BIGINT AS days_left FROM claims")

@@ -172,3 +172,23 @@ def payload_shape(df: DataFrame, body: str = "body") -> DataFrame:
 def both_parsers_agree(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that one of two decoders gives and the other does not."""
     return a.exceptAll(b).withColumn("only", F.lit("first")).unionByName(b.exceptAll(a).withColumn("only", F.lit("second")))
+
+
+def corpus_issues(df: DataFrame, ident: str, families: list[str], kinds: list[str], domains: list[str]) -> DataFrame:
+    """(row, issue) of records that a corpus must not hold: blank or missing fields, ids that are malformed or stand more
+    than once, unknown families or source kinds, urls that are not plain https of a listed host, fields too short or long."""
+    fields = [ident, "family", "title", "keywords", "method", "caveat", "url", "source_kind"]
+    blank = [F.col(f).isNull() | (F.trim(F.col(f)) == "") for f in fields]
+    host = F.regexp_extract("url", r"^https://([^/?#@:]+)(/[^#]*)$", 1)
+    rules = [
+        ("required", F.exists(F.array(*blank), lambda x: x)),
+        ("id", ~F.col(ident).rlike("^[a-z][a-z0-9_]{1,63}$")),
+        ("family", ~F.col("family").isin(families)),
+        ("source kind", ~F.col("source_kind").isin(kinds)),
+        ("url", ~F.lower(host).isin(domains)),
+        ("length", (F.length("method") < 24) | (F.length("caveat") < 20) | (F.length("keywords") > 500)),
+    ]
+    found = F.array_compact(F.array(*[F.when(broken, name) for name, broken in rules]))
+    single = df.select("*", F.explode(found).alias("issue"))
+    twice = df.groupBy(F.col(ident).alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1 and _id is not null")
+    return single.unionByName(df.join(twice, df[ident] == F.col("_id")).drop("_id", "_n").withColumn("issue", F.lit("duplicate id")))
