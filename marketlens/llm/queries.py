@@ -75,6 +75,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
+        F.size("near").cast("long").alias("n_near"),
     )
 
 
@@ -205,10 +206,21 @@ WITH d AS (
   FROM d, (SELECT DISTINCT n FROM win) s, unnest(range(1, len(w) - n + 2)) r(i) WHERE len(w) >= n
 ), hit AS (SELECT doc_id, i, pos.n, item_id FROM pos JOIN win ON win.n = pos.n AND win.g = pos.g),
 words AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) r(k) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id),
+seek AS (SELECT item_id, w[i:i + least(len(w), 10) - 1] AS words FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) r(i) WHERE len(w) > 0),
+term AS (SELECT doc_id, w, p, w[p] AS t FROM d, unnest(range(1, len(w) + 1)) r(p)),
+stretch AS (
+  SELECT doc_id, item_id, words, len(words) + 4 AS span, w[greatest(p - len(words) - 3, 1):p + len(words) + 3] AS part
+  FROM seek JOIN term ON t = words[1]
+),
+close AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_near FROM stretch
+  WHERE list_has_all(part, words) AND len(list_filter(range(1, greatest(len(part) - span, 0) + 2), lambda s: list_has_all(part[s:s + span - 1], words))) > 0
+  GROUP BY doc_id
+)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id LEFT JOIN close ON close.doc_id = d.doc_id
 """
 
 ORACLES: dict[str, str] = {
