@@ -255,3 +255,38 @@ def ma_votes(df: DataFrame, periods=(20, 50, 100, 200), keys=KEYS, order=ORDER)
     above = sum(F.when(F.col("close") > F.col(f"_s{n}"), 1).otherwise(0) for n in periods)
     below = sum(F.when(F.col("close") < F.col(f"_s{n}"), 1).otherwise(0) for n in periods)
     return df.withColumn("above", above.cast("long")).withColumn("below", below.cast("long")).drop(*[f"_s{n}" for n in periods])
+
+
+#: The daily archive's metrics from a price series: name, unit.
+ARCHIVED = {
+    "price": "USD", "close_ts": "unix_s", "chg_24h": "%", "rsi_14": "ratio", "macd_hist": "USD", "atr_14": "USD", "stoch_k": "ratio", "williams_r": "ratio", "cci_20": "ratio",
+    "sma_20": "USD", "sma_50": "USD", "sma_100": "USD", "sma_200": "USD", "ema_20": "USD", "ema_50": "USD", "sup_1": "USD", "sup_2": "USD", "res_1": "USD", "res_2": "USD",
+    "ath": "USD", "high_52w": "USD", "low_52w": "USD", "from_ath": "%",
+}
+
+
+def metric_archive(bars: DataFrame, lookback: int = 20, keys=KEYS, order=ORDER) -> DataFrame:
+    """Tidy rows (keys, report day, metric, value, unit, source) of the last bar of each series: its price, change and
+    indicators, the two nearest pivots on both sides of the list's ends, and its extremes. Missing values have no row."""
+    b = pct_change(bars, out="chg_24h", keys=keys, order=order)
+    for n in (20, 50, 100, 200):
+        b = sma(b, n, out=f"sma_{n}", keys=keys, order=order)
+    b = stochastic(cci(williams_r(atr_sma(b, out="atr_14", keys=keys, order=order), keys=keys, order=order), out="cci_20", keys=keys, order=order), keys=keys, order=order)
+    means = [Mean(20, 1 - 2 / 21, 2 / 21), Mean(50, 1 - 2 / 51, 2 / 51), Mean(12, 1 - 2 / 13, 2 / 13), Mean(26, 1 - 2 / 27, 2 / 27), Mean(9, 0.8, 0.2, (2, 3), skip=26), Mean(1, 0.0, 1.0, (2, 3), skip=26), Mean(14, 13 / 14, 1 / 14, "up", 1), Mean(14, 13 / 14, 1 / 14, "down", 1)]
+    b = smoothed(b, means, ["ema_20", "ema_50", "_f", "_s", "_signal", "_line", "_up", "_down"], keys=keys, order=order)
+    b = b.withColumn("macd_hist", F.col("_line") - F.col("_signal"))
+    b = b.withColumn("rsi_14", F.when(F.col("_down") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.col("_up") / F.col("_down"))))
+    last = latest(b, keys, order).withColumn("price", F.col("close")).withColumn("stoch_k", F.col("pct_k")).withColumn("close_ts", F.unix_timestamp(F.col(order).cast("timestamp")).cast("double"))
+    levels = pivots(bars, lookback, keys=keys, order=order)
+    rank = F.row_number().over(Window.partitionBy(*keys, "kind").orderBy(F.desc("level")))
+    ends = levels.withColumn("_r", rank).where("_r <= 2")
+    at = lambda kind, r: F.max(F.when((F.col("kind") == kind) & (F.col("_r") == r), F.col("level")))
+    ends = ends.groupBy(*keys).agg(at("support", 1).alias("sup_1"), at("support", 2).alias("sup_2"), at("resistance", 1).alias("res_1"), at("resistance", 2).alias("res_2"))
+    top = bars.groupBy(*keys).agg(F.max(order).alias("_last"))
+    year = bars.join(top, keys)
+    year = extremes(year, F.col(order) >= F.date_sub("_last", 364), keys=keys, order=order).select(*keys, "ath", "high_52w", "low_52w", F.col("drawdown_pct").alias("from_ath"))
+    wide = last.join(ends, keys, "left").join(year, keys, "left")
+    rows = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"), F.lit(u).alias("unit")) for n, u in ARCHIVED.items()])
+    computed = F.col("metric").isin("sup_1", "sup_2", "res_1", "res_2")
+    long = wide.select(*keys, F.col(order).alias("report_date"), F.inline(rows)).where("value is not null")
+    return long.withColumn("source", F.when(computed, "computed").otherwise("bars"))

@@ -157,12 +157,6 @@ def quality_score(issues: DataFrame, reports: DataFrame, report: str = "report",
     return j.withColumn("passed", (F.col("score") >= threshold) & (F.col("critical") == 0)).select(report, "score", "critical", "passed")
 
 
-def rule_issues(df: DataFrame, key: str, rules: list[tuple[str, str, str, Column]]) -> DataFrame:
-    """(key, rule, category, severity) for each rule (name, category, severity, is broken) that a row breaks."""
-    found = [F.when(broken, F.struct(F.lit(n).alias("rule"), F.lit(c).alias("category"), F.lit(s).alias("severity"))) for n, c, s, broken in rules]
-    return df.select(key, F.explode(F.array_compact(F.array(*found))).alias("_i")).select(key, "_i.*")
-
-
 def evidence_gate(audits: DataFrame, required: DataFrame, stream: str) -> DataFrame:
     """Whether every audit is valid and every required stream is there, with the number missing."""
     missing = required.select(stream).distinct().join(audits.select(stream), stream, "left_anti").agg(F.count("*").alias("missing"))

@@ -213,3 +213,34 @@ def p5_ohlcv_valid(spark, sf_dir):
     from marketlens.functions.scalars import ohlcv_valid
 
     return bars(spark, sf_dir).groupBy("symbol").agg(F.bool_and(ohlcv_valid()).alias("valid"), F.count("*").alias("n"))
+
+
+_ARCHIVE = _RSI + """, b AS (SELECT symbol, day, close, row_number() OVER (PARTITION BY symbol ORDER BY day) AS rn FROM bars_daily),
+mean(name, n) AS (VALUES ('ema_20', 20), ('ema_50', 50), ('f', 12), ('s', 26)),
+em AS (SELECT symbol, name, n, n::BIGINT AS rn, avg(close) AS y FROM b, mean WHERE rn <= n GROUP BY symbol, name, n HAVING count(*) = n
+  UNION ALL SELECT em.symbol, name, n, b.rn, em.y * (1 - 2.0::DOUBLE / (n + 1)) + b.close * (2.0::DOUBLE / (n + 1)) FROM em JOIN b ON b.symbol = em.symbol AND b.rn = em.rn + 1),
+ln AS (SELECT x.symbol, x.rn, x.y - z.y AS v FROM em x JOIN em z ON z.symbol = x.symbol AND z.rn = x.rn AND x.name = 'f' AND z.name = 's' WHERE x.rn > 26),
+sg AS (SELECT symbol, 35::BIGINT AS rn, avg(v) AS y FROM ln WHERE rn <= 35 GROUP BY symbol HAVING count(*) = 9 UNION ALL SELECT sg.symbol, ln.rn, sg.y * 0.8 + ln.v * 0.2 FROM sg JOIN ln ON ln.symbol = sg.symbol AND ln.rn = sg.rn + 1),
+t AS (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY day) AS p, (high + low + close) / 3 AS tp, row_number() OVER (PARTITION BY symbol ORDER BY day) AS rn, count(*) OVER (PARTITION BY symbol) AS total FROM bars_daily),
+raw AS (SELECT symbol, day, CASE WHEN count(*) OVER w = 14 AND max(high) OVER w > min(low) OVER w THEN (close - min(low) OVER w) / (max(high) OVER w - min(low) OVER w) * 100 END AS r FROM t WINDOW w AS (PARTITION BY symbol ORDER BY day ROWS 13 PRECEDING)),
+st AS (SELECT symbol, max_by(k, day) AS v FROM (SELECT symbol, day, CASE WHEN count(*) OVER w = 3 THEN avg(r) OVER w END AS k FROM raw WHERE r IS NOT NULL WINDOW w AS (PARTITION BY symbol ORDER BY day ROWS 2 PRECEDING)) GROUP BY 1),
+w AS (SELECT symbol, day, rn, total, close, p, CASE WHEN count(*) OVER a = 20 THEN avg(close) OVER a END AS s20, CASE WHEN count(*) OVER c = 50 THEN avg(close) OVER c END AS s50, CASE WHEN count(*) OVER f = 100 THEN avg(close) OVER f END AS s100, CASE WHEN count(*) OVER g = 200 THEN avg(close) OVER g END AS s200,
+  CASE WHEN count(p) OVER h = 14 THEN avg(CASE WHEN p IS NOT NULL THEN greatest(high - low, abs(high - p), abs(low - p)) END) OVER h END AS atr, CASE WHEN count(*) OVER h = 14 AND max(high) OVER h > min(low) OVER h THEN (close - max(high) OVER h) / (max(high) OVER h - min(low) OVER h) * 100 END AS wr,
+  tp, avg(tp) OVER a AS m, list(tp) OVER a AS l FROM t WINDOW a AS (PARTITION BY symbol ORDER BY day ROWS 19 PRECEDING), c AS (PARTITION BY symbol ORDER BY day ROWS 49 PRECEDING), f AS (PARTITION BY symbol ORDER BY day ROWS 99 PRECEDING), g AS (PARTITION BY symbol ORDER BY day ROWS 199 PRECEDING), h AS (PARTITION BY symbol ORDER BY day ROWS 13 PRECEDING)),
+z AS (SELECT *, list_sum(list_transform(l, lambda x: abs(x - m))) / 20 AS dev FROM w WHERE rn = total),
+p AS (SELECT symbol, close, high, low, count(*) OVER w AS n, min(close) OVER w AS lo, max(close) OVER w AS hi FROM bars_daily WINDOW w AS (PARTITION BY symbol ORDER BY day ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING)),
+lv AS (SELECT DISTINCT symbol, 'sup_' AS kind, close AS level FROM p WHERE n = 41 AND lo >= close - 0.001 UNION SELECT DISTINCT symbol, 'res_', close FROM p WHERE n = 41 AND hi <= close + 0.001),
+lr AS (SELECT symbol, kind || row_number() OVER (PARTITION BY symbol, kind ORDER BY level DESC) AS metric, level AS value, row_number() OVER (PARTITION BY symbol, kind ORDER BY level DESC) AS k FROM lv),
+ex AS (SELECT b.symbol, max(close) AS ath, max(CASE WHEN day >= x.top - 364 THEN close END) AS hi, min(CASE WHEN day >= x.top - 364 THEN close END) AS lo, max_by(close, day) AS last FROM bars_daily b JOIN (SELECT symbol, max(day) AS top FROM bars_daily GROUP BY 1) x ON x.symbol = b.symbol GROUP BY b.symbol),
+v AS (SELECT symbol, 'price' AS metric, close AS value FROM z UNION ALL SELECT symbol, 'close_ts', epoch(day) FROM z UNION ALL SELECT symbol, 'chg_24h', (close - p) * 100 / p FROM z UNION ALL SELECT symbol, 'atr_14', atr FROM z UNION ALL SELECT symbol, 'williams_r', wr FROM z
+  UNION ALL SELECT symbol, 'cci_20', CASE WHEN len(l) = 20 AND dev > 0 THEN (tp - m) / (0.015 * dev) END FROM z UNION ALL SELECT symbol, 'sma_20', s20 FROM z UNION ALL SELECT symbol, 'sma_50', s50 FROM z UNION ALL SELECT symbol, 'sma_100', s100 FROM z UNION ALL SELECT symbol, 'sma_200', s200 FROM z
+  UNION ALL SELECT em.symbol, name, y FROM em JOIN z ON z.symbol = em.symbol AND z.rn = em.rn WHERE name LIKE 'ema%' UNION ALL SELECT sg.symbol, 'macd_hist', ln.v - sg.y FROM sg JOIN ln ON ln.symbol = sg.symbol AND ln.rn = sg.rn JOIN z ON z.symbol = sg.symbol AND z.rn = sg.rn
+  UNION ALL SELECT e.symbol, 'rsi_14', CASE WHEN e.l = 0 THEN 100 ELSE 100 - 100 / (1 + e.g / e.l) END FROM e JOIN z ON z.symbol = e.symbol AND e.i = z.rn - 1 UNION ALL SELECT symbol, 'stoch_k', v FROM st UNION ALL SELECT symbol, metric, value FROM lr WHERE k <= 2
+  UNION ALL SELECT symbol, 'ath', ath FROM ex UNION ALL SELECT symbol, 'high_52w', hi FROM ex UNION ALL SELECT symbol, 'low_52w', lo FROM ex UNION ALL SELECT symbol, 'from_ath', round((last / ath - 1) * 100, 4) FROM ex)
+SELECT v.symbol, z.day AS report_date, metric, round(value, 3) AS value, CASE WHEN metric = 'close_ts' THEN 'unix_s' WHEN metric IN ('chg_24h', 'from_ath') THEN '%' WHEN metric IN ('rsi_14', 'stoch_k', 'williams_r', 'cci_20') THEN 'ratio' ELSE 'USD' END AS unit,
+  CASE WHEN metric LIKE 'sup%' OR metric LIKE 'res%' THEN 'computed' ELSE 'bars' END AS source FROM v JOIN z ON z.symbol = v.symbol WHERE value IS NOT NULL"""
+
+
+@register(_ARCHIVE)
+def k9_metric_archive(spark, sf_dir):
+    return ind.metric_archive(bars(spark, sf_dir)).select("symbol", "report_date", "metric", R("value", 3), "unit", "source")

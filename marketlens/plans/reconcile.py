@@ -76,17 +76,6 @@ def k8_dashboard_export(spark, sf_dir):
     return c.select("asset", F.to_json(F.struct("n", "points", "latest")).alias("document"))
 
 
-@register("""WITH b AS (SELECT symbol, day, open, close, volume FROM bars_daily), l AS (SELECT symbol, max(day) AS day FROM b GROUP BY 1)
-SELECT b.day AS report_date, b.symbol AS asset, metric, value, CASE metric WHEN 'volume' THEN 'count' ELSE 'usd' END AS unit, 'bars' AS source
-FROM (UNPIVOT (SELECT symbol, day, open, close, volume::DOUBLE AS volume FROM b) ON open, close, volume INTO NAME metric VALUE value) b JOIN l ON l.symbol = b.symbol AND l.day = b.day""")
-def k9_metric_archive(spark, sf_dir):
-    from marketlens.operators.indicators import latest
-
-    b = latest(view(spark, sf_dir, "bars_daily")).select(F.col("day").alias("report_date"), F.col("symbol").alias("asset"), "open", "close", F.col("volume").cast("double").alias("volume"))
-    long = b.unpivot(["report_date", "asset"], ["open", "close", "volume"], "metric", "value")
-    return long.withColumn("unit", F.when(F.col("metric") == "volume", "count").otherwise("usd")).withColumn("source", F.lit("bars"))
-
-
 @register("SELECT series_id, observed_date, arg_max(value, realtime_start) AS value, max(realtime_start) AS realtime_start FROM vintages WHERE realtime_start <= DATE '1996-01-01' GROUP BY 1, 2")
 def j11_as_of(spark, sf_dir):
     return rec.as_of(view(spark, sf_dir, "vintages"), ["series_id", "observed_date"], "realtime_start", "value", F.lit("1996-01-01").cast("date"))
@@ -242,21 +231,6 @@ def a26_budget(spark, sf_dir):
     return rec.budget_use(view(spark, sf_dir, "receipts"), b, ["series_id"])
 
 
-@register("""WITH b AS (SELECT symbol, day, low, high, close, avg(close) OVER (PARTITION BY symbol ORDER BY day ROWS 19 PRECEDING) AS s, max(high) OVER (PARTITION BY symbol ORDER BY day ROWS 363 PRECEDING) AS h52, max(high) OVER (PARTITION BY symbol ORDER BY day) AS ath FROM bars_daily)
-SELECT symbol, 'sma_range' AS rule, CASE WHEN count(*) FILTER (abs(close / s - 1) > 0.9) = 0 THEN 'PASS' ELSE 'CHECK' END AS outcome FROM b GROUP BY 1
-UNION ALL SELECT symbol, 'low_high', CASE WHEN bool_and(low <= high) THEN 'PASS' ELSE 'FAIL' END FROM b GROUP BY 1
-UNION ALL SELECT symbol, 'ath_order', CASE WHEN bool_and(ath >= h52 AND h52 >= low) THEN 'PASS' ELSE 'FAIL' END FROM b GROUP BY 1""")
-def a27_incident_checks(spark, sf_dir):
-    w = Window.partitionBy("symbol").orderBy("day")
-    b = view(spark, sf_dir, "bars_daily").withColumn("s", F.avg("close").over(w.rowsBetween(-19, 0))).withColumn("h52", F.max("high").over(w.rowsBetween(-363, 0))).withColumn("ath", F.max("high").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    g = b.groupBy("symbol").agg(
-        F.when(F.count_if(F.abs(F.col("close") / F.col("s") - 1) > 0.9) == 0, "PASS").otherwise("CHECK").alias("sma_range"),
-        F.when(F.bool_and(F.col("low") <= F.col("high")), "PASS").otherwise("FAIL").alias("low_high"),
-        F.when(F.bool_and((F.col("ath") >= F.col("h52")) & (F.col("h52") >= F.col("low"))), "PASS").otherwise("FAIL").alias("ath_order"),
-    )
-    return g.unpivot(["symbol"], ["sma_range", "low_high", "ath_order"], "rule", "outcome")
-
-
 @register("SELECT asset AS source, count(*) AS n FROM (SELECT o_orderpriority AS asset, l_orderkey FROM stored_values s JOIN raw_values r USING (l_orderkey, l_linenumber) JOIN orders ON o_orderkey = l_orderkey WHERE s.value <> r.value) GROUP BY 1")
 def a17_revision_counts(spark, sf_dir):
     r = rec.revisions(stored(spark, sf_dir), raw(spark, sf_dir), K, ["value"])

@@ -11,7 +11,7 @@ from marketlens.sources.tables import oracle
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
-_MODULES = "indicators coverage relational reconcile lineage text decoding scalars streams".split()
+_MODULES = "indicators coverage relational reconcile lineage text documents decoding scalars streams".split()
 
 
 def register(sql: str | None = None):

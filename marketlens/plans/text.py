@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlens.functions import text as tx
-from marketlens.functions.scalars import close_to
 from marketlens.operators import search
-from marketlens.operators.reconcile import rule_issues
 from marketlens.plans.registry import register
 from marketlens.sources.tables import table
 
@@ -172,63 +170,3 @@ def d3_evidence_bundle(spark, sf_dir):
     score = lambda e: F.when(e["score"].isNull(), "-").otherwise(F.format_string("%.4f", e["score"]))
     shown = F.transform("evidence", lambda e: F.concat_ws("|", e["rank"], e["doc_id"], score(e), e["metric"], F.coalesce(e["keywords"], F.lit(""))))
     return b.select("item_id", F.size("evidence").cast("long").alias("hits"), F.array_join(shown, ";").alias("evidence"))
-
-
-@register("""WITH x AS (SELECT asset, sum(points) / 1e8 AS v FROM claims GROUP BY 1) SELECT asset, round(v, 4) AS value, CASE WHEN v < 1 THEN 'below cost' WHEN v < 1.5 THEN 'accumulation' WHEN v < 2.5 THEN 'intermediate' WHEN v < 3.5 THEN 'elevated' ELSE 'euphoria' END AS band FROM x""")
-def d4_snapshot_facts(spark, sf_dir):
-    from marketlens.functions.scalars import finite, zone
-    from marketlens.sources.tables import view
-
-    x = view(spark, sf_dir, "claims").groupBy("asset").agg((F.sum("points") / 1e8).alias("v")).where(finite(F.col("v")))
-    return x.select("asset", F.round("v", 4).alias("value"), zone("mvrv", F.col("v")).alias("band"))
-
-
-@register(r"SELECT page_id, unnest(regexp_extract_all(html, '(?i)href=\"([^\"]*)\"', 1)) AS shown FROM pages")
-def d5_displayed_values(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r'(?i)href="([^"]*)"'), F.lit(1))).alias("shown"))
-
-
-_D6 = r"""s AS (SELECT page_id, length(regexp_extract(html, '(?is)<title>(.*?)</title>', 1))::DOUBLE AS shown, len(regexp_extract_all(html, '(?i)href=')) AS links FROM pages WHERE page_id % 9 <> 0), a AS (SELECT page_id, length(regexp_extract(html, '(?is)<title>(.*?)</title>', 1))::DOUBLE + CASE WHEN page_id % 10 = 0 THEN 1 ELSE 0 END AS archived FROM pages WHERE page_id % 8 <> 0)"""
-
-
-@register(f"""WITH {_D6} SELECT coalesce(s.page_id, a.page_id) AS page_id, CASE WHEN shown IS NULL THEN 'missing' WHEN archived IS NULL THEN 'unexpected' ELSE 'value' END AS issue FROM s FULL OUTER JOIN a ON a.page_id = s.page_id
-WHERE shown IS NULL OR archived IS NULL OR abs(shown - archived) > greatest(0.5, abs(shown) * 1e-10)""")
-def d6_displayed_vs_archived(spark, sf_dir):
-    p = pages(spark, sf_dir).select("page_id", F.length(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)).cast("double").alias("v"))
-    shown = p.where("page_id % 9 != 0").withColumnRenamed("v", "shown")
-    archived = p.where("page_id % 8 != 0").select("page_id", (F.col("v") + F.when(F.col("page_id") % 10 == 0, 1).otherwise(0)).alias("archived"))
-    j = shown.join(archived, "page_id", "full_outer")
-    issue = F.when(F.col("shown").isNull(), "missing").when(F.col("archived").isNull(), "unexpected").when(~close_to(F.col("shown"), F.col("archived"), 0.5), "value")
-    return j.select("page_id", issue.alias("issue")).where("issue is not null")
-
-
-@register(r"""SELECT page_id, 'template' AS rule, 'format' AS category, 'critical' AS severity FROM pages WHERE regexp_matches(html, '\{\{|\{%') UNION ALL SELECT page_id, 'double percent', 'format', 'warning' FROM pages WHERE contains(html, '%%')
-UNION ALL SELECT page_id, 'double dollar', 'format', 'warning' FROM pages WHERE contains(html, '$$') UNION ALL SELECT page_id, 'no title', 'content', 'warning' FROM pages WHERE NOT regexp_matches(html, '(?i)<title>') UNION ALL SELECT page_id, 'links', 'content', 'warning' FROM pages WHERE len(regexp_extract_all(html, '(?i)<a ')) > 5""")
-def d7_document_defects(spark, sf_dir):
-    h = F.col("html")
-    links = F.size(F.regexp_extract_all(h, F.lit("(?i)(<a )"), F.lit(1)))
-    rules = [("template", "format", "critical", h.rlike(r"\{\{|\{%")), ("double percent", "format", "warning", h.contains("%%")), ("double dollar", "format", "warning", h.contains("$$")), ("no title", "content", "warning", ~h.rlike("(?i)<title>")), ("links", "content", "warning", links > 5)]
-    return rule_issues(pages(spark, sf_dir), "page_id", rules)
-
-
-@register("""SELECT event_id, (epoch(max(ts) OVER ()) - epoch(ts))::BIGINT // 3600 AS age_hours FROM events""")
-def d8_freshness_attributes(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"))
-    e = e.crossJoin(F.broadcast(e.agg(F.max("t").alias("now"))))  # one row
-    return e.select("event_id", F.floor((F.col("now") - F.col("t")) / 3600).alias("age_hours"))
-
-
-@register(f"""WITH {_D6} SELECT s.page_id, CASE WHEN shown NOT BETWEEN 10 AND 90 THEN 'range' ELSE 'source' END AS issue FROM s LEFT JOIN a ON a.page_id = s.page_id WHERE shown NOT BETWEEN 10 AND 90 OR shown <> archived""")
-def d9_content_range_checks(spark, sf_dir):
-    p = pages(spark, sf_dir).select("page_id", F.length(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)).cast("double").alias("v"))
-    archived = p.where("page_id % 8 != 0").select("page_id", (F.col("v") + F.when(F.col("page_id") % 10 == 0, 1).otherwise(0)).alias("archived"))
-    j = p.where("page_id % 9 != 0").join(archived, "page_id", "left")
-    issue = F.when(~F.col("v").between(10, 90), "range").when(F.col("v") != F.col("archived"), "source")
-    return j.select("page_id", issue.alias("issue")).where("issue is not null")
-
-
-@register("""WITH g AS (SELECT source, count(*) AS n, count(*) FILTER (lang IS NULL) AS no_lang, count(*) FILTER (text IS NULL OR text = '') AS empty FROM documents GROUP BY 1)
-SELECT source, 'few records' AS rule, 'traceability' AS category, 'warning' AS severity FROM g WHERE n < 45 UNION ALL SELECT source, 'no language', 'traceability', 'critical' FROM g WHERE no_lang > 0 UNION ALL SELECT source, 'empty', 'traceability', 'warning' FROM g WHERE empty > 0""")
-def d10_traceability(spark, sf_dir):
-    g = docs(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("lang").isNull()).alias("no_lang"), F.count_if(F.col("text").isNull() | (F.col("text") == "")).alias("empty"))
-    return rule_issues(g, "source", [("few records", "traceability", "warning", F.col("n") < 45), ("no language", "traceability", "critical", F.col("no_lang") > 0), ("empty", "traceability", "warning", F.col("empty") > 0)])
