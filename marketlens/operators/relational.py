@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def newest_n(df: DataFrame, keys: list[str], order: str, n: int) -> DataFrame:
@@ -117,10 +118,29 @@ def day_pair(df: DataFrame, keys: list[str], day: str, value: str, first: Column
     ).where("before is not null or after is not null")
 
 
+def canonical(df: DataFrame, fields: list[str] | None = None) -> Column:
+    """A row as text: each field with its length in front, `-` for NULL; floats with six digits, times as microseconds."""
+    parts = []
+    for f in fields or df.columns:
+        c, kind = F.col(f"`{f}`"), df.schema[f].dataType
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            c = F.format_string("%.6f", F.when(c == 0, F.abs(c)).otherwise(c).cast("double"))
+        elif isinstance(kind, T.TimestampType):
+            c = F.unix_micros(c).cast("string")
+        elif isinstance(kind, T.TimestampNTZType):
+            c = F.unix_micros(c.cast("timestamp")).cast("string")
+        elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+            c = F.to_json(F.struct(c.alias("v")))
+        else:
+            c = c.cast("string")
+        parts.append(F.when(F.col(f"`{f}`").isNull(), "-").otherwise(F.concat(F.length(c), F.lit(":"), c)))
+    return F.concat(*parts)
+
+
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """(n, fingerprint) of a table whatever its order: row hashes are added in 38 digits, so copies count."""
-    h = F.conv(F.substring(F.sha2(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}), 256), 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.select(h.alias("h")).agg(F.count("*").alias("n"), F.sum("h").cast("string").alias("fingerprint"))
+    """(n, fingerprint) of a table whatever its order: hashes of canonical rows are added in 38 digits, so copies count."""
+    h = F.conv(F.substring(F.sha2(canonical(df), 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.select(h.alias("h")).agg(F.count("*").alias("n"), F.coalesce(F.sum("h"), F.lit(0)).cast("string").alias("fingerprint"))
 
 
 def changed_tables(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -130,7 +150,10 @@ def changed_tables(before: DataFrame, after: DataFrame) -> DataFrame:
     return a.join(b, "table", "full_outer").where(~F.col("_a").eqNullSafe(F.col("_b"))).select("table")
 
 
-def series_digest(df: DataFrame, keys: list[str], *fields: str) -> DataFrame:
-    """SHA-256 over the canonical JSON of a series' sorted rows."""
-    rows = F.array_sort(F.collect_list(F.struct(*fields)))
-    return df.groupBy(*keys).agg(F.sha2(F.to_json(rows), 256).alias("digest"), F.count("*").alias("n"))
+def series_digest(df: DataFrame, keys: list[str], order: str, fields: list[str], part: Column) -> DataFrame:
+    """SHA-256 over the digests of a series' parts, in order; a part's digest is over its canonical rows in order. Parts
+    (such as years) bound what is gathered in one place."""
+    rows = df.select(*keys, part.alias("_p"), F.struct(order, canonical(df, fields).alias("row")).alias("_r"))
+    parts = rows.groupBy(*keys, "_p").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("_r"))["row"], ";"), 256).alias("d"), F.count("*").alias("n"))
+    whole = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_p", "d"))).alias("_d"), F.sum("n").alias("n"))
+    return whole.select(*keys, F.sha2(F.array_join("_d.d", ";"), 256).alias("digest"), "n")

@@ -70,10 +70,14 @@ def k7_versions(spark, sf_dir):
     return rec.next_versions(old, c.where("id % 10 = 1").select("id", "asset", "status"), ["asset", "status"], "id")
 
 
-@register()
+@register("""WITH g AS (SELECT asset, status, count(*) AS n, sum(points::DECIMAL(18,2)) AS points FROM claims GROUP BY 1, 2), t AS (SELECT asset, count(*) AS n, max(created) AS latest FROM claims GROUP BY 1)
+SELECT t.asset, '{"n":' || t.n || ',"latest":"' || t.latest || '","by_status":[' || (SELECT string_agg('{"status":"' || status || '","n":' || n || ',"points":' || points || '}', ',' ORDER BY status) FROM g WHERE g.asset = t.asset) || ']}' AS document FROM t""")
 def k8_dashboard_export(spark, sf_dir):
-    c = view(spark, sf_dir, "claims").groupBy("asset").agg(F.count("*").alias("n"), F.round(F.sum("points"), 2).alias("points"), F.max("created").alias("latest"))
-    return c.select("asset", F.to_json(F.struct("n", "points", "latest")).alias("document"))
+    """A nested document for each asset: its totals and those of each status."""
+    c = view(spark, sf_dir, "claims")
+    g = c.groupBy("asset", "status").agg(F.count("*").alias("n"), F.sum(F.col("points").cast("decimal(18,2)")).alias("points"), F.max("created").alias("latest"))
+    d = g.groupBy("asset").agg(F.sum("n").alias("n"), F.max("latest").alias("latest"), F.array_sort(F.collect_list(F.struct("status", "n", "points"))).alias("by_status"))  # a few statuses
+    return d.select("asset", F.to_json(F.struct("n", "latest", "by_status")).alias("document"))
 
 
 @register("SELECT series_id, observed_date, arg_max(value, realtime_start) AS value, max(realtime_start) AS realtime_start FROM vintages WHERE realtime_start <= DATE '1996-01-01' GROUP BY 1, 2")
@@ -238,7 +242,7 @@ def a17_revision_counts(spark, sf_dir):
     return r.join(o, "l_orderkey").groupBy("source").agg(F.count("*").alias("n"))
 
 
-@register()
+@register("""SELECT o_orderkey, sha256('[{"key":"day","value":"' || o_orderdate::DATE || '"},{"key":"order","value":"' || o_orderkey || '"}]') AS digest, true AS redacted FROM orders""")
 def l2_request_digest_audit(spark, sf_dir):
     params = F.create_map(F.lit("order"), F.col("o_orderkey").cast("string"), F.lit("api_key"), F.lit("secret-value"), F.lit("day"), F.to_date("o_orderdate").cast("string"))
     clean = F.map_filter(params, lambda k, v: ~k.rlike("(?i)key|token|secret"))

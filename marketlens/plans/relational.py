@@ -295,22 +295,46 @@ def u5_day_pair(spark, sf_dir):
     return rel.day_pair(bars(spark, sf_dir), ["symbol"], "day", "close", F.lit("1995-01-03").cast("date"), F.lit("1995-01-04").cast("date"))
 
 
-@register()
+#: Columns of the fingerprinted tables, by the form in which a canonical row has them.
+_FORMS = {
+    "orders": {"text": "o_orderkey o_custkey o_orderstatus o_orderpriority", "float": "o_totalprice", "time": "o_orderdate"},
+    "lineitem": {"text": "l_orderkey l_partkey l_suppkey l_linenumber l_returnflag l_linestatus", "float": "l_quantity l_extendedprice l_discount l_tax", "time": "l_shipdate"},
+    "events": {"text": "event_id user_id event_type props", "float": "value", "time": "ts"},
+    "documents": {"text": "doc_id text lang source n_chars"},
+}
+
+
+def _canonical_sql(forms: dict[str, str], order: list[str]) -> str:
+    kind = {c: k for k, names in forms.items() for c in names.split()}
+    text = {"text": "{}::VARCHAR", "float": "printf('%.6f', {})", "time": "epoch_us({})::VARCHAR"}
+    shown = [text[kind[c]].format(c) for c in order]
+    return " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE length({t}) || ':' || {t} END" for c, t in zip(order, shown))
+
+
+_ORDER = {"events": "event_id ts user_id event_type value props", "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority", "documents": "doc_id text lang source n_chars", "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate"}
+
+
+@register(" UNION ALL ".join(f"""SELECT '{t}' AS "table", count(*) AS n, sum(('0x' || substr(sha256({_canonical_sql(_FORMS[t], _ORDER[t].split())}), 1, 15))::BIGINT::HUGEINT)::VARCHAR AS fingerprint FROM {t}""" for t in _FORMS))
 def a18_table_fingerprint(spark, sf_dir):
-    names = ("orders", "lineitem", "events", "documents")
-    dfs = [rel.table_fingerprint(table(spark, sf_dir, n)).select(F.lit(n).alias("table"), "n", "fingerprint") for n in names]
-    return dfs[0].unionByName(dfs[1]).unionByName(dfs[2]).unionByName(dfs[3])
+    dfs = [rel.table_fingerprint(table(spark, sf_dir, t).select(*_ORDER[t].split())).select(F.lit(t).alias("table"), "n", "fingerprint") for t in _FORMS]
+    return reduce(DataFrame.unionByName, dfs)
+
+
+def _digest_sql(source: str, fields: list[str]) -> str:
+    row = _canonical_sql({"text": "day volume", "float": "open high low close"}, fields)
+    return f"""WITH p AS (SELECT symbol, year(day) AS y, sha256(string_agg({row}, ';' ORDER BY day)) AS d, count(*) AS n FROM {source} GROUP BY 1, 2)
+SELECT symbol, sha256(string_agg(d, ';' ORDER BY y)) AS digest, sum(n)::BIGINT AS n FROM p GROUP BY 1"""
 
 
-@register()
+@register(_digest_sql("(SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY day DESC) AS rn FROM bars_daily) WHERE rn <= 100", ["day", "close"]))
 def a19_sample_fingerprint(spark, sf_dir):
     b = rel.newest_n(bars(spark, sf_dir), ["symbol"], "day", 100)
-    return rel.series_digest(b, ["symbol"], "day", "close")
+    return rel.series_digest(b, ["symbol"], "day", ["day", "close"], F.year("day"))
 
 
-@register()
+@register(_digest_sql("bars_daily", ["day", "open", "high", "low", "close", "volume"]))
 def a20_series_digest(spark, sf_dir):
-    return rel.series_digest(bars(spark, sf_dir), ["symbol"], "day", "open", "high", "low", "close", "volume")
+    return rel.series_digest(bars(spark, sf_dir), ["symbol"], "day", ["day", "open", "high", "low", "close", "volume"], F.year("day"))
 
 
 @register("SELECT 'lineitem' AS \"table\"")

@@ -103,9 +103,9 @@ def f19_display(spark, sf_dir):
     return claims(spark, sf_dir).select("id", sc.display(p, unit).alias("shown"))
 
 
-@register()
+@register("""SELECT id, sha256('{"f0":"' || asset || '","f1":"' || status || '","f2":"' || created || '","f3":' || CASE WHEN id % 3 = 0 THEN 'null' ELSE '"' || id || '"' END || '}') AS row_sha256 FROM claims""")
 def f20_row_hash(spark, sf_dir):
-    return claims(spark, sf_dir).select("id", sc.row_hash(F.col("asset"), F.col("status"), F.col("created")).alias("row_sha256"))
+    return claims(spark, sf_dir).select("id", sc.row_hash(F.col("asset"), F.col("status"), F.col("created"), F.when(F.col("id") % 3 != 0, F.col("id"))).alias("row_sha256"))
 
 
 @register("SELECT id, 'https://api.example.com/v1?asset=' || asset || '&api_key=***&x=1 Authorization: Bearer *** ' || status AS logged FROM claims")
@@ -114,7 +114,7 @@ def f21_redaction(spark, sf_dir):
     return claims(spark, sf_dir).select("id", sc.redact(url).alias("logged"))
 
 
-@register()
+@register("""SELECT id, sha256('[{"key":"day","value":"' || created || '"},{"key":"symbol","value":"' || asset || '"}]') AS identity FROM claims""")
 def f22_request_identity(spark, sf_dir):
     params = F.create_map(F.lit("symbol"), F.col("asset"), F.lit("day"), F.col("created").cast("string"))
     return claims(spark, sf_dir).select("id", sc.request_identity(params).alias("identity"))
