@@ -39,7 +39,7 @@ def length_histogram(docs: DataFrame, path: str | None = None, space_splits: boo
 
 def length_sums(histogram: DataFrame) -> DataFrame:
     """For each length L that occurs, as a context limit: the documents and tokens of at least L, the total when each
-    document is cut to L tokens, and the share of documents of at most L (the quantile that L answers).
+    document is cut to L tokens, and the documents of at most L with their share (the quantile that L answers).
 
     Sums run inside blocks of STEP lengths and then over the blocks, so that no task gets the whole histogram.
     """
@@ -59,13 +59,18 @@ def length_sums(histogram: DataFrame) -> DataFrame:
         "docs_at_least",
         "tokens_at_least",
         (F.col("_tokens") - F.col("tokens_at_least") + F.col("length") * F.col("docs_at_least")).alias("truncated_total"),
-        F.round((F.col("_docs") - F.col("docs_at_least") + F.col("n_docs")) / F.col("_docs"), 9).alias("quantile"),
+        (F.col("_docs") - F.col("docs_at_least") + F.col("n_docs")).alias("docs_at_most"),
+        ((F.col("_docs") - F.col("docs_at_least") + F.col("n_docs")) / F.col("_docs")).alias("quantile"),
     )
 
 
 def quantile_length(sums: DataFrame, q: float) -> DataFrame:
-    """The least length that a share q of the documents does not exceed."""
-    return sums.where(F.col("quantile") >= q).agg(F.min("length").alias("length"))
+    """The least length that a share q of the documents (a decimal text keeps it exact) does not exceed: counts are
+    compared as whole numbers."""
+    share = F.lit(str(q)).cast("decimal(20,18)")
+    total = sums.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("_n"))  # one row
+    enough = F.col("docs_at_most") >= F.ceil(share * F.col("_n").cast("decimal(18,0)"))
+    return sums.crossJoin(F.broadcast(total)).where(enough).agg(F.min("length").alias("length"))
 
 
 def truncated_total(sums: DataFrame, limit: int) -> DataFrame:

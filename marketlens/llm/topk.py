@@ -16,15 +16,14 @@ BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
 
 
-def threshold_search(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[int, int, int]]:
+def threshold_search(rows: np.ndarray, ids: np.ndarray, order: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[int, int, int]]:
     """(query, id, score) of the k best rows of a block for each query, but its own id; ties to the smaller id.
 
-    Each dimension's list is read from the end that gives the query most, a few places at a time in all lists. Rows
+    order holds each dimension's list: the rows from its least to its largest component. A list is read from the end that gives the query most, a few places at a time in all lists. Rows
     met are scored in full. A query stops when its kth score, or the floor known from other blocks, beats the sum of
     what each list can still give. floor is raised in place.
     """
     n = len(rows)
-    order = np.argsort(rows, axis=0, kind="stable")
     ranked = np.take_along_axis(rows, order, axis=0)
     depths = []
     step = max(4, k)
@@ -70,26 +69,28 @@ def threshold_search(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, que
 def _pack(width: int):
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), width)
-        return pd.DataFrame({"ids": [pdf["id"].to_numpy(np.int64).tobytes()], "rows": [rows.tobytes()]})
+        lists = np.argsort(rows, axis=0, kind="stable").astype(np.int32)
+        return pd.DataFrame({"ids": [pdf["id"].to_numpy(np.int64).tobytes()], "rows": [rows.tobytes()], "lists": [lists.tobytes()]})
 
     return pack
 
 
 def _blocks(df: DataFrame, size: int, width: int) -> DataFrame:
-    """Rows (id, v) packed into blocks of about `size` rows: one row (ids, rows) each."""
+    """Rows (id, v) packed into blocks of about `size` rows with their sorted lists, stored: one row each."""
     n = max(1, -(-df.count() // size))
     df = df.withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(n)))
-    return df.groupBy("_b").applyInPandas(_pack(width), "ids binary, rows binary")
+    return stored(df.groupBy("_b").applyInPandas(_pack(width), "ids binary, rows binary, lists binary"), "blocks")
 
 
 def _search(k: int, width: int):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         floors: dict[bytes, np.ndarray] = {}  # the kth score so far of this task's query batches
         for pdf in batches:
-            for ids, rows, qids, qrows in zip(pdf["ids"], pdf["rows"], pdf["qids"], pdf["qrows"]):
+            for ids, rows, lists, qids, qrows in zip(pdf["ids"], pdf["rows"], pdf["lists"], pdf["qids"], pdf["qrows"]):
                 i, q = np.frombuffer(ids, np.int64), np.frombuffer(qids, np.int64)
                 floor = floors.setdefault(qids, np.full(len(q), np.iinfo(np.int64).min))
-                found = threshold_search(np.frombuffer(rows, np.int64).reshape(len(i), width), i, np.frombuffer(qrows, np.int64).reshape(len(q), width), q, k, floor)
+                order = np.frombuffer(lists, np.int32).reshape(len(i), width)
+                found = threshold_search(np.frombuffer(rows, np.int64).reshape(len(i), width), i, order, np.frombuffer(qrows, np.int64).reshape(len(q), width), q, k, floor)
                 yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     return search
@@ -102,7 +103,8 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 2
     Of equal vectors only the k + 1 smallest ids can be results, so the others leave before the search. Blocks of
     rows meet batches of queries, each pair in a task of its own; only k rows of each pair go on.
     Nulls: vectors that are null, empty or hold a null or non-finite component, and rows with a null vec_id, take no
-    part. Repeated rows count once. Vectors of another length than a query's are no candidates for it. Other columns
+    part. Integer scores must fit: components beyond sqrt(2^62 / length) after scaling raise an error. Repeated rows
+    count once. Vectors of another length than a query's are no candidates for it. Other columns
     are ignored; an empty table gives an empty result.
     """
     v = F.col("embedding")
@@ -111,6 +113,9 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 2
         F.col("vec_id").alias("id"), F.transform(v, lambda x: F.floor(F.lit(scale) * x.cast("double"))).alias("v"), is_query.alias("q")
     )
     rows = rows.withColumn("width", F.size("v"))
+    scaled = vectors.where(fine).select(F.array_max(F.transform(v, lambda x: F.abs(F.lit(scale) * x.cast("double")))).alias("m"), F.size(v).alias("w"))
+    if not scaled.where("m * m * w >= 4.6e18").isEmpty():
+        raise ValueError("components are too large for integer scores")
     place = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     rows = stored(rows.distinct(), "vectors")
     candidates = stored(rows.withColumn("_p", place).where(F.col("_p") <= k + 1).select("id", "v", "width"), "candidates")

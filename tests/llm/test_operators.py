@@ -227,6 +227,9 @@ def test_packing_and_counts(spark):
         assert r["truncated_total"] == sum(min(x, n) for x in lens) and abs(r["quantile"] - sum(x <= n for x in lens) / len(lens)) < 1e-8
     assert token_counts.truncated_total(sums, 17).first()[0] == sum(min(x, 17) for x in lens)
     assert token_counts.quantile_length(sums, 0.5).first()[0] == lens[-(-len(lens) // 2) - 1]
+    assert token_counts.quantile_length(sums, 1).first()[0] == lens[-1] and token_counts.quantile_length(sums, 0).first()[0] == lens[0]
+    exact = sums.select((F.col("docs_at_most") * 10**9).alias("docs_at_most"), (F.col("n_docs") * 10**9).alias("n_docs"), "length")
+    assert token_counts.quantile_length(exact, f"{1 / len(lens):.18f}").first()[0] == lens[0]
     assert packing.pack(docs_of(spark, [])).count() == 0 and token_counts.token_counts(docs_of(spark, [])).count() == 0
 
 
@@ -259,6 +262,8 @@ def test_topk(spark, monkeypatch):
         assert got[q] == [(i, s) for s, i in want]
     assert set(got) == {0, 50, 100, 400}
     assert topk.exact_top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+    with pytest.raises(ValueError):
+        topk.exact_top_k(spark.createDataFrame([(1, [1e16])], "vec_id long, embedding array<double>"), F.lit(True))
 
 
 def test_language_marginal():
