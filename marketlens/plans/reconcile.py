@@ -61,13 +61,13 @@ def k6_purge_open_day(spark, sf_dir):
     return b.crossJoin(F.broadcast(b.agg(F.max("day").alias("today")))).where("day < today").select("symbol", "day", "close")
 
 
-@register("""WITH o AS (SELECT asset, status, count(*) AS top FROM claims WHERE id % 10 = 0 GROUP BY 1, 2)
-SELECT c.id, c.asset, c.status, coalesce(top, 0) + row_number() OVER (PARTITION BY c.asset, c.status ORDER BY c.id) AS version FROM claims c LEFT JOIN o ON o.asset = c.asset AND o.status = c.status WHERE c.id % 10 = 1""")
+@register("""WITH o AS (SELECT asset, status, count(*) AS top FROM claims WHERE created < DATE '1998-01-01' GROUP BY 1, 2)
+SELECT c.id, c.asset, c.status, coalesce(top, 0) + row_number() OVER (PARTITION BY c.asset, c.status ORDER BY c.id) AS version FROM claims c LEFT JOIN o ON o.asset = c.asset AND o.status = c.status WHERE c.created >= DATE '1998-01-01'""")
 def k7_versions(spark, sf_dir):
     c = view(spark, sf_dir, "claims")
     rank = F.row_number().over(Window.partitionBy("asset", "status").orderBy("id"))
-    old = c.where("id % 10 = 0").withColumn("version", rank)
-    return rec.next_versions(old, c.where("id % 10 = 1").select("id", "asset", "status"), ["asset", "status"], "id")
+    old = c.where("created < date'1998-01-01'").withColumn("version", rank)
+    return rec.next_versions(old, c.where("created >= date'1998-01-01'").select("id", "asset", "status"), ["asset", "status"], "id")
 
 
 @register("""WITH g AS (SELECT asset, status, count(*) AS n, sum(points::DECIMAL(18,2)) AS points FROM claims GROUP BY 1, 2), t AS (SELECT asset, count(*) AS n, max(created) AS latest FROM claims GROUP BY 1)
@@ -111,10 +111,12 @@ def j13_evidence_merge(spark, sf_dir):
 
 
 @register("""SELECT coalesce(r.l_orderkey, s.l_orderkey) AS l_orderkey, coalesce(r.l_linenumber, s.l_linenumber) AS l_linenumber, r.value AS raw_value, s.value AS stored_value,
-  CASE WHEN s.value IS NULL THEN 'MISSING' WHEN r.value IS NULL THEN 'EXTRA' ELSE 'VALUE' END AS issue FROM (SELECT * FROM raw_values WHERE l_orderkey % 101 <> 0) r FULL OUTER JOIN stored_values s ON r.l_orderkey = s.l_orderkey AND r.l_linenumber = s.l_linenumber
+  CASE WHEN s.value IS NULL THEN 'MISSING' WHEN r.value IS NULL THEN 'EXTRA' ELSE 'VALUE' END AS issue FROM raw_values r FULL OUTER JOIN (SELECT l_orderkey, l_linenumber, value FROM stored_values UNION ALL SELECT -l_orderkey - 1, l_linenumber, value FROM stored_values WHERE l_orderkey % 101 = 0) s ON r.l_orderkey = s.l_orderkey AND r.l_linenumber = s.l_linenumber
 WHERE s.value IS NULL OR r.value IS NULL OR abs(r.value - s.value) > greatest(1e-12, abs(r.value) * 1e-10)""")
 def j14_two_way_reconcile(spark, sf_dir):
-    return rec.two_way(raw(spark, sf_dir).where("l_orderkey % 101 != 0"), stored(spark, sf_dir), K, "value")
+    kept = stored(spark, sf_dir)
+    more = kept.where("l_orderkey % 101 = 0").withColumn("l_orderkey", -F.col("l_orderkey") - 1)  # rows that no payload has
+    return rec.two_way(raw(spark, sf_dir), kept.unionByName(more), K, "value")
 
 
 @register("""WITH j AS (SELECT coalesce(r.l_orderkey, s.l_orderkey) AS k, r.value AS a, s.value AS b FROM raw_values r FULL OUTER JOIN stored_values s ON r.l_orderkey = s.l_orderkey AND r.l_linenumber = s.l_linenumber)
