@@ -48,7 +48,7 @@ def receipts(spark, sf_dir):
     o = o.withColumn("error", F.when(at(18) | at(20), "timeout")).withColumn("returned", F.when(at(19), 0).otherwise(F.col("n") + F.when(at(26), 1).otherwise(0)))
     o = o.withColumn("persisted", F.when(at(19), 0).otherwise(F.col("n") + F.when(at(27), 1).otherwise(0)))
     told_first = F.when(at(19), None).when(at(38), F.col("base")).otherwise(F.col("first") + F.when(at(29), 1).otherwise(0))
-    start = F.when(at(6), None).when(at(30), F.col("first") + STEP).when(at(31), F.col("base") + STEP).otherwise(F.coalesce("first", "base"))
+    start = F.when(at(6), None).when(at(30), F.coalesce("first", "base") + STEP).when(at(31), F.col("base") + STEP).otherwise(F.coalesce("first", "base"))
     end = F.when(at(7), None).when(F.col("direction") == "forward", F.col("last") - F.when(at(32), 1).otherwise(0)).otherwise(F.coalesce("last", "base") + STEP - 1 + F.when(at(33), STEP).otherwise(0))
     attempts, begun = F.when(at(8), 2).otherwise(1), F.col("base") / 1000
     requests = o.select(

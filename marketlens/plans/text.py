@@ -164,9 +164,9 @@ def d2_lexical(spark, sf_dir):
     return search.lexical(_corpus(spark, sf_dir), _asked(spark, sf_dir), "doc_id", "item_id", "text", "metric", "title", "keywords")
 
 
-@register(_bm_sql(2, "method IN ('en', 'de')") + """ SELECT item_id, count(*) AS hits, string_agg(rank || '|' || hits.doc_id || '|' || coalesce(printf('%.4f', score), '-') || '|' || d.metric || '|' || coalesce(d.keywords, ''), ';' ORDER BY rank) AS evidence FROM hits JOIN d ON d.doc_id = hits.doc_id GROUP BY 1""")
+@register(_bm_sql(2, "method IN ('en', 'de')") + """ SELECT item_id, count(*) AS hits, string_agg(rank || '|' || hits.doc_id || '|' || coalesce(printf('%.6f', score), '-') || '|' || d.metric || '|' || coalesce(d.keywords, ''), ';' ORDER BY rank) AS evidence FROM hits JOIN d ON d.doc_id = hits.doc_id GROUP BY 1""")
 def d3_evidence_bundle(spark, sf_dir):
     b = search.evidence_bundle(t6_top_hits(spark, sf_dir), _corpus(spark, sf_dir), "item_id", "doc_id", "metric", "keywords")
-    score = lambda e: F.when(e["score"].isNull(), "-").otherwise(F.format_string("%.4f", e["score"]))
+    score = lambda e: F.when(e["score"].isNull(), "-").otherwise(F.format_string("%.6f", e["score"]))
     shown = F.transform("evidence", lambda e: F.concat_ws("|", e["rank"], e["doc_id"], score(e), e["metric"], F.coalesce(e["keywords"], F.lit(""))))
     return b.select("item_id", F.size("evidence").cast("long").alias("hits"), F.array_join(shown, ";").alias("evidence"))
