@@ -5,8 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +33,23 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    return _SPACE.get() or base.rstrip("/")
+
+
+#: The folder that a stage's tables go to, where one is open.
+_SPACE: ContextVar[str | None] = ContextVar("space", default=None)
+
+
+@contextmanager
+def space(spark: SparkSession, name: str) -> Iterator[None]:
+    """Tables stored inside go to a folder of their own, which is removed at the end."""
+    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    before = _SPACE.set(folder)
+    try:
+        yield
+    finally:
+        _SPACE.reset(before)
+        remove(spark, folder)
 
 
 def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
@@ -38,18 +58,23 @@ def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     files: at most so many files, for tables that are small whatever the documents (of a benchmark or a model).
     Zstandard is used since Snappy's direct buffers add up over many small files until the next full collection.
     """
-    return _write(df, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}", files)
+    return written(df, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}", files)
 
 
-def _write(df: DataFrame, path: str, files: int | None) -> DataFrame:
-    spark = df.sparkSession
+@contextmanager
+def cleaned_up(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(_CLEAN_UP)
     spark.conf.set(_CLEAN_UP, "true")
     try:
-        (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
+        yield
     finally:
         spark.conf.set(_CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
+    with cleaned_up(df.sparkSession):
+        (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -66,7 +91,7 @@ class Scratch:
 
     def stored(self, df: DataFrame, name: str, files: int | None = None) -> DataFrame:
         path = f"{self.base}/{len(self.tables)}-{name}"
-        out = _write(df, path, files)
+        out = written(df, path, files)
         self.tables.append((out, path))
         return out
 
@@ -137,6 +162,36 @@ def gapless_rank(df: DataFrame, key: str, bucket: Column, order: list, out: str,
     )
 
 
+#: Bits of a bitmap of hashes seen twice (32 MB), and its parts; a fuller bitmap lets more rows pass, never fewer.
+FILTER_BITS = 1 << 28
+FILTER_PARTS = 1 << 10
+
+
+def _bitmap_part(pdf: pd.DataFrame) -> pd.DataFrame:
+    bits = np.zeros(FILTER_BITS // FILTER_PARTS, bool)
+    bits[pdf["bit"].to_numpy() % len(bits)] = True
+    return pd.DataFrame({"part": pdf["part"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
+
+
+def seen_twice(hashes: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size of the hashes (h long, n long) whose n add up to two or more, to be broadcast: what it
+    doesn't hold occurs once."""
+    often = hashes.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    bits = often.select(F.pmod("h", F.lit(FILTER_BITS)).alias("bit")).distinct()
+    parts = bits.withColumn("part", F.expr(f"bit div {FILTER_BITS // FILTER_PARTS}"))
+    parts = parts.groupBy("part").applyInPandas(_bitmap_part, "part long, bits binary")
+    out = np.zeros((FILTER_PARTS, FILTER_BITS // FILTER_PARTS // 8), np.uint8)
+    with cleaned_up(hashes.sparkSession):
+        for row in parts.collect():  # at most FILTER_BITS bits
+            out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = np.mod(hashes, FILTER_BITS)
+    return bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1 == 1
+
+
 def by_chars(texts, most: int = 4_000_000):
     """Slices (start, end) of a list of texts of about `most` characters each; a longer text is alone."""
     start, size = 0, 0

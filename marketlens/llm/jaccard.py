@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, by_chars, extended, fits, join_checked, mix64, small_batches
+from .common import Scratch, by_chars, extended, fits, in_bitmap, join_checked, mix64, seen_twice, small_batches
 
 #: Shingles whose estimated counts order them behind others; bounds the broadcast (16 MB), never the result.
 COMMON_SHINGLES = 1 << 20
@@ -149,6 +149,16 @@ def _emit_regions(n: int, salt: int, num: int, den: int, common):
     return emit
 
 
+def _in_shared(seen):
+    """The rows whose regions are in the broadcast bitmap."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(seen.value, batch.column("region").to_numpy())))
+
+    return keep
+
+
 def _emit_sets(n: int, salt: int):
     """Replace the text by its set (bytes), where the text is of the class that is looked for."""
 
@@ -368,7 +378,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     job = _Join(docs, n, num, den)
     stored, scratch = job.stored, job.scratch
     eps = 1 - num / den
-    rows = job.regions()
+    regions = job.regions()
+    # nearly all regions hold one set; these leave before anything is shuffled but their names
+    seen = docs.sparkSession.sparkContext.broadcast(seen_twice(regions.select(F.col("region").alias("h"), F.lit(1).alias("n"))))
+    rows = stored(regions.mapInArrow(_in_shared(seen), regions.schema), "rows")
+    scratch.drop(regions)
     ends = rows.groupBy("region").agg(F.min("cls").alias("_p"), F.max("cls").alias("_q"), F.min("n").alias("_lo"), F.max("n").alias("_hi"))
     ends = ends.where("_p != _q").select("region", "_lo", "_hi")
     shared = stored(rows.join(ends, "region").distinct(), "shared")
@@ -420,8 +434,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         members = large.drop("size", "root")
     rooted = join_checked(job.keys, roots, "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
     rooted = stored(rooted, "rooted")
-    scratch.keep(rooted)
+    # components of one document have its own id
+    least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("_least"), F.count("*").alias("_docs")).where("_docs > 1")
+    least = stored(least, "least", files)
+    scratch.keep(rooted, least)
     job.common.destroy()
-    least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("_least"))
-    out = rooted.join(least, "root", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("doc_id")).alias("component_id"))
+    seen.destroy()
+    out = join_checked(rooted, least, "root", "left")
+    in_group = (F.col("n") > 0) & F.col("_docs").isNotNull()
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(in_group, F.col("_least")).otherwise(F.col("doc_id")).alias("component_id"))

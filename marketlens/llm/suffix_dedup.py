@@ -23,13 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, by_chars, extended, join_checked, small_batches
+from .common import Scratch, by_chars, extended, in_bitmap, join_checked, seen_twice, small_batches
 from .suffix_array import suffix_array
 
 BLOCK = 16
-#: Bits of the bitmap of grams seen twice (32 MB), and its parts; a fuller bitmap lets more runs pass, never fewer.
-FILTER_BITS = 1 << 28
-FILTER_PARTS = 1 << 10
 #: Contexts of a bin, and the size beyond which one gram's group is split.
 BIN_CONTEXTS = 8192
 GROUP_CONTEXTS = 20_000
@@ -125,36 +122,16 @@ def _emit_grams(min_bytes: int, k: int):
     return emit
 
 
-def _bitmap_part(pdf: pd.DataFrame) -> pd.DataFrame:
-    bits = np.zeros(FILTER_BITS // FILTER_PARTS, bool)
-    bits[pdf["bit"].to_numpy() % len(bits)] = True
-    return pd.DataFrame({"part": pdf["part"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
-
-
-def repeated_grams(grams: DataFrame) -> np.ndarray:
-    """The bitmap of the grams (h, n) that occur twice or more."""
-    often = grams.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
-    bits = often.select(F.pmod("h", F.lit(FILTER_BITS)).alias("bit")).distinct()
-    parts = bits.withColumn("part", F.expr(f"bit div {FILTER_BITS // FILTER_PARTS}"))
-    parts = parts.groupBy("part").applyInPandas(_bitmap_part, "part long, bits binary")
-    out = np.zeros((FILTER_PARTS, FILTER_BITS // FILTER_PARTS // 8), np.uint8)
-    for row in parts.collect():  # at most FILTER_BITS bits
-        out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
-    return out.ravel()
-
-
 def _emit_runs(min_bytes: int, k: int, seen):
     """The runs whose grams are in the broadcast bitmap."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bitmap = seen.value
         for pdf in batches:
             texts = [t.encode() for t in pdf["text"]]
             cls = pdf["cls"].to_numpy()
             for a, b in by_chars(texts, 2_000_000):
                 r = runs_of(texts[a:b], min_bytes, k)
-                bit = np.mod(r["h"], FILTER_BITS)
-                ok = bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1 == 1
+                ok = in_bitmap(seen.value, r["h"])
                 if ok.any():
                     yield pd.DataFrame({"cls": cls[a:b][r["doc"][ok]], **{c: r[c][ok] for c in ("lo", "n", "off", "h", "c1", "c2")}})
 
@@ -287,7 +264,7 @@ def repeated_spans(docs: DataFrame, min_bytes: int = 400, bin_contexts: int = BI
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", text.alias("text")).withColumn("cls", F.unhex(F.md5("text")))
     runs = keyed.where(F.octet_length("text") >= min_bytes).select("cls", "text")
-    seen = docs.sparkSession.sparkContext.broadcast(repeated_grams(runs.select("text").mapInPandas(_emit_grams(min_bytes, k), "h long, n long")))
+    seen = docs.sparkSession.sparkContext.broadcast(seen_twice(runs.select("text").mapInPandas(_emit_grams(min_bytes, k), "h long, n long")))
     runs = scratch.stored(runs.mapInPandas(_emit_runs(min_bytes, k, seen), "cls binary, lo int, n int, off int, h long, c1 long, c2 long"), "runs")
     same = ["h", "c1", "c2", "off", "n"]
     contexts = runs.groupBy(*same).agg(F.count("*").alias("mult"), F.min(F.struct("cls", "lo")).alias("at"))
