@@ -6,11 +6,13 @@ the columns of docs. Columns of docs travel as one struct, so that names never c
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm import decontaminate, jaccard, language_id, packing, suffix_dedup
-from marketlens.llm.common import stored
+from marketlens.llm.common import join_checked, remove, shared_dir, space, stored, written
 
 #: Bytes of a repeated string; 50 words of the shortest kind are longer.
 PASSAGE_BYTES = 200
@@ -21,7 +23,11 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no language (null text, or no letter); the model is fitted on labelled documents of docs."""
+    """Drop documents in no language (null text, or no letter); the model is fitted on labelled documents of docs.
+
+    Nulls in other columns stay, documents without a lang are judged like others; repeated rows each get the same
+    decision; a tie of two languages keeps the document. An empty table, or one without any label, keeps none.
+    """
     train = docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
     found = language_id.predict(_rows(docs), language_id.fit(train), carry=["row"])
     return found.where("lang_pred != 'und'").select("row.*")
@@ -32,23 +38,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Decisions are taken and applied by row, as ids may be repeated or null: of rows with the smallest id (a null is the
     largest) the one with the smallest hash of its text stays. Repeated rows count as copies. Documents without words
-    stay.
+    stay, once. An empty table stays empty.
     """
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    groups = jaccard.jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), n=5, num=80, den=100)
-    groups = groups.select(F.col("doc_id").alias("_row"), "component_id", (F.col("n_shingles") > 0).alias("_words"))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("hash"), "_row")
-    best = groups.join(rows.select("_row", order.alias("_order")), "_row").groupBy("component_id", "_words").agg(F.min("_order").alias("_order"))
-    kept = stored(best.select("_order._row", "_words"), "kept")
-    small = F.broadcast(kept) if kept.limit(1_000_001).count() <= 1_000_000 else kept
-    rows = rows.join(small, "_row")
-    worded = rows.where("_words").select(*docs.columns)
-    blank = rows.where("not _words").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return worded.unionByName(blank)
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "rows")
+    groups = jaccard.jaccard_components(rows.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text")), n=5, num=80, den=100)
+    groups = groups.select(F.col("doc_id").alias("id"), "component_id", (F.col("n_shingles") > 0).alias("words"))
+    order = F.struct(F.col("row.doc_id").isNull().alias("no_id"), F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("hash"), F.col("id").alias("id"))
+    best = groups.join(rows.select("id", order.alias("order")), "id").groupBy("component_id", "words").agg(F.min("order").alias("order"))
+    kept = join_checked(rows, stored(best.select("order.id", "words"), "kept"), "id")
+    blank = kept.where("not words").groupBy(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")).agg(F.first("row").alias("row"))
+    return kept.where("words").select("row.*").unionByName(blank.select("row.*"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut strings of PASSAGE_BYTES bytes that occur elsewhere too; n_chars follows. Documents left empty go."""
+    """Cut strings of PASSAGE_BYTES bytes that occur elsewhere too; n_chars follows. Documents left empty go.
+
+    Nulls: a null text is empty and goes unless nothing was cut, so it stays; repeated rows lose what they share, ids do
+    not matter. An empty table stays empty.
+    """
     found = suffix_dedup.remove_repeats(_rows(docs), PASSAGE_BYTES, carry=["row"], keep_text=True)
     found = found.where("n_removed = 0 or trim(kept_text) != ''")
     changed = F.col("n_removed") > 0
@@ -58,14 +65,21 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold ten consecutive words of a benchmark item (all words of a shorter one)."""
+    """Drop documents that hold ten consecutive words of a benchmark item (all words of a shorter one).
+
+    Nulls: a null or empty text is clean and stays, whatever its id; repeated rows each get the same decision. An empty
+    table, or an empty benchmark, changes nothing.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.contamination(_rows(docs), benchmark, n=10, carry=["row"])
     return found.where("not contaminated").select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences of 2,048 ids."""
+    """Pack what is left into sequences of 2,048 ids.
+
+    A null text is an empty document of one id; repeated rows are documents each. An empty table gives no sequence.
+    """
     return packing.pack(docs)
 
 
@@ -82,7 +96,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages on documents. A stage's own tables, and its input where that is a stage's, go when it is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        with space(spark, name):
+            docs = written(stage(spark, docs, sf_dir), path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
