@@ -110,14 +110,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, n: int = 10
     index = scratch.stored(build_index(docs, scratch.stored(leads, "leads", files=8)), "postings")
     reach = n + slop
     found = intersect(index, windows, reach, scratch)
-    places = windows.select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "p1", "words", "items")
+    windows = scratch.stored(windows.withColumn("id", F.monotonically_increasing_id()), "numbered", files=8)
+    places = windows.select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "id")
     cands = join_checked(found, scratch.stored(places, "places", files=8), (found["t1"] == F.col("_t1")) & found["t2"].eqNullSafe(F.col("_t2")))
-    by_doc = cands.groupBy("key").agg(F.collect_list(F.struct("pos", "p1", "words", "items")).alias("c"))  # those of one text
+    by_doc = cands.groupBy("key").agg(F.collect_list(F.struct("pos", "id")).alias("c"))  # those of one text
     by_doc = scratch.stored(by_doc, "candidates")
     rows = docs.select("text", row_key(F.col("doc_id"), F.col("text")).alias("key"))
     rows = join_checked(rows, by_doc, "key").dropDuplicates(["key"]).select("key", words_of(F.col("text")).alias("w"), "c")
     rows = rows.select("key", "w", F.explode("c").alias("c")).select("key", "c.*", F.greatest(F.col("c.pos") - (reach - 1), F.lit(0)).alias("from"), "w")
-    rows = rows.withColumn("w", F.slice("w", F.col("from") + 1, F.lit(2 * reach - 1))).withColumn("start", F.col("pos") - F.col("p1"))
+    rows = rows.withColumn("w", F.slice("w", F.col("from") + 1, F.lit(2 * reach - 1)))
+    rows = join_checked(rows, windows.select("id", "p1", "words", "items"), "id").withColumn("start", F.col("pos") - F.col("p1"))
     size = F.size("words")
     exact = (F.col("start") >= 0) & (F.slice("w", F.greatest(F.col("start") - F.col("from") + 1, F.lit(1)), size) == F.col("words"))
     spans = F.sequence(F.lit(0), F.greatest(F.size("w") - (size + slop), F.lit(0)))

@@ -207,11 +207,13 @@ WITH d AS (
 ), hit AS (SELECT doc_id, i, pos.n, item_id FROM pos JOIN win ON win.n = pos.n AND win.g = pos.g),
 words AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) r(k) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS l FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id),
-seek AS (SELECT item_id, w[i:i + least(len(w), 10) - 1] AS words FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) r(i) WHERE len(w) > 0),
 term AS (SELECT doc_id, w, p, w[p] AS t FROM d, unnest(range(1, len(w) + 1)) r(p)),
+often AS (SELECT t, count(*) AS c FROM term GROUP BY t),
+span AS (SELECT row_number() OVER () AS id, item_id, w[i:i + least(len(w), 10) - 1] AS words FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) r(i) WHERE len(w) > 0),
+seek AS (SELECT id, any_value(item_id) AS item_id, any_value(words) AS words, arg_min(v, coalesce(c, 0)) AS rare FROM (SELECT *, unnest(words) AS v FROM span) x LEFT JOIN often ON often.t = v GROUP BY id),
 stretch AS (
   SELECT doc_id, item_id, words, len(words) + 4 AS span, w[greatest(p - len(words) - 3, 1):p + len(words) + 3] AS part
-  FROM seek JOIN term ON t = words[1]
+  FROM seek JOIN term ON t = rare
 ),
 close AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_near FROM stretch

@@ -288,6 +288,48 @@ def test_language_marginal():
     assert np.allclose(got, [brute("▁" + w) for w in words], rtol=1e-9)
 
 
+def brute_segmentations(word, table):
+    """Every way to cut a marked word into pieces of the table or single unknown characters, with its probability."""
+    if not word:
+        return [((), 1.0)]
+    out = []
+    for m in range(1, len(word) + 1):
+        p = table.get(word[:m], language_id.UNKNOWN if m == 1 else 0)
+        if p:
+            out += [((word[:m], *rest), p * q) for rest, q in brute_segmentations(word[m:], table)]
+    return out
+
+
+def test_language_model_against_plain_em(spark):
+    path = language_id.default_vocabulary()
+    pieces = language_id.pieces_of(path)
+    rows = [(1, "the cat and the dog", "en"), (2, "a dog ran", "en"), (3, "le chat et le chien", "fr"), (4, "été ici", "fr"), (5, None, "fr"), (6, "the", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.fit(docs, rounds=2)
+    want = {}
+    for lang in ("en", "fr"):
+        words = collections.Counter(w for _, t, g in rows if g == lang and t for w in language_id.words_in(t))
+        flat = [2.0 ** -len(p) for p in pieces]
+        table = {p: x / sum(flat) for p, x in zip(pieces, flat)}
+        for _ in range(2):
+            uses = collections.Counter()
+            for w, n in words.items():
+                ways = brute_segmentations("▁" + w, table)
+                total = sum(q for _, q in ways)
+                for way, q in ways:
+                    for piece in way:
+                        uses[piece] += n * q / total
+            counts = np.array([0.02 + uses[p] for p in pieces])
+            table = dict(zip(pieces, counts / counts.sum()))
+        want[lang] = table
+        assert np.allclose(got[lang], [table[p] for p in pieces], rtol=1e-6)
+    text = "the chien ran ici ici"
+    logs = {g: sum(np.log(sum(q for _, q in brute_segmentations("▁" + w, want[g]))) for w in language_id.words_in(text)) for g in want}
+    r = language_id.predict(spark.createDataFrame([(1, text)], "doc_id long, text string"), got).first()
+    best = max(sorted(logs), key=logs.get)
+    assert r["lang_pred"] == best and r["score"] == pytest.approx(1 / sum(np.exp(v - logs[best]) for v in logs.values()), rel=1e-6)
+
+
 def test_language_id(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
