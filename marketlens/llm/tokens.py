@@ -8,6 +8,7 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 
 from .bpe import WordMerger
 
@@ -82,9 +83,12 @@ class Encoder:
         """
         chunks = [t.replace("\n", " ").split(" ") if self.space_splits else [t] for t in texts]
         counts = np.array([len(c) for c in chunks], np.int64)
-        index: dict[str, int] = {}  # not pd.factorize, which ends a text at a NUL
-        codes = np.array([index.setdefault(c, len(index)) for c in chain.from_iterable(chunks)], np.int64)
-        distinct = np.array(list(index), object)
+        if any("\0" in t for t in texts):  # pd.factorize ends a text at a NUL
+            index: dict[str, int] = {}
+            codes = np.array([index.setdefault(c, len(index)) for c in chain.from_iterable(chunks)], np.int64)
+            distinct = np.array(list(index), object)
+        else:
+            codes, distinct = pd.factorize(np.array(list(chain.from_iterable(chunks)), object))
         if len(self.known) > CACHED:
             self.clear()
         places = np.zeros((len(distinct), 2), np.int64)
