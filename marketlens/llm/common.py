@@ -144,6 +144,24 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", limit
     return big.join(small, on, how)
 
 
+#: A key with more than this part of all rows is hot.
+HEAT = 256
+
+
+def join_by_heat(big: DataFrame, small: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join of big (cheap to read twice) with small, one row a key, whose column `weight` counts the key's rows in big.
+
+    A small side is broadcast. Else only the hot keys are (each has more than 1/HEAT of all rows, so there are fewer than
+    HEAT of them), and the other keys are shuffled.
+    """
+    if fits(small):
+        return big.join(F.broadcast(small.drop(weight)), key)
+    total = small.agg(F.sum(weight)).first()[0]
+    hot = F.broadcast(small.where(F.col(weight) * HEAT > total).drop(weight))
+    cold = small.where(F.col(weight) * HEAT <= total).drop(weight)
+    return big.join(hot, key).unionByName(big.join(hot.select(key), key, "left_anti").join(cold, key))
+
+
 def gapless_rank(df: DataFrame, key: str, bucket: Column, order: list, out: str, start: int = 0) -> DataFrame:
     """Number the rows of each key without gaps, without sorting a key in one task.
 

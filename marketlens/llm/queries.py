@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, language_id, packing, sharding, suffix_dedup, token_counts, topk, url_filter, warc
+from . import alignment, decontaminate, jaccard, language_id, packing, ranked, secrets, sharding, suffix_dedup, token_counts, topk, url_filter, warc
 from .common import shared_dir
 
 
@@ -79,6 +79,31 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source owns a document; its documents of one language are a repository."""
+    found = secrets.scan_secrets(_table(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(told(F.filter("spans", lambda s: s["rank"] < 3)), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+        count("live").alias("n_live"),
+        F.size(F.filter("spans", lambda s: s["copied"])).cast("long").alias("n_copied"),
+    )
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,6 +117,9 @@ QUERIES = {
         op8_threshold_topk,
         op9_url_rules,
         op10_decontaminate,
+        op11_secret_scan,
+        op12_ranked_search,
+        op13_token_alignment,
     )
 }
 
@@ -225,6 +253,54 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id LEFT JOIN close ON close.doc_id = d.doc_id
 """
 
+_SECRET_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner, concat_ws('/', source, lang) AS repository FROM documents),
+p(kind, k, p) AS (VALUES
+  ('assign', 0, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  ('access', 1, 'AKIA[A-Z0-9]+'), ('hex', 2, '[0-9a-f]+'), ('mixed', 3, '[A-Za-z0-9+/_-]+')
+), m AS (
+  SELECT id, owner, repository, kind, k, p, string_split_regex(t, p) AS gaps, regexp_extract_all(t, p) AS ms FROM d, p
+), e AS (
+  SELECT id, owner, repository, kind, k, p, i, ms[i] AS x, length(gaps[i]) AS gap FROM m, unnest(range(1, len(ms) + 1)) r(i)
+), f AS (
+  SELECT *, CASE WHEN k = 0 THEN regexp_extract(x, p, 2) ELSE x END AS v, sum(gap + length(x)) OVER (PARTITION BY id, kind ORDER BY i) AS stop FROM e
+), c AS (
+  SELECT * FROM f WHERE CASE k WHEN 0 THEN length(v) >= 12 WHEN 1 THEN length(x) >= 18 WHEN 2 THEN length(x) >= 16
+    ELSE length(x) >= 20 AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[a-z]') END
+), held AS (SELECT v, count(DISTINCT owner) AS owners FROM c GROUP BY v),
+s AS (
+  SELECT id, k, kind, stop - length(x) AS start, stop, owners FROM c JOIN held USING (v) WHERE k < 3
+  UNION SELECT id, 4, 'live', stop - length(v), stop, owners FROM c JOIN held USING (v)
+  WHERE owners = 1 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 8
+    AND NOT regexp_matches(lower(v), 'example|sample|dummy|placeholder|change_?me|your|xxxx|test|\.\.\.')
+), g AS (
+  SELECT id, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS b, count(*) FILTER (k = 2) AS h, count(*) FILTER (k = 4) AS l, count(*) FILTER (owners >= 3) AS w,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k, stop) FILTER (k < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k, stop) AS spans
+  FROM s GROUP BY id
+)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(l, 0)::BIGINT AS n_live, coalesce(w, 0)::BIGINT AS n_copied
+FROM d LEFT JOIN g ON g.id = d.id
+"""
+
+_RANKED_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), q AS (
+  SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark
+), corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+size AS (SELECT id, doc_id, 25 + (75 * len(w)::BIGINT * n_docs) // n_terms AS m FROM d, corpus WHERE len(w) > 0),
+asked AS (SELECT iid, any_value(item_id) AS item_id, t, count(*)::BIGINT AS qn FROM (SELECT iid, item_id, unnest(w) AS t FROM q) GROUP BY iid, t),
+post AS (SELECT id, t, count(*)::BIGINT AS tf FROM (SELECT id, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM asked) GROUP BY id, t),
+weight AS (SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM post GROUP BY t), corpus),
+score AS (
+  SELECT iid, any_value(item_id) AS item_id, id, any_value(doc_id) AS doc_id, sum(qn * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN post USING (t) JOIN weight USING (t) JOIN size USING (id) GROUP BY iid, id
+), r AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id)::INTEGER AS rank FROM score WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op3_hash_tree_sharding": _TREE_SQL,
     "op4_warc_round_trip": _WARC_SQL,
@@ -232,4 +308,6 @@ ORACLES: dict[str, str] = {
     "op8_threshold_topk": _TOPK_SQL,
     "op9_url_rules": _URL_SQL,
     "op10_decontaminate": _LEAK_SQL,
+    "op11_secret_scan": _SECRET_SQL,
+    "op12_ranked_search": _RANKED_SQL,
 }
