@@ -1,12 +1,14 @@
 """Technical indicators over many series at once.
 
-Every function takes bars with key columns, an order column and values, and adds a column. Windows are partitioned by
-the keys (a series is sorted in one task); NULL stands for an indicator without enough data. Recurrences are linear and
-run in stretches of the order column, so that one long series is worked on by many tasks.
+Every function takes bars with key columns, an order column and values, and adds a column. NULL stands for an indicator
+without enough data. No series is sorted in one task: rows get positions by stretches of the order column, moving windows
+run over blocks of positions with the rows before (and behind) copied in, and recurrences are linear and run in stretches.
+A frame that has positions already (see `placed`) keeps them for the next indicator.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -14,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlens.operators.stretches import BLOCK, cut, moving, own, positions, running_last, with_side
+
 KEYS, ORDER = ["symbol"], "day"
 #: Days (of a date), minutes (of a timestamp) or units (of a number) that a stretch of a recurrence covers.
 CHUNK = 4096
@@ -28,67 +32,97 @@ def full(value: Column, n: int, w, agg) -> Column:
     return F.when(F.count(value).over(w) == n, agg(value).over(w))
 
 
-def sma(df: DataFrame, n: int, value: str = "close", out: str | None = None, keys=KEYS, order=ORDER) -> DataFrame:
+def _width(df: DataFrame, order: str, chunk: int) -> int:
+    return chunk * 60 if isinstance(df.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)) else chunk
+
+
+def placed(df: DataFrame, keys=KEYS, order=ORDER, chunk: int = CHUNK) -> DataFrame:
+    """Add each bar's position in its series, _pos."""
+    return positions(cut(df, list(keys), order, _width(df, order, chunk)), list(keys), [order]).drop("_c")
+
+
+def windowed(df: DataFrame, before: int, add: Callable, keys=KEYS, order=ORDER, after: int = 0, chunk: int = CHUNK, block: int | None = None) -> DataFrame:
+    """add(rows, spec) with moving windows of up to `before` rows before and `after` rows behind each row; spec(lo, hi) is
+    a window's spec. Blocks of positions are worked on apart."""
+    known = "_pos" in df.columns
+    rows, spec = moving(df if known else placed(df, keys, order, chunk), list(keys), before, after, block)
+    out = own(add(rows, spec))
+    return out if known else out.drop("_pos")
+
+
+def sma(df: DataFrame, n: int, value: str = "close", out: str | None = None, keys=KEYS, order=ORDER, **cuts) -> DataFrame:
     """Mean of the last n values; NULL unless all n are there and not NULL."""
-    return df.withColumn(out or f"sma{n}", full(F.col(value), n, trailing(n, keys, order), F.avg))
+    return windowed(df, n - 1, lambda r, w: r.withColumn(out or f"sma{n}", full(F.col(value), n, w(1 - n), F.avg)), keys, order, **cuts)
+
 
+def pct_change(df: DataFrame, value: str = "close", out: str = "pct", keys=KEYS, order=ORDER, **cuts) -> DataFrame:
+    prev = lambda w: F.first(value).over(w(-1, -1))
+    return windowed(df, 1, lambda r, w: r.withColumn(out, F.try_divide((F.col(value) - prev(w)) * 100, prev(w))), keys, order, **cuts)
 
-def pct_change(df: DataFrame, value: str = "close", out: str = "pct", keys=KEYS, order=ORDER) -> DataFrame:
-    prev = F.lag(value).over(Window.partitionBy(*keys).orderBy(order))
-    return df.withColumn(out, F.try_divide((F.col(value) - prev) * 100, prev))
 
+def williams_r(df: DataFrame, n: int = 14, out: str = "williams_r", keys=KEYS, order=ORDER, **cuts) -> DataFrame:
+    def add(r: DataFrame, w) -> DataFrame:
+        hi, lo = full(F.col("high"), n, w(1 - n), F.max), full(F.col("low"), n, w(1 - n), F.min)
+        return r.withColumn(out, F.when(hi > lo, (F.col("close") - hi) / (hi - lo) * 100))
 
-def williams_r(df: DataFrame, n: int = 14, out: str = "williams_r", keys=KEYS, order=ORDER) -> DataFrame:
-    w = trailing(n, keys, order)
-    hi, lo = full(F.col("high"), n, w, F.max), full(F.col("low"), n, w, F.min)
-    return df.withColumn(out, F.when(hi > lo, (F.col("close") - hi) / (hi - lo) * 100))
+    return windowed(df, n - 1, add, keys, order, **cuts)
 
 
-def stochastic(df: DataFrame, n: int = 14, smooth: int = 3, true_d: bool = False, keys=KEYS, order=ORDER) -> DataFrame:
+def stochastic(df: DataFrame, n: int = 14, smooth: int = 3, true_d: bool = False, keys=KEYS, order=ORDER, chunk: int = CHUNK, block: int | None = None) -> DataFrame:
     """Slow stochastic: %K is the mean of the last `smooth` raw values of windows that are not flat; %D equals %K, or
-    with true_d is the mean of the last `smooth` %K."""
-    w = trailing(n, keys, order)
-    hi, lo = full(F.col("high"), n, w, F.max), full(F.col("low"), n, w, F.min)
-    df = df.withColumn("_raw", F.when(hi > lo, (F.col("close") - lo) / (hi - lo) * 100))
-    upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_n", F.count("_raw").over(upto))
-    # the last `smooth` valid values, also where the row's own is missing
-    valid = df.where("_raw is not null").withColumn("_k", full(F.col("_raw"), smooth, trailing(smooth, keys, order), F.avg))
-    valid = valid.withColumn("_d", full(F.col("_k"), smooth, trailing(smooth, keys, order), F.avg) if true_d else F.col("_k"))
-    valid = valid.select(*keys, "_n", F.col("_k").alias("pct_k"), F.col("_d").alias("pct_d"))
-    return df.join(valid, [*keys, "_n"], "left").drop("_raw", "_n")
-
-
-def cci(df: DataFrame, n: int = 20, out: str = "cci", keys=KEYS, order=ORDER) -> DataFrame:
-    """(tp - mean) / (0.015 mean absolute deviation) over n bars; NULL for no deviation."""
-    w = trailing(n, keys, order)
-    df = df.withColumn("_tp", (F.col("high") + F.col("low") + F.col("close")) / 3)
-    mean = full(F.col("_tp"), n, w, F.avg)
-    df = df.withColumn("_m", mean).withColumn("_l", F.collect_list("_tp").over(w))
-    dev = F.aggregate("_l", F.lit(0.0), lambda a, x: a + F.abs(x - F.col("_m"))) / n
-    return df.withColumn(out, F.when(F.col("_m").isNotNull() & (dev > 0), (F.col("_tp") - F.col("_m")) / (0.015 * dev))).drop("_tp", "_m", "_l")
+    with true_d is the mean of the last `smooth` %K. Rows without a raw value have those of the last one."""
+    keys, known = list(keys), "_pos" in df.columns
 
+    def raw(r: DataFrame, w) -> DataFrame:
+        hi, lo = full(F.col("high"), n, w(1 - n), F.max), full(F.col("low"), n, w(1 - n), F.min)
+        return r.withColumn("_raw", F.when(hi > lo, (F.col("close") - lo) / (hi - lo) * 100))
 
-def true_range(keys=KEYS, order=ORDER) -> Column:
-    prev = F.lag("close").over(Window.partitionBy(*keys).orderBy(order))
-    return F.when(prev.isNotNull(), F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - prev), F.abs(F.col("low") - prev)))
+    rows = windowed(df if known else placed(df, keys, order, chunk), n - 1, raw, keys, order, block=block)
+    valid = rows.where("_raw is not null").select(*keys, F.col("_pos").alias("_at"), "_raw")
+    mean = lambda value, out: lambda r, w: r.withColumn(out, full(F.col(value), smooth, w(1 - smooth), F.avg))
+    valid = windowed(placed(valid, keys, "_at", block or BLOCK), smooth - 1, mean("_raw", "_k"), keys, "_at", block=block)
+    valid = windowed(valid, smooth - 1, mean("_k", "_d"), keys, "_at", block=block) if true_d else valid.withColumn("_d", F.col("_k"))
+    valid = valid.select(*keys, F.col("_at").alias("_pos"), F.struct(F.col("_k").alias("k"), F.col("_d").alias("d")).alias("_s"))
+    rows = cut(with_side(rows, valid, [*keys, "_pos"]), keys, "_pos", block or BLOCK)
+    rows = running_last(rows, keys, ["_pos"], F.col("_s"), "_v").withColumn("pct_k", F.col("_v.k")).withColumn("pct_d", F.col("_v.d"))
+    return rows.drop("_raw", "_s", "_v", "_c", *([] if known else ["_pos"]))
 
 
-def atr_sma(df: DataFrame, n: int = 14, out: str = "atr_sma", keys=KEYS, order=ORDER) -> DataFrame:
+def cci(df: DataFrame, n: int = 20, out: str = "cci", keys=KEYS, order=ORDER, **cuts) -> DataFrame:
+    """(tp - mean) / (0.015 mean absolute deviation) over n bars; NULL for no deviation."""
+    def add(r: DataFrame, w) -> DataFrame:
+        r = r.withColumn("_tp", (F.col("high") + F.col("low") + F.col("close")) / 3)
+        r = r.withColumn("_m", full(F.col("_tp"), n, w(1 - n), F.avg)).withColumn("_l", F.collect_list("_tp").over(w(1 - n)))
+        dev = F.aggregate("_l", F.lit(0.0), lambda a, x: a + F.abs(x - F.col("_m"))) / n
+        return r.withColumn(out, F.when(F.col("_m").isNotNull() & (dev > 0), (F.col("_tp") - F.col("_m")) / (0.015 * dev))).drop("_tp", "_m", "_l")
+
+    return windowed(df, n - 1, add, keys, order, **cuts)
+
+
+def atr_sma(df: DataFrame, n: int = 14, out: str = "atr_sma", keys=KEYS, order=ORDER, **cuts) -> DataFrame:
     """Simple mean of the last n true ranges (n + 1 bars)."""
-    df = df.withColumn("_tr", true_range(keys, order))
-    return df.withColumn(out, full(F.col("_tr"), n, trailing(n, keys, order), F.avg)).drop("_tr")
+    def add(r: DataFrame, w) -> DataFrame:
+        prev = F.first("close").over(w(-1, -1))
+        r = r.withColumn("_tr", F.when(prev.isNotNull(), F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - prev), F.abs(F.col("low") - prev))))
+        return r.withColumn(out, full(F.col("_tr"), n, w(1 - n), F.avg)).drop("_tr")
+
+    return windowed(df, n, add, keys, order, **cuts)
 
 
-def pivots(df: DataFrame, lookback: int = 10, slack: float = 0.001, keys=KEYS, order=ORDER) -> DataFrame:
+def pivots(df: DataFrame, lookback: int = 10, slack: float = 0.001, keys=KEYS, order=ORDER, **cuts) -> DataFrame:
     """Distinct closes that no close within lookback bars on both sides is below (above) by more than `slack`, an
     absolute amount: (keys, kind, level). Bars without a close are no levels and no hindrance to others."""
-    both = Window.partitionBy(*keys).orderBy(order).rowsBetween(-lookback, lookback)
-    df = df.withColumn("_n", F.count("*").over(both)).withColumn("_lo", F.min("close").over(both)).withColumn("_hi", F.max("close").over(both))
+    def add(r: DataFrame, w) -> DataFrame:
+        both = w(-lookback, lookback)
+        return r.withColumn("_n", F.count("*").over(both)).withColumn("_lo", F.min("close").over(both)).withColumn("_hi", F.max("close").over(both))
+
+    df = windowed(df, lookback, add, keys, order, after=lookback, **cuts)
     df = df.where(F.col("_n") == 2 * lookback + 1).where("close is not null and high is not null and low is not null")
-    low = df.where(F.col("_lo") >= F.col("close") - slack).select(*keys, F.lit("support").alias("kind"), F.col("close").alias("level"))
-    high = df.where(F.col("_hi") <= F.col("close") + slack).select(*keys, F.lit("resistance").alias("kind"), F.col("close").alias("level"))
-    return low.unionByName(high).distinct()
+    kinds = F.array(
+        F.when(F.col("_lo") >= F.col("close") - slack, F.lit("support")),
+        F.when(F.col("_hi") <= F.col("close") + slack, F.lit("resistance")),
+    )
+    return df.select(*keys, F.explode(F.array_compact(kinds)).alias("kind"), F.col("close").alias("level")).distinct()
 
 
 def price_levels(levels: DataFrame, price: DataFrame, keys=KEYS) -> DataFrame:
@@ -171,15 +205,6 @@ def _fold(keys: list[str], d: int):
     return fold
 
 
-def _stretch(df: DataFrame, order: str, chunk: int) -> Column:
-    kind = df.schema[order].dataType
-    if isinstance(kind, T.DateType):
-        return F.floor(F.unix_date(order) / chunk)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.floor(F.unix_seconds(F.col(order).cast("timestamp")) / (60 * chunk))
-    return F.floor(F.col(order) / chunk)
-
-
 def smoothed(df: DataFrame, means: list[Mean], outs: list[str], value: str = "close", keys=KEYS, order=ORDER, chunk: int = CHUNK) -> DataFrame:
     """Add linear recurrences over the rows that have a value: one column for each mean, NULL before its n inputs are
     there and where the value is NULL.
@@ -189,7 +214,7 @@ def smoothed(df: DataFrame, means: list[Mean], outs: list[str], value: str = "cl
     last one, stand before a stretch is told by counts.
     """
     keys, d = list(keys), len(means)
-    rows = df.withColumn("_c", _stretch(df, order, chunk)).withColumn("_x", F.col(value).cast("double"))
+    rows = cut(df, keys, order, _width(df, order, chunk)).withColumn("_x", F.col(value).cast("double"))
     sizes = rows.groupBy(*keys, "_c").agg(F.count("_x").alias("_n"), F.max_by("_x", F.when(F.col("_x").isNotNull(), F.col(order))).alias("_v"))
     earlier = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(*keys, "_c", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), F.last("_v", ignorenulls=True).over(earlier).alias("_last"))
@@ -213,13 +238,23 @@ def ema(df: DataFrame, n: int, value: str = "close", out: str | None = None, key
     return smoothed(df, [Mean(n, 1 - 2 / (n + 1), 2 / (n + 1))], [out or f"ema{n}"], value, keys, order, chunk)
 
 
+def unusable(value: str) -> Column:
+    """NULL, NaN or infinite."""
+    v = F.col(value).cast("double")
+    return v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
+
+
 def rsi(df: DataFrame, p: int = 14, value: str = "close", out: str | None = None, keys=KEYS, order=ORDER, chunk: int = CHUNK) -> DataFrame:
-    """Wilder RSI of every bar, seeded by the first p changes; no loss gives 100; NULL for p bars or fewer, and for bars
-    without a value, which are skipped."""
+    """Wilder RSI of every bar, seeded by the first p changes; no loss gives 100; NULL for p bars or fewer, and from the
+    first bar on whose value is missing, NaN or infinite, as every later index would rest on it."""
+    keys = list(keys)
+    broken = df.groupBy(*keys).agg(F.min(F.when(unusable(value), F.col(order))).alias("_broken"))
+    df = df.withColumn("_fine", F.when(~unusable(value), F.col(value).cast("double")))
     means = [Mean(p, (p - 1) / p, 1 / p, side, skip=1) for side in ("up", "down")]
-    df = smoothed(df, means, ["_ag", "_al"], value, keys, order, chunk)
+    df = with_side(smoothed(df, means, ["_ag", "_al"], "_fine", keys, order, chunk), broken, keys)
     index = F.when(F.col("_al") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.col("_ag") / F.col("_al")))
-    return df.withColumn(out or f"rsi{p}", F.when(F.col("_ag").isNotNull(), index)).drop("_ag", "_al")
+    fine = F.col("_ag").isNotNull() & (F.col("_broken").isNull() | (F.col(order) < F.col("_broken")))
+    return df.withColumn(out or f"rsi{p}", F.when(fine, index)).drop("_ag", "_al", "_fine", "_broken")
 
 
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, value: str = "close", keys=KEYS, order=ORDER, chunk: int = CHUNK) -> DataFrame:
@@ -248,13 +283,16 @@ def extremes(df: DataFrame, since: Column | None = None, value: str = "close", k
     )
 
 
-def ma_votes(df: DataFrame, periods=(20, 50, 100, 200), keys=KEYS, order=ORDER) -> DataFrame:
+def ma_votes(df: DataFrame, periods=(20, 50, 100, 200), keys=KEYS, order=ORDER, **cuts) -> DataFrame:
     """How many of the moving averages the close is above and below."""
-    for n in periods:
-        df = sma(df, n, "close", f"_s{n}", keys, order)
-    above = sum(F.when(F.col("close") > F.col(f"_s{n}"), 1).otherwise(0) for n in periods)
-    below = sum(F.when(F.col("close") < F.col(f"_s{n}"), 1).otherwise(0) for n in periods)
-    return df.withColumn("above", above.cast("long")).withColumn("below", below.cast("long")).drop(*[f"_s{n}" for n in periods])
+    def add(r: DataFrame, w) -> DataFrame:
+        means = [full(F.col("close"), n, w(1 - n), F.avg).alias(f"_s{n}") for n in periods]
+        r = r.select("*", *means)
+        above = sum(F.when(F.col("close") > F.col(f"_s{n}"), 1).otherwise(0) for n in periods)
+        below = sum(F.when(F.col("close") < F.col(f"_s{n}"), 1).otherwise(0) for n in periods)
+        return r.withColumn("above", above.cast("long")).withColumn("below", below.cast("long")).drop(*[f"_s{n}" for n in periods])
+
+    return windowed(df, max(periods) - 1, add, keys, order, **cuts)
 
 
 #: The daily archive's metrics from a price series: name, unit.
@@ -268,14 +306,16 @@ ARCHIVED = {
 def metric_archive(bars: DataFrame, lookback: int = 20, keys=KEYS, order=ORDER) -> DataFrame:
     """Tidy rows (keys, report day, metric, value, unit, source) of the last bar of each series: its price, change and
     indicators, the two nearest pivots on both sides of the list's ends, and its extremes. Missing values have no row."""
-    b = pct_change(bars, out="chg_24h", keys=keys, order=order)
+    b = pct_change(placed(bars, keys, order), out="chg_24h", keys=keys, order=order)
     for n in (20, 50, 100, 200):
         b = sma(b, n, out=f"sma_{n}", keys=keys, order=order)
     b = stochastic(cci(williams_r(atr_sma(b, out="atr_14", keys=keys, order=order), keys=keys, order=order), out="cci_20", keys=keys, order=order), keys=keys, order=order)
     means = [Mean(20, 1 - 2 / 21, 2 / 21), Mean(50, 1 - 2 / 51, 2 / 51), Mean(12, 1 - 2 / 13, 2 / 13), Mean(26, 1 - 2 / 27, 2 / 27), Mean(9, 0.8, 0.2, (2, 3), skip=26), Mean(1, 0.0, 1.0, (2, 3), skip=26), Mean(14, 13 / 14, 1 / 14, "up", 1), Mean(14, 13 / 14, 1 / 14, "down", 1)]
     b = smoothed(b, means, ["ema_20", "ema_50", "_f", "_s", "_signal", "_line", "_up", "_down"], keys=keys, order=order)
     b = b.withColumn("macd_hist", F.col("_line") - F.col("_signal"))
-    b = b.withColumn("rsi_14", F.when(F.col("_down") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.col("_up") / F.col("_down"))))
+    b = b.withColumn("rsi_14", F.when(F.col("_down") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.col("_up") / F.col("_down")))).drop("_pos")
+    broken = bars.groupBy(*keys).agg(F.max(unusable("close")).alias("_broken"))
+    b = with_side(b, broken, list(keys)).withColumn("rsi_14", F.when(~F.col("_broken"), F.col("rsi_14")))
     last = latest(b, keys, order).withColumn("price", F.col("close")).withColumn("stoch_k", F.col("pct_k")).withColumn("close_ts", F.unix_timestamp(F.col(order).cast("timestamp")).cast("double"))
     levels = pivots(bars, lookback, keys=keys, order=order)
     rank = F.row_number().over(Window.partitionBy(*keys, "kind").orderBy(F.desc("level")))

@@ -46,6 +46,31 @@ def w13_internal_gaps_daily(spark, sf_dir):
     return cov.internal_gaps_daily(view(spark, sf_dir, "bars_daily"), ["symbol"], "day")
 
 
+#: Weekdays are sessions, but for the 24th to 26th of each month; a series of the second calendar has all days but Sundays;
+#: 4 needs a calendar that nobody has, 5 needs none.
+_CAL = """span AS (SELECT min(day) AS lo, max(day) AS hi FROM bars_daily), days AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS day FROM span),
+cal AS (SELECT 'week' AS calendar, day FROM days WHERE isodow(day) < 6 AND day(day) NOT IN (24, 25, 26) UNION ALL SELECT 'six', day FROM days WHERE isodow(day) < 7),
+ser AS (SELECT DISTINCT symbol, CASE symbol[1:1] WHEN '1' THEN 'week' WHEN '2' THEN 'six' WHEN '3' THEN 'week' WHEN '4' THEN 'lunar' END AS calendar FROM bars_daily)"""
+
+
+@register(f"""WITH {_CAL}, b AS (SELECT b.symbol, calendar, day FROM bars_daily b JOIN ser ON ser.symbol = b.symbol WHERE calendar IS NULL OR (calendar, day) IN (SELECT calendar, day FROM cal)),
+e AS (SELECT symbol, calendar, min(day) AS lo, max(day) AS hi FROM b GROUP BY 1, 2),
+want AS (SELECT symbol, cal.day FROM e JOIN cal ON cal.calendar = e.calendar AND cal.day BETWEEN lo AND hi UNION ALL SELECT symbol, days.day FROM e JOIN days ON e.calendar IS NULL AND days.day BETWEEN lo AND hi),
+miss AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY day) AS k FROM want ANTI JOIN b USING (symbol, day)),
+t AS (SELECT symbol, count(*) AS n, string_agg(day::VARCHAR, ',' ORDER BY day) FILTER (k <= 40) AS s FROM miss GROUP BY 1)
+SELECT ser.symbol, CASE WHEN calendar IS DISTINCT FROM 'lunar' THEN coalesce(n, 0) END AS gap_count, CASE WHEN calendar IS DISTINCT FROM 'lunar' THEN coalesce(s, '') END AS sample FROM ser LEFT JOIN t ON t.symbol = ser.symbol""")
+def w13_calendar_gaps(spark, sf_dir):
+    b = view(spark, sf_dir, "bars_daily")
+    days = b.agg(F.explode(F.sequence(F.min("day"), F.max("day"))).alias("day"))
+    week = days.select(F.lit("week").alias("calendar"), "day", ((F.weekday("day") < 5) & ~F.dayofmonth("day").isin(24, 25, 26)).alias("open"))
+    six = days.select(F.lit("six").alias("calendar"), "day", (F.weekday("day") < 6).alias("open"))
+    calendars = cov.session_calendar(week.unionByName(six), "calendar", "day")
+    name = F.substring("symbol", 1, 1)
+    calendar = F.when(name.isin("1", "3"), "week").when(name == "2", "six").when(name == "4", "lunar")
+    series = b.select("symbol").distinct().select("symbol", calendar.alias("calendar"), (name != "5").alias("required"))
+    return cov.session_gaps(b, series, calendars, ["symbol"], "day")
+
+
 @register("""SELECT series_id, (max(year(obs_date) * 12 + month(obs_date)) - min(year(obs_date) * 12 + month(obs_date)) + 1 - count(DISTINCT obs_date))::BIGINT AS gap_count FROM macro_monthly GROUP BY 1""")
 def w13_internal_gaps_monthly(spark, sf_dir):
     return cov.internal_gaps_monthly(view(spark, sf_dir, "macro_monthly"), ["series_id"], "obs_date")
@@ -62,9 +87,7 @@ def w14_interval_union(spark, sf_dir):
 p AS (SELECT *, (row_number() OVER (PARTITION BY symbol, g ORDER BY slot) - 1) // 2 AS part FROM r)
 SELECT symbol, min(slot) AS start, max(slot) + 3600 AS "end", count(*) AS slots FROM p GROUP BY symbol, g, part""")
 def w15_missing_runs(spark, sf_dir):
-    h = hourly(spark, sf_dir)
-    b = h.groupBy("symbol").agg(F.min("slot").alias("first"), F.max("slot").alias("last"))
-    return cov.merge_runs(cov.missing_slots(h, b, ["symbol"], HOUR), ["symbol"], HOUR, most=2)
+    return cov.split_runs(cov.missing_windows(hourly(spark, sf_dir), ["symbol"], HOUR), HOUR, most=2)
 
 
 _TILE = f"""WITH {_H}, {_B}, t AS (SELECT symbol, unnest(range(lo, hi, 50400)) AS start, hi FROM b),
@@ -77,6 +100,28 @@ def w16_tiling(spark, sf_dir):
     return cov.tile(b, 14 * HOUR).select("symbol", "start", "end")
 
 
+#: Of five tiles in a row: the first is done but for its last hours (twice, by windows that touch), the second in its
+#: middle, the third and the start of the fourth by one window, the fifth not at all.
+_DONE = """x AS (SELECT symbol, start, (row_number() OVER (PARTITION BY symbol ORDER BY start) - 1) % 5 AS k FROM w),
+done AS (SELECT symbol, start AS a, start + 18000 AS b FROM x WHERE k = 0 UNION ALL SELECT symbol, start + 18000, start + 36000 FROM x WHERE k = 0 UNION ALL SELECT symbol, start - 3600, start + 28800 FROM x WHERE k = 0
+  UNION ALL SELECT symbol, start + 10800, start + 21600 FROM x WHERE k = 1 UNION ALL SELECT symbol, start, start + 61200 FROM x WHERE k = 2)"""
+
+
+@register(_TILE + f""", {_DONE}, hours AS (SELECT symbol, w.start AS tile, h FROM w, unnest(range(w.start, w."end", 3600)) r(h)),
+left_ AS (SELECT symbol, tile, h FROM hours WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.symbol = hours.symbol AND d.a <= h AND h < d.b)),
+g AS (SELECT *, h - row_number() OVER (PARTITION BY symbol, tile ORDER BY h) * 3600 AS g FROM left_)
+SELECT symbol, min(h) AS start, max(h) + 3600 AS "end" FROM g GROUP BY symbol, tile, g""")
+def w16_tiling_minus_done(spark, sf_dir):
+    tiles = w16_tiling(spark, sf_dir)
+    first = tiles.groupBy("symbol").agg(F.min("start").alias("_first"))
+    k = F.expr("(start - _first) div 50400 % 5")
+    a = F.col("start")
+    spans = [(0, 0, 18000), (0, 18000, 36000), (0, -3600, 28800), (1, 10800, 21600), (2, 0, 61200)]
+    done = F.array_compact(F.array(*[F.when(k == n, F.struct((a + lo).alias("a"), (a + hi).alias("b"))) for n, lo, hi in spans]))
+    done = tiles.join(first, "symbol").select("symbol", F.inline(done)).withColumnsRenamed({"a": "start", "b": "end"})
+    return cov.subtract_windows(tiles, done, ["symbol"])
+
+
 @register(_TILE + ' SELECT symbol, start, "end", row_number() OVER (PARTITION BY symbol ORDER BY start) AS turn FROM w')
 def w17_round_robin(spark, sf_dir):
     return cov.round_robin(w16_tiling(spark, sf_dir), ["symbol"], "start")
@@ -188,13 +233,14 @@ def a9_cadence(spark, sf_dir):
 
 @register(f"""WITH {_EV}, n AS (SELECT max(t) AS now FROM e), d AS (SELECT event_type, t, t - lag(t) OVER (PARTITION BY event_type ORDER BY t) AS d FROM e),
 g AS (SELECT event_type, count(*) AS n, min(t) AS first, max(t) AS last, count(*) FILTER (d = 0) AS duplicates, count(*) FILTER (d > 0 AND d < 300) AS sub_interval,
-  count(*) FILTER (t % 300 <> 0) AS misaligned, count(*) FILTER (t > now - 3600) AS future, count(DISTINCT CASE WHEN t % 300 = 0 THEN t END) AS onn, any_value(now) AS now FROM d, n GROUP BY 1)
-SELECT event_type, n, first, last, duplicates, sub_interval, misaligned, future, round((last - first) / 3600, 4) AS span_hours, now - 3600 - last AS age_seconds,
+  count(*) FILTER (t % 300 <> 0) AS misaligned, count(*) FILTER (t > now - 3600) AS future, count(DISTINCT CASE WHEN t % 300 = 0 THEN t END) AS onn, count(DISTINCT CASE WHEN t % 7 = 0 AND length(event_type) % 2 = 0 THEN 'usd' ELSE 'base' END) AS units, any_value(now) AS now FROM d, n GROUP BY 1)
+SELECT event_type, units, n, first, last, duplicates, sub_interval, misaligned, future, round((last - first) / 3600, 4) AS span_hours, now - 3600 - last AS age_seconds,
   greatest(floor(last / 300) - ceil(first / 300) + 1 - onn, 0)::BIGINT AS missing_slots FROM g""")
 def a10_temporal_quality(spark, sf_dir):
     e = _events(spark, sf_dir)
     e = e.crossJoin(F.broadcast(e.agg((F.max("t") - 3600).alias("now"))))  # one row
-    return cov.temporal_quality(e, ["event_type", "now"], "t", 300, F.col("now")).drop("now")
+    unit = F.when((F.col("t") % 7 == 0) & (F.length("event_type") % 2 == 0), "usd").otherwise("base")  # some streams with two
+    return cov.temporal_quality(e, ["event_type", "now"], "t", 300, F.col("now"), unit).drop("now")
 
 
 _ATT = """a AS (SELECT series_id, count(*) AS attempts, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'error') AS errors, min(start_day) AS requested_from, max(end_day) AS requested_to,

@@ -22,7 +22,7 @@ SELECT symbol, day, close, round(sma20, 4) AS sma20, round(pct, 4) AS pct FROM (
   FROM bars_daily WINDOW w AS (PARTITION BY symbol ORDER BY day ROWS 19 PRECEDING), o AS (PARTITION BY symbol ORDER BY day)
 ) WHERE rn = 1""")
 def flagship_latest_bar(spark, sf_dir):
-    b = ind.pct_change(ind.sma(bars(spark, sf_dir), 20))
+    b = ind.pct_change(ind.sma(ind.placed(bars(spark, sf_dir)), 20))
     return ind.latest(b).select("symbol", "day", "close", R("sma20"), R("pct"))
 
 
@@ -50,15 +50,34 @@ _RSI = """WITH RECURSIVE d AS (
   UNION ALL SELECT e.symbol, d.i, (e.g * 13 + greatest(d.d, 0)) / 14, (e.l * 13 + greatest(-d.d, 0)) / 14 FROM e JOIN d ON d.symbol = e.symbol AND d.i = e.i + 1
 )"""
 
+#: Bars of three series lack a close, have NaN or are infinite for eleven days, 300 days before the end.
+_BROKEN_RSI = """WITH RECURSIVE t AS (SELECT max(day) AS t FROM bars_daily),
+p AS (SELECT symbol, day, high, low, CASE WHEN NOT day BETWEEN t - 300 AND t - 290 THEN close WHEN symbol = '2-HIGH' THEN NULL WHEN symbol = '3-MEDIUM' THEN 'nan'::DOUBLE WHEN symbol = '5-LOW' THEN 'inf'::DOUBLE ELSE close END AS close FROM bars_daily, t),
+fb AS (SELECT symbol, min(day) AS fb FROM p WHERE close IS NULL OR NOT isfinite(close) GROUP BY 1),
+d AS (SELECT p.symbol, day, close - lag(close) OVER (PARTITION BY p.symbol ORDER BY day) AS d, row_number() OVER (PARTITION BY p.symbol ORDER BY day) - 1 AS i FROM p LEFT JOIN fb ON fb.symbol = p.symbol WHERE fb IS NULL OR day < fb),
+e AS (
+  SELECT symbol, 14::BIGINT AS i, avg(greatest(d, 0)) AS g, avg(greatest(-d, 0)) AS l FROM d WHERE i BETWEEN 1 AND 14 GROUP BY symbol HAVING count(*) = 14
+  UNION ALL SELECT e.symbol, d.i, (e.g * 13 + greatest(d.d, 0)) / 14, (e.l * 13 + greatest(-d.d, 0)) / 14 FROM e JOIN d ON d.symbol = e.symbol AND d.i = e.i + 1
+),
+r AS (SELECT p.symbol, p.day, p.high, p.low, p.close, CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END AS rsi FROM p LEFT JOIN d ON d.symbol = p.symbol AND d.day = p.day LEFT JOIN e ON e.symbol = d.symbol AND e.i = d.i)"""
+
+
+def broken_bars(spark, sf_dir):
+    b = bars(spark, sf_dir)
+    b = b.crossJoin(F.broadcast(b.agg(F.max("day").alias("_t"))))  # one row
+    out = F.col("day").between(F.date_sub("_t", 300), F.date_sub("_t", 290))
+    bad = F.when(F.col("symbol") == "3-MEDIUM", float("nan")).when(F.col("symbol") == "5-LOW", float("inf")).when(F.col("symbol") != "2-HIGH", F.col("close"))
+    return b.withColumn("close", F.when(out, bad).otherwise(F.col("close"))).drop("_t")
+
 
-@register(_RSI + " SELECT d.symbol, d.day, round(CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END, 4) AS rsi14 FROM d LEFT JOIN e ON e.symbol = d.symbol AND e.i = d.i")
+@register(_BROKEN_RSI + " SELECT symbol, day, round(rsi, 4) AS rsi14 FROM r")
 def w26_rsi_trace(spark, sf_dir):
-    return ind.rsi(bars(spark, sf_dir), 14).select("symbol", "day", R("rsi14"))
+    return ind.rsi(broken_bars(spark, sf_dir), 14).select("symbol", "day", R("rsi14"))
 
 
-@register(_RSI + " SELECT e.symbol, round(arg_max(CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END, i), 4) AS rsi14 FROM e GROUP BY e.symbol")
+@register(_BROKEN_RSI + " SELECT symbol, round(rsi, 4) AS rsi14 FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY day DESC) AS k FROM r) WHERE k = 1")
 def w3_rsi_latest(spark, sf_dir):
-    return ind.latest(ind.rsi(bars(spark, sf_dir), 14).where("rsi14 is not null").select("symbol", "day", "rsi14")).select("symbol", R("rsi14"))
+    return ind.latest(ind.rsi(broken_bars(spark, sf_dir), 14).select("symbol", "day", "rsi14")).select("symbol", R("rsi14"))
 
 
 @register("""WITH RECURSIVE b AS (SELECT symbol, day, close, row_number() OVER (PARTITION BY symbol ORDER BY day) AS rn FROM bars_daily),
@@ -141,7 +160,7 @@ SELECT symbol, day, close, round(sma20, 4) AS sma20, round(sma50, 4) AS sma50 FR
 def w25_overlays(spark, sf_dir):
     from marketlens.operators.relational import newest_n
 
-    b = ind.sma(ind.sma(bars(spark, sf_dir), 20), 50)
+    b = ind.sma(ind.sma(ind.placed(bars(spark, sf_dir)), 20), 50)
     return newest_n(b, ["symbol"], "day", 90).select("symbol", "day", "close", R("sma20"), R("sma50"))
 
 
@@ -150,16 +169,16 @@ def w27_avg_volume(spark, sf_dir):
     return ind.sma(bars(spark, sf_dir), 20, "volume", "avg_volume20").select("symbol", "day", R("avg_volume20"))
 
 
-@register(_RSI + """, t AS (SELECT symbol, day, close, high, low, lag(close) OVER (PARTITION BY symbol ORDER BY day) AS p FROM bars_daily),
-a AS (SELECT symbol, day, CASE WHEN count(*) OVER s = 20 THEN avg(close) OVER s END AS sma20,
-  CASE WHEN count(p) OVER r = 14 THEN avg(CASE WHEN p IS NOT NULL THEN greatest(high - low, abs(high - p), abs(low - p)) END) OVER r END AS atr
-  FROM t WINDOW s AS (PARTITION BY symbol ORDER BY day ROWS 19 PRECEDING), r AS (PARTITION BY symbol ORDER BY day ROWS 13 PRECEDING)),
-x AS (SELECT a.symbol, a.day, sma20, atr, CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END AS rsi FROM a
-  JOIN d ON d.symbol = a.symbol AND d.day = a.day JOIN e ON e.symbol = d.symbol AND e.i = d.i)
+@register(_BROKEN_RSI + """, t2 AS (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY day) AS prev FROM r),
+a AS (SELECT symbol, day, rsi, CASE WHEN count(*) OVER s = 20 THEN avg(close) OVER s END AS sma20,
+  CASE WHEN count(prev) OVER w = 14 THEN avg(CASE WHEN prev IS NOT NULL THEN greatest(high - low, abs(high - prev), abs(low - prev)) END) OVER w END AS atr
+  FROM t2 WINDOW s AS (PARTITION BY symbol ORDER BY day ROWS 19 PRECEDING), w AS (PARTITION BY symbol ORDER BY day ROWS 13 PRECEDING)),
+x AS (SELECT * FROM a WHERE rsi IS NOT NULL)
 SELECT symbol, day, 'sma20' AS metric, round(sma20, 4) AS value FROM x WHERE sma20 IS NOT NULL
 UNION ALL SELECT symbol, day, 'rsi14', round(rsi, 4) FROM x UNION ALL SELECT symbol, day, 'atr_sma', round(atr, 4) FROM x WHERE atr IS NOT NULL""")
 def w29_indicator_backfill(spark, sf_dir):
-    b = ind.rsi(ind.atr_sma(ind.sma(bars(spark, sf_dir), 20)), 14).where("rsi14 is not null")
+    b = ind.placed(broken_bars(spark, sf_dir))
+    b = ind.rsi(ind.atr_sma(ind.sma(b, 20)), 14).where("rsi14 is not null")
     long = b.unpivot(["symbol", "day"], ["sma20", "rsi14", "atr_sma"], "metric", "value")
     return long.where("value is not null").select("symbol", "day", "metric", R("value"))
 

@@ -79,10 +79,20 @@ def test_macd(spark, chunk):
     assert plan.count("LogicalRDD") <= 4  # bars and counts, for the rows and for the ends of stretches
 
 
-def test_missing_values_are_skipped(spark):
+@pytest.mark.parametrize("bad", [None, float("nan"), float("inf"), float("-inf")])
+def test_rsi_ends_at_the_first_unusable_close(spark, bad):
+    b = bars(spark, CLOSES)
+    late = b.withColumn("close", F.when(F.col("day") == dt.date(2024, 1, 17), F.lit(bad).cast("double")).otherwise(F.col("close")))
+    got = values(ind.rsi(late, chunk=5), "rsi14")
+    assert got[14:16] == pytest.approx([70.4641350211, 66.2496185536], abs=1e-6) and got[16:] == [None] * 4
+    early = b.withColumn("close", F.when(F.col("day") == dt.date(2024, 1, 3), F.lit(bad).cast("double")).otherwise(F.col("close")))
+    assert values(ind.rsi(early, chunk=5), "rsi14") == [None] * 20
+
+
+def test_missing_values_are_skipped_by_means(spark):
     closes = CLOSES[:9] + [None] + CLOSES[9:]
-    got = values(ind.rsi(bars_with_gaps(spark, closes), chunk=5), "rsi14")
-    assert got[9] is None and got[15] == pytest.approx(70.4641350211, abs=1e-6)
+    got, whole = values(ind.ema(bars_with_gaps(spark, closes), 12, chunk=5), "ema12"), values(ind.ema(bars(spark, CLOSES), 12), "ema12")
+    assert got[9] is None and got[10:] == pytest.approx(whole[9:])
 
 
 def bars_with_gaps(spark, closes):
@@ -124,3 +134,43 @@ def test_row_order_and_partitions_do_not_matter(spark):
     b = bars(spark, CLOSES * 3)
     a = values(ind.stochastic(ind.cci(b)), "pct_k")
     assert values(ind.stochastic(ind.cci(b.orderBy(F.rand(3)).repartition(5))), "pct_k") == a
+
+
+@pytest.mark.parametrize("block", [3, 7, 1000])
+def test_moving_windows_in_tiny_blocks(spark, block):
+    """The same in stretches of 7 days and blocks of a few rows as in one window over a series."""
+    from pyspark.sql import Window
+
+    rng = random.Random(block)
+    b = bars(spark, [round(50 + rng.random() * 9, 2) for _ in range(90)]).unionByName(bars(spark, [7.0] * 40, None))
+    cuts = {"chunk": 7, "block": block}
+    w = lambda lo, hi=0: Window.partitionBy("symbol").orderBy("day").rowsBetween(lo, hi)
+    same = lambda got, want: got.select("symbol", "day", F.round("x", 9)).exceptAll(want.select("symbol", "day", F.round("x", 9))).isEmpty() and got.count() == want.count() == 130
+    assert same(ind.sma(b, 20, out="x", **cuts), b.withColumn("x", ind.full(F.col("close"), 20, w(-19), F.avg)))
+    prev = F.lag("close").over(Window.partitionBy("symbol").orderBy("day"))
+    assert same(ind.pct_change(b, out="x", **cuts), b.withColumn("x", (F.col("close") - prev) * 100 / prev))
+    hi, lo = ind.full(F.col("high"), 14, w(-13), F.max), ind.full(F.col("low"), 14, w(-13), F.min)
+    assert same(ind.williams_r(b, out="x", **cuts), b.withColumn("x", F.when(hi > lo, (F.col("close") - hi) / (hi - lo) * 100)))
+    tr = b.withColumn("tr", F.when(prev.isNotNull(), F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - prev), F.abs(F.col("low") - prev))))
+    assert same(ind.atr_sma(b, out="x", **cuts), tr.withColumn("x", ind.full(F.col("tr"), 14, w(-13), F.avg)))
+    for out in ("pct_k", "pct_d"):
+        assert same(ind.stochastic(b, true_d=True, **cuts).withColumnRenamed(out, "x"), ind.stochastic(b, true_d=True).withColumnRenamed(out, "x"))
+    assert ind.stochastic(b, **cuts).where("pct_k is not null").count() == 75 + 25
+    lows = b.withColumn("n", F.count("*").over(w(-10, 10))).withColumn("m", F.min("close").over(w(-10, 10))).where("n = 21 and m >= close - 0.001")
+    got = ind.pivots(b, 10, **cuts).where("kind = 'support'").select("symbol", "level")
+    assert sorted(got.collect(), key=repr) == sorted(lows.select("symbol", F.col("close").alias("level")).distinct().collect(), key=repr)
+
+
+def test_stochastic_goes_back_over_flat_windows(spark):
+    closes = [float(i % 9) for i in range(30)] + [5.0] * 40
+    b = bars(spark, closes).withColumn("high", F.col("close")).withColumn("low", F.col("close"))
+    got = ind.stochastic(b, chunk=5, block=4).orderBy("day").collect()
+    assert got[-1]["pct_k"] == got[45]["pct_k"] is not None
+
+
+def test_no_window_holds_a_whole_series(spark):
+    b = bars(spark, CLOSES)
+    for df in (ind.sma(b, 5), ind.stochastic(b), ind.cci(b), ind.pivots(b, 3)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        specs = [line for line in plan.splitlines() if " Window [" in line or line.strip().startswith("Window [")]
+        assert specs and all("_c#" in s or "_b#" in s for s in specs)

@@ -2,7 +2,9 @@
 
 import datetime as dt
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketlens.functions import scalars as sc
@@ -36,6 +38,78 @@ def test_interval_union(spark):
     assert {(r["start"], r["end"]) for r in cov.interval_union(df, ["k"]).collect()} == {(1, 9), (11, 12)}
 
 
+def brute_union(windows):
+    out = []
+    for a, b in sorted(windows):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+            out[-1][2] += 1
+        else:
+            out.append([a, b, 1])
+    return sorted(map(tuple, out))
+
+
+@pytest.mark.parametrize("width", [1, 7, 10_000])
+def test_series_in_stretches(spark, width):
+    """Islands, unions, gaps and neighbours are the same whatever the stretches are."""
+    rng = random.Random(width)
+    slots = sorted(rng.sample(range(300), 170)) + list(range(400, 460))
+    df = spark.createDataFrame([("a", s) for s in slots] + [(None, s * 2) for s in range(20)], "k string, slot long").repartition(3)
+    runs = brute_union([(s, s + 1) for s in slots])
+    got = {(r["start"], r["end"], r["slots"]) for r in cov.merge_runs(df, ["k"], 1, width=width).where("k = 'a'").collect()}
+    assert got == set(runs)
+    assert cov.merge_runs(df, ["k"], 1, width=width).where("k is null").count() == 20
+    holes = {(a[1], b[0]) for a, b in zip(runs, runs[1:])}
+    assert {(r["start"], r["end"]) for r in cov.missing_windows(df, ["k"], 1, width=width).where("k = 'a'").collect()} == holes
+    parts = cov.merge_runs(df.where("k = 'a'"), ["k"], 1, most=3, width=width).collect()
+    assert max(r["slots"] for r in parts) == 3 and sum(r["slots"] for r in parts) == len(slots) and len(parts) == sum(-(-r[2] // 3) for r in runs)
+    windows = [(a, a + rng.randint(1, 12)) for a in (rng.randint(0, 500) for _ in range(60))] + [(100, 300)]
+    w = spark.createDataFrame([("a", *x) for x in windows], "k string, start long, end long").repartition(3)
+    assert sorted(tuple(r)[1:] for r in cov.interval_union(w, ["k"], width=width).collect()) == brute_union(windows)
+    rows = [("a", rng.randint(0, 200), i) for i in range(150)]
+    ev = spark.createDataFrame(rows, "k string, t long, id long").repartition(3)
+    in_time, arrival = sorted(r[1] for r in rows), [r[1] for r in rows]
+    d, a = [y - x for x, y in zip(in_time, in_time[1:])], [y - x for x, y in zip(arrival, arrival[1:])]
+    got = cov.chronology(ev, ["k"], "t", "id", 2, width, width).first()
+    assert tuple(got)[1:] == (d.count(0), d.count(1), sum(x > 2 for x in d), sum(x <= 0 for x in a))
+    assert {r["delta_min"]: r["n"] for r in cov.cadence(ev.withColumn("t", F.col("t") * 60), ["k"], "t", width=width * 60).collect()} == {x: d.count(x) for x in sorted(set(d), key=lambda x: (-d.count(x), x))[:10]}
+
+
+@pytest.mark.parametrize("width", [5, 10_000])
+def test_windows_minus_done_ones(spark, width):
+    rng = random.Random(width)
+    for _ in range(3):
+        tiles = [(10 * i, 10 * i + 10) for i in range(20)] + [(15, 15), (3, 17)]
+        done = [(a, a + rng.randint(0, 25)) for a in (rng.randint(-5, 210) for _ in range(9))] + [(50, 50), (60, 70), (60, 70), (70, 75)]
+        frame = lambda rows: spark.createDataFrame([("a", *r) for r in rows] + [(None, 1, 3)], "k string, start long, end long")
+        got = cov.subtract_windows(frame(tiles), frame(done).where("k is not null"), ["k"], width=width).collect()
+        bounds = {x for t in tiles if t[0] < t[1] for x in t}
+        left = [h for h in range(0, 220) if any(a <= h < b for a, b in tiles) and not any(a <= h < b for a, b in done)]
+        runs = []
+        for h in left:
+            if runs and runs[-1][1] == h and h not in bounds:
+                runs[-1][1] = h + 1
+            else:
+                runs.append([h, h + 1])
+        assert sorted((r["start"], r["end"]) for r in got if r["k"]) == sorted(map(tuple, runs))
+        assert [(r["start"], r["end"]) for r in got if r["k"] is None] == [(1, 3)]
+
+
+def test_gaps_by_session_calendar(spark):
+    days = [D(2024, 1, 1) + dt.timedelta(i) for i in range(60)]
+    cal = spark.createDataFrame([("x", d, d.weekday() < 5 and d.day != 10) for d in days] * 2, "name string, d date, open boolean")
+    calendars = cov.session_calendar(cal, "name", "d", width=7)
+    assert {r["day"]: r["rank"] for r in calendars.collect()}[D(2024, 1, 11)] == 8
+    seen = [d for d in days if d.day not in (4, 5, 6, 17)] + [D(2024, 1, 10)]  # 10 and week-ends are closed
+    df = spark.createDataFrame([("s", d) for d in seen] + [("all", d) for d in seen] + [("odd", d) for d in seen] + [("odd2", days[0])], "k string, day date")
+    series = spark.createDataFrame([("s", "x", True), ("all", None, False), ("odd", "none such", True), ("odd2", None, True), ("idle", "x", True)], "k string, calendar string, required boolean")
+    got = {r["k"]: (r["gap_count"], r["sample"]) for r in cov.session_gaps(df, series, calendars, ["k"], "day", sample=3, width=7).collect()}
+    missing = [d for d in days if d not in seen]
+    sessions = [d for d in missing if d.weekday() < 5 and d.day != 10]
+    told = lambda x: (len(x), ",".join(map(str, x[:3])))
+    assert got == {"s": told(sessions), "all": told(missing), "odd": (None, None), "odd2": (None, None), "idle": (0, "")}
+
+
 def test_monthly_gap(spark):
     df = spark.createDataFrame([("CPI", D(2026, 7, 1)), ("CPI", D(2026, 9, 1))], "s string, d date")
     assert cov.internal_gaps_monthly(df, ["s"], "d").first()["gap_count"] == 1
