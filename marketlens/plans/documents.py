@@ -1,6 +1,6 @@
 """Report rules over monthly reports that Spark renders from the given orders: one report for each month.
 
-Each month whose number modulo 48 is listed below breaks something; the oracles tell what from the number alone.
+Each month whose number modulo 60 is listed below breaks something; the oracles tell what from the number alone.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from marketlens.sources.tables import table, view
 #: The months, their day and closing prices, in SQL for both sides; years are moved to where reports date from.
 _MONTHS = """SELECT CAST(year(day) * 12 + month(day) AS BIGINT) AS report, max_by(close, day) FILTER (WHERE symbol = '1-URGENT') AS btc, max_by(close, day) FILTER (WHERE symbol = '2-HIGH') AS spy,
 max_by(close, day) FILTER (WHERE symbol = '3-MEDIUM') AS gold FROM bars_daily GROUP BY 1"""
-_M = f"m AS (SELECT report, report % 48 AS m, btc FROM ({_MONTHS}) WHERE btc IS NOT NULL AND spy IS NOT NULL AND gold IS NOT NULL)"
+_M = f"m AS (SELECT report, report % 60 AS m, btc FROM ({_MONTHS}) WHERE btc IS NOT NULL AND spy IS NOT NULL AND gold IS NOT NULL)"
 
 
 def _expected(cases: list[tuple], columns: str) -> str:
@@ -30,7 +30,7 @@ def _usd(c: Column) -> Column:
 def months(spark, sf_dir) -> DataFrame:
     m = spark.sql(_MONTHS.replace("bars_daily", "{bars}"), bars=view(spark, sf_dir, "bars_daily")).na.drop()
     day = F.last_day(F.make_date(F.expr("(report - 1) div 12 + 20").cast("int"), ((F.col("report") - 1) % 12 + 1).cast("int"), F.lit(1)))
-    return m.withColumn("m", F.col("report") % 48).withColumn("day", day)
+    return m.withColumn("m", F.col("report") % 60).withColumn("day", day)
 
 
 def archived(spark, sf_dir) -> DataFrame:
@@ -42,65 +42,67 @@ def archived(spark, sf_dir) -> DataFrame:
     rows = [(a, "price", F.round(p, 2) + F.when(at(25) & F.lit(a == "SPY"), 1).otherwise(0), ~(at(24) & F.lit(a == "BTC"))) for a, p in price.items()]
     rows += [(a, "close_ts", close + F.when(at(27) & F.lit(a == "SILVER"), 86400).otherwise(0), ~at(42) & ~(at(26) & F.lit(a == "GOLD"))) for a in price]
     rows += [("BTC", "rsi_14", F.when(at(28), 56.0).otherwise(55.0), ~at(42)), ("BTC", "macd_hist", F.lit(1.25), ~at(42)), ("MACRO", "cpi_yoy", F.when(at(30), 3.6).when(at(31), 12.0).otherwise(3.1), ~at(42) & ~at(39))]
-    rows += [("MACRO", "nfp", F.lit(150.0), ~at(42) & ~at(40)), ("BTC", "mvrv", F.when(at(34), 2.6).otherwise(2.1), ~at(42)), ("MACRO", "yield_10y", F.when(at(35), 4.5).otherwise(4.2), ~at(42))]
+    rows += [("MACRO", "nfp", F.lit(150.0), ~at(42) & ~at(40)), ("CHAIN", "mvrv", F.when(at(34), 2.6).otherwise(2.1), ~at(42)), ("MACRO", "yield_10y", F.when(at(35), 4.5).otherwise(4.2), ~at(42))]
     source = F.when(~(at(43) & (F.col("metric") == "price")), "bars")
     all_ = F.array(*[F.when(kept, F.struct(F.lit(a).alias("asset"), F.lit(k).alias("metric"), v.cast("double").alias("value"))) for a, k, v, kept in rows])
     return m.select("report", "m", F.inline(F.array_compact(all_))).withColumn("source", source).drop("m")
 
 
 def reports(spark, sf_dir) -> DataFrame:
-    """report, day, html."""
+    """report, day, html: a board of prices, sections with plans, levels and a table, a card, macro fields, news and links."""
     m = months(spark, sf_dir)
     at = lambda *n: F.col("m").isin(*n)
     when = lambda n, text, other="": F.when(at(n), text).otherwise(other)
+    join = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     stamp = lambda days: F.concat(F.date_format(F.date_add("day", days), "yyyy-MM-dd"), F.lit(" 00:00"))
-    asof = F.when(at(18), "").when(at(19), "2021-13-45 00:00").when(at(20), stamp(0)).when(at(21), stamp(1)).when(at(22), stamp(-10)).otherwise(stamp(-1))
-    oldest = F.when(at(23), stamp(-20)).otherwise(stamp(-2))
-
-    def ticker(label: str, price: Column, gone: int = -1) -> Column:
-        line = F.concat(F.lit(f'<div class="ticker-item"> <div class="tk-pair">{label}</div> <div class="tk-price">'), _usd(price), F.lit("</div></div>\n"))
-        return F.when(at(gone), "").otherwise(line)
-
-    def section(name: str, p: Column, bull: tuple = (), bear: tuple = (), no_goal: int = -1, base: int = -1, support: int = -1, resistance: int = -1, no_spot: int = -1, more: Column | None = None) -> Column:
-        goal = F.when(at(no_goal), "").otherwise(F.concat(F.lit(" Objetivo: "), _usd(p * F.when(at(*bull) if bull else F.lit(False), 1.05).otherwise(1.2))))
-        return F.concat(
-            F.lit(f'<section><h2 class="section-title">{name}</h2><div class="price-row"> <span class="big-price">'), F.when(at(no_spot), "n/d").otherwise(_usd(p)), F.lit("</span></div>\n"),
-            F.lit('<div class="scenario s-bull"><p>Activación: cierre sobre '), _usd(p * 1.1), goal, F.lit("</p></div>\n"),
-            F.lit('<div class="scenario s-bear"><p>Activación: cierre bajo '), _usd(p * 0.9), F.lit(" Objetivo: "), _usd(p * F.when(at(*bear) if bear else F.lit(False), 0.95).otherwise(0.8)), F.lit("</p></div>\n"),
-            F.lit('<div class="scenario s-base"><p>Precio en rango '), _usd(p * F.when(at(base), 1.01).otherwise(0.95)), F.lit(" - "), _usd(p * 1.05), F.lit("</p></div>\n"),
-            F.lit('<h4>Soportes</h4><span class="lev-price">'), _usd(p * F.when(at(support), 1.02).otherwise(0.9)), F.lit('</span><h4>Resistencias</h4><span class="lev-price">'), _usd(p * F.when(at(resistance), 0.98).otherwise(1.1)),
-            F.lit('</span><div class="bias-box"></div>\n'), more if more is not None else F.lit(""), F.lit("</section>\n"),
+    date = lambda days: F.date_format(F.date_add("day", days), "yyyy-MM-dd")
+    field = lambda name, value: join(f'<span data-field="{name}">', value, "</span>")
+    seen = F.when(at(18), "").when(at(19), "2021-13-45 00:00").when(at(20), stamp(0)).when(at(21), stamp(1)).when(at(22), stamp(-10)).otherwise(stamp(-1))
+
+    def board(asset: str, price: Column) -> Column:
+        return join(f'<li data-asset="{asset}" data-field="price">', _usd(price), "</li>")
+
+    def section(asset: str, p: Column, bull: int = -1, bear: int = -1, no_goal: int = -1, base: int = -1, support: int = -1, resistance: int = -1, no_spot: int = -1, attrs="", more="") -> Column:
+        factor = lambda n, wrong, right: p * F.when(at(n), wrong).otherwise(right)
+        return join(
+            f'<section data-asset="{asset}"', attrs, f"><h2>{asset}</h2>", field("spot", F.when(at(no_spot), "n/a").otherwise(_usd(p))),
+            '<div data-part="bull">', field("trigger", _usd(p * 1.1)), F.when(at(no_goal), "").otherwise(field("target", _usd(factor(bull, 1.05, 1.2)))), "</div>",
+            '<div data-part="bear">', field("trigger", _usd(p * 0.9)), field("target", _usd(factor(bear, 0.95, 0.8))), "</div>",
+            '<div data-part="base">', field("low", _usd(factor(base, 1.01, 0.95))), field("high", _usd(p * 1.05)), "</div>",
+            '<ol data-part="support"><li data-field="level">', _usd(p * 0.8), '</li><li data-field="level">', _usd(factor(support, 1.02, 0.9)), "</li></ol>",
+            '<ol data-part="resistance"><li data-field="level">', _usd(factor(resistance, 0.98, 1.1)), '</li><li data-field="level">', _usd(p * 1.3), "</li></ol>", more, "</section>\n",
         )
 
-    macd = F.when(at(29), "").otherwise("<tr><td>MACD (12,26,9)</td><td>1.25</td></tr>")
-    top = F.date_format(F.date_sub("day", F.when(at(15), 800).otherwise(30)), "d MMM yyyy")
-    own = F.concat(
-        F.lit('<i data-btc-asof-utc="'), asof, F.lit('" data-onchain-oldest-utc="'), oldest, F.lit('"></i><table><tr><td>RSI(14)</td><td>55.0</td></tr>'), macd, F.lit("</table>\n"),
-        F.lit('<div class="o-name">RSI(14)</div> <div class="o-val">55.0</div> <div class="o-signal">'), when(4, "Sobreventa", "Neutral"), F.lit("</div>\n"),
-        F.lit("<div>Max 52s</div> <div>"), _usd(F.col("btc")), F.lit('</div> <div class="ssub">'), top, F.lit("</div>\n<p>BTC cayo "), when(16, "-30.0", "-25.0"), F.lit("% desde el ATH de "),
-        _usd(F.col("btc") * 2), F.lit(" hasta el minimo de 52 semanas en "), _usd(F.col("btc") * 1.5), F.lit("</p>\n"),
+    own = join(
+        "<table><tr><th>rsi_14</th><td>55.0</td></tr>", F.when(at(29), "").otherwise("<tr><th>macd_hist</th><td>1.25"), "</table>", field("rsi_zone", when(4, "oversold", "neutral")),
+        '<p data-field="high_52w" data-day="', date(F.when(at(15), -800).otherwise(-30)), '">', _usd(F.col("btc") * 1.9), '</p><p data-field="low_52w" data-day="', date(-60), '">', _usd(F.col("btc") * 1.5), "</p>",
+        field("ath", _usd(F.col("btc") * 2)), field("fall_pct", when(16, "-30.0%", "-25.0%")),
     )
-    gold = F.when(at(7), "").otherwise(section("Oro Futuro", F.col("gold"), base=12))
-    html = F.concat(
-        F.lit("<h1>Informe "), F.date_format("day", "d MMM yyyy"), F.lit("</h1>\n"), F.when(at(17), "").otherwise(F.concat(F.lit("<p>Generado "), F.date_format("day", "yyyy-MM-dd"), F.lit(" 12:00 UTC</p>\n"))),
-        ticker("BTC/USD", F.col("btc"), 6), ticker("SPDR S&P 500", F.col("spy")), ticker("ORO FUT. GC=F", F.col("gold")), ticker("PLATA FUT. SI=F", F.col("btc") / 9), ticker("WTI (CL=F)", F.col("spy") / 7),
-        F.lit('<div class="mc-name">CPI YoY</div> <div class="mc-val">'), when(31, "12.0", "3.1"), F.lit("%</div>\n<p>NFP +"), when(32, "900", "150"), F.lit(" K</p>\n<p>MVRV 2.10</p>\n<p>10Y 4.20%</p>\n<div>DXY "), when(36, "ratio", "Trade Weighted"), F.lit("</div>\n"),
-        section("Bitcoin (BTC)", F.col("btc"), bull=(9,), bear=(10,), support=13, resistance=14, more=own), section("SPDR S&P 500 ETF", F.col("spy"), no_goal=11, no_spot=8), gold,
-        F.lit('<div class="news-date">'), F.date_format(F.date_add("day", F.when(at(5), 3).otherwise(-1)), "yyyy-MM-dd"), F.lit('</div><a href="'), when(45, "http://", "https://example.com/a"), F.lit('">x</a>\n'),
-        when(1, "{usd(1)}"), when(2, "5%%"), when(3, "$$ 5"), when(33, "RSI None"),
+    sha = F.when(at(48), "0badf00d").otherwise(F.sha2(F.col("report").cast("string"), 256))
+    card = join('<figure data-metric="mvrv" data-raw="2.1" data-asof="', date(F.when(at(50), -2).otherwise(-1)), '" data-unit="', when(49, "USD", "ratio"), '" data-sha="', sha, '"><b>2.10</b></figure>')
+    chain = join('<section data-asset="CHAIN" data-seen="', F.when(at(23), stamp(-20)).otherwise(stamp(-2)), '">', F.when(at(51), "").otherwise(card), "</section>")
+    macro = join('<section data-asset="MACRO">', field("cpi_yoy", when(31, "12.0%", "3.1%")), field("nfp", when(32, "+900 K", "+150 K")), field("yield_10y", "4.20%"), field("usd_index", when(36, "Ratio", "Weighted")), when(33, '<p data-field="note">None</p>'), "</section>")
+    html = join(
+        "<article", F.when(at(17), "").otherwise(join(' data-made="', date(0), ' 12:00"')), "><h1>Report ", F.date_format("day", "d MMM yyyy"), "</h1><ul>", F.when(at(6), "").otherwise(board("BTC", F.col("btc"))), when(46, join("", board("BTC", F.col("btc")))), board("SPY", F.col("spy")), board("GOLD", F.col("gold")),
+        board("SILVER", F.col("btc") / 9), board("OIL", F.col("spy") / 7), when(47, '<li data-asset="TIN" data-field="price">$5.00</li>'), "</ul>\n",
+        section("BTC", F.col("btc"), bull=9, bear=10, support=13, resistance=14, attrs=join(' data-seen="', seen, '"'), more=own), section("SPY", F.col("spy"), no_goal=11, no_spot=8), F.when(at(7), "").otherwise(section("GOLD", F.col("gold"), base=12)),
+        chain, macro, '<aside><time class="quiet news" datetime="', date(F.when(at(5), 3).otherwise(-1)), '">then<br></time><a href="', when(45, "http://", "https://example.com/a"), '">x</a><p>',
+        when(1, "{usd(1)}"), when(2, "5%%"), when(3, "$$ 5"), "</p></aside></article>",
     )
     return m.select("report", "day", html.alias("html"))
 
 
-@register(f"""WITH {_M.replace('m.btc', 'btc')}, p AS (SELECT report, report % 48 AS m, btc, spy, gold FROM ({_MONTHS}) WHERE btc IS NOT NULL AND spy IS NOT NULL AND gold IS NOT NULL)
-SELECT report, 'BTC' AS asset, 'price' AS metric, round(btc, 2) AS shown FROM p WHERE m <> 6 UNION ALL SELECT report, 'SPY', 'price', round(spy, 2) FROM p UNION ALL SELECT report, 'GOLD', 'price', round(gold, 2) FROM p
-UNION ALL SELECT report, 'SILVER', 'price', round(btc / 9, 2) FROM p UNION ALL SELECT report, 'OIL', 'price', round(spy / 7, 2) FROM p UNION ALL SELECT report, 'BTC', 'rsi_14', 55 FROM p UNION ALL SELECT report, 'BTC', 'macd_hist', 1.25 FROM p WHERE m <> 29""")
+@register(f"""WITH p AS (SELECT report, report % 60 AS m, btc, spy, gold FROM ({_MONTHS}) WHERE btc IS NOT NULL AND spy IS NOT NULL AND gold IS NOT NULL)
+SELECT report, 'board' AS kind, 'BTC' AS asset, 'price' AS metric, round(btc, 2) AS shown FROM p WHERE m <> 6 UNION ALL SELECT report, 'board', 'BTC', 'price', round(btc, 2) FROM p WHERE m = 46 UNION ALL SELECT report, 'board', 'SPY', 'price', round(spy, 2) FROM p
+UNION ALL SELECT report, 'board', 'GOLD', 'price', round(gold, 2) FROM p UNION ALL SELECT report, 'board', 'TIN', 'price', 5 FROM p WHERE m = 47 UNION ALL SELECT report, 'board', 'SILVER', 'price', round(btc / 9, 2) FROM p UNION ALL SELECT report, 'board', 'OIL', 'price', round(spy / 7, 2) FROM p
+UNION ALL SELECT report, 'row', 'BTC', 'rsi_14', 55 FROM p UNION ALL SELECT report, 'row', 'BTC', 'macd_hist', 1.25 FROM p WHERE m <> 29 UNION ALL SELECT report, 'card', 'CHAIN', 'mvrv', 2.1 FROM p WHERE m <> 51""")
 def d5_displayed_values(spark, sf_dir):
-    return dm.displayed_values(reports(spark, sf_dir)).where("metric != 'close_ts'").select("report", "asset", "metric", F.round("shown", 2).alias("shown"))
+    return dm.displayed_values(reports(spark, sf_dir)).where("kind != 'seen'").select("report", "kind", "asset", "metric", F.round("shown", 2).alias("shown"))
 
 
 _D6 = [(6, "BTC", "price", "not shown"), (24, "BTC", "price", "not archived"), (25, "SPY", "price", "differs"), (26, "GOLD", "close_ts", "no closed bar"), (27, "SILVER", "close_ts", "bar of the day or later"), (28, "BTC", "rsi_14", "differs"), (29, "BTC", "macd_hist", "not shown"),
-       (18, "BTC", "close_ts", "not shown"), (19, "BTC", "close_ts", "not shown"), (20, "BTC", "close_ts", "differs"), (21, "BTC", "close_ts", "differs"), (22, "BTC", "close_ts", "differs"), (42, "BTC", "rsi_14", "not archived"), (42, "BTC", "macd_hist", "not archived"), (42, "BTC", "close_ts", "not archived"),
+       (18, "BTC", "close_ts", "not shown"), (19, "BTC", "close_ts", "not shown"), (20, "BTC", "close_ts", "differs"), (21, "BTC", "close_ts", "differs"), (22, "BTC", "close_ts", "differs"), (42, "BTC", "rsi_14", "not archived"), (42, "BTC", "macd_hist", "not archived"), (42, "BTC", "close_ts", "not archived"), (42, "CHAIN", "mvrv", "not archived"),
+       (34, "CHAIN", "mvrv", "differs"), (46, "BTC", "price", "duplicated"), (47, "TIN", "price", "unexpected"), (48, "CHAIN", "mvrv", "malformed card"), (49, "CHAIN", "mvrv", "wrong unit"), (50, "CHAIN", "mvrv", "wrong day"), (51, "CHAIN", "mvrv", "not shown"),
        *[(42, a, "close_ts", "no closed bar") for a in ("BTC", "SPY", "GOLD", "SILVER", "OIL")]]
 
 
@@ -109,8 +111,8 @@ def d6_displayed_vs_archived(spark, sf_dir):
     return dm.compare_with_archive(reports(spark, sf_dir), archived(spark, sf_dir))
 
 
-_D7 = [(1, None, "template"), (2, None, "doubled unit"), (3, None, "doubled currency"), (4, None, "RSI label"), (5, None, "future news"), (6, None, "no price"), (7, "GOLD", "no section"), (8, "SPY", "no spot"), (9, "BTC", "bull scenario"), (10, "BTC", "bear scenario"),
-       (11, "SPY", "bull without target"), (12, "GOLD", "base range"), (13, "BTC", "soportes side"), (14, "BTC", "resistencias side"), (15, "BTC", "Max 52s: outside"), (16, "BTC", "fall from top"), (19, "BTC", "Max 52s: bad cut")]
+_D7 = [(1, None, "template"), (2, None, "doubled unit"), (3, None, "doubled currency"), (4, "BTC", "RSI label"), (5, None, "future news"), (6, None, "no price"), (7, "GOLD", "no section"), (8, "SPY", "no spot"), (9, "BTC", "bull scenario"), (10, "BTC", "bear scenario"),
+       (11, "SPY", "bull without target"), (12, "GOLD", "base range"), (13, "BTC", "supports side"), (14, "BTC", "resistances side"), (15, "BTC", "high_52w: outside"), (16, "BTC", "fall from top"), (19, "BTC", "high_52w: bad cut"), (19, "BTC", "low_52w: bad cut")]
 
 
 @register(_expected(_D7, "asset, issue"))
@@ -118,7 +120,7 @@ def d7_document_defects(spark, sf_dir):
     return dm.content_issues(reports(spark, sf_dir))
 
 
-_D8 = [(17, "no time of generation"), (18, "btc: no observation"), (19, "btc: bad time"), (20, "btc: open day"), (21, "btc: open day"), (21, "btc: future"), (22, "btc: stale"), (23, "onchain: stale")]
+_D8 = [(17, "no time of generation"), (18, "btc: no observation"), (19, "btc: bad time"), (20, "btc: open day"), (21, "btc: open day"), (21, "btc: future"), (22, "btc: stale"), (23, "chain: stale")]
 
 
 @register(_expected(_D8, "issue"))
