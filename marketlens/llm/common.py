@@ -106,7 +106,8 @@ class Scratch:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows an Arrow batch holds, since texts can be long; a smaller setting of the session stays.
+    """Bound the rows an Arrow batch holds, since texts can be long; a smaller setting of the session stays. Spark itself
+    ends a batch at spark.sql.execution.arrow.maxBytesPerBatch (64 MB), or behind one longer text.
 
     The bound stays in the session: results are lazy, and their batches are cut when they are read.
     """

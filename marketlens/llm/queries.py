@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))  # a null doc_id is not held out
     model = language_id.fit(docs.where(~held_out))
     return language_id.predict(docs, model, carry=["doc_id", held_out.alias("held_out")])
 

@@ -191,6 +191,28 @@ def test_url_rules(spark):
     assert url_filter.drop_listed(pages, listed).count() == len(urls) * 2 - 2
 
 
+def test_hosts_of_many_labels(spark):
+    """Only suffixes that a rule can have are made: linear in the labels."""
+    import time
+
+    rules = spark.createDataFrame([("example.com", "/en/", "block"), ("com", "/x", "block"), ("a.b.c.d.com", "/", "allow")], "host string, path string, verdict string")
+    long = "http://" + "a." * 100_000
+    pages = spark.createDataFrame([(1, long + "example.com/en/1"), (2, long + "org/en/"), (3, "http://c.d.com/en/"), (4, "http://z.a.b.c.d.com/en/"), (5, "http://" + "." * 200_000 + "com/x")], "page_id long, url string").repartition(2)
+    url_filter.judge_urls(pages.limit(1), rules).count()  # warm
+    start = time.time()
+    got = {r["page_id"]: r["rule"] for r in url_filter.judge_urls(pages, rules).select("page_id", "rule").collect()}
+    assert got == {1: "example.com/en/", 2: None, 3: None, 4: "a.b.c.d.com/", 5: "com/x"} and time.time() - start < 5
+
+
+def test_language_of_null_ids(spark, tmp_path):
+    from marketlens.llm import queries
+
+    rows = [(None, "the cat sat on the mat " * 9, "en"), (None, "der hund und die katze " * 9, "de"), (7, "the mat", "en"), (8, None, "de")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op1_language_id(spark, str(tmp_path)).collect()
+    assert sorted(r["lang_pred"] for r in got) == ["de", "en", "en", "und"] and not any(r["held_out"] is None for r in got)
+
+
 def test_url_filter_by_block(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "FILTER_WORDS", 0)
     test_url_rules(spark)
