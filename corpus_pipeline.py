@@ -28,7 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Nulls in other columns stay, documents without a lang are judged like others; repeated rows each get the same
     decision; a tie of two languages keeps the document. An empty table, or one without any label, keeps none.
     """
-    train = docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+    train = docs.where(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 != 2, F.lit(True)))
     found = language_id.predict(_rows(docs), language_id.fit(train), carry=["row"])
     return found.where("lang_pred != 'und'").select("row.*")
 
