@@ -124,8 +124,12 @@ def _width(name: str, kind: T.DataType) -> Column:
     elif isinstance(kind, T.ArrayType):
         if isinstance(kind.elementType, (T.StringType, T.BinaryType)):
             size = F.aggregate(col, F.lit(0), lambda a, x: a + 8 + F.octet_length(x))
+        elif isinstance(kind.elementType, T.StructType):
+            wide = [f.name for f in kind.elementType if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+            each = lambda x: F.lit(8 * len(kind.elementType)) + sum((F.coalesce(F.octet_length(x[n]), F.lit(0)) for n in wide), F.lit(0))
+            size = F.aggregate(col, F.lit(0), lambda a, x: a + each(x))
         else:
-            size = F.size(col) * 8 * (len(kind.elementType) if isinstance(kind.elementType, T.StructType) else 1)
+            size = F.size(col) * 8
     else:
         return F.lit(8)
     return F.coalesce(size, F.lit(0)) + 16

@@ -6,13 +6,18 @@ fixed order (rare shingles first): the pivots nearest to a set are its own shing
 misses at most (1 - t)|x| of x's shingles, so x lies in the windows of its first floor((1 - t)|x|) + 1 pivots, and two
 linked sets meet in the region of a shared one: these are the Voronoi regions of the pivots, with the boundary
 documents that the windows replicate. Inside regions the pivots are documents. A region's members are compared with its
-first one, which links most groups at once. Regions that still hold several components go on by the windows of the
-triangle inequality around that pivot, |d(x, p) - d(y, p)| <= eps. Larger ones also use signatures, the parities of the
-shingles in each of some buckets: the bits in which two differ are at most the shingles in which the sets differ, so
-that the signature is the set's image in a space where distances only shrink. Members outside a region's largest
-component are compared by signature, block by block inside tasks; first only the nearest of other components are
-measured, which joins what belongs together, then all that the signatures allow. All distances are exact, from whole
-sets.
+first one, which links most groups at once. Small regions that still hold several components go on by the windows of the
+triangle inequality around that pivot, |d(x, p) - d(y, p)| <= eps.
+
+Larger ones are divided into cells, again and again. A cell's metric is that of signatures, the parities of the shingles
+in each of some buckets: the bits H in which two differ are at most the shingles in which the sets differ, so that the
+signature is the set's image in a space where distances only shrink. A few pivots of different components are chosen; a
+member belongs to the ball of the nearest pivot that its signature lets it be linked with, else to the rest. If x of the
+ball of p is linked with y, then H(y, p) <= H(y, x) + H(x, p), so the documents within that window are replicated into
+the cell as guests, to be compared with the ball's own members. Cells of one component are done; cells that are large
+and still shrink are divided further. In the others members are compared by signature, block by block inside tasks;
+first only the nearest of other components are measured, which joins what belongs together, then all that the signatures
+allow. All distances are exact, from whole sets.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, by_chars, extended, fits, in_bitmap, join_checked, mix64, seen_twice, small_batches
+from .common import Scratch, by_chars, extended, fits, in_bitmap, join_by_heat, join_checked, mix64, seen_twice, small_batches
 
 #: Shingles whose estimated counts order them behind others; bounds the broadcast (16 MB), never the result.
 COMMON_SHINGLES = 1 << 20
@@ -36,6 +41,12 @@ LEAF = 128
 #: Members of a block of a larger region, and how many of the nearest each round measures (None: all that can be linked).
 BLOCK = 2048
 ROUNDS = (2, 8, None)
+#: Pivots of a division, divisions in a row, the part of a cell's members that one may keep to be divided again, and how
+#: often its members may be in its cells together; beyond it they are too near one another to be divided.
+PIVOTS = 16
+DEPTH = 3
+SHRINK = 0.9
+COPIES = 1.5
 
 
 def shingle_sets(texts: list[str], n: int, salt: int = 0) -> list[np.ndarray]:
@@ -79,9 +90,9 @@ def _batches(batch: pa.RecordBatch, n: int, salt: int) -> Iterator[tuple[int, in
 
 
 def signature(s: np.ndarray) -> bytes:
-    """The parity of the shingles in each of 2^k buckets, 2^k >= len(s), 64 at least. Two halves, combined by
-    exclusive or, are the signature with half the buckets."""
-    bits = 1 << max(6, int(len(s) - 1).bit_length() if len(s) else 6)
+    """The parity of the shingles in each of 2^k buckets, 2^k >= 2 len(s), 128 at least: unrelated sets then differ in
+    more bits than a ball's windows are wide. Two halves, combined by exclusive or, are the signature with half the buckets."""
+    bits = 1 << max(7, (2 * len(s) - 1).bit_length() if len(s) else 7)
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -193,7 +204,62 @@ def _allowed(x: dict, y: dict, num: int, den: int) -> np.ndarray:
     most = np.minimum(x["deg"][:, None], y["deg"][None]) + np.maximum(*behind)
     ok = (most * (den + num) >= (nx + ny) * num) & (nx * den >= ny * num) & (ny * den >= nx * num)
     far = np.abs(x["dist"][:, None] - y["dist"][None]) > 1 - num / den + 1e-9  # false where one is unknown
-    return ok & ~far & (x["root"][:, None] != y["root"][None])
+    return ok & ~far & (x["root"][:, None] != y["root"][None]) & (x["own"][:, None] | y["own"][None])
+
+
+def _folded(sig: np.ndarray, words: int) -> np.ndarray:
+    """Signatures with fewer buckets: halves combined by exclusive or."""
+    while sig.shape[1] > words:
+        half = sig.shape[1] // 2
+        sig = sig[:, :half] ^ sig[:, half:]
+    return sig
+
+
+def divide_members(n: np.ndarray, sig: np.ndarray, pivots: list[tuple[int, bytes]], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each member's cell (the place of its pivot, -1 for the rest), and (members, pivots) whether it is a guest of a cell.
+    pivots are (set size, signature)."""
+    c = (den - num) / (den + num)
+    h = np.empty((len(n), len(pivots)))
+    for k, (_, raw) in enumerate(pivots):
+        p = np.frombuffer(raw, np.uint64)[None]
+        words = min(p.shape[1], sig.shape[1])
+        h[:, k] = np.bitwise_count(_folded(sig, words) ^ _folded(p, words)).sum(axis=1, dtype=np.int64)
+    size = np.array([x for x, _ in pivots], float)[None]
+    n = n[:, None].astype(float)
+    near = (n * den >= size * num) & (size * den >= n * num) & (h <= c * (n + size) + 1e-6)
+    cell = np.where(near.any(axis=1), np.where(near, h, np.inf).argmin(axis=1), -1)
+    # the largest set that can be linked with the member and lie in the pivot's ball
+    between = np.minimum(n, size) * den / num
+    guest = h <= c * (n + size + 2 * between) + 1e-6
+    guest[np.arange(len(cell))[cell >= 0], cell[cell >= 0]] = False
+    return cell, guest
+
+
+def _divide(num: int, den: int):
+    """Rows with their region's pivots, as rows of cells: own members and guests."""
+
+    def cell_id(region: int, pivot: int) -> int:
+        mixed = mix64(np.array([region], np.int64).view(np.uint64) ^ mix64(np.array([pivot], np.int64).view(np.uint64)))
+        return int(mixed.view(np.int64)[0])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for region, rows in pdf.groupby("region"):
+                pivots = rows["pivots"].iloc[0]
+                ids = [cell_id(region, p["cls"]) for p in pivots] + [cell_id(region, 0)]
+                for _, part in rows.groupby(rows["sig"].str.len()):
+                    sig = np.frombuffer(b"".join(part["sig"]), np.uint64).reshape(len(part), -1)
+                    cell, guest = divide_members(part["n"].to_numpy(), sig, [(p["n"], p["sig"]) for p in pivots], num, den)
+                    out = part.drop(columns=["pivots", "region"])
+                    out.insert(0, "region", np.array(ids, np.int64)[cell])
+                    yield out.assign(parent=region, rest=cell < 0)
+                    i, k = np.nonzero(guest)
+                    if len(i):
+                        more = part.drop(columns=["pivots", "region"]).iloc[i]
+                        more.insert(0, "region", np.array(ids, np.int64)[k])
+                        yield more.assign(own=False, parent=region, rest=False)
+
+    return run
 
 
 def _by_signature(x: dict, y: dict, num: int, den: int, nearest: int | None) -> list[np.ndarray]:
@@ -223,12 +289,11 @@ def _block_pairs(num: int, den: int, nearest: int | None):
         out = {}
         for width, rows in pdf.groupby(pdf["sig"].str.len()):
             sig = np.frombuffer(b"".join(rows["sig"]), np.uint64).reshape(len(rows), -1)
-            out[width] = {c: rows[c].to_numpy() for c in ("cls", "n", "root", "deg", "dist")} | {"sig": sig}
+            out[width] = {c: rows[c].to_numpy() for c in ("cls", "n", "root", "deg", "dist", "own")} | {"sig": sig}
         return out
 
     def folded(rows: dict) -> dict:
-        half = rows["sig"].shape[1] // 2
-        return rows | {"sig": rows["sig"][:, :half] ^ rows["sig"][:, half:]}
+        return rows | {"sig": _folded(rows["sig"], rows["sig"].shape[1] // 2)}
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
@@ -320,13 +385,56 @@ class _Join:
         shared = F.col("c") + F.least(F.coalesce("_pm", F.lit(0)), F.coalesce("_xm", F.lit(0)))
         return pairs.where(shared >= F.col("need")).select("p", "x")
 
-    def block_pairs(self, large: DataFrame, nearest: int | None) -> DataFrame:
-        """(p, x): pairs of different components in one larger region that its windows and the signatures allow."""
-        wanted = self.stored(large.select("cls").distinct(), "signed")
-        sigs = self.stored(join_checked(self.sigs, wanted, "cls", "left_semi").groupBy("cls").agg(F.first("sig").alias("sig")), "signatures")
-        rows = join_checked(large, sigs, "cls").withColumn("_k", F.ceil(F.col("size") / BLOCK).cast("int"))
+    def signed(self, members: DataFrame, files: int) -> DataFrame:
+        """Members of large regions with their signatures, all their own."""
+        wanted = self.stored(members.select("cls").distinct(), "signed", files)
+        sigs = self.stored(join_checked(self.sigs, wanted, "cls", "left_semi").groupBy("cls").agg(F.first("sig").alias("sig")), "signatures", files)
+        out = self.stored(join_checked(members, sigs, "cls").withColumn("own", F.lit(True)), "members", files)
+        self.scratch.drop(wanted, sigs)
+        return out
+
+    def cells(self, members: DataFrame, files: int) -> DataFrame:
+        """Divide regions (region, cls, n, deg, dist, root, sig, own, size) into cells, whose ids are new regions."""
+        done, kept = [], members.select("region", "cls", "n", "deg", "dist", "root", "sig", "own", "size")
+        cols = kept.columns[:-1]
+        for level in range(DEPTH):
+            wide = kept.where(F.col("size") > LEAF)
+            done.append(kept.where(F.col("size") <= LEAF))
+            # pivots of different components: the set of most regions in each group of components
+            group = F.pmod(F.xxhash64("root", F.lit(level)), F.lit(PIVOTS))
+            best = wide.where("own").groupBy("region", group.alias("g")).agg(F.max_by(F.struct("cls", "n", "sig"), F.struct("deg", "cls")).alias("p"))
+            best = best.groupBy("region").agg(F.collect_list("p").alias("pivots"), F.count("*").alias("k"))  # PIVOTS at most
+            sizes = wide.groupBy("region").agg(F.count("*").alias("w"))
+            pivots = self.stored(best.join(sizes, "region").drop("k"), "pivots", files)
+            if pivots.isEmpty():
+                break
+            kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.select(*cols).schema) + ", parent long, rest boolean"
+            split = join_by_heat(wide.select(*cols), pivots, "region", "w").select(*cols, "pivots").mapInPandas(_divide(self.num, self.den), kind)
+            split = self.stored(split, "split", files)
+            # a cell of one component, or of guests alone, holds nothing to find
+            told = split.groupBy("region", "parent").agg(F.count("*").alias("size"), F.min("root").alias("_a"), F.max("root").alias("_b"), F.max("own").alias("_own")).where("_a != _b and _own")
+            told = self.stored(told.join(pivots.select(F.col("region").alias("parent"), "w"), "parent"), "told", files)
+            dense = told.groupBy("parent", "w").agg(F.sum("size").alias("copies")).where(F.col("copies") > F.col("w") * COPIES).select("parent")
+            dense = self.stored(dense, "dense", files)
+            done.append(join_checked(wide, dense.withColumnRenamed("parent", "region"), "region", "left_semi"))
+            told = join_checked(told, dense, "parent", "left_anti").select("region", "size", (F.col("size") <= F.col("w") * SHRINK).alias("_go"))
+            split = self.stored(join_checked(split, self.stored(told, "open", files), "region"), "cells", files)
+            stuck = split.where(~F.col("_go") & (F.col("size") > LEAF)) if level < DEPTH - 1 else split.where(F.col("size") > LEAF)
+            done.append(stuck.select(*cols, "size"))
+            kept = split.where((F.col("size") <= LEAF) | F.col("_go")) if level < DEPTH - 1 else split.where(F.col("size") <= LEAF)
+            kept = kept.select(*cols, "size")
+        else:
+            done.append(kept)
+        out = done[0]
+        for d in done[1:]:
+            out = out.unionByName(d)
+        return self.stored(out.drop("size"), "divided", files)
+
+    def block_pairs(self, cells: DataFrame, nearest: int | None) -> DataFrame:
+        """(p, x): pairs of different components in one cell that its windows and the signatures allow."""
+        rows = cells.withColumn("_k", F.ceil(F.col("size") / BLOCK).cast("int"))
         rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("_k")).cast("int")).withColumn("_c", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-        rows = rows.select("region", F.least("block", "_c").alias("i"), F.greatest("block", "_c").alias("j"), "block", "cls", "n", "root", "deg", "dist", "sig")
+        rows = rows.select("region", F.least("block", "_c").alias("i"), F.greatest("block", "_c").alias("j"), "block", "cls", "n", "root", "deg", "dist", "own", "sig")
         return rows.groupBy("region", "i", "j").applyInPandas(_block_pairs(self.num, self.den, nearest), "p long, x long")
 
     def measure(self, pairs: DataFrame, files: int) -> DataFrame:
@@ -414,15 +522,20 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         known = stored(known, "known", files)
         open_ = known.groupBy("region").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count("*").alias("size")).where("_a != _b").select("region", "size")
         open_ = stored(open_, "open", files)
-        members = stored(join_checked(known, open_, "region"), "members", files)
+        held = stored(join_checked(known, open_, "region"), "members", files)
         scratch.drop(known, open_)
-        files = _files(members.count())
-        if members.isEmpty():
+        files = _files(held.count())
+        if held.isEmpty():
             break
-        large = members.where(F.col("size") > LEAF)
-        pairs = job.block_pairs(large, nearest)
-        if turn == 0:  # the small regions, once
-            pairs = pairs.union(job.leaf_pairs(members.where(F.col("size") <= LEAF).drop("size"), large, eps, files))
+        if turn == 0:  # the small regions, once; the large ones are divided
+            large = held.where(F.col("size") > LEAF)
+            members = job.cells(job.signed(large, files), files).drop("root")
+            found = join_checked(members, roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+            sizes = stored(found.groupBy("region").agg(F.count("*").alias("size")), "sizes", files)
+            pairs = job.block_pairs(join_checked(found, sizes, "region"), nearest)
+            pairs = pairs.union(job.leaf_pairs(held.where(F.col("size") <= LEAF).drop("size"), large, eps, files))
+        else:
+            pairs = job.block_pairs(held, nearest)
         done = tested.select(F.least("p", "x").alias("p"), F.greatest("p", "x").alias("x")).distinct()
         fresh = stored(pairs.distinct().join(done, ["p", "x"], "left_anti"), "pairs", files)
         measured = job.measure(fresh, files)
@@ -431,7 +544,6 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
             links = stored(links.union(new), "links", files)
             roots = stored(components(links, scratch), "roots", files)
         tested = stored(tested.unionByName(measured), "tested", files)
-        members = large.drop("size", "root")
     rooted = join_checked(job.keys, roots, "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("root"))
     rooted = stored(rooted, "rooted")
     # components of one document have its own id

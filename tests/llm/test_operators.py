@@ -89,9 +89,10 @@ def brute_components(rows, n, num, den):
     return [(d, len(s), least[find(i)] if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))]
 
 
-@pytest.mark.parametrize("leaf, block", [(32, 2048), (3, 2048), (3, 20)])
-def test_jaccard(spark, monkeypatch, leaf, block):
+@pytest.mark.parametrize("leaf, block, pivots", [(32, 2048, 16), (3, 2048, 2), (3, 20, 4)])
+def test_jaccard(spark, monkeypatch, leaf, block, pivots):
     monkeypatch.setattr(jaccard, "LEAF", leaf)
+    monkeypatch.setattr(jaccard, "PIVOTS", pivots)
     monkeypatch.setattr(jaccard, "BLOCK", block)
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(300)]
@@ -107,6 +108,59 @@ def test_jaccard(spark, monkeypatch, leaf, block):
     assert sorted(got) == sorted(brute_components(rows, 2, 70, 100))
 
 
+def _families(rng, families, members, singles, words=60):
+    """Near copies of few texts, and texts of their own, all of which share one passage."""
+    vocab, shared = [f"v{i}" for i in range(5000)], [f"s{i}" for i in range(6)]
+    bases = [shared + rng.choices(vocab, k=words) for _ in range(families)]
+    out = []
+    for b in bases:
+        for _ in range(members):
+            t = list(b)
+            t[rng.randrange(6, len(t))] = rng.choice(vocab)
+            out.append(t)
+    return out + [shared + rng.choices(vocab, k=words) for _ in range(singles)]
+
+
+def test_cells_divide_families(spark, monkeypatch):
+    """Balls take their families whole, guests are few, and no linked pair is in no common cell."""
+    rng = random.Random(1)
+    sets = jaccard.shingle_sets([" ".join(t) for t in _families(rng, 5, 40, 30)], 3)
+    sig = np.stack([np.frombuffer(jaccard.signature(s), np.uint64) for s in sets])
+    n = np.array([len(s) for s in sets])
+    pivots = [(int(n[i]), sig[i].tobytes()) for i in (0, 40, 80, 120, 205)]
+    cell, guest = jaccard.divide_members(n, sig, pivots, 80, 100)
+    assert [set(cell[40 * f : 40 * f + 40]) for f in range(4)] == [{0}, {1}, {2}, {3}] and set(cell[160:200]) == {-1}
+    assert guest.sum() < len(sets) / 10  # replicas: far fewer than members
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = cell[i], cell[j]
+                assert a == b or a >= 0 and guest[j, a] or b >= 0 and guest[i, b]
+
+
+def test_cells_are_linear_in_members(spark, monkeypatch):
+    """On regions whose members are near one another, cells and replicas grow with the members; results stay exact."""
+    monkeypatch.setattr(jaccard, "LEAF", 8)
+    counted = []
+    plain = jaccard._Join.cells
+
+    def cells(job, members, files):
+        out = plain(job, members, files)
+        counted.append((members.count(), out.count(), out.where("not own").count()))
+        return out
+
+    monkeypatch.setattr(jaccard._Join, "cells", cells)
+    rng = random.Random(2)
+    sentences = [" ".join(rng.choices([f"v{i}" for i in range(400)], k=9)) for _ in range(16)]
+    for docs in (40, 100):
+        rows = [(i, " ".join(s for k, s in enumerate(sentences) if k not in set(rng.sample(range(16), 5)))) for i in range(docs)]
+        got = [tuple(r) for r in jaccard.jaccard_components(docs_of(spark, rows), 3, 75, 100).collect()]
+        assert sorted(got) == sorted(brute_components(rows, 3, 75, 100))
+    assert len(counted) == 2 and all(given > 0 for given, _, _ in counted)
+    assert counted[1][0] > counted[0][0] and all(out <= jaccard.COPIES**jaccard.DEPTH * given for given, out, _ in counted)
+
+
 def test_jaccard_empty(spark):
     assert jaccard.jaccard_components(docs_of(spark, []), 4, 85, 100).count() == 0
     only = jaccard.jaccard_components(docs_of(spark, [(1, None), (None, "a b c d e"), (None, "a b c d e")]), 4, 85, 100).collect()
