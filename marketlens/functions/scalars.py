@@ -114,6 +114,21 @@ def derivative_rules(metric: Column, unit: Column, value: Column) -> list[tuple[
     ]
 
 
+def request_rules() -> list[tuple[str, Column]]:
+    """Rules of a logged request: status, attempts, sha, returned_rows, persisted_rows, direction, path."""
+    c = F.col
+    failed = c("status") == "failed"
+    return [
+        ("status", c("status").isin("success", "empty", "failed")),
+        ("attempts", c("attempts").between(0, 1)),
+        ("rows", c("returned_rows").between(0, 1000) & c("persisted_rows").between(0, 1000)),
+        ("direction", c("direction").isin("backward", "forward")),
+        ("path", c("path").startswith("/") & ~F.contains("path", F.lit("?"))),
+        ("evidence", failed | ((c("attempts") == 1) & c("sha").isNotNull())),
+        ("failure", ~failed | (c("sha").isNull() & (c("persisted_rows") == 0))),
+    ]
+
+
 def event_rules(precision: Column, day: Column, ts: Column, title: Column) -> list[tuple[str, Column]]:
     return [
         ("precision", precision.isin("date", "time", "unconfirmed")),

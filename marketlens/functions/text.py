@@ -18,6 +18,17 @@ def url_host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+#: Assets whose news are archived.
+ARCHIVED_ASSETS = ("BTC", "SPY", "GOLD", "MACRO")
+
+
+def archivable(url: Column, asset: Column, title: Column) -> Column:
+    """Whether a news item is archived: an asset of the list, https with a host and without user data, at most 2,048
+    characters, and a title that is not blank."""
+    safe = url.startswith("https://") & ~url.rlike("^https://[^/?#]*@") & ~url.rlike("^https://([/?#]|$)") & (F.length(url) <= 2048)
+    return F.coalesce(asset.isin(*ARCHIVED_ASSETS) & safe & (F.trim(title) != ""), F.lit(False))
+
+
 def canonical_url(url: Column) -> Column:
     """Lower-case scheme and host, no trailing /, no fragment, no tracking parameters nor ones without a value, the
     others sorted by name and value. Percent-encoding stays as it is."""

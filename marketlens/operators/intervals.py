@@ -2,17 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.operators.stretches import units
 
-def point_in_window(points: DataFrame, windows: DataFrame, key: str, at: str, start: str, end: str, days: int = 32) -> DataFrame:
-    """Points with the windows [start, end) of their key that hold them.
+#: Levels of dyadic cells: windows of up to 2^LEVELS units.
+LEVELS = 40
 
-    Each window is put into the buckets of `days` days that it touches, so that the join is an equi-join on key and
-    bucket, however long the table of windows is. Buckets near a usual window's length keep the copies few.
+
+def dyadic_cells(first: Column, end: Column, levels: int = LEVELS) -> Column:
+    """The array of (level, cell) that cover the whole units [first, end) exactly: cell c of level k is [c 2^k, (c + 1) 2^k).
+
+    At each level at most one cell on the left and one on the right, so at most two for each doubling of the length.
+    """
+
+    right_by = lambda x, k: F.call_function("shiftright", x, k)
+
+    def at(k: Column) -> Column:
+        lo = -right_by(-first, k)  # rounded up
+        hi = right_by(end, k)
+        odd = lambda x: F.pmod(x, F.lit(2)) == 1
+        left = F.when((lo < hi) & odd(lo), F.struct(k.alias("level"), lo.alias("cell")))
+        right = F.when((lo + F.when(odd(lo), 1).otherwise(0) < hi) & odd(hi), F.struct(k.alias("level"), (hi - 1).alias("cell")))
+        return F.array(left, right)
+
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), at)))
+
+
+def point_in_window(points: DataFrame, windows: DataFrame, key: str, at: str, start: str, end: str) -> DataFrame:
+    """Points with the windows [start, end) of their key that hold them; days, seconds of timestamps, or whole numbers.
+
+    A window is cut into dyadic cells, O(log length) of them, and a point looks in one cell of each level that some window
+    uses: an equi-join on key, level and cell, whatever the windows' lengths are. A point and a window meet in exactly
+    one cell, so no pair comes twice. Null keys and bounds join nothing; empty windows hold nothing.
     """
-    bucket = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / days)
-    w = windows.where(F.col(start) < F.col(end)).withColumn("_b", F.explode(F.sequence(bucket(F.col(start)), bucket(F.date_sub(F.col(end), 1)))))
-    p = points.withColumn("_b", bucket(F.col(at)))
-    return p.join(w, [key, "_b"]).where((F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))).drop("_b")
+    cells = windows.where(F.col(start) < F.col(end)).withColumn("_d", F.explode(dyadic_cells(units(windows, start).cast("long"), units(windows, end).cast("long"))))
+    cells = cells.select("*", F.col("_d.level").alias("_level"), F.col("_d.cell").alias("_cell")).drop("_d")
+    used = [r[0] for r in cells.select("_level").distinct().orderBy("_level").collect()]  # LEVELS + 1 at most
+    t = units(points, at).cast("long")
+    looks = F.array(*[F.struct(F.lit(k).alias("_level"), F.shiftright(t, k).alias("_cell")) for k in used]).cast("array<struct<_level:int,_cell:bigint>>")
+    return points.select("*", F.inline(looks)).join(cells, [key, "_level", "_cell"]).drop("_level", "_cell")

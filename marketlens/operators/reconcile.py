@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions.scalars import close_to
+from marketlens.operators.stretches import cut, positions, with_side
 
 
 # --- sinks as table functions: (stored, incoming) -> new state, ready to be written ----------------------------
@@ -55,11 +56,12 @@ def accept_pages(rows: DataFrame, page: str) -> DataFrame:
     return rows.join(bad, page, "left_anti").where("state = 'new'")
 
 
-def next_versions(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Incoming reports with the versions that follow the stored ones."""
+def next_versions(old: DataFrame, new: DataFrame, keys: list[str], order: str, width: float | None = None) -> DataFrame:
+    """Incoming reports with the versions that follow the stored ones, without a gap; a key's reports are numbered in
+    stretches of `order`, by the rows of the stretches before."""
     top = old.groupBy(*keys).agg(F.max("version").alias("_v"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    return new.withColumn("_r", rank).join(top, keys, "left").withColumn("version", (F.coalesce("_v", F.lit(0)) + F.col("_r")).cast("long")).drop("_v", "_r")
+    rows = with_side(positions(cut(new, keys, order, width), keys, [order]), top, keys)
+    return rows.withColumn("version", (F.coalesce("_v", F.lit(0)) + F.col("_pos") + 1).cast("long")).drop("_v", "_pos", "_c")
 
 
 def reconcile_window(old: DataFrame, new: DataFrame, keys: list[str], value: str, tolerance: float = 1e-4) -> DataFrame:
@@ -102,13 +104,73 @@ def merge_evidence(newer: DataFrame, legacy: DataFrame, keys: list[str], capture
 
 
 # --- reconciliation ----------------------------------------------------------------------------------------------
-def two_way(raw: DataFrame, stored: DataFrame, keys: list[str], value: str, absolute: float = 1e-12, relative: float = 1e-10) -> DataFrame:
-    """Differences between decoded and stored rows: MISSING (only raw), EXTRA (only stored) or VALUE."""
-    a = raw.select(*keys, F.col(value).alias("raw_value"), F.lit(True).alias("_a"))
-    b = stored.select(*keys, F.col(value).alias("stored_value"), F.lit(True).alias("_b"))
+def two_way(raw: DataFrame, stored: DataFrame, keys: list[str], value: str, absolute: float = 1e-12, relative: float = 1e-10, same: dict[str, str] | None = None, near: dict[str, str] | None = None) -> DataFrame:
+    """Differences between decoded and stored rows: MISSING (only raw), EXTRA (only stored) or else the first of VALUE
+    and what further columns tell. same: {column: issue} of columns that must be equal, NULL like NULL (unit, endpoint);
+    near: of numbers that must agree like the value, where the payload has one (quote)."""
+    same, near = same or {}, near or {}
+    more = [*same, *near]
+    a = raw.select(*keys, F.col(value).alias("raw_value"), *[F.col(c).alias(f"_a_{c}") for c in more], F.lit(True).alias("_a"))
+    b = stored.select(*keys, F.col(value).alias("stored_value"), *[F.col(c).alias(f"_b_{c}") for c in more], F.lit(True).alias("_b"))
     j = a.join(b, keys, "full_outer")
-    issue = F.when(F.col("_b").isNull(), "MISSING").when(F.col("_a").isNull(), "EXTRA").when(~close_to(F.col("raw_value"), F.col("stored_value"), absolute, relative), "VALUE")
-    return j.withColumn("issue", issue).where("issue is not null").drop("_a", "_b")
+    agree = lambda x, y: F.coalesce(close_to(F.col(x), F.col(y), absolute, relative), F.lit(False))
+    issue = F.when(F.col("_b").isNull(), "MISSING").when(F.col("_a").isNull(), "EXTRA").when(~agree("raw_value", "stored_value"), "VALUE")
+    for c, name in same.items():
+        issue = issue.when(~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")), name)
+    for c, name in near.items():
+        issue = issue.when(F.col(f"_a_{c}").isNotNull() & ~agree(f"_a_{c}", f"_b_{c}"), name)
+    return j.select(*keys, "raw_value", "stored_value", issue.alias("issue")).where("issue is not null")
+
+
+def receipt_reconstruction(decoded: DataFrame, stored: DataFrame, keys: list[str], receipt: str, digest: str) -> DataFrame:
+    """Per receipt: what its payload, decoded again, and the stored rows that name it say about each other.
+
+    decoded: keys, receipt, digest; stored: keys, receipt (the owner), digest. n decoded rows; missing: not stored with
+    this digest under any owner; extra: stored under this receipt and in no payload; origin: stored under this receipt, but
+    another one's payload holds the row, or this one's holds it with another digest. Receipts without a fault are left out.
+    """
+    d = decoded.select(*keys, F.col(receipt).alias("_from"), F.col(digest).alias("_want"))
+    s = stored.select(*keys, F.col(receipt).alias("_owner"), F.col(digest).alias("_have"))
+    j = d.join(s, keys, "full_outer")
+    have = F.col("_have").isNotNull()
+    facts = F.array(
+        F.struct(F.col("_from").alias(receipt), F.lit(1).alias("n"), (~F.col("_want").eqNullSafe(F.col("_have"))).cast("int").alias("missing"), F.lit(0).alias("extra"), F.lit(0).alias("origin")),
+        F.struct(F.col("_owner").alias(receipt), F.lit(0).alias("n"), F.lit(0).alias("missing"), (have & F.col("_from").isNull()).cast("int").alias("extra"), (have & ~(F.col("_from").eqNullSafe(F.col("_owner")) & F.col("_want").eqNullSafe(F.col("_have")))).cast("int").alias("origin")),
+    )
+    g = j.select(F.inline(facts)).where(F.col(receipt).isNotNull()).groupBy(receipt).agg(*[F.sum(c).cast("long").alias(c) for c in ("n", "missing", "extra", "origin")])
+    return g.where("missing + extra + origin > 0")
+
+
+def page_issues(rows: DataFrame, pages: DataFrame, page: str, at: str) -> DataFrame:
+    """(page, issue): rows (page, epoch second) against what was asked for (page, frequency, begin, stop).
+
+    All: outside [begin, stop), and a time twice. `d1`, `monthly` and `weekly`: midnight. `5m`: whole multiples of 300
+    seconds, from begin to the last bar before stop, without a gap. A page without rows has no issue here.
+    """
+    r = rows.join(pages, page)
+    t, five = F.col(at), F.col("frequency") == "5m"
+    g = r.groupBy(page).agg(
+        F.first(five).alias("five"), F.first(F.col("frequency").isin("d1", "monthly", "weekly")).alias("dated"), F.first("begin").alias("begin"), F.first("stop").alias("stop"),
+        F.max((t < F.col("begin")) | (t >= F.col("stop"))).alias("outside"), F.count("*").alias("n"), F.count_distinct(at).alias("d"), F.min(at).alias("lo"), F.max(at).alias("hi"),
+        F.max(F.pmod(t, F.lit(86400)) != 0).alias("off_day"), F.max(F.pmod(t, F.lit(300)) != 0).alias("off_grid"),
+    )
+    c = F.col
+    rules = [
+        ("outside", c("outside")), ("twice", c("n") > c("d")), ("not midnight", c("dated") & c("off_day")), ("not aligned", c("five") & c("off_grid")),
+        ("begins late", c("five") & (c("lo") != c("begin"))), ("ends early", c("five") & ((F.pmod(c("stop") - c("begin"), F.lit(300)) != 0) | (c("hi") != c("stop") - 300))),
+        ("gap", c("five") & ((c("hi") - c("lo")) / 300 + 1 != c("d"))),
+    ]
+    return g.select(page, F.explode(F.array_compact(F.array(*[F.when(broken, name) for name, broken in rules]))).alias("issue"))
+
+
+def contract_issues(df: DataFrame, contracts: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that no contract allows, with the first column (in the order given) that no contract has behind the values of
+    those before it. contracts: the allowed combinations, a small table of rules."""
+    for i in range(1, len(columns) + 1):
+        known = F.broadcast(contracts.select(*columns[:i]).distinct().withColumn(f"_k{i}", F.lit(True)))
+        df = df.join(known, columns[:i], "left")
+    issue = F.coalesce(*[F.when(F.col(f"_k{i}").isNull(), c) for i, c in enumerate(columns, 1)])
+    return df.withColumn("issue", issue).where("issue is not null").drop(*[f"_k{i}" for i in range(1, len(columns) + 1)])
 
 
 def equal_key_sets(a: DataFrame, b: DataFrame, group: str, keys: list[str]) -> DataFrame:

@@ -90,20 +90,25 @@ def s11_html_flows(spark, sf_dir):
     return dc.html_flow_table(g.select(html.alias("html"))).select("ticker", "date", F.round("flow", 2).alias("flow"))
 
 
+def feed_part():
+    """The feed that a row goes to: 4,096 rows of a task make one, so there are more of them as a table grows."""
+    return F.shiftright(F.monotonically_increasing_id(), 12)
+
+
 @register("SELECT id::VARCHAR AS uid, 'Claim of ' || asset AS title, created AS day, CASE WHEN id % 3 = 0 THEN 'date' WHEN id % 3 = 1 THEN 'time' ELSE 'unconfirmed' END AS \"precision\" FROM claims")
 def s12_calendar(spark, sf_dir):
     c = view(spark, sf_dir, "claims")
     d = F.date_format("created", "yyyyMMdd")
     start = F.when(F.col("id") % 3 == 0, F.concat(F.lit("DTSTART;VALUE=DATE:"), d)).when(F.col("id") % 3 == 1, F.concat(F.lit("DTSTART:"), d, F.lit("T133000Z"))).otherwise(F.concat(F.lit("DTSTART;TZID=Mars/Base:"), d, F.lit("T080000")))
     event = F.concat(F.lit("BEGIN:VEVENT\r\nUID:"), F.col("id").cast("string"), F.lit("\r\n"), start, F.lit("\r\nSUMMARY:Claim\r\n  of "), F.col("asset"), F.lit("\r\nEND:VEVENT\r\n"))
-    g = c.groupBy(F.year("created").alias("_y"), (F.col("id") % 64).alias("_p")).agg(F.concat(F.lit("BEGIN:VCALENDAR\r\n"), F.array_join(F.collect_list(event), ""), F.lit("END:VCALENDAR")).alias("body"))
+    g = c.groupBy(feed_part()).agg(F.concat(F.lit("BEGIN:VCALENDAR\r\n"), F.array_join(F.collect_list(event), ""), F.lit("END:VCALENDAR")).alias("body"))
     return dc.ical_events(g.select("body")).select("uid", "title", "day", "precision")
 
 
 @register("SELECT id || ':' || created AS key, asset AS title, created AS day, 'date' AS \"precision\" FROM claims")
 def s13_release_dates(spark, sf_dir):
     r = F.struct(F.col("id").cast("int").alias("release_id"), F.col("asset").alias("release_name"), F.col("created").cast("string").alias("date"))
-    g = view(spark, sf_dir, "claims").groupBy(F.year("created").alias("_y"), (F.col("id") % 64).alias("_p")).agg(F.to_json(F.struct(F.collect_list(r).alias("release_dates"))).alias("body"))
+    g = view(spark, sf_dir, "claims").groupBy(feed_part()).agg(F.to_json(F.struct(F.collect_list(r).alias("release_dates"))).alias("body"))
     return dc.release_dates(g.select("body"))
 
 
@@ -114,9 +119,7 @@ def s14_feed_items(spark, sf_dir):
     at = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 40).cast("int")).cast("timestamp"), "EEE, d MMM yyyy HH:mm:ss 'GMT'")
     host = F.when(F.col("doc_id") % 6 == 0, "https://spam.example.org/").otherwise("https://news.example.com/")
     item = F.concat(F.lit("<item><title>Title "), F.col("doc_id").cast("string"), F.lit("</title><link>"), host, F.col("doc_id").cast("string"), F.lit("</link><pubDate>"), at, F.lit("</pubDate><description>&lt;p&gt;Body&lt;/p&gt;</description></item>"))
-    # feeds of a source's items from 4,096 rows of a task: far below the size cap, and more of them as the table grows
-    part = F.shiftright(F.monotonically_increasing_id(), 12).alias("part")
-    feeds = d.select("source", part, item.alias("item")).groupBy("source", "part").agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list("item"), ""), F.lit("</channel></rss>")).alias("body"))
+    feeds = d.select("source", feed_part().alias("part"), item.alias("item")).groupBy("source", "part").agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list("item"), ""), F.lit("</channel></rss>")).alias("body"))
     return dc.feed_items(feeds, F.lit("2024-02-05").cast("timestamp"), domains=("news.example.com",), most=4, per=["source"]).select("source", "url")
 
 
@@ -149,6 +152,23 @@ def s17_payload_shape(spark, sf_dir):
     return s.withColumn("min_bytes", F.col("min_bytes").cast("long")).withColumn("max_bytes", F.col("max_bytes").cast("long"))
 
 
+#: Bodies with nested objects and arrays of mixed types; every seventh is broken.
+_BODY = """b AS (SELECT event_id AS id, event_type, CASE WHEN event_id % 7 = 0 THEN '{"p":' ELSE '{"p":' || props || ',"tags":["' || event_type || '",' || event_id || CASE WHEN event_id % 3 = 0 THEN ',null' ELSE '' END || CASE WHEN event_id % 5 = 0 THEN ',{"deep":[true,1.5]}' ELSE '' END || ']}' END AS body FROM events),
+g AS (SELECT *, id % 3 = 0 AS nulls, id % 5 = 0 AS deep, 2 + (id % 3 = 0)::INT + (id % 5 = 0)::INT AS tags FROM b WHERE id % 7 <> 0)"""
+
+
+@register(f"""WITH {_BODY}, r(path, kind, n, min_length, max_length) AS (
+  SELECT '$', 'malformed', count(*), NULL::BIGINT, NULL::BIGINT FROM b WHERE id % 7 = 0 UNION ALL SELECT '$', 'object', count(*), 2, 2 FROM g UNION ALL SELECT '$.p', 'object', count(*), 1, 1 FROM g UNION ALL SELECT '$.p.k', 'number', count(*), NULL, NULL FROM g
+  UNION ALL SELECT '$.tags', 'array', count(*), min(tags), max(tags) FROM g UNION ALL SELECT '$.tags[]', 'string', count(*), min(length(event_type)), max(length(event_type)) FROM g UNION ALL SELECT '$.tags[]', 'number', count(*), NULL, NULL FROM g
+  UNION ALL SELECT '$.tags[]', 'null', count(*), NULL, NULL FROM g WHERE nulls UNION ALL SELECT '$.tags[]', 'object', count(*), 1, 1 FROM g WHERE deep UNION ALL SELECT '$.tags[].deep', 'array', count(*), 2, 2 FROM g WHERE deep
+  UNION ALL SELECT '$.tags[].deep[]', 'boolean', count(*), NULL, NULL FROM g WHERE deep UNION ALL SELECT '$.tags[].deep[]', 'number', count(*), NULL, NULL FROM g WHERE deep) SELECT * FROM r WHERE n > 0""")
+def s17_payload_types(spark, sf_dir):
+    k = F.col("event_id")
+    null, deep = F.when(k % 3 == 0, ",null").otherwise(""), F.when(k % 5 == 0, ',{"deep":[true,1.5]}').otherwise("")
+    body = F.concat(F.lit('{"p":'), F.col("props"), F.lit(',"tags":["'), F.col("event_type"), F.lit('",'), k.cast("string"), null, deep, F.lit("]}"))
+    return dc.payload_types(table(spark, sf_dir, "events").select(F.when(k % 7 == 0, '{"p":').otherwise(body).alias("body")))
+
+
 @register("""SELECT symbol, day, close, 'first' AS "only" FROM bars_daily WHERE day(day) IN (7, 9) UNION ALL SELECT symbol, day, close + 1, 'second' FROM bars_daily WHERE day(day) = 7""")
 def j20_parsers_agree(spark, sf_dir):
     """The second parser is made to read another value on the 7th of each month and to lose the 9th."""

@@ -46,12 +46,14 @@ def k4_revisions(spark, sf_dir):
     return r.select(*K, get("old_json").alias("old_value"), get("new_json").alias("new_value"))
 
 
-@register("""WITH j AS (SELECT r.l_orderkey, r.l_linenumber, r.l_orderkey // 8 AS page, CASE WHEN s.value IS NULL THEN 'new' WHEN s.value = r.value THEN 'replay' ELSE 'conflict' END AS state FROM raw_values r LEFT JOIN stored_values s USING (l_orderkey, l_linenumber))
-SELECT l_orderkey, l_linenumber, page FROM j WHERE state = 'new' AND page NOT IN (SELECT page FROM j WHERE state = 'conflict')""")
+@register("""WITH r AS (SELECT l_orderkey, l_linenumber, min(value) AS value, l_orderkey // 8 AS page FROM raw_values GROUP BY 1, 2), s AS (SELECT l_orderkey, l_linenumber, min(value) AS value FROM stored_values GROUP BY 1, 2),
+j AS (SELECT r.*, s.value AS old FROM r LEFT JOIN s ON s.l_orderkey = r.l_orderkey AND s.l_linenumber = r.l_linenumber), bad AS (SELECT DISTINCT page FROM j WHERE old <> value)
+SELECT l_orderkey, l_linenumber, j.page FROM j LEFT JOIN bad ON bad.page = j.page WHERE old IS NULL AND bad.page IS NULL""")
 def k5_append_only(spark, sf_dir):
-    h = F.sha2(F.col("value").cast("string"), 256)
-    page = raw(spark, sf_dir).withColumn("digest", h).withColumn("page", F.expr("l_orderkey div 8"))
-    rows = rec.append_only(stored(spark, sf_dir).withColumn("digest", h), page, K, "digest")
+    """Pages are eight orders; of a key's several values the least is taken on both sides."""
+    least = lambda df: df.groupBy(*K).agg(F.min("value").alias("value")).withColumn("digest", F.sha2(F.col("value").cast("string"), 256))
+    page = least(raw(spark, sf_dir)).withColumn("page", F.expr("l_orderkey div 8"))
+    rows = rec.append_only(least(stored(spark, sf_dir)), page, K, "digest")
     return rec.accept_pages(rows, "page").select(*K, "page")
 
 
@@ -65,8 +67,8 @@ def k6_purge_open_day(spark, sf_dir):
 SELECT c.id, c.asset, c.status, coalesce(top, 0) + row_number() OVER (PARTITION BY c.asset, c.status ORDER BY c.id) AS version FROM claims c LEFT JOIN o ON o.asset = c.asset AND o.status = c.status WHERE c.created >= DATE '1998-01-01'""")
 def k7_versions(spark, sf_dir):
     c = view(spark, sf_dir, "claims")
-    rank = F.row_number().over(Window.partitionBy("asset", "status").orderBy("id"))
-    old = c.where("created < date'1998-01-01'").withColumn("version", rank)
+    old = c.where("created < date'1998-01-01'")
+    old = rec.next_versions(old.withColumn("version", F.lit(0)).limit(0), old, ["asset", "status"], "id")
     return rec.next_versions(old, c.where("created >= date'1998-01-01'").select("id", "asset", "status"), ["asset", "status"], "id")
 
 
@@ -110,22 +112,44 @@ def j13_evidence_merge(spark, sf_dir):
     return rec.merge_evidence(b.where("n % 3 = 0"), b.where("n % 3 != 0"), ["k"], "captured", "unit").select("k", "state", "origin")
 
 
-@register("""SELECT coalesce(r.l_orderkey, s.l_orderkey) AS l_orderkey, coalesce(r.l_linenumber, s.l_linenumber) AS l_linenumber, r.value AS raw_value, s.value AS stored_value,
-  CASE WHEN s.value IS NULL THEN 'MISSING' WHEN r.value IS NULL THEN 'EXTRA' ELSE 'VALUE' END AS issue FROM raw_values r FULL OUTER JOIN (SELECT l_orderkey, l_linenumber, value FROM stored_values UNION ALL SELECT -l_orderkey - 1, l_linenumber, value FROM stored_values WHERE l_orderkey % 101 = 0) s ON r.l_orderkey = s.l_orderkey AND r.l_linenumber = s.l_linenumber
-WHERE s.value IS NULL OR r.value IS NULL OR abs(r.value - s.value) > greatest(1e-12, abs(r.value) * 1e-10)""")
+#: Payload rows with a unit, a quote (of every other line) and an endpoint; the store has them wrong for some orders.
+_TWO = """r AS (SELECT l_orderkey, l_linenumber, value, 'btc' AS unit, CASE WHEN l_linenumber % 2 = 0 THEN value * 3 END AS quote, '/v5/open-interest' AS endpoint FROM raw_values),
+s AS (SELECT l_orderkey, l_linenumber, value, CASE WHEN l_orderkey % 83 = 0 THEN NULL WHEN l_orderkey % 79 = 0 THEN 'usd' ELSE 'btc' END AS unit, CASE WHEN l_orderkey % 71 = 0 THEN NULL ELSE value * 3 END AS quote, CASE WHEN l_orderkey % 73 = 0 THEN '/v5/funding' ELSE '/v5/open-interest' END AS endpoint FROM stored_values
+  UNION ALL SELECT -l_orderkey - 1, l_linenumber, value, 'btc', NULL, '/v5/open-interest' FROM stored_values WHERE l_orderkey % 101 = 0)"""
+
+
+@register(f"""WITH {_TWO}, j AS (SELECT coalesce(r.l_orderkey, s.l_orderkey) AS l_orderkey, coalesce(r.l_linenumber, s.l_linenumber) AS l_linenumber, r.value AS raw_value, s.value AS stored_value,
+  CASE WHEN s.value IS NULL THEN 'MISSING' WHEN r.value IS NULL THEN 'EXTRA' WHEN abs(r.value - s.value) > greatest(1e-12, abs(r.value) * 1e-10) THEN 'VALUE' WHEN r.unit IS DISTINCT FROM s.unit THEN 'UNIT' WHEN r.endpoint IS DISTINCT FROM s.endpoint THEN 'ENDPOINT'
+    WHEN r.quote IS NOT NULL AND (s.quote IS NULL OR abs(r.quote - s.quote) > greatest(1e-12, abs(r.quote) * 1e-10)) THEN 'QUOTE' END AS issue
+  FROM r FULL OUTER JOIN s ON r.l_orderkey = s.l_orderkey AND r.l_linenumber = s.l_linenumber)
+SELECT * FROM j WHERE issue IS NOT NULL""")
 def j14_two_way_reconcile(spark, sf_dir):
+    k, path = F.col("l_orderkey"), "/v5/open-interest"
+    quote = F.col("value") * 3
+    a = raw(spark, sf_dir).select(*K, "value", F.lit("btc").alias("unit"), F.when(F.col("l_linenumber") % 2 == 0, quote).alias("quote"), F.lit(path).alias("endpoint"))
+    unit = F.when(k % 83 == 0, F.lit(None)).when(k % 79 == 0, "usd").otherwise("btc")
     kept = stored(spark, sf_dir)
-    more = kept.where("l_orderkey % 101 = 0").withColumn("l_orderkey", -F.col("l_orderkey") - 1)  # rows that no payload has
-    return rec.two_way(raw(spark, sf_dir), kept.unionByName(more), K, "value")
+    b = kept.select(*K, "value", unit.alias("unit"), F.when(k % 71 != 0, quote).alias("quote"), F.when(k % 73 == 0, "/v5/funding").otherwise(path).alias("endpoint"))
+    more = kept.where("l_orderkey % 101 = 0").select((-k - 1).alias("l_orderkey"), "l_linenumber", "value", F.lit("btc").alias("unit"), F.lit(None).cast("double").alias("quote"), F.lit(path).alias("endpoint"))  # rows that no payload has
+    return rec.two_way(a, b.unionByName(more), K, "value", same={"unit": "UNIT", "endpoint": "ENDPOINT"}, near={"quote": "QUOTE"})
+
 
+#: A receipt's payload is eight orders; the store names the next receipt as the owner of some, and has rows of its own.
+_RECEIPTS = """d AS (SELECT l_orderkey, l_linenumber, min(value) AS value, l_orderkey // 8 AS receipt FROM raw_values GROUP BY 1, 2),
+s AS (SELECT l_orderkey, l_linenumber, min(value) AS value, l_orderkey // 8 + CASE WHEN l_orderkey % 103 = 0 THEN 1 ELSE 0 END AS receipt FROM stored_values GROUP BY 1, 2
+  UNION ALL SELECT l_orderkey, l_linenumber + 100, min(value), l_orderkey // 8 FROM stored_values WHERE l_orderkey % 107 = 0 GROUP BY 1, 2)"""
 
-@register("""WITH j AS (SELECT coalesce(r.l_orderkey, s.l_orderkey) AS k, r.value AS a, s.value AS b FROM raw_values r FULL OUTER JOIN stored_values s ON r.l_orderkey = s.l_orderkey AND r.l_linenumber = s.l_linenumber)
-SELECT k AS l_orderkey, count(*) AS n, count(*) FILTER (b IS NULL) AS missing, count(*) FILTER (a IS NULL) AS extra, count(*) FILTER (a <> b) AS differing FROM j GROUP BY k HAVING missing + extra + differing > 0""")
+
+@register(f"""WITH {_RECEIPTS}, a AS (SELECT d.receipt, count(*) AS n, count(*) FILTER (s.value IS DISTINCT FROM d.value) AS missing FROM d LEFT JOIN s ON s.l_orderkey = d.l_orderkey AND s.l_linenumber = d.l_linenumber GROUP BY 1),
+b AS (SELECT s.receipt, count(*) FILTER (d.value IS NULL) AS extra, count(*) FILTER (d.receipt IS DISTINCT FROM s.receipt OR d.value IS DISTINCT FROM s.value) AS origin FROM s LEFT JOIN d ON s.l_orderkey = d.l_orderkey AND s.l_linenumber = d.l_linenumber GROUP BY 1)
+SELECT coalesce(a.receipt, b.receipt) AS receipt, coalesce(n, 0) AS n, coalesce(missing, 0) AS missing, coalesce(extra, 0) AS extra, coalesce(origin, 0) AS origin FROM a FULL OUTER JOIN b ON a.receipt = b.receipt WHERE coalesce(missing, 0) + coalesce(extra, 0) + coalesce(origin, 0) > 0""")
 def j15_receipt_reconstruction(spark, sf_dir):
-    h = lambda df, n: df.select(*K, F.sha2(F.col("value").cast("string"), 256).alias(n))
-    j = h(raw(spark, sf_dir), "_a").join(h(stored(spark, sf_dir), "_b"), K, "full_outer")
-    g = j.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_if(F.col("_b").isNull()).alias("missing"), F.count_if(F.col("_a").isNull()).alias("extra"), F.count_if(F.col("_a") != F.col("_b")).alias("differing"))
-    return g.where("missing + extra + differing > 0")
+    least = lambda df: df.groupBy(*K).agg(F.min("value").alias("value")).withColumn("digest", F.sha2(F.col("value").cast("string"), 256))
+    receipt = F.expr("l_orderkey div 8")
+    s = least(stored(spark, sf_dir))
+    more = s.where("l_orderkey % 107 = 0").withColumn("l_linenumber", F.col("l_linenumber") + 100).withColumn("receipt", receipt)
+    s = s.withColumn("receipt", receipt + F.when(F.col("l_orderkey") % 103 == 0, 1).otherwise(0)).unionByName(more)
+    return rec.receipt_reconstruction(least(raw(spark, sf_dir)).withColumn("receipt", receipt), s, K, "receipt", "digest")
 
 
 @register("""WITH m AS (SELECT l_orderkey, count(*) AS n, round(sum(value), 2) AS s FROM raw_values GROUP BY 1), g AS (SELECT l_orderkey, count(*) AS n, round(sum(value), 2) AS s FROM stored_values GROUP BY 1)
@@ -169,24 +193,59 @@ def p11_event_rules(spark, sf_dir):
     return e.select("event_id", sc.first_failing(sc.event_rules(p, F.to_date("ts"), t, F.col("event_type")), "ok").alias("verdict"))
 
 
-@register("""SELECT series_id, start_day, CASE WHEN (status = 'ok') <> (points > 0) THEN 'status' WHEN points > 40 THEN 'attempts' WHEN end_day < start_day THEN 'direction' ELSE 'ok' END AS verdict FROM receipts""")
+#: Each rule is broken by some series, the first one that fails is told.
+_P12 = """x AS (SELECT series_id, start_day, CASE WHEN series_id % 20 = 1 THEN 'done' WHEN status = 'ok' THEN 'success' ELSE 'failed' END AS status, CASE WHEN series_id % 20 = 2 THEN 2 ELSE 1 END AS attempts,
+  CASE WHEN (status = 'ok') <> (series_id % 20 = 3) THEN md5(series_id::VARCHAR) END AS sha, CASE WHEN series_id % 20 = 4 THEN 1001 ELSE points END AS returned_rows, CASE WHEN status <> 'ok' AND series_id % 20 <> 5 THEN 0 ELSE points END AS persisted_rows,
+  CASE series_id % 20 WHEN 6 THEN 'sideways' WHEN 7 THEN 'forward' ELSE 'backward' END AS direction, CASE series_id % 20 WHEN 8 THEN 'v5/oi' WHEN 9 THEN '/v5/oi?key=1' ELSE '/v5/oi' END AS path FROM receipts)"""
+
+
+@register(f"""WITH {_P12} SELECT series_id, start_day, CASE WHEN status NOT IN ('success', 'empty', 'failed') THEN 'status' WHEN attempts NOT BETWEEN 0 AND 1 THEN 'attempts' WHEN returned_rows NOT BETWEEN 0 AND 1000 OR persisted_rows NOT BETWEEN 0 AND 1000 THEN 'rows'
+  WHEN direction NOT IN ('backward', 'forward') THEN 'direction' WHEN NOT starts_with(path, '/') OR strpos(path, '?') > 0 THEN 'path' WHEN status <> 'failed' AND (attempts <> 1 OR sha IS NULL) THEN 'evidence' WHEN status = 'failed' AND (sha IS NOT NULL OR persisted_rows > 0) THEN 'failure' ELSE 'ok' END AS verdict FROM x""")
 def p12_lineage_rules(spark, sf_dir):
-    rules = [("status", (F.col("status") == "ok") == (F.col("points") > 0)), ("attempts", F.col("points") <= 40), ("direction", F.col("end_day") >= F.col("start_day"))]
-    return view(spark, sf_dir, "receipts").select("series_id", "start_day", sc.first_failing(rules, "ok").alias("verdict"))
+    k = F.col("series_id") % 20
+    good = F.col("status") == "ok"
+    x = view(spark, sf_dir, "receipts").select(
+        "series_id", "start_day", F.when(k == 1, "done").when(good, "success").otherwise("failed").alias("status"), F.when(k == 2, 2).otherwise(1).alias("attempts"),
+        F.when(good != (k == 3), F.md5(F.col("series_id").cast("string"))).alias("sha"), F.when(k == 4, 1001).otherwise(F.col("points")).alias("returned_rows"), F.when(~good & (k != 5), 0).otherwise(F.col("points")).alias("persisted_rows"),
+        F.when(k == 6, "sideways").when(k == 7, "forward").otherwise("backward").alias("direction"), F.when(k == 8, "v5/oi").when(k == 9, "/v5/oi?key=1").otherwise("/v5/oi").alias("path"),
+    )
+    return x.select("series_id", "start_day", sc.first_failing(sc.request_rules(), "ok").alias("verdict"))
+
+
+#: Which metrics, frequencies and units the contracts of the providers allow.
+_CONTRACTS = [("urgent", "achieved", "5m", "btc"), ("urgent", "missed", "event", "fraction"), ("high", "achieved", "d1", "usd"), ("high", "partial", "d1", "usd"), ("high", "partial", "d1", "btc"), ("low", "missed", "monthly", "fraction"), ("low", "missed", "event", "usd")]
+_P13 = """x AS (SELECT id, lower(split_part(asset, '-', 2)) AS provider, status AS metric, CASE id % 4 WHEN 0 THEN 'd1' WHEN 1 THEN '5m' WHEN 2 THEN 'event' ELSE 'monthly' END AS frequency, CASE id % 3 WHEN 0 THEN 'btc' WHEN 1 THEN 'fraction' ELSE 'usd' END AS unit FROM claims)"""
 
 
-@register("""SELECT id, asset, status FROM claims WHERE (asset, status) NOT IN (VALUES ('1-URGENT', 'achieved'), ('1-URGENT', 'missed'), ('2-HIGH', 'partial'), ('5-LOW', 'achieved'))""")
+@register(f"""WITH {_P13}, c(provider, metric, frequency, unit) AS (VALUES {", ".join(map(str, _CONTRACTS))})
+SELECT id, provider, metric, frequency, unit, CASE WHEN provider NOT IN (SELECT provider FROM c) THEN 'provider' WHEN (provider, metric) NOT IN (SELECT (provider, metric) FROM c) THEN 'metric'
+  WHEN (provider, metric, frequency) NOT IN (SELECT (provider, metric, frequency) FROM c) THEN 'frequency' ELSE 'unit' END AS issue FROM x WHERE (provider, metric, frequency, unit) NOT IN (SELECT (provider, metric, frequency, unit) FROM c)""")
 def p13_series_contract(spark, sf_dir):
-    allowed = spark.createDataFrame([("1-URGENT", "achieved"), ("1-URGENT", "missed"), ("2-HIGH", "partial"), ("5-LOW", "achieved")], "asset string, status string")
-    return view(spark, sf_dir, "claims").select("id", "asset", "status").join(F.broadcast(allowed), ["asset", "status"], "left_anti")
+    pick = lambda *names: F.get(F.array(*[F.lit(n) for n in names]), (F.col("id") % len(names)).cast("int"))
+    x = view(spark, sf_dir, "claims").select("id", F.lower(F.split_part("asset", F.lit("-"), F.lit(2))).alias("provider"), F.col("status").alias("metric"), pick("d1", "5m", "event", "monthly").alias("frequency"), pick("btc", "fraction", "usd").alias("unit"))
+    allowed = spark.createDataFrame(_CONTRACTS, "provider string, metric string, frequency string, unit string")
+    return rec.contract_issues(x, allowed, ["provider", "metric", "frequency", "unit"])
+
+
+#: An order is a page, of daily rows or of 5-minute ones by its number, from its lines' numbers; some are moved.
+_P14 = """x AS (SELECT l_orderkey AS page, CASE WHEN l_orderkey % 2 = 0 THEN 'd1' ELSE '5m' END AS frequency, CASE WHEN l_orderkey % 2 = 0 THEN 86400 ELSE 300 END AS step, l_orderkey % 1000 * 86400 AS begin, l_linenumber AS k FROM lineitem),
+y AS (SELECT page, frequency, step, begin, k, begin + (k - 1) * step + CASE WHEN page % 11 = 0 AND k = 2 THEN 7 ELSE 0 END AS t FROM x),
+b AS (SELECT page, begin + max(k) * any_value(step) - CASE WHEN page % 17 = 0 THEN 100 ELSE 0 END - CASE WHEN page % 19 = 0 THEN any_value(step) ELSE 0 END AS stop FROM x GROUP BY page, begin)"""
 
 
-@register("""WITH p AS (SELECT l_orderkey AS page, min(l_shipdate) AS lo, max(l_shipdate) AS hi, bool_and(epoch(l_shipdate)::BIGINT % 86400 = 0) AS midnight, count(*) AS n FROM lineitem GROUP BY 1)
-SELECT page, midnight, hi - lo <= INTERVAL 60 DAY AS in_window, n >= 6 AS saturated FROM p""")
+@register(f"""WITH {_P14}, r AS (SELECT y.*, stop, t - lag(t) OVER (PARTITION BY y.page ORDER BY t) AS d, first_value(t) OVER (PARTITION BY y.page ORDER BY t) AS lo, last_value(t) OVER (PARTITION BY y.page ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS hi FROM y JOIN b ON b.page = y.page)
+SELECT DISTINCT page, unnest(list_filter([CASE WHEN t < begin OR t >= stop THEN 'outside' END, CASE WHEN d = 0 THEN 'twice' END, CASE WHEN frequency = 'd1' AND t % 86400 <> 0 THEN 'not midnight' END, CASE WHEN frequency = '5m' AND t % 300 <> 0 THEN 'not aligned' END,
+  CASE WHEN frequency = '5m' AND lo <> begin THEN 'begins late' END, CASE WHEN frequency = '5m' AND ((stop - begin) % 300 <> 0 OR hi <> stop - 300) THEN 'ends early' END, CASE WHEN frequency = '5m' AND d > 0 AND d <> 300 THEN 'gap' END], lambda i: i IS NOT NULL)) AS issue FROM r""")
 def p14_page_bounds(spark, sf_dir):
-    t = F.unix_timestamp(F.col("l_shipdate").cast("timestamp"))
-    p = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("page")).agg(F.min(t).alias("lo"), F.max(t).alias("hi"), F.bool_and(t % 86400 == 0).alias("midnight"), F.count("*").alias("n"))
-    return p.select("page", "midnight", (F.col("hi") - F.col("lo") <= 60 * 86400).alias("in_window"), (F.col("n") >= 6).alias("saturated"))
+    page, k = F.col("page"), F.col("l_linenumber")
+    x = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), "l_linenumber")
+    step = F.when(page % 2 == 0, 86400).otherwise(300)
+    begin = page % 1000 * 86400
+    rows = x.select("page", (begin + (k - 1) * step + F.when((page % 11 == 0) & (k == 2), 7).otherwise(0)).alias("t"))
+    pages = x.groupBy("page").agg(F.max("l_linenumber").alias("m"))
+    stop = begin + F.col("m") * step - F.when(page % 17 == 0, 100).otherwise(0) - F.when(page % 19 == 0, step).otherwise(0)
+    pages = pages.select("page", F.when(page % 2 == 0, "d1").otherwise("5m").alias("frequency"), begin.alias("begin"), stop.alias("stop"))
+    return rec.page_issues(rows, pages, "page", "t")
 
 
 @register("SELECT page, count(*) AS n FROM (SELECT l_orderkey AS page, count(*) OVER (PARTITION BY l_orderkey) AS c FROM lineitem) WHERE c >= 6 GROUP BY page")

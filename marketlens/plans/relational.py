@@ -31,6 +31,8 @@ _RANGES = [
     ("series", "5-LOW", 5000, "obs_date", "value", "''", f"macro_monthly WHERE series_id = '5-LOW' AND obs_date {_IN}", "obs_date"),
     ("unit", "3-MEDIUM", 200, "created", "points", "'usd|' || id", f"claims WHERE asset = '3-MEDIUM' AND created {_IN}", "created, id"),
     ("vintage", "3", 100, "observed_date", "value", "realtime_start", f"vintages WHERE series_id = 3 AND observed_date {_IN}", "observed_date, realtime_start"),
+    ("daily", "1-URGENT", 400, "day", "volume", "symbol", f"bars_daily JOIN (SELECT DISTINCT o_orderpriority AS name FROM orders) ON name = symbol WHERE name = '1-URGENT' AND day {_IN}", "day"),
+    ("news", "en", 90, "report_date", "doc_id", "'https://news.example.com/' || doc_id", f"(SELECT doc_id, lang, DATE '1997-01-01' + (doc_id % 400)::INT AS report_date FROM documents) WHERE lang = 'en' AND report_date {_IN}", "report_date, doc_id"),
     ("distribution", "click", 150, "slot::DATE", "close", "hour(slot)", f"bars_hourly WHERE symbol = 'click' AND slot::DATE {_IN}", "slot"),
 ]
 
@@ -47,6 +49,12 @@ def s2_range_scan(spark, sf_dir):
         "vintage": rel.Source(shaped(v("vintages"), "observed_date", "value", "realtime_start"), "series_id", "observed_date", ("realtime_start",), out),
         "distribution": rel.Source(shaped(v("bars_hourly"), "to_date(slot)", "close", "hour(slot)"), "symbol", "slot", (), out),
     }
+    # daily values are found by the name that a catalog gives their series
+    catalog = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("name")).distinct()
+    daily = v("bars_daily").join(catalog, F.col("symbol") == F.col("name"))
+    sources["daily"] = rel.Source(shaped(daily, "day", "volume", "symbol"), "name", "day", (), out)
+    news = table(spark, sf_dir, "documents").select("doc_id", "lang", F.date_add(F.lit("1997-01-01").cast("date"), (F.col("doc_id") % 400).cast("int")).alias("report_date"))
+    sources["news"] = rel.Source(shaped(news, "report_date", "doc_id", "concat('https://news.example.com/', doc_id)"), "lang", "report_date", ("doc_id",), out)
     parts = [rel.query_history(sources, p, metric, "1997-01-01", "2024-12-31", n).select(F.lit(p).alias("provider"), *out, "truncated") for p, metric, n, *_ in _RANGES]
     return reduce(DataFrame.unionByName, parts)
 
@@ -169,13 +177,19 @@ def j9_three_way(spark, sf_dir):
     return li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).select("l_orderkey", "l_linenumber", "o_custkey", "c_nationkey")
 
 
-@register("""SELECT v.series_id, v.realtime_start, r.start_day, count(*) AS points FROM vintages v JOIN receipts r ON r.series_id = v.series_id AND v.realtime_start >= r.start_day AND v.realtime_start < r.end_day GROUP BY 1, 2, 3""")
+#: Beside the receipts' windows of a month at most each series has one of 31 years and one of a day.
+@register("""WITH w AS (SELECT series_id, start_day, end_day FROM receipts UNION ALL SELECT DISTINCT series_id, DATE '1990-01-01', DATE '2021-01-01' FROM receipts UNION ALL SELECT series_id, min(start_day) + 9, min(start_day) + 10 FROM receipts GROUP BY 1)
+SELECT v.series_id, v.realtime_start, w.start_day, w.end_day, count(*) AS points FROM vintages v JOIN w ON w.series_id = v.series_id AND v.realtime_start >= w.start_day AND v.realtime_start < w.end_day GROUP BY 1, 2, 3, 4""")
 def j10_interval_join(spark, sf_dir):
     from marketlens.operators.intervals import point_in_window
 
     v = view(spark, sf_dir, "vintages").select("series_id", "realtime_start")
-    j = point_in_window(v, view(spark, sf_dir, "receipts").select("series_id", "start_day", "end_day"), "series_id", "realtime_start", "start_day", "end_day")
-    return j.groupBy("series_id", "realtime_start", "start_day").agg(F.count("*").alias("points"))
+    r = view(spark, sf_dir, "receipts").select("series_id", "start_day", "end_day")
+    long = r.select("series_id").distinct().select("series_id", F.make_date(F.lit(1990), F.lit(1), F.lit(1)).alias("start_day"), F.make_date(F.lit(2021), F.lit(1), F.lit(1)).alias("end_day"))
+    first = r.groupBy("series_id").agg(F.min("start_day").alias("_d"))
+    short = first.select("series_id", F.date_add("_d", 9).alias("start_day"), F.date_add("_d", 10).alias("end_day"))
+    j = point_in_window(v, r.unionByName(long).unionByName(short), "series_id", "realtime_start", "start_day", "end_day")
+    return j.groupBy("series_id", "realtime_start", "start_day", "end_day").agg(F.count("*").alias("points"))
 
 
 @register("WITH c AS (SELECT unnest(['view', 'click', 'purchase', 'unseen_metric']) AS event_type) SELECT coalesce(c.event_type, e.event_type) AS event_type, coalesce(n, 0) AS n FROM c FULL OUTER JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY 1) e ON e.event_type = c.event_type")
@@ -344,6 +358,24 @@ def a29_changed_tables(spark, sf_dir):
     return rel.changed_tables(before, before.where("table != 'lineitem'").unionByName(after))
 
 
+@register("""WITH k AS (SELECT 'lineitem' AS "table", l_orderkey AS key, CASE WHEN l_orderkey % 2000 = 7 THEN 'removed' ELSE 'changed' END AS change FROM lineitem WHERE l_orderkey % 1500 = 5 OR l_orderkey % 2000 = 7
+  UNION SELECT 'lineitem', 10000000 + l_orderkey, 'added' FROM lineitem WHERE l_orderkey % 3000 = 11 UNION SELECT 'orders', o_orderkey, 'changed' FROM orders WHERE o_orderkey % 900 = 2)
+SELECT "table", key // 64 * 64 AS lo, key // 64 * 64 + 63 AS hi, key, change FROM k""")
+def a29_changed_ranges(spark, sf_dir):
+    """Changed, removed and added keys with their ranges, found by hash trees; orders repeat one row, customers stay."""
+    from marketlens.operators.hashtree import changed_keys
+
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    k = F.col("l_orderkey")
+    after = li.where(k % 2000 != 7).withColumn("l_quantity", F.col("l_quantity") + F.when(k % 1500 == 5, 1).otherwise(0))
+    after = after.unionByName(li.where(k % 3000 == 11).withColumn("l_orderkey", k + 10_000_000))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    sides = [("lineitem", li, after, "l_orderkey"), ("orders", o, o.unionByName(o.where("o_orderkey % 900 = 2")), "o_orderkey"), ("customer", c, c.repartition(3), "c_custkey")]
+    parts = [changed_keys(a, b, key).select(F.lit(n).alias("table"), "lo", "hi", "key", "change") for n, a, b, key in sides]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("""WITH c AS (SELECT day, max(CASE WHEN symbol = '1-URGENT' THEN close END) AS cap, max(CASE WHEN symbol = '2-HIGH' THEN close END) AS realized, max(CASE WHEN symbol = '3-MEDIUM' THEN close END) AS have FROM bars_daily GROUP BY day)
 SELECT day, round(cap / realized, 6) AS mvrv FROM c WHERE have IS NULL AND cap IS NOT NULL AND realized IS NOT NULL AND cap / realized > 0 AND cap / realized < 100""")
 def w28_ratio_fill(spark, sf_dir):

@@ -88,11 +88,12 @@ def p7_news_freshness(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", tx.news_fresh(age, kind).alias("fresh"))
 
 
-@register(r"SELECT page_id, substr(trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)), 1, 350) AS title FROM pages WHERE starts_with(url, 'https://') AND NOT regexp_matches(url, '^https://[^/?#]*@') AND length(url) <= 2048")
+@register(r"""WITH t AS (SELECT page_id, url, substr(trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)), 1, 350) AS title, CASE page_id % 5 WHEN 0 THEN 'BTC' WHEN 1 THEN 'SPY' WHEN 2 THEN 'GOLD' WHEN 3 THEN 'MACRO' ELSE 'DOGE' END AS asset FROM pages)
+SELECT page_id, asset, title FROM t WHERE asset <> 'DOGE' AND title <> '' AND starts_with(url, 'https://') AND NOT regexp_matches(url, '^https://[^/?#]*@') AND NOT regexp_matches(url, '^https://([/?#]|$)') AND length(url) <= 2048""")
 def p8_archive_predicate(spark, sf_dir):
-    u = F.col("url")
-    ok = u.startswith("https://") & ~u.rlike(r"^https://[^/?#]*@") & (F.length(u) <= 2048)
-    return pages(spark, sf_dir).where(ok).select("page_id", F.substring(F.trim(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)), 1, 350).alias("title"))
+    asset = F.get(F.array(*[F.lit(a) for a in (*tx.ARCHIVED_ASSETS, "DOGE")]), (F.col("page_id") % 5).cast("int"))
+    p = pages(spark, sf_dir).select("page_id", "url", asset.alias("asset"), F.substring(F.trim(F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)), 1, 350).alias("title"))
+    return p.where(tx.archivable(F.col("url"), F.col("asset"), F.col("title"))).select("page_id", "asset", "title")
 
 
 @register(r"WITH h AS (SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host FROM pages) SELECT page_id, host FROM h WHERE host IN ('example.com', 'tion.example.org') OR ends_with(host, '.example.com') OR ends_with(host, '.tion.example.org')")

@@ -192,3 +192,27 @@ def corpus_issues(df: DataFrame, ident: str, families: list[str], kinds: list[st
     single = df.select("*", F.explode(found).alias("issue"))
     twice = df.groupBy(F.col(ident).alias("_id")).agg(F.count("*").alias("_n")).where("_n > 1 and _id is not null")
     return single.unionByName(df.join(twice, df[ident] == F.col("_id")).drop("_id", "_n").withColumn("issue", F.lit("duplicate id")))
+
+
+def payload_types(df: DataFrame, body: str = "body", depth: int = 8) -> DataFrame:
+    """(path, kind, n, min_length, max_length) over all payloads, down to `depth` levels, never a value.
+
+    Kinds: object, array, string, number, boolean, null, other, malformed (no JSON); elements of an array are path[].
+    Lengths are an object's fields, an array's elements, a string's characters. Each level takes the variants below apart.
+    """
+    spark = df.sparkSession
+    parsed = df.where(F.col(body).isNotNull()).select(F.lit("$").alias("path"), F.try_parse_json(body).alias("v"))
+    bad = parsed.where("v is null").select("path", F.lit("malformed").alias("kind"), F.lit(None).cast("long").alias("length"))
+    name = F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)
+    kind = F.when(name == "OBJECT", "object").when(name == "ARRAY", "array").when(name == "STRING", "string").when(name == "BOOLEAN", "boolean").when(name == "VOID", "null").when(name.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "number").otherwise("other")
+    fields = F.size(F.map_keys(F.try_variant_get("v", "$", "map<string,variant>")))
+    length = F.when(F.col("kind") == "object", fields).when(F.col("kind") == "array", F.size(F.try_variant_get("v", "$", "array<variant>"))).when(F.col("kind") == "string", F.length(F.try_variant_get("v", "$", "string")))
+    level, levels = parsed.where("v is not null"), [bad]
+    for _ in range(depth):
+        level = level.withColumn("kind", kind)
+        levels.append(level.select("path", "kind", length.cast("long").alias("length")))
+        level = spark.sql("SELECT concat(path, CASE WHEN kind = 'array' THEN '[]' ELSE concat('.', key) END) AS path, value AS v FROM (SELECT * FROM {rows} WHERE kind IN ('object', 'array')), LATERAL variant_explode(v)", rows=level)
+    rows = levels[0]
+    for other in levels[1:]:
+        rows = rows.unionByName(other)
+    return rows.groupBy("path", "kind").agg(F.count("*").alias("n"), F.min("length").alias("min_length"), F.max("length").alias("max_length"))
