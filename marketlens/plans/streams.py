@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.operators.store import folder
+from marketlens.operators.store import folder, stored
 from marketlens.plans.registry import register
 from marketlens.sources.tables import table, view
 from marketlens.streaming import operators as st
@@ -54,11 +54,29 @@ def g2_daily_grid(spark, sf_dir):
     return run_append(st.daily_grid(events(spark, sf_dir), "ts", ["event_type"]), "days")
 
 
+#: Micro-batches of the queries with replays.
+BATCHES = 5
+
+
+def in_batches(rows: DataFrame, at: str, again: str, name: str) -> DataFrame:
+    """rows as a stream of BATCHES files, one a trigger, cut in time; each but the first repeats, behind its own rows, those
+    of the one before for which `again` holds."""
+    spark, path = rows.sparkSession, folder(rows.sparkSession, name)
+    rows = stored(rows, name)
+    bounds = rows.agg(F.min(F.unix_micros(at)).alias("_lo"), F.max(F.unix_micros(at)).alias("_hi"))
+    part = F.floor((F.unix_micros(at) - F.col("_lo")) * BATCHES / (F.col("_hi") - F.col("_lo") + 1))
+    cut = stored(rows.crossJoin(F.broadcast(bounds)).withColumn("_part", part).drop("_lo", "_hi"), name)  # one row
+    for i in range(BATCHES):
+        batch = cut.where(F.col("_part") == i).unionByName(cut.where((F.col("_part") == i - 1) & F.expr(again)))
+        batch.drop("_part").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @register("SELECT event_id, event_type FROM events")
 def g3_exactly_once(spark, sf_dir):
-    e = events(spark, sf_dir)
-    replayed = e.unionByName(events(spark, sf_dir).where("event_id % 5 = 0"))
-    return run_append(st.once_per_key(replayed, "ts", ["event_id"], "1 day"), "once").select("event_id", "event_type")
+    """Every fifth event comes again in the next trigger; the margin reaches back over two triggers' time."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    return run_append(st.once_per_key(in_batches(e, "ts", "event_id % 5 = 0", "replayed"), "ts", ["event_id"], "90 days"), "once").select("event_id", "event_type")
 
 
 @register("SELECT event_id, round(CASE WHEN event_id % 7 = 0 THEN value - 1 ELSE value END, 4) AS value FROM events")
@@ -74,24 +92,31 @@ def g4_late_revisions(spark, sf_dir):
     return st.latest_parts(spark, path).select("event_id", F.round("value", 4).alias("value"))
 
 
-@register("""WITH h AS (SELECT symbol, epoch(slot)::BIGINT AS slot FROM bars_hourly), d AS (SELECT symbol, slot, slot - lag(slot) OVER (PARTITION BY symbol ORDER BY slot) AS d FROM h)
-SELECT symbol, slot, CASE WHEN d IS NULL THEN 'first' WHEN d = 3600 THEN 'next' ELSE 'gap' END AS kind FROM d""")
+#: Bars that the margin has not passed at the end still wait.
+_CLOSED = "(SELECT max(epoch(slot))::BIGINT - 601 FROM bars_hourly)"
+
+
+@register(f"""WITH h AS (SELECT symbol, epoch(slot)::BIGINT AS slot FROM bars_hourly), d AS (SELECT symbol, slot, slot - lag(slot) OVER (PARTITION BY symbol ORDER BY slot) AS d FROM h)
+SELECT symbol, slot, CASE WHEN d IS NULL THEN 'first' WHEN d = 3600 THEN 'next' ELSE 'gap' END AS kind FROM d WHERE slot <= {_CLOSED}""")
 def g5_contiguity(spark, sf_dir):
-    h = hourly(spark, sf_dir).select("symbol", F.unix_timestamp("slot").alias("slot"))
-    return run_append(st.contiguity(h, "symbol", "slot", 3600), "kinds")
+    """Every third bar comes again in the next trigger."""
+    bars = view(spark, sf_dir, "bars_hourly").select("symbol", F.col("slot").cast("timestamp").alias("slot"))
+    s = in_batches(bars, "slot", "hour(slot) % 3 = 0", "bars")
+    return run_append(st.contiguity(s, "symbol", "slot", 3600), "kinds").select("symbol", F.unix_timestamp("slot").alias("slot"), "kind")
 
 
 _RUN = """WITH RECURSIVE b AS (SELECT symbol, epoch(slot)::BIGINT AS slot, close, close - lag(close) OVER (PARTITION BY symbol ORDER BY slot) AS d, row_number() OVER (PARTITION BY symbol ORDER BY slot) AS rn FROM bars_hourly),
 e AS (SELECT symbol, 12::BIGINT AS rn, avg(close) AS y FROM b WHERE rn <= 12 GROUP BY symbol UNION ALL SELECT e.symbol, b.rn, e.y * (11.0::DOUBLE / 13) + b.close * (2.0::DOUBLE / 13) FROM e JOIN b ON b.symbol = e.symbol AND b.rn = e.rn + 1),
 r AS (SELECT symbol, 15::BIGINT AS rn, avg(greatest(d, 0)) AS g, avg(greatest(-d, 0)) AS l FROM b WHERE rn BETWEEN 2 AND 15 GROUP BY symbol UNION ALL SELECT r.symbol, b.rn, (r.g * 13 + greatest(b.d, 0)) / 14, (r.l * 13 + greatest(-b.d, 0)) / 14 FROM r JOIN b ON b.symbol = r.symbol AND b.rn = r.rn + 1)
-SELECT b.symbol, b.slot, round(e.y, 4) AS ema, round(CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END, 4) AS rsi FROM b LEFT JOIN e ON e.symbol = b.symbol AND e.rn = b.rn LEFT JOIN r ON r.symbol = b.symbol AND r.rn = b.rn"""
+SELECT b.symbol, b.slot, round(e.y, 4) AS ema, round(CASE WHEN l = 0 THEN 100 ELSE 100 - 100 / (1 + g / l) END, 4) AS rsi FROM b LEFT JOIN e ON e.symbol = b.symbol AND e.rn = b.rn LEFT JOIN r ON r.symbol = b.symbol AND r.rn = b.rn WHERE b.slot <= """ + _CLOSED
 
 
 @register(_RUN)
 def g7_running_indicators(spark, sf_dir):
-    h = hourly(spark, sf_dir).select("symbol", F.unix_timestamp("slot").alias("slot"), "close")
-    out = run_append(st.running_indicators(h, "symbol", "slot", "close"), "running")
-    return out.select("symbol", "slot", F.round("ema", 4).alias("ema"), F.round("rsi", 4).alias("rsi"))
+    bars = view(spark, sf_dir, "bars_hourly").select("symbol", F.col("slot").cast("timestamp").alias("slot"), "close")
+    s = in_batches(bars, "slot", "hour(slot) % 3 = 0", "bars")
+    out = run_append(st.running_indicators(s, "symbol", "slot", "close"), "running")
+    return out.select("symbol", F.unix_timestamp("slot").alias("slot"), F.round("ema", 4).alias("ema"), F.round("rsi", 4).alias("rsi"))
 
 
 @register("""WITH l AS (SELECT event_type, max(epoch(ts))::BIGINT AS t FROM events GROUP BY 1), n AS (SELECT max(t) AS now FROM l) SELECT event_type, CASE WHEN now - t <= 600 THEN 'WITHIN' ELSE 'STALE' END AS state FROM l, n""")

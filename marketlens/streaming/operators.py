@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from marketlens.operators.reconcile import last_writes, revisions, upsert
 
@@ -73,46 +73,112 @@ def revise_batch(path: str, log: str, keys: list[str], fields: list[str], order:
     return write
 
 
-def contiguity(stream: DataFrame, key: str, slot: str, step: int) -> DataFrame:
-    """For each slot of a key whether it follows the last one: `next`, `gap` or `overlap` (state: the last slot)."""
-
-    def follow(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        out = []
-        for s in sorted(s for pdf in batches for s in pdf[slot].tolist()):  # a trigger's slots of one key
-            kind = "first" if last is None else "next" if s == last + step else "gap" if s > last else "overlap"
-            out.append((k[0], s, kind))
-            last = s if last is None else max(last, s)
-        if last is not None:
-            state.update((last,))
-        yield pd.DataFrame(out, columns=[key, slot, "kind"])
-
-    kt = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(follow, f"{key} {kt}, {slot} long, kind string", "last long", "append", GroupStateTimeout.NoTimeout)
-
-
-def running_indicators(stream: DataFrame, key: str, slot: str, close: str, n: int = 12, p: int = 14) -> DataFrame:
-    """EMA(n) and Wilder RSI(p) of each new bar (state: counts, sums, averages and the last close)."""
-
-    def run(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        i, last, ema, gain, loss = state.get if state.exists else (0, 0.0, 0.0, 0.0, 0.0)
-        rows = pd.concat(list(batches)).sort_values(slot)
-        out, f = [], 2 / (n + 1)
-        for t, c in zip(rows[slot], rows[close]):
-            i += 1
-            ema = ema + c / n if i <= n else ema * (1 - f) + c * f
-            if i > 1:
-                up, down = max(c - last, 0.0), max(last - c, 0.0)
-                gain = gain + up / p if i <= p + 1 else (gain * (p - 1) + up) / p
-                loss = loss + down / p if i <= p + 1 else (loss * (p - 1) + down) / p
-            rsi = None if i <= p else 100.0 if loss == 0 else 100 - 100 / (1 + gain / loss)
-            out.append((k[0], t, ema if i >= n else None, rsi))
-            last = c
-        state.update((i, last, ema, gain, loss))
-        yield pd.DataFrame(out, columns=[key, slot, "ema", "rsi"])
-
-    kt, st = stream.schema[key].dataType.simpleString(), stream.schema[slot].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(run, f"{key} {kt}, {slot} {st}, ema double, rsi double", "i long, last double, ema double, gain double, loss double", "append", GroupStateTimeout.NoTimeout)
+class InOrder(StatefulProcessor):
+    """A key's rows in event-time order, each once, whatever triggers they come in.
+
+    Rows wait in state until the watermark has passed them, each with a timer of its own; timers fire in order of time, so
+    a key's rows are never gathered in one frame. What waits is bounded by the margin. A time that comes again overwrites
+    what waits, or is dropped once it was passed. A key without rows for `idle` milliseconds loses its state.
+    """
+
+    #: Schema and start of the running state, and the columns that `follow` gives behind the key and the time.
+    STATE, START = "", ()
+
+    def __init__(self, columns: list[str], at: str, value: str | None, idle: int):
+        self.columns, self.at, self.value, self.idle = columns, at, value, idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "at long", "value double")
+        self.running = handle.getValueState("running", f"last_at long, {self.STATE}")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        for pdf in rows:
+            times = (pdf[self.at].astype("int64") // {"ns": 10**6, "us": 10**3, "ms": 1, "s": 1}[pdf[self.at].dt.unit]).tolist()
+            values = pdf[self.value].astype(float).tolist() if self.value else [0.0] * len(times)
+            for t, v in zip(times, values):
+                if t > passed:
+                    self.waiting.updateValue((t,), (v,))
+                    self.handle.registerTimer(t)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        t = expiredTimerInfo.getExpiryTimeInMs()
+        before = self.running.get() if self.running.exists() else None
+        if self.waiting.containsKey((t,)):
+            (value,) = self.waiting.getValue((t,))
+            self.waiting.removeKey((t,))
+            last, state = (before[0], tuple(before[1:])) if before else (None, self.START)
+            out, state = self.follow(t, value, last, state)
+            self.running.update((t, *state))
+            self.handle.registerTimer(t + self.idle)
+            yield pd.DataFrame([(*key, pd.Timestamp(t, unit="ms"), *out)], columns=self.columns)
+        elif before and before[0] + self.idle <= t:
+            self.running.clear()
+
+    def follow(self, t: int, value: float, last: int | None, state: tuple) -> tuple[tuple, tuple]:
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+class Contiguity(InOrder):
+    STATE, START = "n long", (0,)
+
+    def __init__(self, step: int, *args):
+        super().__init__(*args)
+        self.step = step
+
+    def follow(self, t, value, last, state):
+        kind = "first" if last is None else "next" if t == last + self.step else "gap" if t > last + self.step else "overlap"
+        return (kind,), (state[0] + 1,)
+
+
+class Running(InOrder):
+    STATE, START = "n long, last double, ema double, gain double, loss double", (0, 0.0, 0.0, 0.0, 0.0)
+
+    def __init__(self, n: int, p: int, *args):
+        super().__init__(*args)
+        self.n, self.p = n, p
+
+    def follow(self, t, value, last, state):
+        i, before, ema, gain, loss = state
+        n, p, f = self.n, self.p, 2 / (self.n + 1)
+        i += 1
+        ema = ema + value / n if i <= n else ema * (1 - f) + value * f
+        if i > 1:
+            up, down = max(value - before, 0.0), max(before - value, 0.0)
+            gain = gain + up / p if i <= p + 1 else (gain * (p - 1) + up) / p
+            loss = loss + down / p if i <= p + 1 else (loss * (p - 1) + down) / p
+        rsi = None if i <= p else 100.0 if loss == 0 else 100 - 100 / (1 + gain / loss)
+        return (ema if i >= n else None, rsi), (i, value, ema, gain, loss)
+
+
+def _in_order(stream: DataFrame, key: str, at: str, processor: InOrder, more: str, margin: str) -> DataFrame:
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # the store that timers need
+    kind = stream.schema[key].dataType.simpleString()
+    rows = stream.withWatermark(at, margin).groupBy(key)
+    return rows.transformWithStateInPandas(processor, f"{key} {kind}, {at} timestamp, {more}", "append", "eventTime")
+
+
+#: State of a key goes after so many days without rows.
+IDLE_DAYS = 400
+
+
+def contiguity(stream: DataFrame, key: str, at: str, step: int, margin: str = MARGIN, idle_days: int = IDLE_DAYS) -> DataFrame:
+    """For each time of a key, once the margin has passed, whether it follows the last one by `step` seconds: `first`,
+    `next`, `gap` or `overlap` (nearer than a step)."""
+    columns = [key, at, "kind"]
+    return _in_order(stream.select(key, at), key, at, Contiguity(step * 1000, columns, at, None, idle_days * 86_400_000), "kind string", margin)
+
+
+def running_indicators(stream: DataFrame, key: str, at: str, close: str, n: int = 12, p: int = 14, margin: str = MARGIN, idle_days: int = IDLE_DAYS) -> DataFrame:
+    """EMA(n) and Wilder RSI(p) of each bar, once the margin has passed (state: counts, sums, averages, the last close)."""
+    columns = [key, at, "ema", "rsi"]
+    return _in_order(stream.select(key, at, close), key, at, Running(n, p, columns, at, close, idle_days * 86_400_000), "ema double, rsi double", margin)
 
 
 def staleness(latest: DataFrame, at: str, now, budget) -> DataFrame:

@@ -254,10 +254,43 @@ def test_corrections_rewrite_touched_parts_only(spark, tmp_path):
     assert [json.loads(r["new_json"]) for r in spark.read.parquet(f"{log}/v=1").collect()] == [{"v": 1.0}]
 
 
-def test_streams(spark, tmp_path):
-    rows = [("a", 0, 1.0), ("a", 300, 2.0), ("a", 900, 3.0)]
-    spark.createDataFrame(rows, "k string, slot long, close double").coalesce(1).write.parquet(str(tmp_path / "in"))
-    s = spark.readStream.schema("k string, slot long, close double").parquet(str(tmp_path / "in"))
-    q = st.contiguity(s, "k", "slot", 300).writeStream.format("memory").queryName("kinds").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert [r["kind"] for r in spark.table("kinds").orderBy("slot").collect()] == ["first", "next", "gap"]
+def test_rows_in_order_over_triggers(spark, tmp_path):
+    """Rows out of order, replays in later triggers and late rows; state of an idle key goes."""
+    t = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    files = [[("a", 10, 3.0), ("a", 0, 1.0), ("b", 5, 1.0), ("a", 5, 2.0)], [("a", 5, 2.0), ("a", 30, 5.0), ("a", 20, 4.0)], [("a", 30, 5.0), ("a", 10, 9.0), ("b", 3000, 2.0), ("a", 3005, 6.0)], [("a", 9000, 7.0)]]
+    for rows in files:
+        spark.createDataFrame([(k, t(m), v) for k, m, v in rows], "k string, at timestamp, v double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    s = lambda: spark.readStream.schema("k string, at timestamp, v double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = run(st.contiguity(s(), "k", "at", 300, "10 minutes", idle_days=1), tmp_path, "kinds").collect()
+    at = {(r["k"], round((r["at"] - t(0)).total_seconds() / 60)): r["kind"] for r in got}
+    assert len(got) == len(at) and at == {("a", 0): "first", ("a", 5): "next", ("a", 10): "next", ("a", 20): "gap", ("a", 30): "gap", ("b", 5): "first", ("b", 3000): "first", ("a", 3005): "first"}
+    rows = run(st.running_indicators(s(), "k", "at", "v", 2, 2, "10 minutes"), tmp_path, "running").where("k = 'a'").orderBy("at").collect()
+    assert [r["ema"] for r in rows] == pytest.approx([None, 1.5, 2.5, 3.5, 4.5, 5.5]) and [r["rsi"] for r in rows] == [None, None, 100.0, 100.0, 100.0, 100.0]
+
+
+def test_hash_trees(spark):
+    from marketlens.operators import hashtree as ht
+
+    rows = [(i * 3, float(i), f"x{i}") for i in range(3000)] + [(None, 1.0, "n")]
+    a = spark.createDataFrame(rows, "key long, v double, s string").repartition(3)
+    assert ht.changed_keys(a, a.repartition(5), "key").isEmpty()
+    other = [r for r in rows if r[0] != 300] + [(-7, 0.0, "new"), rows[50]]
+    b = spark.createDataFrame([(k, v + (k == 6000), s) if k is not None else (k, v, "other") for k, v, s in other], "key long, v double, s string").repartition(4)
+    got = {(r["key"], r["change"], r["lo"], r["hi"]) for r in ht.changed_keys(a, b, "key").collect()}
+    assert got == {(300, "removed", 256, 319), (-7, "added", -64, -1), (150, "changed", 128, 191), (6000, "changed", 5952, 6015), (None, "changed", None, None)}
+    differing = ht.differing_leaves(*[ht.stored(ht.leaves(x, "key"), "leaves") for x in (a, b)])
+    assert {r["node"] for r in differing.collect()} == {4, -1, 2, 93, None}
+    assert ht.changed_keys(a.limit(0), a.limit(0), "key").isEmpty() and ht.changed_keys(a.limit(0), a, "key").count() == 3001
+
+
+def test_points_in_windows_of_any_length(spark):
+    from marketlens.operators import intervals as iv
+
+    rng = random.Random(4)
+    windows = [(k, a, a + rng.choice([0, 1, 2, 7, 365, 11_000])) for k in "ab" for a in (rng.randint(-400, 400) for _ in range(40))]
+    points = [(k, rng.randint(-500, 1200)) for k in "ab" for _ in range(150)]
+    w, p = spark.createDataFrame(windows, "k string, lo long, hi long"), spark.createDataFrame(points, "k string, t long")
+    got = sorted(map(tuple, iv.point_in_window(p, w, "k", "t", "lo", "hi").select("k", "t", "lo", "hi").collect()))
+    assert got == sorted((k, t, lo, hi) for k, t in points for j, lo, hi in windows if j == k and lo <= t < hi)
+    copies = w.where("lo < hi").select((F.col("hi") - F.col("lo")).alias("n"), F.size(iv.dyadic_cells(F.col("lo"), F.col("hi"))).alias("c"))
+    assert copies.where(F.col("c") > 2 * F.ceil(F.log2(F.col("n") + 1))).isEmpty() and copies.agg(F.max("c")).first()[0] <= 28
