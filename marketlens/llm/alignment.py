@@ -2,7 +2,8 @@
 
 The two arrays of token ends are compared along a diagonal: at the current shift between their indexes, probes of
 doubling width find how far the ends stay equal, and the whole one-to-one stretch is taken at once. Where it ends, the
-irregular group is resolved token by token, and the shift follows.
+irregular group is walked token by token, and the shift follows. A group's text and links depend on its ids alone, so
+they are made once for each different group and kept.
 """
 
 from __future__ import annotations
@@ -129,62 +130,103 @@ def encoders(a_path: str, b_path: str) -> Encoders:
     return Encoders(a_path, b_path)
 
 
-def diagonal(a_ends: np.ndarray, b_ends: np.ndarray) -> Iterator[tuple[int, int, int, int, list[tuple[int, int]] | None]]:
-    """Stretches (i0, i1, j0, j1, links) of two arrays of ends with the same last end. links is None for a stretch of
-    one-to-one groups, and the overlapping index pairs of one irregular group else."""
+def diagonal(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[int, list[tuple[int, int, int, int]], list[tuple[int, int, int, int, int]]]:
+    """Groups of two arrays of ends with the same last end: how many, the one-to-one stretches (first group, i, j, groups),
+    and the irregular ones (group, i0, i1, j0, j1)."""
     na, nb = len(a_ends), len(b_ends)
     raw_a, raw_b = a_ends.astype(np.int32).tobytes(), b_ends.astype(np.int32).tobytes()
     ends_a, ends_b = a_ends.tolist(), b_ends.tolist()
-    i = j = 0
+    runs, odd = [], []
+    i = j = g = 0
     while i < na:
-        i0, j0, w = i, j, 1
-        while i + w <= na and j + w <= nb and raw_a[4 * i : 4 * (i + w)] == raw_b[4 * j : 4 * (j + w)]:
-            i += w
-            j += w
-            w *= 2
-        while w > 1:
-            w >>= 1
-            if i + w <= na and j + w <= nb and raw_a[4 * i : 4 * (i + w)] == raw_b[4 * j : 4 * (j + w)]:
+        i0, j0 = i, j
+        a, b = ends_a[i], ends_b[j]
+        i += 1
+        j += 1
+        if a == b:
+            w = 2
+            while i + w <= na and j + w <= nb and raw_a[4 * i : 4 * (i + w)] == raw_b[4 * j : 4 * (j + w)]:
                 i += w
                 j += w
-        if i > i0:
-            yield i0, i, j0, j, None
-            if i == na:
-                return
-            i0, j0 = i, j
-        a, b = ends_a[i], ends_b[j]
-        links = [(i, j)]
-        while a != b:
-            if a < b:
+                w *= 2
+            while w > 2:
+                w >>= 1
+                if i + w <= na and j + w <= nb and raw_a[4 * i : 4 * (i + w)] == raw_b[4 * j : 4 * (j + w)]:
+                    i += w
+                    j += w
+            if i < na and j < nb and ends_a[i] == ends_b[j]:
                 i += 1
-                a = ends_a[i]
-            else:
                 j += 1
-                b = ends_b[j]
-            links.append((i, j))
-        i += 1
-        j += 1
-        yield i0, i, j0, j, links
-
-
-def groups_of(a_ids: np.ndarray, b_ids: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[int, str, np.ndarray]:
-    """Number of groups, groups as text (a1,a2|b1;a3|b2,b3), and all linked pairs of ids (with repeats) as numbers."""
-    names_a, names_b = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-    told, n = [], 0
-    runs, odd = [], []
-    for i0, i1, j0, j1, links in diagonal(a_ends, b_ends):
-        if links is None:
-            told.extend(map("|".join, zip(names_a[i0:i1], names_b[j0:j1])))
-            runs.append((i0, j0, i1 - i0))
+            runs.append((g, i0, j0, i - i0))
+            g += i - i0
         else:
-            told.append(",".join(names_a[i0:i1]) + "|" + ",".join(names_b[j0:j1]))
-            odd.extend(links)
-    at = np.array(runs, np.int64).reshape(-1, 3)
-    step = np.arange(int(at[:, 2].sum())) - np.repeat(np.cumsum(at[:, 2]) - at[:, 2], at[:, 2])
-    odd_at = np.array(odd, np.int64).reshape(-1, 2)
-    i = np.r_[np.repeat(at[:, 0], at[:, 2]) + step, odd_at[:, 0]]
-    j = np.r_[np.repeat(at[:, 1], at[:, 2]) + step, odd_at[:, 1]]
-    return len(told), ";".join(told), a_ids[i] << PAIR_BITS | b_ids[j]
+            while a != b:
+                if a < b:
+                    a = ends_a[i]
+                    i += 1
+                else:
+                    b = ends_b[j]
+                    j += 1
+            odd.append((g, i0, i, j0, j))
+            g += 1
+    return g, runs, odd
+
+
+class _Pairs(dict):
+    """Texts of one-to-one groups by pair."""
+
+    def __missing__(self, pair: int) -> str:
+        text = self[pair] = f"{pair >> PAIR_BITS}|{pair & (1 << PAIR_BITS) - 1}"
+        return text
+
+
+class Groups:
+    """Texts and links of groups, which depend on their ids alone, with bounded caches."""
+
+    def __init__(self, a_size: np.ndarray, b_size: np.ndarray):
+        self.a_size, self.b_size = a_size, b_size
+        self.pairs, self.odd = _Pairs(), {}
+
+    def _resolve(self, a: np.ndarray, b: np.ndarray) -> tuple[str, list[int]]:
+        """An irregular group's text and linked pairs, token by token."""
+        a, b = a.tolist(), b.tolist()
+        i = j = 0
+        x, y = int(self.a_size[a[0]]), int(self.b_size[b[0]])
+        links = [a[0] << PAIR_BITS | b[0]]
+        while x != y:
+            if x < y:
+                i += 1
+                x += int(self.a_size[a[i]])
+            else:
+                j += 1
+                y += int(self.b_size[b[j]])
+            links.append(a[i] << PAIR_BITS | b[j])
+        return ",".join(map(str, a)) + "|" + ",".join(map(str, b)), links
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> tuple[int, str, np.ndarray]:
+        """Number of groups, groups as text (a1,a2|b1;a3|b2,b3), and all linked pairs of ids (with repeats) as numbers."""
+        if len(self.pairs) + len(self.odd) > CACHED:
+            self.pairs, self.odd = _Pairs(), {}
+        n, runs, odd = diagonal(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
+        at = np.array(runs, np.int64).reshape(-1, 4)
+        ends = np.cumsum(at[:, 3])
+        step = np.arange(int(at[:, 3].sum())) - np.repeat(ends - at[:, 3], at[:, 3])
+        codes = a[np.repeat(at[:, 1], at[:, 3]) + step] << PAIR_BITS | b[np.repeat(at[:, 2], at[:, 3]) + step]
+        pairs = self.pairs
+        texts, told, done = [pairs[c] for c in codes.tolist()], [""] * n, 0
+        for g, _, _, size in runs:
+            told[g : g + size] = texts[done : done + size]
+            done += size
+        links, known = [], self.odd
+        raw_a, raw_b = a.tobytes(), b.tobytes()
+        for g, i0, i1, j0, j1 in odd:
+            key = raw_a[4 * i0 : 4 * i1], raw_b[4 * j0 : 4 * j1]
+            found = known.get(key)
+            if found is None:
+                found = known[key] = self._resolve(a[i0:i1], b[j0:j1])
+            told[g] = found[0]
+            links += found[1]
+        return n, ";".join(told), np.concatenate([codes, np.array(links, np.int32)])
 
 
 _ALIGNED = "id long, doc_id {}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<int>, times array<int>"
@@ -193,6 +235,7 @@ _ALIGNED = "id long, doc_id {}, n_a long, n_b long, n_groups long, n_links long,
 def _align(paths: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoders(*paths)
+        groups = Groups(enc.a_size, enc.b_size)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for s, e in by_chars(texts):
@@ -203,7 +246,7 @@ def _align(paths: tuple[str, str]):
                         pairs.append(a)
                         times.append(a)
                         continue
-                    n, told, links = groups_of(a, b, np.cumsum(enc.a_size[a]), np.cumsum(enc.b_size[b]))
+                    n, told, links = groups.of(a, b)
                     rows.append((len(a), len(b), n, len(links), hashlib.sha256(told.encode()).hexdigest()))
                     found, count = np.unique(links, return_counts=True)
                     pairs.append(found)

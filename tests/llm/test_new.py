@@ -171,8 +171,15 @@ def test_alignment(spark, block_pairs):
 def test_diagonal_takes_stretches_at_once():
     ends = np.arange(1, 10_001) * 3
     other = np.delete(ends, 5000)
-    found = list(alignment.diagonal(ends, other))
-    assert [(x[0], x[1], x[4] is None) for x in found] == [(0, 5000, True), (5000, 5002, False), (5002, 10_000, True)]
+    assert alignment.diagonal(ends, other) == (9999, [(0, 0, 0, 5000), (5001, 5002, 5001, 4998)], [(5000, 5000, 5002, 5000, 5001)])
+    rng = random.Random(1)
+    for _ in range(300):
+        n = rng.randint(1, 60)
+        a, b = (np.array(sorted({n, *rng.sample(range(1, n + 1), rng.randint(0, n))})) for _ in range(2))
+        g, runs, odd = alignment.diagonal(a, b)
+        cuts = sorted({*a.tolist()} & {*b.tolist()})
+        got = {k + d: (i + d, i + d + 1, j + d, j + d + 1) for k, i, j, size in runs for d in range(size)} | {k: tuple(x) for k, *x in odd}
+        assert g == len(cuts) and [(a[got[k][1] - 1], b[got[k][3] - 1]) for k in range(g)] == [(c, c) for c in cuts]
 
 
 def test_long_text(spark):
