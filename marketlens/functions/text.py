@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -93,22 +94,77 @@ def on_domains(host: Column, domains) -> Column:
     return out
 
 
-def first_topic(text: Column, topics: list[tuple[str, list[str]]], otherwise: str = "other") -> Column:
-    """The first topic one of whose words the text holds."""
-    t, out = F.lower(text), None
-    for name, words in topics:
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | t.contains(w)
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    return out.otherwise(otherwise)
-
-
-def replace_phrases(text: Column, phrases: list[tuple[str, str]]) -> Column:
-    """Phrases replaced at word bounds, whatever their case, in order."""
-    for old, new in phrases:
-        text = F.regexp_replace(text, rf"(?i)\b{old}\b", new)
-    return text
+#: Characters that a dictionary may have in all; it becomes part of a plan.
+DICTIONARY = 1 << 20
+
+
+def _trie(words) -> dict:
+    root: dict = {}
+    for w in words:
+        at = root
+        for c in w:
+            at = at.setdefault(c, {})
+        at[""] = {}
+    return root
+
+
+def _trie_pattern(node: dict) -> str:
+    """A pattern that walks a trie: at each place one branch a character, the longest word first."""
+    kids = [(c, n) for c, n in sorted(node.items()) if c]
+    if not kids:
+        return ""
+    parts = []
+    for c, n in kids:
+        head = re.escape(c)
+        while len(n) == 1 and "" not in n:  # a run without branches
+            (c, n), = n.items()
+            head += re.escape(c)
+        parts.append(head + _trie_pattern(n))
+    body = parts[0] if len(parts) == 1 and "" not in node else f"(?:{'|'.join(parts)})"
+    return body + ("?" if "" in node else "")
+
+
+def dictionary_pattern(words: list[str]) -> str:
+    """One pattern for a whole dictionary: the longest word at each place, found by a walk over the words' trie."""
+    if sum(map(len, words)) > DICTIONARY:
+        raise ValueError(f"a dictionary of more than {DICTIONARY} characters")
+    return f"(?:{_trie_pattern(_trie(words))})"
+
+
+def first_topic(text: Column, dictionary: DataFrame, otherwise: str = "other") -> Column:
+    """The topic of the least priority one of whose words the lower-cased text holds, anywhere.
+
+    dictionary: word, topic, priority; rules, so it is collected. One pass finds the longest word at every place; a word
+    that begins with others stands for them too. Blank words are ignored; a null text has no topic's word.
+    """
+    rules = [(r["word"].lower(), r["priority"], r["topic"]) for r in dictionary.select("word", "priority", "topic").where("trim(word) != ''").collect()]
+    if not rules:
+        return F.lit(otherwise)
+    words = sorted({w for w, _, _ in rules})
+    best = {w: min((p, t) for x, p, t in rules if w.startswith(x)) for w in words}
+    found = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"(?=({dictionary_pattern(words)}))"), F.lit(1)))
+    ranks = F.create_map(*[x for w, (p, t) in best.items() for x in (F.lit(w), F.struct(F.lit(p).alias("p"), F.lit(t).alias("t")))])
+    return F.coalesce(F.array_min(F.transform(found, lambda w: F.try_element_at(ranks, w)))["t"], F.lit(otherwise))
+
+
+def replace_phrases(text: Column, dictionary: DataFrame) -> Column:
+    """Phrases replaced at word bounds, whatever their case, in one pass: at the earliest place the longest phrase, whose
+    replacement is not looked at again. Letters, digits and _ of any script are words.
+
+    dictionary: phrase, replacement; rules, so it is collected. Of several replacements the least counts; blank phrases are
+    ignored.
+    """
+    rules: dict[str, str] = {}
+    for r in dictionary.select("phrase", "replacement").where("trim(phrase) != '' and replacement is not null").orderBy("phrase", "replacement").collect():
+        rules.setdefault(r["phrase"].lower(), r["replacement"])
+    if not rules:
+        return text
+    word = r"[\p{L}\p{M}\p{N}_]"
+    pattern = rf"(?iu)(?<!{word}){dictionary_pattern(list(rules))}(?!{word})"
+    new = F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])
+    cut = F.arrays_zip(F.split(text, pattern, -1).alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m")).cast("array<struct<g:string,m:string>>")
+    put = lambda x: F.concat(x["g"], F.coalesce(F.try_element_at(new, F.lower(x["m"])), x["m"], F.lit("")))
+    return F.when(text.rlike(pattern), F.array_join(F.transform(cut, put), "")).otherwise(text)
 
 
 def tokens(text: Column, most: int | None = 10) -> Column:

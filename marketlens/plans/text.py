@@ -11,7 +11,8 @@ from marketlens.sources.tables import table
 
 pages = lambda s, d: table(s, d, "pages")
 docs = lambda s, d: table(s, d, "documents")
-TOPICS = [("etf", ["tion", "etf"]), ("macro", ["ing ", "cpi"]), ("chain", ["le ", "hash"])]
+#: Words that begin with, hold and overlap one another.
+TOPICS = [("etf", ["tionsh", "ETF", "ersthtion"]), ("macro", ["ing ", "cpi", "tion"]), ("chain", ["le ", "hash", "sh", "ti", "élé"])]
 
 
 @register(r"""SELECT page_id, lower(regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)) || regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '') ||
@@ -55,14 +56,32 @@ def f10_excerpt(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", tx.excerpt(F.upper(title), F.concat(F.upper(title), F.lit(". "), F.col("text"))).alias("excerpt"))
 
 
-@register("SELECT doc_id, CASE WHEN contains(lower(text), 'tion') OR contains(lower(text), 'etf') THEN 'etf' WHEN contains(lower(text), 'ing ') OR contains(lower(text), 'cpi') THEN 'macro' WHEN contains(lower(text), 'le ') OR contains(lower(text), 'hash') THEN 'chain' ELSE 'other' END AS topic FROM documents")
+@register("SELECT doc_id, CASE " + " ".join(f"WHEN {' OR '.join(f'contains(lower(text), {chr(39)}{w.lower()}{chr(39)})' for w in words)} THEN '{t}'" for t, words in TOPICS) + " ELSE 'other' END AS topic FROM documents")
 def f11_first_topic(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", tx.first_topic(F.col("text"), TOPICS).alias("topic"))
+    d = spark.createDataFrame([(w, t, i) for i, (t, words) in enumerate(TOPICS) for w in words], "word string, topic string, priority int")
+    return docs(spark, sf_dir).select("doc_id", tx.first_topic(F.col("text"), d).alias("topic"))
 
 
-@register(r"SELECT doc_id, md5(regexp_replace(regexp_replace(text, '(?i)\bthe\b', 'la', 'g'), '(?i)\band\b', 'y', 'g')) AS digest FROM documents")
+#: Phrases within phrases, with accents and in upper case; the longest at a place counts.
+PHRASES = [("the", "la"), ("IN The", "en la"), ("of the", "de la"), ("and", "y"), ("él", "he"), ("Und Der", "and the"), ("der", "the"), ("où", "where")]
+
+
+def _phrases_sql() -> str:
+    """Words are marked, and phrases replaced by numbers, longest first, so that none is looked at again."""
+    marked = r"regexp_replace(text, '([\p{L}\p{M}\p{N}_]+)', chr(1) || '\1' || chr(2), 'g')"
+    ordered = sorted(PHRASES, key=lambda p: -len(p[0]))
+    for i, (old, _) in enumerate(ordered):
+        whole = "' ' || ".join(f"chr(1) || '{w}' || chr(2) || " for w in old.split(" ")).removesuffix(" || ")
+        marked = f"regexp_replace({marked}, '(?i)' || {whole}, chr(3) || '{i}' || chr(4), 'g')"
+    for i, (_, new) in enumerate(ordered):
+        marked = f"replace({marked}, chr(3) || '{i}' || chr(4), '{new}')"
+    return f"SELECT doc_id, md5(replace(replace({marked}, chr(1), ''), chr(2), '')) AS digest FROM documents"
+
+
+@register(_phrases_sql())
 def f12_replace_phrases(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.md5(tx.replace_phrases(F.col("text"), [("the", "la"), ("and", "y")])).alias("digest"))
+    d = spark.createDataFrame(PHRASES, "phrase string, replacement string")
+    return docs(spark, sf_dir).select("doc_id", F.md5(tx.replace_phrases(F.col("text"), d)).alias("digest"))
 
 
 _TOK = r"list_filter(regexp_extract_all(lower(T), '[\p{L}\p{N}]+(?:_[\p{L}\p{N}]+)*'), lambda w: length(w) > 1)"

@@ -294,3 +294,65 @@ def test_points_in_windows_of_any_length(spark):
     assert got == sorted((k, t, lo, hi) for k, t in points for j, lo, hi in windows if j == k and lo <= t < hi)
     copies = w.where("lo < hi").select((F.col("hi") - F.col("lo")).alias("n"), F.size(iv.dyadic_cells(F.col("lo"), F.col("hi"))).alias("c"))
     assert copies.where(F.col("c") > 2 * F.ceil(F.log2(F.col("n") + 1))).isEmpty() and copies.agg(F.max("c")).first()[0] <= 28
+
+
+def test_dictionaries(spark):
+    """One pass over a whole dictionary against phrase by phrase."""
+    rng = random.Random(9)
+    words = ["a", "ab", "abc", "b", "ñu", "où", "x_1", "The"]
+    phrases = sorted({" ".join(rng.choices(words, k=rng.randint(1, 3))) for _ in range(60)})
+    rules = [(p.upper() if i % 3 == 0 else p, f"<{i}>") for i, p in enumerate(phrases)] + [(" ", "no"), (phrases[0], "<z>"), ("never", None)]
+    texts = [rng.choice(["", " ", "-"]).join(rng.choice([w, w.upper(), " ", ", "]) for w in rng.choices(words, k=25)) for _ in range(60)] + ["", None, "ÀB ab", "ab\u0301 ab", "aB,ab"]
+
+    def plain(text):
+        new, out, i = {}, "", 0
+        for p, r in sorted((p, r) for p, r in rules if r is not None and p.strip()):
+            new.setdefault(p.lower(), r)
+        word = lambda c: c.isalnum() or c == "_" or c == "\u0301"
+        while i < len(text):
+            fits = [p for p in new if text[i : i + len(p)].lower() == p and not (i and word(text[i - 1])) and not (i + len(p) < len(text) and word(text[i + len(p)]))]
+            best = max(fits, key=len, default=None)
+            out, i = (out + new[best], i + len(best)) if best else (out + text[i], i + 1)
+        return out
+
+    d = spark.createDataFrame(rules, "phrase string, replacement string")
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r["i"]: r["x"] for r in rows.select("i", tx.replace_phrases(F.col("t"), d).alias("x")).collect()}
+    assert got == {i: None if t is None else plain(t) for i, t in enumerate(texts)}
+    topics = [("abc", "one", 2), ("AB", "two", 1), ("c-", "three", 0), ("où", "four", 0), (" ", "blank", 0)]
+    want = lambda t: min(((p, n) for w, n, p in topics if w.strip() and w.lower() in (t or "").lower()), default=(9, "other"))[1]
+    table = spark.createDataFrame(topics, "word string, topic string, priority int")
+    got = {r["i"]: r["x"] for r in rows.select("i", tx.first_topic(F.col("t"), table).alias("x")).collect()}
+    assert got == {i: want(t) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("bits, first", [(0, 1), (2, 1), (6, 4)])
+def test_search_reads_few_blocks(spark, monkeypatch, bits, first):
+    """The best hits are the same whatever blocks there are, ties included."""
+    monkeypatch.setattr(search, "BLOCK_BITS", bits)
+    monkeypatch.setattr(search, "FIRST_BLOCKS", first)
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(40)]
+    corpus = [(i, " ".join(rng.choices(vocab, k=rng.randint(0, 12))), " ".join(rng.choices(vocab, k=3))) for i in range(120)] + [(200 + i, "w1 w2", "w3") for i in range(20)]
+    queries = [(i, " ".join(rng.choices(vocab, k=4))) for i in range(12)] + [(90, "w1 w2 w3"), (91, "nothing"), (92, "")]
+    c = spark.createDataFrame(corpus, "id long, title string, body string").repartition(3)
+    got = search.bm25(c, spark.createDataFrame(queries, "q long, t string"), "id", "q", "t", {"title": 3, "body": 1}, k=3).collect()
+    bags = {i: [(w, x) for f, w in ((t, 3.0), (b, 1.0)) for x in f.split()] for i, t, b in corpus}
+    lens = [len(b) for b in bags.values() if b]
+    avg, want = sum(lens) / len(lens), []
+    import math
+
+    for q, t in queries:
+        scores = []
+        for i, bag in bags.items():
+            s, hit = 0.0, False
+            for term in dict.fromkeys(t.split()):
+                tf = sum(w for w, x in bag if x == term)
+                n = sum(any(x == term for _, x in b) for b in bags.values())
+                if tf:
+                    hit = True
+                    s += max(math.log((len(corpus) - n + 0.5) / (n + 0.5)), 1e-6) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(bag) / avg))
+            if hit:
+                scores.append((-round(s, 6), i))
+        want += [(q, i, k) for k, (_, i) in enumerate(sorted(scores)[:3], 1)]
+    assert sorted((r["q"], r["id"], r["rank"]) for r in got) == sorted(want)
