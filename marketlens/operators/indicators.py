@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlens.operators.store import stored
 from marketlens.operators.stretches import BLOCK, cut, moving, own, positions, running_last, with_side
 
 KEYS, ORDER = ["symbol"], "day"
@@ -303,20 +304,33 @@ ARCHIVED = {
 }
 
 
+#: Bars that the moving windows of the archive look back at most; a block that holds any position.
+TAIL, WHOLE = 256, 1 << 40
+
+
 def metric_archive(bars: DataFrame, lookback: int = 20, keys=KEYS, order=ORDER) -> DataFrame:
     """Tidy rows (keys, report day, metric, value, unit, source) of the last bar of each series: its price, change and
-    indicators, the two nearest pivots on both sides of the list's ends, and its extremes. Missing values have no row."""
-    b = pct_change(placed(bars, keys, order), out="chg_24h", keys=keys, order=order)
+    indicators, the two nearest pivots on both sides of the list's ends, and its extremes. Missing values have no row.
+
+    Bars are read once and stored with their positions; moving windows see the last TAIL bars of each series only."""
+    keys = list(keys)
+    bars = stored(placed(bars.select(*keys, order, "high", "low", "close"), keys, order), "bars")
+    tops = bars.groupBy(*keys).agg(F.max("_pos").alias("_top"), F.max(unusable("close")).alias("_broken"))
+    b = with_side(bars, tops, keys).where(F.col("_pos") > F.col("_top") - TAIL)
+    at = {"keys": keys, "order": order, "block": WHOLE}
+    b = pct_change(b, out="chg_24h", **at)
     for n in (20, 50, 100, 200):
-        b = sma(b, n, out=f"sma_{n}", keys=keys, order=order)
-    b = stochastic(cci(williams_r(atr_sma(b, out="atr_14", keys=keys, order=order), keys=keys, order=order), out="cci_20", keys=keys, order=order), keys=keys, order=order)
+        b = sma(b, n, out=f"sma_{n}", **at)
+    b = cci(williams_r(atr_sma(b, out="atr_14", **at), **at), out="cci_20", **at).where("_pos = _top")
     means = [Mean(20, 1 - 2 / 21, 2 / 21), Mean(50, 1 - 2 / 51, 2 / 51), Mean(12, 1 - 2 / 13, 2 / 13), Mean(26, 1 - 2 / 27, 2 / 27), Mean(9, 0.8, 0.2, (2, 3), skip=26), Mean(1, 0.0, 1.0, (2, 3), skip=26), Mean(14, 13 / 14, 1 / 14, "up", 1), Mean(14, 13 / 14, 1 / 14, "down", 1)]
-    b = smoothed(b, means, ["ema_20", "ema_50", "_f", "_s", "_signal", "_line", "_up", "_down"], keys=keys, order=order)
-    b = b.withColumn("macd_hist", F.col("_line") - F.col("_signal"))
-    b = b.withColumn("rsi_14", F.when(F.col("_down") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.col("_up") / F.col("_down")))).drop("_pos")
-    broken = bars.groupBy(*keys).agg(F.max(unusable("close")).alias("_broken"))
-    b = with_side(b, broken, list(keys)).withColumn("rsi_14", F.when(~F.col("_broken"), F.col("rsi_14")))
-    last = latest(b, keys, order).withColumn("price", F.col("close")).withColumn("stoch_k", F.col("pct_k")).withColumn("close_ts", F.unix_timestamp(F.col(order).cast("timestamp")).cast("double"))
+    names = ["ema_20", "ema_50", "_f", "_s", "_signal", "_line", "_up", "_down"]
+    run = smoothed(bars, means, names, keys=keys, order=order)
+    run = latest(run.select(*keys, order, *names), keys, order).drop(order)
+    slow = latest(stochastic(bars, keys=keys, order=order).select(*keys, order, "pct_k"), keys, order).drop(order)
+    b = with_side(with_side(b, run, keys), slow, keys).withColumn("macd_hist", F.col("_line") - F.col("_signal"))
+    b = b.withColumn("rsi_14", F.when(F.col("_down") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + F.col("_up") / F.col("_down"))))
+    b = b.withColumn("rsi_14", F.when(~F.col("_broken"), F.col("rsi_14")))
+    last = b.withColumn("price", F.col("close")).withColumn("stoch_k", F.col("pct_k")).withColumn("close_ts", F.unix_timestamp(F.col(order).cast("timestamp")).cast("double"))
     levels = pivots(bars, lookback, keys=keys, order=order)
     rank = F.row_number().over(Window.partitionBy(*keys, "kind").orderBy(F.desc("level")))
     ends = levels.withColumn("_r", rank).where("_r <= 2")
@@ -330,3 +344,21 @@ def metric_archive(bars: DataFrame, lookback: int = 20, keys=KEYS, order=ORDER)
     computed = F.col("metric").isin("sup_1", "sup_2", "res_1", "res_2")
     long = wide.select(*keys, F.col(order).alias("report_date"), F.inline(rows)).where("value is not null")
     return long.withColumn("source", F.when(computed, "computed").otherwise("bars"))
+
+
+def observed_metrics(values: DataFrame, catalog: DataFrame, series: str, day: str, value: str) -> DataFrame:
+    """The same tidy rows (asset, report_date, metric, value, unit, source) of monthly series, macro or on-chain ones.
+
+    catalog: series, asset, metric, kind, scale, unit, source (a small table of rules). Kinds: `level` is the last value,
+    `change` the last less that of the month before, `yoy` the change in percent against the same month a year before; each
+    times scale. A value that cannot be told has no row.
+    """
+    rows = values.select(F.col(series).alias("series"), F.col(day).alias("report_date"), F.col(value).alias("v"), (F.year(day) * 12 + F.month(day)).alias("_m"))
+    last = rows.groupBy("series").agg(F.max_by(F.struct("report_date", "v", "_m"), "report_date").alias("_l")).select("series", "_l.*")
+    wanted = last.join(F.broadcast(catalog), "series")
+    before = rows.select("series", F.col("_m").alias("_then"), F.col("v").alias("_before"))
+    back = F.when(F.col("kind") == "change", 1).when(F.col("kind") == "yoy", 12)
+    j = wanted.withColumn("_then", F.col("_m") - back).join(before, ["series", "_then"], "left")
+    told = F.when(F.col("kind") == "level", F.col("v")).when(F.col("kind") == "change", F.col("v") - F.col("_before")).when(F.col("kind") == "yoy", F.try_divide(F.col("v"), F.col("_before")) * 100 - 100)
+    j = j.withColumn("value", told * F.col("scale")).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return j.select("asset", "report_date", "metric", "value", "unit", "source")

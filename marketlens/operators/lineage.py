@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.operators.store import stored
+
 #: What a receipt may say.
 DIRECTIONS, STATES = ("backward", "forward"), ("success", "empty", "failed")
 
@@ -108,7 +110,7 @@ def audit_requests(requests: DataFrame, runs: DataFrame, acquisitions: DataFrame
     acquired = acquisitions.select("request_id", F.col("raw_sha256").alias("acq_sha256"), F.col("provider").alias("acq_provider"), F.col("endpoint_path").alias("acq_path"))
     raw = payloads.select("raw_sha256", F.sha2("body", 256).alias("body_sha256"), F.col("provider").alias("raw_provider"), F.col("endpoint").alias("raw_path"), "readable")
     config = config.select("provider", "metric", "endpoint", "limit", F.col("interval").alias("config_interval"))
-    facts = page_facts(requests, source, rows)
+    facts = stored(page_facts(requests, source, rows), "facts")  # read twice
     j = requests.join(F.broadcast(config), ["provider", "metric"], "left")  # one row for each kind of stream
     j = j.join(runs, "run_id", "left").join(acquired, "request_id", "left").join(raw, "raw_sha256", "left")
     j = j.join(facts, "request_id", "left").join(next_newer(requests, facts, rows, step), "request_id", "left")

@@ -260,6 +260,19 @@ SELECT v.symbol, z.day AS report_date, metric, round(value, 3) AS value, CASE WH
   CASE WHEN metric LIKE 'sup%' OR metric LIKE 'res%' THEN 'computed' ELSE 'bars' END AS source FROM v JOIN z ON z.symbol = v.symbol WHERE value IS NOT NULL"""
 
 
-@register(_ARCHIVE)
+#: Macro and on-chain rows: series, asset, metric, kind, scale, unit, source.
+_OBSERVED = [
+    ("1-URGENT", "MACRO", "cpi_yoy", "yoy", 1.0, "%", "macro"), ("2-HIGH", "MACRO", "nfp", "change", 0.001, "K", "macro"), ("2-HIGH", "MACRO", "nfp_level", "level", 0.001, "K", "macro"), ("3-MEDIUM", "MACRO", "yield_10y", "level", 1.0, "%", "macro"),
+    ("4-NOT SPECIFIED", "BTC", "mvrv", "level", 1.0, "ratio", "onchain"), ("5-LOW", "BTC", "realized_cap", "level", 1e-6, "USD_T", "onchain"), ("none such", "BTC", "nupl", "level", 1.0, "ratio", "onchain"),
+]
+
+
+@register(_ARCHIVE + f""" UNION ALL SELECT asset, obs_date, metric, round(CASE kind WHEN 'level' THEN v WHEN 'change' THEN v - v1 ELSE v / v12 * 100 - 100 END * scale, 3), unit, source
+FROM (SELECT series_id, max(obs_date) AS obs_date, arg_max(value, obs_date) AS v FROM macro_monthly GROUP BY 1) l JOIN (VALUES {", ".join(map(str, _OBSERVED))}) c(series, asset, metric, kind, scale, unit, source) ON series = series_id
+LEFT JOIN (SELECT series_id AS s1, obs_date + INTERVAL 1 MONTH AS d1, value AS v1 FROM macro_monthly) ON s1 = series_id AND d1 = obs_date LEFT JOIN (SELECT series_id AS s12, obs_date + INTERVAL 12 MONTH AS d12, value AS v12 FROM macro_monthly) ON s12 = series_id AND d12 = obs_date
+WHERE kind = 'level' OR (kind = 'change' AND v1 IS NOT NULL) OR (kind = 'yoy' AND v12 IS NOT NULL)""")
 def k9_metric_archive(spark, sf_dir):
-    return ind.metric_archive(bars(spark, sf_dir)).select("symbol", "report_date", "metric", R("value", 3), "unit", "source")
+    own = ind.metric_archive(bars(spark, sf_dir)).select("symbol", "report_date", "metric", "value", "unit", "source")
+    catalog = spark.createDataFrame(_OBSERVED, "series string, asset string, metric string, kind string, scale double, unit string, source string")
+    more = ind.observed_metrics(view(spark, sf_dir, "macro_monthly"), catalog, "series_id", "obs_date", "value")
+    return own.unionByName(more.withColumnRenamed("asset", "symbol")).select("symbol", "report_date", "metric", R("value", 3), "unit", "source")

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlens.operators import lineage
+from marketlens.operators.store import stored
 from marketlens.plans.registry import register
 from marketlens.sources.tables import table
 
@@ -50,19 +51,21 @@ def receipts(spark, sf_dir):
     told_first = F.when(at(19), None).when(at(38), F.col("base")).otherwise(F.col("first") + F.when(at(29), 1).otherwise(0))
     start = F.when(at(6), None).when(at(30), F.coalesce("first", "base") + STEP).when(at(31), F.col("base") + STEP).otherwise(F.coalesce("first", "base"))
     end = F.when(at(7), None).when(F.col("direction") == "forward", F.col("last") - F.when(at(32), 1).otherwise(0)).otherwise(F.coalesce("last", "base") + STEP - 1 + F.when(at(33), STEP).otherwise(0))
+    o = stored(o.select("*", told_first.cast("long").alias("_first"), start.cast("long").alias("_start"), end.cast("long").alias("_end")), "requests")  # seven tables come of it
     attempts, begun = F.when(at(8), 2).otherwise(1), F.col("base") / 1000
     requests = o.select(
         F.col("k").alias("request_id"), F.col("k").alias("run_id"), "provider", "metric", F.when(at(5), "Z").otherwise(F.col("symbol")).alias("symbol"),
-        F.when(at(3), "15m").otherwise("5m").alias("interval_label"), F.col("path").alias("endpoint_path"), start.cast("long").alias("requested_start_ms"), end.cast("long").alias("requested_end_ms"),
+        F.when(at(3), "15m").otherwise("5m").alias("interval_label"), F.col("path").alias("endpoint_path"), F.col("_start").alias("requested_start_ms"), F.col("_end").alias("requested_end_ms"),
         F.when(at(4), 100).otherwise(500).alias("requested_limit"), F.timestamp_seconds(F.when(~at(11), begun + F.when(at(10), 60).otherwise(0))).alias("attempted"),
         F.timestamp_seconds(begun + 5).alias("ended"), attempts.alias("http_attempts"), "status", F.col("error").alias("error_class"),
         F.when(~at(19), F.col("sha")).alias("raw_sha256"), F.col("returned").alias("returned_rows"), F.col("persisted").alias("persisted_rows"),
-        told_first.cast("long").alias("first_observed"), F.when(~at(19), F.col("last")).alias("last_observed"), "direction",
+        F.col("_first").alias("first_observed"), F.when(~at(19), F.col("last")).alias("last_observed"), "direction",
     )
     runs = o.where(~at(12)).select(F.col("k").alias("run_id"), "provider", "status", attempts.alias("requests"), (F.col("persisted") + F.when(at(13), 1).otherwise(0)).alias("points"), "error")
     acquisitions = o.where(~at(14)).select(F.col("k").alias("request_id"), F.when(at(15), "0").otherwise(F.col("sha")).alias("raw_sha256"), F.when(at(16), "delta").otherwise(F.col("provider")).alias("provider"), F.when(at(17), "/v2/x").otherwise(F.concat(F.lit("https://api.example.com"), "path")).alias("endpoint_path"))
     payloads = o.where(~at(21)).select(F.col("sha").alias("raw_sha256"), F.when(at(23), "delta").otherwise(F.col("provider")).alias("provider"), F.col("path").alias("endpoint"), F.when(at(22), F.lit(b"other")).otherwise(F.col("body")).alias("body"), (~at(24)).alias("readable"))
     slots = o.where("n > 0").select("*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")).withColumn("at", F.col("base") + F.col("i") * STEP + F.when(F.col("i") == F.col("n"), late).otherwise(0))
+    slots = stored(slots, "slots")
     rows = slots.where(~at(19)).select("provider", "metric", "symbol", F.col("sha").alias("raw_sha256"), "at", F.lit("5m").alias("interval"))
     extra = o.where(at(35) & (F.col("n") > 0)).select("provider", "metric", "symbol", F.lit("later").alias("raw_sha256"), (F.col("last") + 3 * STEP).alias("at"), F.lit("5m").alias("interval"))
     source = slots.where(~at(19) & ~at(21) & ~at(24)).select(F.col("sha").alias("raw_sha256"), "metric", "at", F.when(at(28) & (F.col("i") == 1), "15m").otherwise("5m").alias("interval"))
