@@ -223,6 +223,38 @@ def a5_distinct_composite(spark, sf_dir):
     return claims(spark, sf_dir).agg(F.count_distinct("asset", "status", "created").alias("n"))
 
 
+@register("SELECT asset, status, count(*) AS n, round(sum(points), 2) AS points FROM claims GROUP BY ROLLUP (asset, status)")
+def a2_status_rollup_levels(spark, sf_dir):
+    """Rows of each asset and status, of each asset, and of all."""
+    return claims(spark, sf_dir).rollup("asset", "status").agg(F.count("*").alias("n"), F.round(F.sum("points"), 2).alias("points"))
+
+
+#: Days of a range of sketches.
+_RANGE = ("1994-03-05", "1997-11-20")
+
+
+@register(f"""WITH r AS (SELECT * FROM claims WHERE created BETWEEN DATE '{_RANGE[0]}' AND DATE '{_RANGE[1]}') SELECT asset, 'distinct days and amounts' AS measure, count(DISTINCT (created, round(points))) AS exact, true AS inside FROM r GROUP BY 1
+UNION ALL SELECT asset, 'p' || (q * 100)::INT, count(points), true FROM r, (VALUES (0.1), (0.5), (0.9)) t(q) GROUP BY asset, q""")
+def a5_sketches_of_a_range(spark, sf_dir):
+    """Sketches are stored by day; those of a range are merged, and each estimate is held against the exact rows: a count
+    by its relative error, a quantile by the rank that it has."""
+    from marketlens.operators import sketches as sk
+    from marketlens.operators.store import stored
+
+    c = claims(spark, sf_dir).select("asset", "created", "points")
+    first, last = (F.lit(d).cast("date") for d in _RANGE)
+    value = F.concat_ws("|", "created", F.round("points").cast("decimal(18,0)"))
+    days = stored(sk.daily_sketches(c, ["asset"], F.col("created"), value, F.col("points")), "sketches")
+    rows = c.where(F.col("created").between(first, last))
+    exact = rows.groupBy("asset").agg(F.count_distinct(value).alias("exact"))
+    near = F.abs(F.col("estimate") - F.col("exact")) <= sk.COUNT_BOUND * F.col("exact")
+    counts = sk.distinct_in(days, ["asset"], first, last).join(exact, "asset").select("asset", F.lit("distinct days and amounts").alias("measure"), "exact", near.alias("inside"))
+    q = sk.quantiles_in(days, ["asset"], first, last, [0.1, 0.5, 0.9])
+    ranks = rows.join(F.broadcast(q), "asset").groupBy("asset", "q").agg(F.count("*").alias("exact"), (F.count_if(F.col("points") <= F.col("estimate")) / F.count("*")).alias("high"), (F.count_if(F.col("points") < F.col("estimate")) / F.count("*")).alias("low"))  # three rows an asset
+    held = (F.col("low") - sk.RANK_BOUND <= F.col("q")) & (F.col("q") <= F.col("high") + sk.RANK_BOUND)
+    return counts.unionByName(ranks.select("asset", F.concat(F.lit("p"), F.round(F.col("q") * 100).cast("int")).alias("measure"), "exact", held.alias("inside")))
+
+
 @register("SELECT asset, created, count(*) AS n FROM claims GROUP BY 1, 2 HAVING count(*) > 1")
 def a6_duplicates(spark, sf_dir):
     return rel.duplicates(claims(spark, sf_dir), ["asset", "created"])
