@@ -22,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import Scratch, by_chars, extended, in_bitmap, join_checked, seen_twice, small_batches
 from .suffix_array import suffix_array
@@ -288,19 +289,14 @@ def repeated_spans(docs: DataFrame, min_bytes: int = 400, bin_contexts: int = BI
     single = join_checked(single, found, "uid").select("cls", (F.col("lo") + F.col("s")).alias("a"), (F.col("lo") + F.col("e") + min_bytes).alias("b"))
     many = contexts.where("mult > 1").select(*same)
     whole = runs.join(many, same, "left_semi").select("cls", F.col("lo").cast("long").alias("a"), (F.col("lo") + F.col("n") - 1 + min_bytes).cast("long").alias("b"))
-    spans = single.unionByName(whole).distinct().groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("parts"))  # those of one text
-    merged = F.aggregate(
-        "parts",
-        F.array().cast("array<struct<a:bigint,b:bigint>>"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["b"] >= x["a"]),
-            F.concat(
-                F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(F.struct(F.try_element_at(acc, F.lit(-1))["a"].alias("a"), F.greatest(F.try_element_at(acc, F.lit(-1))["b"], x["b"]).alias("b"))),
-            ),
-        ).otherwise(F.concat(acc, F.array(x))),
-    )
-    out = scratch.stored(spans.select("cls", merged.alias("spans")), "spans")
+    # spans that overlap or touch become one: of one text, in order
+    in_text = Window.partitionBy("cls").orderBy("a", "b")
+    spans = single.unionByName(whole).distinct().withColumn("_before", F.max("b").over(in_text.rowsBetween(Window.unboundedPreceding, -1)))
+    opens = F.when(F.col("_before") >= F.col("a"), 0).otherwise(1)
+    spans = spans.withColumn("_g", F.sum(opens).over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = spans.groupBy("cls", "_g").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    merged = merged.groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
+    out = scratch.stored(merged, "spans")
     scratch.keep(out)
     seen.destroy()
     return out

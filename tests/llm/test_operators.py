@@ -66,6 +66,15 @@ def test_suffix_dedup(spark, limits):
     assert suffix_dedup.remove_repeats(docs_of(spark, []), 80).count() == 0
 
 
+def test_many_spans_in_one_text(spark):
+    """Thousands of spans of one text are merged in one pass."""
+    rng = random.Random(7)
+    shared = ["".join(rng.choices("abcdefghij", k=70)) for _ in range(40)]
+    text = "".join(rng.choice(shared) + f"-{i}-" for i in range(5000))
+    got = suffix_dedup.remove_repeats(docs_of(spark, [(1, text), (2, "z" * 300)]), 64).where("doc_id = 1").first()
+    assert tuple(got)[1:] == brute_repeats([text.encode()], 64)[0] and got["n_spans"] > 1000
+
+
 def brute_components(rows, n, num, den):
     sets = []
     for _, t in rows:
