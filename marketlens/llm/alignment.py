@@ -61,6 +61,7 @@ class Encoders:
             raise ValueError(f"vocabularies are too large for pairs of {PAIR_BITS} bits")
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.a_len, self.b_len = self.a_size.tolist(), self.b_size.tolist()
         #: Whether no piece goes on behind a space, so that chunks are encoded by themselves.
         self.by_chunk = not any("▁" in p.lstrip("▁") for p in pieces)
         self.clear()
@@ -76,10 +77,15 @@ class Encoders:
         run = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
         a = [e.ids for e in run([" " + c for c in chunks], add_special_tokens=False)]
         b = self.b.encode(chunks, num_threads=1)
-        same = []
-        for c, x, y in zip(chunks, a, b):
-            want = b" " + c.encode()
-            same.append(b"".join([self.a_bytes[i] for i in x]) == want and b"".join([self.b_bytes[i] for i in y]) == want)
+        texts = [b" " + c.encode() for c in chunks]
+        whole = b"".join(texts)
+        sizes = [len(t) for t in texts]
+        lost = False
+        for ids, known in ((a, self.a_bytes), (b, self.b_bytes)):
+            lost |= b"".join([known[i] for i in chain.from_iterable(ids)]) != whole
+        if not lost and sizes == [sum([self.a_len[i] for i in x]) for x in a] == [sum([self.b_len[i] for i in y]) for y in b]:
+            return a, b, [True] * len(chunks)
+        same = [b"".join([self.a_bytes[i] for i in x]) == t and b"".join([self.b_bytes[i] for i in y]) == t for x, y, t in zip(a, b, texts)]
         return a, b, same
 
     def _learn(self, chunks: list[str]) -> None:
