@@ -152,13 +152,13 @@ def page_issues(rows: DataFrame, pages: DataFrame, page: str, at: str) -> DataFr
     g = r.groupBy(page).agg(
         F.first(five).alias("five"), F.first(F.col("frequency").isin("d1", "monthly", "weekly")).alias("dated"), F.first("begin").alias("begin"), F.first("stop").alias("stop"),
         F.max((t < F.col("begin")) | (t >= F.col("stop"))).alias("outside"), F.count("*").alias("n"), F.count_distinct(at).alias("d"), F.min(at).alias("lo"), F.max(at).alias("hi"),
-        F.max(F.pmod(t, F.lit(86400)) != 0).alias("off_day"), F.max(F.pmod(t, F.lit(300)) != 0).alias("off_grid"),
+        F.max(F.pmod(t, F.lit(86400)) != 0).alias("off_day"), F.max(F.pmod(t, F.lit(300)) != 0).alias("off_grid"), F.count_distinct(F.pmod(t, F.lit(300))).alias("grids"),
     )
     c = F.col
     rules = [
         ("outside", c("outside")), ("twice", c("n") > c("d")), ("not midnight", c("dated") & c("off_day")), ("not aligned", c("five") & c("off_grid")),
         ("begins late", c("five") & (c("lo") != c("begin"))), ("ends early", c("five") & ((F.pmod(c("stop") - c("begin"), F.lit(300)) != 0) | (c("hi") != c("stop") - 300))),
-        ("gap", c("five") & ((c("hi") - c("lo")) / 300 + 1 != c("d"))),
+        ("gap", c("five") & ((c("grids") > 1) | ((c("hi") - c("lo")) / 300 + 1 != c("d")))),  # a neighbour that is not 300 seconds off
     ]
     return g.select(page, F.explode(F.array_compact(F.array(*[F.when(broken, name) for name, broken in rules]))).alias("issue"))
 
