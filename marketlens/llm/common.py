@@ -71,9 +71,20 @@ def cleaned_up(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEAN_UP, before)
 
 
+#: Folders that results may still read, until `close`.
+_LEFT: set[str] = set()
+
+
+def close(spark: SparkSession) -> None:
+    """Delete all tables and archives that operators have left for their results to read. Results that were not read yet
+    can't be read any more."""
+    for path in sorted(_LEFT):
+        remove(spark, path)
+
+
 def written(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
     with cleaned_up(df.sparkSession):
-        (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
+        (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(left(path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -81,6 +92,13 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _LEFT.discard(path)
+
+
+def left(path: str) -> str:
+    """Remember a folder for `close`."""
+    _LEFT.add(path)
+    return path
 
 
 class Scratch:

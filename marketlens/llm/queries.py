@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import alignment, decontaminate, jaccard, language_id, packing, ranked, secrets, sharding, suffix_dedup, token_counts, topk, url_filter, warc
-from .common import shared_dir
+from .common import left, shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +31,7 @@ def op3_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = warc.round_trip(_table(spark, sf_dir, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
+    out = warc.round_trip(_table(spark, sf_dir, "pages"), left(f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

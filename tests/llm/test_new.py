@@ -192,3 +192,17 @@ def test_long_text(spark):
     assert got[1]["n_links"] == got[1]["n_a"] + got[1]["n_b"] - got[1]["n_groups"] > 1_000_000
     items = table(spark, [(5, text[:400])]).withColumnRenamed("doc_id", "item_id")
     assert {r["doc_id"] for r in ranked.rank(docs, items).collect()} <= {1, 2}
+
+
+def test_close_removes_what_results_read(spark):
+    import os
+
+    from marketlens.llm import common
+
+    found = secrets.scan_secrets(table(spark, [(1, "password=abcdef123456", "o")]), F.col("source"), F.col("source"))
+    assert found.count() == 1
+    base = common.shared_dir(spark).removeprefix("file://")
+    held = {p for p in common._LEFT if os.path.isdir(p.removeprefix("file://"))}
+    assert any("/secrets-" in p for p in held) and os.path.isdir(base)
+    common.close(spark)
+    assert not common._LEFT and not any(os.path.isdir(p.removeprefix("file://")) for p in held)
