@@ -169,7 +169,7 @@ def replace_phrases(text: Column, dictionary: DataFrame) -> Column:
 
 def tokens(text: Column, most: int | None = 10) -> Column:
     """Lower-case words of letters and digits (joined by _) of more than one character, the first `most`."""
-    found = F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+(?:_[\p{L}\p{N}]+)*)"), F.lit(1)), lambda w: F.length(w) > 1)
+    found = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}](?:[\p{L}\p{N}]++(?:_[\p{L}\p{N}]++)*+|(?:_[\p{L}\p{N}]++)++)"), F.lit(0))
     return found if most is None else F.slice(found, 1, most)
 
 

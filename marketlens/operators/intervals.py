@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.operators.store import checked, stored
 from marketlens.operators.stretches import units
 
-#: Levels of dyadic cells: windows of up to 2^LEVELS units.
-LEVELS = 40
 
-
-def dyadic_cells(first: Column, end: Column, levels: int = LEVELS) -> Column:
+def dyadic_cells(first: Column, end: Column) -> Column:
     """The array of (level, cell) that cover the whole units [first, end) exactly: cell c of level k is [c 2^k, (c + 1) 2^k).
 
-    At each level at most one cell on the left and one on the right, so at most two for each doubling of the length.
+    At each level at most one cell on the left and one on the right, so at most two for each doubling of the length. No
+    level beyond the length's highest bit has a cell. NULL for an empty window.
     """
+    highest = F.length(F.bin(end - first)) - 1
 
     right_by = lambda x, k: F.call_function("shiftright", x, k)
 
@@ -27,7 +27,7 @@ def dyadic_cells(first: Column, end: Column, levels: int = LEVELS) -> Column:
         right = F.when((lo + F.when(odd(lo), 1).otherwise(0) < hi) & odd(hi), F.struct(k.alias("level"), (hi - 1).alias("cell")))
         return F.array(left, right)
 
-    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), at)))
+    return F.array_compact(F.flatten(F.transform(F.when(first < end, F.sequence(F.lit(0), highest)), at)))
 
 
 def point_in_window(points: DataFrame, windows: DataFrame, key: str, at: str, start: str, end: str) -> DataFrame:
@@ -38,8 +38,8 @@ def point_in_window(points: DataFrame, windows: DataFrame, key: str, at: str, st
     one cell, so no pair comes twice. Null keys and bounds join nothing; empty windows hold nothing.
     """
     cells = windows.where(F.col(start) < F.col(end)).withColumn("_d", F.explode(dyadic_cells(units(windows, start).cast("long"), units(windows, end).cast("long"))))
-    cells = cells.select("*", F.col("_d.level").alias("_level"), F.col("_d.cell").alias("_cell")).drop("_d")
-    used = [r[0] for r in cells.select("_level").distinct().orderBy("_level").collect()]  # LEVELS + 1 at most
+    cells = stored(cells.select("*", F.col("_d.level").alias("_level"), F.col("_d.cell").alias("_cell")).drop("_d"), "cells")
+    used = [r[0] for r in cells.select("_level").distinct().orderBy("_level").collect()]  # 64 at most
     t = units(points, at).cast("long")
     looks = F.array(*[F.struct(F.lit(k).alias("_level"), F.shiftright(t, k).alias("_cell")) for k in used]).cast("array<struct<_level:int,_cell:bigint>>")
-    return points.select("*", F.inline(looks)).join(cells, [key, "_level", "_cell"]).drop("_level", "_cell")
+    return points.select("*", F.inline(looks)).join(checked(cells), [key, "_level", "_cell"]).drop("_level", "_cell")
