@@ -180,11 +180,11 @@ def nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.str.normalize("NFKC")
 
 
-@F.pandas_udf(StringType())
-def folded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def fold(t: str | None) -> str | None:
     """Lower case without accents: the compatibility decomposition less its combining marks."""
-    for s in batches:
-        yield s.str.lower().str.normalize("NFKD").map(lambda t: None if t is None else "".join(c for c in t if not unicodedata.combining(c)))
+    if t is None or t.isascii():
+        return t and t.lower()
+    return "".join(c for c in unicodedata.normalize("NFKD", t.lower()) if not unicodedata.combining(c))
 
 
 def news_reason(url: Column, title: Column, highlight: Column, published: Column, now: Column) -> Column:
