@@ -8,40 +8,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.operators.store import stored
+from marketlens.operators.store import checked, stored
 
 #: What a receipt may say.
 DIRECTIONS, STATES = ("backward", "forward"), ("success", "empty", "failed")
 
 
-def page_facts(requests: DataFrame, source: DataFrame, rows: DataFrame) -> DataFrame:
+#: A row's stream, and what a page of stored rows is.
+STREAM = ["provider", "metric", "symbol"]
+
+
+def stored_pages(rows: DataFrame, step: int) -> DataFrame:
+    """(provider, metric, symbol, raw_sha256, s): the (at, interval) of a page's stored rows, up to its limit; rows without
+    a payload, which are no page, and long pages by stretches of 4,096 steps."""
+    stretch = F.floor(F.col("at") / (4096 * step)).alias("_x")
+    return rows.groupBy(*STREAM, "raw_sha256", stretch).agg(F.collect_list(F.struct("at", "interval")).alias("s")).drop("_x")
+
+
+def page_facts(requests: DataFrame, source: DataFrame, pages: DataFrame) -> DataFrame:
     """Per request: rows decoded from its payload (its own stream and all), rows stored for it, their first and last
-    time, whether neighbours are a step apart, and whether both sides have the same keys."""
+    time, whether neighbours are a step apart, and whether both sides have the same keys. Both sides are gathered by page
+    first, so that a row travels once."""
     own = requests.select("request_id", "provider", "metric", "raw_sha256")
-    wanted = own.join(source, ["raw_sha256", "metric"]).select("request_id", "at", "interval", F.lit(1).alias("w"), F.lit(0).alias("s"))
-    kept = own.join(rows.select("provider", "metric", "raw_sha256", "at", "interval"), ["provider", "metric", "raw_sha256"])
-    kept = kept.select("request_id", "at", "interval", F.lit(0).alias("w"), F.lit(1).alias("s"))
-    keys = wanted.unionByName(kept).groupBy("request_id", "at", "interval").agg(F.sum("w").alias("w"), F.sum("s").alias("s"))
-    facts = keys.groupBy("request_id").agg(
-        F.sum("w").alias("native"), F.sum("s").alias("stored"), F.bool_or((F.col("w") > 0) != (F.col("s") > 0)).alias("keys_differ"),
-        F.min(F.when(F.col("s") > 0, F.col("at"))).alias("first"), F.max(F.when(F.col("s") > 0, F.col("at"))).alias("last"),
-        F.array_sort(F.collect_set(F.when(F.col("s") > 0, F.col("at")))).alias("times"),  # a page's, up to its limit
+    kept = pages.where("raw_sha256 is not null").groupBy("provider", "metric", "raw_sha256").agg(F.flatten(F.collect_list("s")).alias("s"))  # whatever the symbol
+    native = source.where("raw_sha256 is not null").groupBy("raw_sha256", "metric").agg(F.collect_list(F.struct("at", "interval")).alias("w"))
+    native = native.groupBy("raw_sha256").agg(F.sum(F.size("w")).alias("decoded"), F.collect_list(F.struct("metric", "w")).alias("_by"))
+    j = own.join(native, "raw_sha256", "left").join(kept, ["provider", "metric", "raw_sha256"], "left")
+    none = F.array().cast(kept.schema["s"].dataType)
+    mine = F.get(F.filter("_by", lambda x: x["metric"] == F.col("metric")), 0)["w"]
+    j = j.select("request_id", "decoded", F.coalesce(mine, none).alias("w"), F.coalesce("s", none).alias("s"))
+    keys = lambda c: F.array_sort(F.array_distinct(c))
+    times = F.array_sort(F.array_distinct(F.array_compact(F.col("s.at"))))
+    return j.select(
+        "request_id", F.size("w").alias("native"), F.size("s").alias("stored"), (~keys("w").eqNullSafe(keys("s"))).alias("keys_differ"),
+        F.array_min("s.at").alias("first"), F.array_max("s.at").alias("last"), times.alias("times"), "decoded",
     )
-    whole = source.groupBy("raw_sha256").agg(F.count("*").alias("decoded"))
-    return own.select("request_id", "raw_sha256").join(facts, "request_id", "left").join(whole, "raw_sha256", "left").drop("raw_sha256")
 
 
-def next_newer(requests: DataFrame, facts: DataFrame, rows: DataFrame, step: int) -> DataFrame:
-    """(request_id, newest, next): of the request's stream, the newest time and the first one within a step behind the
-    page's last. Times meet in buckets of a step, as an equi-join."""
-    stream = ["provider", "metric", "symbol"]
-    newest = rows.groupBy(*stream).agg(F.max("at").alias("newest"))
-    ends = requests.select("request_id", *stream).join(facts.select("request_id", "last").where("last is not null"), "request_id")
+def next_newer(requests: DataFrame, facts: DataFrame, pages: DataFrame, step: int) -> DataFrame:
+    """(request_id, newest, next) of requests whose stream has a time behind the page's last: the newest time and the first
+    one within a step. Only pages of such streams are read for it; times meet in buckets of a step, as an equi-join."""
+    newest = pages.groupBy(*STREAM).agg(F.max(F.array_max("s.at")).alias("newest"))
+    ends = requests.select("request_id", *STREAM).join(facts.select("request_id", "last").where("last is not null"), "request_id")
+    ends = stored(ends.join(newest, STREAM).where("newest > last"), "ends")  # read three times
     bucket = F.floor(F.col("last") / step)
     near = ends.withColumn("_b", F.explode(F.array(bucket, bucket + 1)))
-    behind = near.join(rows.select(*stream, "at", F.floor(F.col("at") / step).alias("_b")), [*stream, "_b"]).where((F.col("at") > F.col("last")) & (F.col("at") <= F.col("last") + step))
+    later = pages.join(checked(ends.select(*STREAM).distinct()), STREAM, "left_semi").select(*STREAM, F.explode("s.at").alias("at"))
+    behind = near.join(later.withColumn("_b", F.floor(F.col("at") / step)), [*STREAM, "_b"]).where((F.col("at") > F.col("last")) & (F.col("at") <= F.col("last") + step))
     behind = behind.groupBy("request_id").agg(F.min("at").alias("next"))
-    return ends.join(newest, stream, "left").join(behind, "request_id", "left").select("request_id", "newest", "next")
+    return ends.join(behind, "request_id", "left").select("request_id", "newest", "next")
 
 
 def request_rules(instrument: Column, step: int) -> list[tuple[str, Column]]:
@@ -110,10 +125,11 @@ def audit_requests(requests: DataFrame, runs: DataFrame, acquisitions: DataFrame
     acquired = acquisitions.select("request_id", F.col("raw_sha256").alias("acq_sha256"), F.col("provider").alias("acq_provider"), F.col("endpoint_path").alias("acq_path"))
     raw = payloads.select("raw_sha256", F.sha2("body", 256).alias("body_sha256"), F.col("provider").alias("raw_provider"), F.col("endpoint").alias("raw_path"), "readable")
     config = config.select("provider", "metric", "endpoint", "limit", F.col("interval").alias("config_interval"))
-    facts = stored(page_facts(requests, source, rows), "facts")  # read twice
+    pages = stored(stored_pages(rows, step), "pages")  # read three times
+    facts = stored(page_facts(requests, source, pages), "facts")  # read twice
     j = requests.join(F.broadcast(config), ["provider", "metric"], "left")  # one row for each kind of stream
-    j = j.join(runs, "run_id", "left").join(acquired, "request_id", "left").join(raw, "raw_sha256", "left")
-    j = j.join(facts, "request_id", "left").join(next_newer(requests, facts, rows, step), "request_id", "left")
+    j = j.join(runs, "run_id", "left").join(raw, "raw_sha256", "left")
+    j = j.join(acquired, "request_id", "left").join(facts, "request_id", "left").join(next_newer(requests, facts, pages, step), "request_id", "left")  # dealt once
     found = [F.when(F.coalesce(broken, F.lit(False)), name) for name, broken in request_rules(instrument, step)]
     return j.select("request_id", F.explode(F.array_compact(F.array(*found))).alias("rule"))
 

@@ -65,7 +65,7 @@ def receipts(spark, sf_dir):
     acquisitions = o.where(~at(14)).select(F.col("k").alias("request_id"), F.when(at(15), "0").otherwise(F.col("sha")).alias("raw_sha256"), F.when(at(16), "delta").otherwise(F.col("provider")).alias("provider"), F.when(at(17), "/v2/x").otherwise(F.concat(F.lit("https://api.example.com"), "path")).alias("endpoint_path"))
     payloads = o.where(~at(21)).select(F.col("sha").alias("raw_sha256"), F.when(at(23), "delta").otherwise(F.col("provider")).alias("provider"), F.col("path").alias("endpoint"), F.when(at(22), F.lit(b"other")).otherwise(F.col("body")).alias("body"), (~at(24)).alias("readable"))
     slots = o.where("n > 0").select("provider", "metric", "symbol", "sha", "m", "n", "base", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")).withColumn("at", F.col("base") + F.col("i") * STEP + F.when(F.col("i") == F.col("n"), late).otherwise(0))
-    slots = stored(slots.drop("n", "base"), "slots")
+    slots = slots.drop("n", "base")
     rows = slots.where(~at(19)).select("provider", "metric", "symbol", F.col("sha").alias("raw_sha256"), "at", F.lit("5m").alias("interval"))
     extra = o.where(at(35) & (F.col("n") > 0)).select("provider", "metric", "symbol", F.lit("later").alias("raw_sha256"), (F.col("last") + 3 * STEP).alias("at"), F.lit("5m").alias("interval"))
     source = slots.where(~at(19) & ~at(21) & ~at(24)).select(F.col("sha").alias("raw_sha256"), "metric", "at", F.when(at(28) & (F.col("i") == 1), "15m").otherwise("5m").alias("interval"))

@@ -1,7 +1,9 @@
 """What a step holds, sends or makes does not grow faster than its input."""
 
 from marketlens.functions.text import fold
-from marketlens.operators import search
+from marketlens.operators import lineage, search
+from marketlens.plans import registry
+from tests.conftest import SF
 
 
 def test_lexical_keeps_few_rows_of_a_batch(spark, monkeypatch):
@@ -20,3 +22,13 @@ def test_lexical_keeps_few_rows_of_a_batch(spark, monkeypatch):
         want += [(q, i, -s, r) for r, (s, i) in enumerate(best, 1)]
     assert sorted((r["q"], r["id"], r["score"], r["rank"]) for r in got.collect()) == sorted(want)
     assert made["found"].count() <= 3 * 6 * 5  # three batches of records
+
+
+def test_lineage_gathers_rows_by_page(spark, monkeypatch):
+    made = {}
+    keep = lineage.stored
+    monkeypatch.setattr(lineage, "stored", lambda df, name: made.setdefault(name, keep(df, name)))
+    assert registry.queries()["l1_request_lineage"](spark, SF).count()
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert made["pages"].count() <= lines.select("l_orderkey").distinct().count() * 33 // 32 + 1  # a row a page, and the planted later ones
+    assert made["ends"].where("newest <= last").count() == 0  # only these look for a next time
