@@ -1,7 +1,7 @@
 """What a step holds, sends or makes does not grow faster than its input."""
 
 from marketlens.functions.text import fold
-from marketlens.operators import lineage, search
+from marketlens.operators import lineage, reconcile, relational, search, store
 from marketlens.plans import registry
 from tests.conftest import SF
 
@@ -32,3 +32,21 @@ def test_lineage_gathers_rows_by_page(spark, monkeypatch):
     lines = spark.read.parquet(f"{SF}/lineitem.parquet")
     assert made["pages"].count() <= lines.select("l_orderkey").distinct().count() * 33 // 32 + 1  # a row a page, and the planted later ones
     assert made["ends"].where("newest <= last").count() == 0  # only these look for a next time
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dealt_bounds_the_rows_of_a_task(spark, monkeypatch):
+    assert store.dealt(spark.range(1000), "id").rdd.getNumPartitions() == spark.range(1000).rdd.getNumPartitions()
+    monkeypatch.setattr(store, "TASK_ROWS", 100)
+    assert [store.dealt(spark.range(n), "id").rdd.getNumPartitions() for n in (1000, 4000)] == [10, 40]
+
+
+def test_page_rows_are_neither_copied_nor_joined(spark):
+    rows = spark.createDataFrame([(1, 0), (1, 300), (1, 300), (1, None), (2, 0)], "page long, t long")
+    pages = spark.createDataFrame([(1, "5m", 0, 600), (2, "d1", 0, 86400), (3, "5m", 0, 300)], "page long, frequency string, begin long, stop long")
+    got = reconcile.page_issues(rows, pages, "page", "t")
+    assert [tuple(r) for r in got.collect()] == [(1, "twice")]
+    assert "Expand" not in plan(got)
