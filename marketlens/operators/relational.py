@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlens.operators.store import dealt
+
 
 def newest_n(df: DataFrame, keys: list[str], order: str, n: int) -> DataFrame:
     """The newest n rows of each key; sort by (keys, order) to read them in time order."""
@@ -105,10 +107,11 @@ def with_catalog(observed: DataFrame, catalog: DataFrame, key: str, count: str =
 
 
 def key_differences(expected: DataFrame, observed: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys in one of two sets only, with the side that has them."""
-    a = expected.select(*keys).distinct().withColumn("side", F.lit("missing"))
-    b = observed.select(*keys).distinct().withColumn("side", F.lit("unexpected"))
-    return a.join(observed, keys, "left_anti").unionByName(b.join(expected, keys, "left_anti"))
+    """Keys in one of two sets only, with the side that has them; NULL is a key like others. Both sides are grouped at once."""
+    side = lambda df, x: df.select(*keys, F.lit(x).alias("side"))
+    both = dealt(side(expected, "missing").unionByName(side(observed, "unexpected")), *keys)
+    one = both.groupBy(*keys).agg(F.min("side").alias("side"), F.max("side").alias("_s"))
+    return one.where("side = _s").drop("_s")
 
 
 def day_pair(df: DataFrame, keys: list[str], day: str, value: str, first: Column, second: Column) -> DataFrame:

@@ -50,3 +50,11 @@ def test_page_rows_are_neither_copied_nor_joined(spark):
     got = reconcile.page_issues(rows, pages, "page", "t")
     assert [tuple(r) for r in got.collect()] == [(1, "twice")]
     assert "Expand" not in plan(got)
+
+
+def test_key_differences_group_once(spark):
+    a = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (3, None)], "k long, n long")
+    b = spark.createDataFrame([(1, 1), (4, 1), (4, 1), (3, None)], "k long, n long")
+    got = relational.key_differences(a, b, ["k", "n"])
+    assert sorted(tuple(r) for r in got.collect()) == [(2, 1, "missing"), (4, 1, "unexpected")]  # as EXCEPT has it, NULL too
+    assert "Join" not in plan(got)
