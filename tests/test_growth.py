@@ -58,3 +58,11 @@ def test_key_differences_group_once(spark):
     got = relational.key_differences(a, b, ["k", "n"])
     assert sorted(tuple(r) for r in got.collect()) == [(2, 1, "missing"), (4, 1, "unexpected")]  # as EXCEPT has it, NULL too
     assert "Join" not in plan(got)
+
+
+def test_equal_key_sets_group_once(spark):
+    a = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 1), (3, None), (None, 1)], "g long, n long")
+    b = spark.createDataFrame([(1, 2), (1, 1), (2, 1), (3, None), (4, 1), (None, 1)], "g long, n long")
+    got = reconcile.equal_key_sets(a, b, "g", ["n"])
+    assert {tuple(r) for r in got.collect()} == {(1, True), (2, False), (3, False), (4, False), (None, False)}
+    assert "Join" not in plan(got)
