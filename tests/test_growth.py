@@ -66,3 +66,9 @@ def test_equal_key_sets_group_once(spark):
     got = reconcile.equal_key_sets(a, b, "g", ["n"])
     assert {tuple(r) for r in got.collect()} == {(1, True), (2, False), (3, False), (4, False), (None, False)}
     assert "Join" not in plan(got)
+
+
+def test_both_sides_of_an_append_are_dealt_alike(spark, monkeypatch):
+    monkeypatch.setattr(store, "TASK_ROWS", 1000)
+    for name in ("k5_append_only", "j15_receipt_reconstruction"):
+        assert plan(registry.queries()[name](spark, SF)).count("REPARTITION_BY_NUM") >= 2
