@@ -6,10 +6,10 @@ level below. Sums do not depend on order, and equal rows count as often as they
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.operators.relational import canonical
+from marketlens.operators.relational import row_hash
 from marketlens.operators.store import checked, stored
 
 #: Children of a node, as bits.
@@ -18,10 +18,6 @@ FANOUT_BITS = 6
 WIDTH = 64
 
 
-def row_hash(df: DataFrame) -> Column:
-    return F.conv(F.substring(F.sha2(canonical(df), 256), 1, 15), 16, 10).cast("decimal(38,0)")
-
-
 def leaves(df: DataFrame, key: str, width: int = WIDTH) -> DataFrame:
     """(node, n, sum) of each range of `width` keys that has rows; partial sums are made before the shuffle. Rows with a
     null key are a leaf of their own."""

@@ -121,29 +121,40 @@ def day_pair(df: DataFrame, keys: list[str], day: str, value: str, first: Column
     ).where("before is not null or after is not null")
 
 
+def six_digits(c: Column) -> Column:
+    """A double as `%.6f` has it, with 0 for -0. Numbers below 10^11 go by way of a decimal, which rounds the same digits
+    in a tenth of the time; what has no decimal (NaN, infinities) or loses its sign there (-0.000000) is formatted."""
+    plain = (F.abs(c) < 1e11) & ((c >= 0) | (c <= -1e-6))
+    return F.when(plain, c.cast("decimal(18,6)").cast("string")).when(c.isNotNull(), F.format_string("%.6f", c))
+
+
 def canonical(df: DataFrame, fields: list[str] | None = None) -> Column:
     """A row as text: each field with its length in front, `-` for NULL; floats with six digits, times as microseconds."""
     parts = []
     for f in fields or df.columns:
         c, kind = F.col(f"`{f}`"), df.schema[f].dataType
         if isinstance(kind, (T.DoubleType, T.FloatType)):
-            c = F.format_string("%.6f", F.when(c == 0, F.abs(c)).otherwise(c).cast("double"))
+            c = six_digits(c.cast("double"))
         elif isinstance(kind, T.TimestampType):
             c = F.unix_micros(c).cast("string")
         elif isinstance(kind, T.TimestampNTZType):
             c = F.unix_micros(c.cast("timestamp")).cast("string")
         elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
-            c = F.to_json(F.struct(c.alias("v")))
+            c = F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v"))))
         else:
             c = c.cast("string")
-        parts.append(F.when(F.col(f"`{f}`").isNull(), "-").otherwise(F.concat(F.length(c), F.lit(":"), c)))
+        parts.append(F.coalesce(F.concat(F.length(c), F.lit(":"), c), F.lit("-")))  # no branch of its own, so c is made once
     return F.concat(*parts)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """The first 60 bits of the SHA-256 of canonical rows."""
+    return F.conv(F.substring(F.sha2(canonical(df), 256), 1, 15), 16, 10).cast("long").cast("decimal(38,0)")
+
+
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """(n, fingerprint) of a table whatever its order: hashes of canonical rows are added in 38 digits, so copies count."""
-    h = F.conv(F.substring(F.sha2(canonical(df), 256), 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.select(h.alias("h")).agg(F.count("*").alias("n"), F.coalesce(F.sum("h"), F.lit(0)).cast("string").alias("fingerprint"))
+    return df.select(row_hash(df).alias("h")).agg(F.count("*").alias("n"), F.coalesce(F.sum("h"), F.lit(0)).cast("string").alias("fingerprint"))
 
 
 def changed_tables(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import scalars as sc
 from marketlens.operators import relational as rel
+from marketlens.operators.store import stored
 from marketlens.plans.registry import register
 from marketlens.sources.tables import table, view
 
@@ -385,7 +386,7 @@ def a20_series_digest(spark, sf_dir):
 
 @register("SELECT 'lineitem' AS \"table\"")
 def a29_changed_tables(spark, sf_dir):
-    before = a18_table_fingerprint(spark, sf_dir)
+    before = stored(a18_table_fingerprint(spark, sf_dir), "before")  # both snapshots take it
     after = rel.table_fingerprint(table(spark, sf_dir, "lineitem").withColumn("l_quantity", F.col("l_quantity") + F.when(F.col("l_orderkey") % 97 == 0, 1).otherwise(0))).select(F.lit("lineitem").alias("table"), "n", "fingerprint")
     return rel.changed_tables(before, before.where("table != 'lineitem'").unionByName(after))
 

@@ -1,5 +1,7 @@
 """What a step holds, sends or makes does not grow faster than its input."""
 
+from pyspark.sql import functions as F
+
 from marketlens.functions.text import fold
 from marketlens.operators import lineage, reconcile, relational, search, store
 from marketlens.plans import registry
@@ -81,3 +83,14 @@ def test_long_titles_are_not_sent_around(spark, monkeypatch):
     got = search.dedupe_news(spark.createDataFrame(rows, "g string, p int, n int, u string, t string"), ["g"], "p", "n", "u", "t")
     assert sorted(r["n"] for r in got.collect()) == [0, 1, 5] and got.columns == ["g", "p", "n", "u", "t"]
     assert all(len(r["_k"] or "") <= 32 for df in sent for r in df.collect())
+
+
+def test_snapshots_hash_each_table_once_and_numbers_cheaply(spark):
+    got = plan(registry.queries()["a29_changed_tables"](spark, SF))
+    assert got.count("sha2(") == 1  # the changed one; the others are stored
+    numbers = [0.0, -0.0, 5e-7, -5e-7, 1.5e-6, -1e-6, 0.1, 2.675, 901.005, 99999999999.99, 1e11, -1e300, 5e-324, float("nan"), float("-inf"), None]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    c = F.col("x")
+    want = F.when(c.isNotNull(), F.format_string("%.6f", F.when(c == 0, F.abs(c)).otherwise(c)))
+    assert df.where(~want.eqNullSafe(relational.six_digits(c))).count() == 0
+    assert "decimal(18,6)" in plan(df.select(relational.canonical(df)))
