@@ -184,13 +184,14 @@ SELECT v.series_id, v.realtime_start, w.start_day, w.end_day, count(*) AS points
 def j10_interval_join(spark, sf_dir):
     from marketlens.operators.intervals import point_in_window
 
-    v = view(spark, sf_dir, "vintages").select("series_id", "realtime_start")
-    r = view(spark, sf_dir, "receipts").select("series_id", "start_day", "end_day")
+    v = view(spark, sf_dir, "vintages").groupBy("series_id", "realtime_start").agg(F.count("*").alias("_n"))
+    r = stored(view(spark, sf_dir, "receipts").select("series_id", "start_day", "end_day"), "receipts")  # read three times
     long = r.select("series_id").distinct().select("series_id", F.make_date(F.lit(1990), F.lit(1), F.lit(1)).alias("start_day"), F.make_date(F.lit(2021), F.lit(1), F.lit(1)).alias("end_day"))
     first = r.groupBy("series_id").agg(F.min("start_day").alias("_d"))
     short = first.select("series_id", F.date_add("_d", 9).alias("start_day"), F.date_add("_d", 10).alias("end_day"))
-    j = point_in_window(v, r.unionByName(long).unionByName(short), "series_id", "realtime_start", "start_day", "end_day")
-    return j.groupBy("series_id", "realtime_start", "start_day", "end_day").agg(F.count("*").alias("points"))
+    w = r.unionByName(long).unionByName(short).groupBy("series_id", "start_day", "end_day").agg(F.count("*").alias("_m"))
+    j = point_in_window(v, w, "series_id", "realtime_start", "start_day", "end_day")  # a row a point and window, so nothing is left to group
+    return j.select("series_id", "realtime_start", "start_day", "end_day", (F.col("_n") * F.col("_m")).alias("points"))
 
 
 @register("WITH c AS (SELECT unnest(['view', 'click', 'purchase', 'unseen_metric']) AS event_type) SELECT coalesce(c.event_type, e.event_type) AS event_type, coalesce(n, 0) AS n FROM c FULL OUTER JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY 1) e ON e.event_type = c.event_type")

@@ -1,9 +1,12 @@
 """What a step holds, sends or makes does not grow faster than its input."""
 
+import datetime
+import random
+
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import fold
-from marketlens.operators import lineage, reconcile, relational, search, store
+from marketlens.operators import intervals, lineage, reconcile, relational, search, store
 from marketlens.plans import registry
 from tests.conftest import SF
 
@@ -94,3 +97,26 @@ def test_snapshots_hash_each_table_once_and_numbers_cheaply(spark):
     want = F.when(c.isNotNull(), F.format_string("%.6f", F.when(c == 0, F.abs(c)).otherwise(c)))
     assert df.where(~want.eqNullSafe(relational.six_digits(c))).count() == 0
     assert "decimal(18,6)" in plan(df.select(relational.canonical(df)))
+
+
+def test_points_travel_once_to_their_windows(spark, monkeypatch):
+    rng = random.Random(5)
+    day = lambda n: datetime.date(2020, 1, 1) + datetime.timedelta(n)
+    points = [(rng.choice(["a", "b", None]), None if i % 50 == 0 else day(rng.randint(-200, 900)), i) for i in range(900)] + [("c", day(i % 3), i) for i in range(60)]
+    windows = [(rng.choice(["a", "b", None]), day(s), day(s + rng.choice([-1, 0, 1, 7, 400, 11_000])), i) for i in range(300) for s in [rng.randint(-300, 900)]] + [("c", day(1), None, 1), ("c", day(1), day(2), 2), ("d", day(1), day(9), 3)]
+    p = spark.createDataFrame(points, "k string, t date, i long").repartition(3)
+    w = spark.createDataFrame(windows, "k string, lo date, hi date, j long").repartition(3)
+    want = sorted((k, i, j) for k, t, i in points for m, lo, hi, j in windows if k and k == m and t and hi and lo <= t < hi)
+    got = intervals.point_in_window(p, w, "k", "t", "lo", "hi")
+    assert got.columns == ["k", "t", "i", "lo", "hi", "j"] and sorted((r["k"], r["i"], r["j"]) for r in got.collect()) == want
+    monkeypatch.setattr(intervals, "ROWS", 40)  # stretches and parts of a key
+    monkeypatch.setattr(intervals, "PAIRS", 16)
+    monkeypatch.setattr(store, "TASK_ROWS", 300)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # groups that go on in the next batch
+    try:
+        got = intervals.point_in_window(p, w, "k", "t", "lo", "hi")
+        assert sorted((r["k"], r["i"], r["j"]) for r in got.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    made = registry.queries()["j10_interval_join"](spark, SF)
+    assert "Join" not in plan(made).replace("BroadcastHashJoin", "") and "inline" not in plan(made)
