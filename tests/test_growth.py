@@ -109,6 +109,7 @@ def test_points_travel_once_to_their_windows(spark, monkeypatch):
     want = sorted((k, i, j) for k, t, i in points for m, lo, hi, j in windows if k and k == m and t and hi and lo <= t < hi)
     got = intervals.point_in_window(p, w, "k", "t", "lo", "hi")
     assert got.columns == ["k", "t", "i", "lo", "hi", "j"] and sorted((r["k"], r["i"], r["j"]) for r in got.collect()) == want
+    assert "inline" not in plan(got)  # no copy of a point for each level of cells
     monkeypatch.setattr(intervals, "ROWS", 40)  # stretches and parts of a key
     monkeypatch.setattr(intervals, "PAIRS", 16)
     monkeypatch.setattr(store, "TASK_ROWS", 300)
