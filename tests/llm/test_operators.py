@@ -75,6 +75,35 @@ def test_many_spans_in_one_text(spark):
     assert tuple(got)[1:] == brute_repeats([text.encode()], 64)[0] and got["n_spans"] > 1000
 
 
+def test_contexts_of_a_frequent_gram_are_split(spark, monkeypatch):
+    """One passage in many texts: the join that deals contexts by gram can be split inside a gram."""
+    rng = random.Random(11)
+    passage = "".join(rng.choices("abcdefghij", k=90))
+    rows = [(i, "".join(rng.choices("klmnop", k=200)) + passage + "".join(rng.choices("klmnop", k=200))) for i in range(600)]
+    conf = {"autoBroadcastJoinThreshold": "-1", "adaptive.advisoryPartitionSizeInBytes": "2k", "adaptive.coalescePartitions.enabled": "false"}
+    conf |= {"adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "adaptive.skewJoin.skewedPartitionFactor": "1.0", "files.maxPartitionBytes": "4k", "files.openCostInBytes": "1"}
+    plans, keep = {}, suffix_dedup.Scratch.stored
+
+    def stored(self, df, name, files=None):
+        if name == "needed":
+            df.collect()
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(self, df, name, files)
+
+    monkeypatch.setattr(suffix_dedup.Scratch, "stored", stored)
+    before = {f"spark.sql.{k}": spark.conf.get(f"spark.sql.{k}") for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+        got = [tuple(r) for r in suffix_dedup.remove_repeats(docs_of(spark, rows), 80).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = [(d, *w) for (d, _), w in zip(rows, brute_repeats([r[1].encode() for r in rows], 80))]
+    assert sorted(got) == sorted(want)
+    assert "skew=true" in plans["needed"]
+
+
 def brute_components(rows, n, num, den):
     sets = []
     for _, t in rows:
